@@ -93,9 +93,10 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: s
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn("__in", F.last("__state", ignorenulls=True).over(w_in))
     # last table state of each (key, bucket), carried over the key's earlier buckets
-    summ = (t.withColumn("__b", _bucket(ts, bucket_seconds))
-            .groupBy(key, "__b")
-            .agg(F.max_by("__state", F.struct(ts, seq)).alias("__last")))
+    # (every (key, bucket) of the union gets a row, so stream-only buckets see the carry)
+    summ = (u.groupBy(key, "__b")
+            .agg(F.max_by("__state", F.when(F.col("__side") == 0, F.struct(ts, seq)))
+                 .alias("__last")))
     w_k = (Window.partitionBy(key).orderBy("__b")
            .rowsBetween(Window.unboundedPreceding, -1))
     carry = summ.withColumn("__carry", F.last("__last", ignorenulls=True).over(w_k)) \

@@ -8,7 +8,8 @@ from __future__ import annotations
 
 import importlib
 
-_MODULES = ("counting", "ranking")
+_MODULES = ("counting", "ranking", "windowed", "enrich", "table_ops", "balances",
+            "topic_io")
 
 
 def _load():

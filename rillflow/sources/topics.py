@@ -51,16 +51,17 @@ def read_topic(spark: SparkSession, topic: str, bootstrap_servers: str,
 def records_from_table(df: DataFrame, topic: str, key: Column | str,
                        value_cols: list[str], offset: Column | str,
                        timestamp: Column | str, num_partitions: int = 1,
-                       partition_by: Column | str | None = None) -> DataFrame:
+                       partition: Column | None = None) -> DataFrame:
     """Topic records made from table rows: key as text bytes, value as JSON bytes of
-    ``value_cols`` (all null -> null value), a partition from the key's hash."""
+    ``value_cols`` (all null -> null value), a partition from the key's hash unless
+    ``partition`` gives one."""
     k = F.col(key) if isinstance(key, str) else key
-    pk = partition_by if partition_by is not None else k
+    part = partition if partition is not None else partition_of(k, num_partitions)
     return df.select(
         k.cast("string").cast("binary").alias("key"),
         encode_json(*value_cols).cast("binary").alias("value"),
         F.lit(topic).alias("topic"),
-        partition_of(pk, num_partitions).cast("int").alias("partition"),
+        part.cast("int").alias("partition"),
         (F.col(offset) if isinstance(offset, str) else offset).cast("long").alias("offset"),
         (F.col(timestamp) if isinstance(timestamp, str) else timestamp)
         .cast("timestamp").alias("timestamp"),
