@@ -19,7 +19,7 @@ def word_count(lines: DataFrame, text: str = "text") -> DataFrame:
 
 
 def word_count_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(read_table(spark, sf_dir, "documents", ["text"]))
+    return word_count(read_table(spark, sf_dir, "documents", ["text"], spread=True))
 
 
 def favourite_colour(changes: DataFrame, user: str, colour: str, order: list[str],

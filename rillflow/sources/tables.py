@@ -28,11 +28,29 @@ def table_path(sf_dir: str, name: str) -> str:
     return f"{sf_dir.rstrip('/')}/{name}.parquet"
 
 
+def stream_path(sf_dir: str, name: str) -> str:
+    """A glob naming one table file: the file stream source wants a folder or a glob."""
+    return f"{sf_dir.rstrip('/')}/{name}.parquet*"
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
-    """One driver table, pruned to ``columns`` when given."""
+               columns: list[str] | tuple[str, ...] | None = None,
+               spread: bool = False) -> DataFrame:
+    """One driver table, pruned to ``columns`` when given.
+
+    ``spread`` is for CPU-heavy per-row work (splitting long texts): when the scan
+    yields fewer splits than the cluster has cores (a small file with one row group),
+    the rows are dealt round-robin over the cores. A large input already scans in many
+    splits and is left alone, so no shuffle is added at scale.
+    """
     df = spark.read.parquet(table_path(sf_dir, name))
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType = EVENTS_SCHEMA,
