@@ -9,7 +9,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = ("counting", "ranking", "windowed", "enrich", "table_ops", "balances",
-            "topic_io", "streams")
+            "topic_io", "streams", "stateful_streams")
 
 
 def _load():
