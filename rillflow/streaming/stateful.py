@@ -5,10 +5,18 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillflow.operators.tables import latest_per_key
 from rillflow.streaming import processors as P
 
+def _keyed(schema: T.StructType, df: DataFrame) -> T.StructType:
+    """The processor's output schema with ``key`` typed like the input's key."""
+    kt = df.schema["key"].dataType
+    return T.StructType([T.StructField(f.name, kt if f.name == "key" else f.dataType, True)
+                         for f in schema.fields])
+
+
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -22,14 +30,14 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 def running_balance(changes: DataFrame) -> DataFrame:
     """``key, seq, ts, cents`` -> each row with ``running_cents``."""
     return changes.groupBy("key").transformWithStateInPandas(
-        P.RunningBalance(), P.RUNNING_OUT, "append", "None")
+        P.RunningBalance(), _keyed(P.RUNNING_OUT, changes), "append", "None")
 
 
 def table_join(left: DataFrame, right: DataFrame) -> DataFrame:
     """Two changelogs ``key, ts, seq, value`` -> the joined table's changelog."""
     tagged = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
     return tagged.groupBy("key").transformWithStateInPandas(
-        P.TableJoin(), P.TABLE_JOIN_OUT, "append", "None")
+        P.TableJoin(), _keyed(P.TABLE_JOIN_OUT, tagged), "append", "None")
 
 
 def table_from_changelog(out: DataFrame) -> DataFrame:
@@ -41,7 +49,7 @@ def table_from_changelog(out: DataFrame) -> DataFrame:
 def group_deltas(changes: DataFrame) -> DataFrame:
     """``key, ts, seq, value`` -> signed ``(group, delta)`` rows."""
     return changes.groupBy("key").transformWithStateInPandas(
-        P.GroupDeltas(), P.DELTA_OUT, "append", "None")
+        P.GroupDeltas(), _keyed(P.DELTA_OUT, changes), "append", "None")
 
 
 def counts_from_deltas(deltas: DataFrame, group_name: str, out: str = "count") -> DataFrame:
@@ -55,12 +63,14 @@ def asof_lookup(table_changes: DataFrame, stream_rows: DataFrame) -> DataFrame:
     -> stream rows with the table value current at their arrival."""
     t = table_changes.withColumn("side", F.lit(0)).withColumn("payload", F.lit(None).cast("string"))
     s = stream_rows.withColumn("side", F.lit(1)).withColumn("info", F.lit(None).cast("string"))
-    return t.unionByName(s).groupBy("key").transformWithStateInPandas(
-        P.AsOfLookup(), P.ASOF_OUT, "append", "None")
+    u = t.unionByName(s)
+    return u.groupBy("key").transformWithStateInPandas(
+        P.AsOfLookup(), _keyed(P.ASOF_OUT, u), "append", "None")
 
 
 def hold_newest(changes: DataFrame, limit_ms: int, max_held: int = 1_000_000) -> DataFrame:
     """``key, ts, seq, value`` with a watermark on ``ts`` -> the newest value of each
     key, at most once per ``limit_ms`` of event time."""
     return changes.groupBy("key").transformWithStateInPandas(
-        P.HoldNewest(limit_ms, max_held), P.SUPPRESS_OUT, "append", "EventTime")
+        P.HoldNewest(limit_ms, max_held), _keyed(P.SUPPRESS_OUT, changes), "append",
+        "EventTime")
