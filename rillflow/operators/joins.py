@@ -66,47 +66,52 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: s
     """Each stream row sees the table as it was when the row arrived: the latest
     changelog row of its key ordered before it by ``(ts, seq)``. A delete (all values
     null) or no earlier row means no match (dropped for ``inner``, nulls for ``left``).
+    Rows with a null key are dropped (a keyed lookup skips them).
 
     Both inputs carry ``key``, ``ts`` and ``seq``; the changelog also ``value_cols``.
 
     Two-level plan so no task holds all rows of a hot key: rows are cut into
     ``(key, time bucket)`` groups. Inside a group a window carries the last table row
-    forward; across groups, one summary row per ``(key, bucket)`` (its last table row)
-    is carried forward over the key's buckets, which are few next to the rows.
+    forward. Across groups a small frame carries it: one marker per ``(key, bucket)``
+    that has stream rows, plus the last table state of each ``(key, bucket)`` with
+    changes, ordered per key by bucket (markers before the table state of their own
+    bucket), so each marker picks up the state left by the key's earlier buckets.
     """
-    vals = [F.col(c) for c in value_cols]
+    for c in value_cols:
+        if c in stream.columns:
+            raise ValueError(f"stream already has a column named {c}")
     tomb = F.lit(True)
     for c in value_cols:
         tomb = tomb & F.col(c).isNull()
-    s = stream.withColumn("__side", F.lit(1))
-    t = changelog.select(key, ts, seq, *value_cols).withColumn("__side", F.lit(0))
-    t = t.withColumn("__state", F.struct(*vals, (~tomb).alias("__live")))
-    s_cols = [c for c in stream.columns]
-    for c in value_cols:
-        if c in s_cols:
-            raise ValueError(f"stream already has a column named {c}")
-    u = s.unionByName(t, allowMissingColumns=True).withColumn(
-        "__b", _bucket(ts, bucket_seconds))
-    # table row first when a stream row has the same (ts, seq): it arrived before.
-    order = [F.col(ts), F.col(seq), F.col("__side")]
-    w_in = (Window.partitionBy(key, "__b").orderBy(*order)
+    state = F.struct(*[F.col(c) for c in value_cols], (~tomb).alias("__live"))
+    bucket = _bucket(ts, bucket_seconds)
+    s = stream.withColumn("__side", F.lit(1)).withColumn("__b", bucket) \
+        .filter(F.col(key).isNotNull())
+    t = changelog.select(key, ts, seq, state.alias("__state")) \
+        .withColumn("__side", F.lit(0)).withColumn("__b", bucket) \
+        .filter(F.col(key).isNotNull())
+    # within (key, bucket): the last table state up to each row (table first on ties)
+    u = s.unionByName(t, allowMissingColumns=True)
+    w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq, "__side")
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    u = u.withColumn("__in", F.last("__state", ignorenulls=True).over(w_in))
-    # last table state of each (key, bucket), carried over the key's earlier buckets
-    # (every (key, bucket) of the union gets a row, so stream-only buckets see the carry)
-    summ = (u.groupBy(key, "__b")
-            .agg(F.max_by("__state", F.when(F.col("__side") == 0, F.struct(ts, seq)))
-                 .alias("__last")))
-    w_k = (Window.partitionBy(key).orderBy("__b")
+    rows = u.withColumn("__in", F.last("__state", ignorenulls=True).over(w_in)) \
+        .filter(F.col("__side") == 1)
+    # across buckets: markers and per-bucket last states, one row each per (key, bucket)
+    marks = s.select(key, "__b").distinct() \
+        .withColumn("__last", F.lit(None).cast(t.schema["__state"].dataType)) \
+        .withColumn("__m", F.lit(0))
+    lasts = t.groupBy(key, "__b").agg(
+        F.max_by("__state", F.struct(ts, seq)).alias("__last")).withColumn("__m", F.lit(1))
+    w_k = (Window.partitionBy(key).orderBy("__b", "__m")
            .rowsBetween(Window.unboundedPreceding, -1))
-    carry = summ.withColumn("__carry", F.last("__last", ignorenulls=True).over(w_k)) \
-        .select(key, "__b", "__carry")
-    rows = u.filter(F.col("__side") == 1)
-    rows = rows.join(carry, [key, "__b"], "left")
+    carry = (marks.unionByName(lasts)
+             .withColumn("__carry", F.last("__last", ignorenulls=True).over(w_k))
+             .filter(F.col("__m") == 0).select(key, "__b", "__carry"))
     st = F.coalesce(F.col("__in"), F.col("__carry"))
     matched = st.isNotNull() & st["__live"]
-    out = rows.select(*s_cols, *[F.when(matched, st[c]).alias(c) for c in value_cols],
-                      matched.alias("__matched"))
+    out = rows.join(carry, [key, "__b"], "left").select(
+        *stream.columns, *[F.when(matched, st[c]).alias(c) for c in value_cols],
+        matched.alias("__matched"))
     if how == "inner":
         out = out.filter("__matched")
     return out.drop("__matched")

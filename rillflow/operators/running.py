@@ -11,23 +11,31 @@ from rillflow.functions.time import money
 def running_sum(df: DataFrame, key: str, amount: str, ts: str, seq: str,
                 out: str = "running_bal", bucket_seconds: int = 3600) -> DataFrame:
     """Each row with the sum of ``amount`` over its key's rows up to and including it,
-    in ``(ts, seq)`` order. Amounts are exact DECIMAL(18,2).
+    in ``(ts, seq)`` order. Amounts are exact DECIMAL(18,2) (the ``amount`` column comes
+    back in that type).
 
     A window over the whole key would sort all rows of a hot key in one task. Instead:
     per ``(key, time bucket)`` totals (a partial aggregate), a prefix sum of those totals
     over the key's buckets (few rows), then a window inside each ``(key, bucket)`` plus
     the carried prefix.
     """
-    d = df.withColumn("__amt", money(amount)) \
-        .withColumn("__b", F.window(ts, f"{int(bucket_seconds)} seconds").start)
-    totals = d.groupBy(key, "__b").agg(F.sum("__amt").alias("__tot"))
+    # the amount is replaced by its decimal form in place, so the windowed rows and the
+    # bucket totals below read the same columns and share one exchange
+    # Rows with a null key or time have no place in a keyed order and are dropped; the
+    # explicit filter also keeps both uses of ``inner`` identical, so they share a scan.
+    d = df.withColumn(amount, money(amount)) \
+        .withColumn("__b", F.window(ts, f"{int(bucket_seconds)} seconds").start) \
+        .filter(F.col(key).isNotNull() & F.col("__b").isNotNull())
+    w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    inner = d.withColumn("__in", F.sum(amount).over(w_in))
+    # bucket totals from the windowed rows (already clustered by (key, bucket)): the
+    # input is scanned and shuffled once
+    totals = inner.groupBy(key, "__b").agg(F.max_by("__in", F.struct(ts, seq)).alias("__tot"))
     w_k = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.withColumn("__carry", F.coalesce(F.sum("__tot").over(w_k),
-                                                    F.lit(0).cast("decimal(28,2)"))) \
+                                                    F.lit(0).cast("decimal(38,2)"))) \
         .select(key, "__b", "__carry")
-    w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = d.withColumn("__in", F.sum("__amt").over(w_in))
     return (inner.join(carry, [key, "__b"], "inner")
             .withColumn(out, (F.col("__in") + F.col("__carry")).cast("decimal(28,2)"))
-            .drop("__amt", "__b", "__in", "__carry"))
+            .drop("__b", "__in", "__carry"))

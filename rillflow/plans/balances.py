@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions.time import money
 from rillflow.operators.running import running_sum
 from rillflow.sources.tables import read_table
 
@@ -13,7 +12,7 @@ from rillflow.sources.tables import read_table
 def running_balance_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
     out = running_sum(ev, "user_id", "value", "ts", "event_id", out="running_bal")
-    return out.select("user_id", "event_id", "ts", money("value").alias("amount"),
+    return out.select("user_id", "event_id", "ts", F.col("value").alias("amount"),
                       "running_bal")
 
 
