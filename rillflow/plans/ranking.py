@@ -49,6 +49,14 @@ def top3_sorted(counts: DataFrame, k: int = K) -> DataFrame:
     return arr.select(F.to_json("top3").alias("top3_sorted"))
 
 
+TOP3_TYPE = "array<struct<NewsType:string,Clicks:bigint>>"
+
+
+def parse_top3(text) -> F.Column:
+    """The top-3 JSON text back to ``array<struct<NewsType, Clicks>>``."""
+    return F.from_json(text, TOP3_TYPE)
+
+
 def _tables(spark, sf_dir):
     clicks = read_table(spark, sf_dir, "lineitem", ["l_partkey"])
     inv = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])

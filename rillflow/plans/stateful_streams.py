@@ -18,6 +18,8 @@ from rillflow.plans.ranking import ORACLE as RANK_SQL
 from rillflow.plans.ranking import top3_order
 from rillflow.plans.table_ops import KEEP_KEYS
 from rillflow.plans.table_ops import ORACLE as TABLE_SQL
+from rillflow.plans.windowed import ORACLE as WINDOW_SQL
+from rillflow.plans.windowed import SESSION_GAP_SECONDS
 from rillflow.sources.tables import EVENTS_SCHEMA, event_stream, read_table, stream_path
 from rillflow.streaming import stateful as S
 from rillflow.streaming.runner import run_stream
@@ -134,3 +136,23 @@ QUERIES = {
     "stock_filter_stream": stock_filter_stream,
     "top3_news_stream": top3_news_stream,
 }
+
+
+def session_count_live(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions with every update emitted (merges send deletes for the sessions they
+    replace); the current sessions are the newest non-deleted emission per session."""
+    S.use_rocksdb_state(spark)
+    ev = (_events(spark, sf_dir).withColumn("__et", as_event_time("ts"))
+          .withWatermark("__et", GRACE)
+          .select(F.col("user_id").alias("key"), F.col("__et").alias("ts"),
+                  F.col("event_id").alias("seq")))
+    out = run_stream(spark, S.live_sessions(ev, SESSION_GAP_SECONDS), "live_sessions") \
+        .wait().result()
+    cur = S.sessions_from_updates(out)
+    return cur.select(F.col("key").alias("user_id"),
+                      F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "count")
+
+
+ORACLE["session_count_live"] = WINDOW_SQL["session_count"]
+QUERIES["session_count_live"] = session_count_live

@@ -1,4 +1,4 @@
-"""The windowed counts run as streams: the events table read as a file stream, event
+"""Queries run as streams. First the windowed counts: the events table read as a file stream, event
 time with a watermark two minutes behind (the reference's grace), append mode (one
 final row per window once it closes), run with ``availableNow``.
 
@@ -11,8 +11,15 @@ same closing rule.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rillflow.operators.aggregates import balance_fold
+from rillflow.operators.joins import lookup_join
 from rillflow.operators.windows import hopping_count, session_count_stream, tumbling_count
+from rillflow.plans.counting import ORACLE as COUNT_SQL
+from rillflow.plans.counting import word_count
+from rillflow.plans.enrich import ORACLE as ENRICH_SQL
+from rillflow.plans.enrich import _user_table, enriched_text, recharge_match
 from rillflow.plans.windowed import (
     GRACE,
     HOP_SIZE,
@@ -21,7 +28,7 @@ from rillflow.plans.windowed import (
     SESSION_GAP_SECONDS,
     TUMBLE,
 )
-from rillflow.sources.tables import EVENTS_SCHEMA, event_stream, stream_path
+from rillflow.sources.tables import EVENTS_SCHEMA, event_stream, read_table, stream_path
 from rillflow.streaming.runner import run_stream
 
 GRACE_SECONDS = 120
@@ -68,3 +75,70 @@ QUERIES = {
     "hopping_count_stream": hopping_count_stream,
     "session_count_stream": session_count_stream_q,
 }
+
+
+# ---------------------------------------------------------------- keyed counts, joins
+# Fixed value: the reference's stream join sets no grace; its library then keeps join
+# state 24 hours. Used as the watermark delay of both join sides.
+JOIN_GRACE = "24 hours"
+
+
+def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Running word counts in update mode: each batch sends the words whose count
+    changed; the sink's table is the newest count per word."""
+    docs = spark.readStream.schema(read_table(spark, sf_dir, "documents").schema) \
+        .parquet(stream_path(sf_dir, "documents")).select("text")
+    return run_stream(spark, word_count(docs), "word_count", mode="update",
+                      key_cols=["word"]).wait().result()
+
+
+def bank_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The balance fold in update mode (a compacted output: newest row per user)."""
+    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA) \
+        .select("user_id", "value", "ts")
+    agg = balance_fold(ev, "user_id", "value", "ts", "txn_count", "balance", "last_time")
+    return run_stream(spark, agg, "bank_balance", mode="update",
+                      key_cols=["user_id"]).wait().result()
+
+
+def recharge_match_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream x stream join within five minutes, both sides watermarked (append)."""
+    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA) \
+        .withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", JOIN_GRACE)
+
+    def side(t):
+        return ev.filter(F.col("event_type") == t).select(
+            F.col("user_id").alias("user"), F.col("event_id").alias("id"), "ts",
+            F.col("props").alias("otp"))
+    out = run_stream(spark, recharge_match(side("click"), side("purchase")),
+                     "recharge_match").wait().result()
+    return out.withColumn("request_ts", F.col("request_ts").cast("timestamp_ntz")) \
+        .withColumn("confirm_ts", F.col("confirm_ts").cast("timestamp_ntz"))
+
+
+def purchase_enrich_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream x static table, left (append): each purchase looks up the user table."""
+    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    purchases = ev.filter(F.col("event_type") == "purchase").select(
+        "user_id", "event_id",
+        F.concat("event_type", F.lit("("), F.col("event_id").cast("string"), F.lit(")"))
+        .alias("purchase"))
+    j = lookup_join(purchases, _user_table(spark, sf_dir), "user_id", "c_custkey", "left")
+    out = j.select("user_id", "event_id",
+                   enriched_text(F.col("purchase"), F.col("info")).alias("enriched"))
+    return run_stream(spark, out, "purchase_enrich").wait().result()
+
+
+ORACLE.update({
+    "word_count_stream": COUNT_SQL["word_count"],
+    "bank_balance_stream": COUNT_SQL["bank_balance_aggregate"],
+    "recharge_match_stream": ENRICH_SQL["recharge_match"],
+    "purchase_enrich_left_stream": ENRICH_SQL["purchase_enrich_left"],
+})
+
+QUERIES.update({
+    "word_count_stream": word_count_stream,
+    "bank_balance_stream": bank_balance_stream,
+    "recharge_match_stream": recharge_match_stream,
+    "purchase_enrich_left_stream": purchase_enrich_left_stream,
+})

@@ -235,3 +235,60 @@ class HoldNewest(StatefulProcessor):
 
     def close(self) -> None:
         pass
+
+
+# ---------------------------------------------------------------- live sessions
+LIVE_SESSION_OUT = T.StructType([
+    T.StructField("key", T.LongType()), T.StructField("start_us", T.LongType()),
+    T.StructField("end_us", T.LongType()), T.StructField("count", T.LongType()),
+    T.StructField("deleted", T.BooleanType()), T.StructField("seq", T.LongType()),
+])
+
+
+class LiveSessions(StatefulProcessor):
+    """Session counts with every update emitted (not only final ones). A row within
+    ``gap`` of one or more open sessions of its key (both ends inclusive) merges them;
+    the merged session is emitted with its new bounds and count, and each session it
+    replaced is emitted as a delete. Sessions leave state once the watermark passes
+    their end + gap (an event-time timer). Input ``key, ts, seq``; output times are
+    epoch microseconds; ``seq`` orders the emitted changes."""
+
+    def __init__(self, gap_seconds: int) -> None:
+        self.gap_us = int(gap_seconds) * 1_000_000
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.open = handle.getListState("open", "start_us long, end_us long, n long")
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        pdf = _rows(rows, ["ts", "seq"])
+        sessions = [tuple(s) for s in self.open.get()] if self.open.exists() else []
+        out = []
+        for ts, seq in zip(pdf["ts"], pdf["seq"]):
+            t = int(pd.Timestamp(ts).value // 1000)
+            near = [s for s in sessions if s[0] - self.gap_us <= t <= s[1] + self.gap_us]
+            keep = [s for s in sessions if s not in near]
+            start = min([t] + [s[0] for s in near])
+            end = max([t] + [s[1] for s in near])
+            n = 1 + sum(s[2] for s in near)
+            for s in near:
+                out.append((key[0], s[0], s[1], s[2], True, int(seq)))
+            out.append((key[0], start, end, n, False, int(seq)))
+            sessions = keep + [(start, end, n)]
+            self.handle.registerTimer((end + self.gap_us) // 1000)
+        self.open.put(sessions)
+        if out:
+            yield pd.DataFrame(out, columns=LIVE_SESSION_OUT.fieldNames())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        if self.open.exists():
+            left = [tuple(s) for s in self.open.get() if s[1] + self.gap_us > wm_us]
+            if left:
+                self.open.put(left)
+            else:
+                self.open.clear()
+        return iter([])
+
+    def close(self) -> None:
+        pass

@@ -74,3 +74,18 @@ def hold_newest(changes: DataFrame, limit_ms: int, max_held: int = 1_000_000) ->
     return changes.groupBy("key").transformWithStateInPandas(
         P.HoldNewest(limit_ms, max_held), _keyed(P.SUPPRESS_OUT, changes), "append",
         "EventTime")
+
+
+def live_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
+    """``key, ts, seq`` with a watermark on ``ts`` -> session updates and deletes."""
+    return events.groupBy("key").transformWithStateInPandas(
+        P.LiveSessions(gap_seconds), _keyed(P.LIVE_SESSION_OUT, events), "append", "EventTime")
+
+
+def sessions_from_updates(out: DataFrame) -> DataFrame:
+    """Current sessions: the newest emission of each (key, start, end) that is not a
+    delete, with bounds back as timestamps."""
+    cur = latest_per_key(out, ["key", "start_us", "end_us"], ["count", "deleted"], ["seq"],
+                         tombstone=F.col("deleted"))
+    return cur.select("key", F.timestamp_micros("start_us").alias("window_start"),
+                      F.timestamp_micros("end_us").alias("window_end"), "count")
