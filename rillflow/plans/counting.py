@@ -14,7 +14,8 @@ from rillflow.sources.tables import read_table
 def word_count(lines: DataFrame, text: str = "text") -> DataFrame:
     """Words of every line (lower-cased, split on non-word runs) counted over all lines.
     Works on a stream too (update or complete mode)."""
-    words = lines.select(F.explode(java_split_words(text)).alias("word"))
+    lowered = lines.select(F.lower(text).alias("__t"))
+    words = lowered.select(F.explode(java_split_words("__t", lowered=True)).alias("word"))
     return count_by(words, "word")
 
 
