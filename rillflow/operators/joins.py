@@ -12,6 +12,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from rillflow.operators.buckets import (
+    COARSE_SECONDS,
+    FINE_SECONDS,
+    HOT_ROWS,
+    SAMPLE_FRACTION,
+    hot_keys,
+    with_buckets,
+)
 from rillflow.operators.tables import latest_per_key
 
 
@@ -61,8 +69,9 @@ def table_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
 
 
 def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: str,
-              value_cols: list[str], bucket_seconds: int = 3600,
-              how: str = "inner") -> DataFrame:
+              value_cols: list[str], bucket_seconds: int = COARSE_SECONDS,
+              how: str = "inner", fine_seconds: int = FINE_SECONDS,
+              hot_rows: int = HOT_ROWS, sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
     """Each stream row sees the table as it was when the row arrived: the latest
     changelog row of its key ordered before it by ``(ts, seq)``. A delete (all values
     null) or no earlier row means no match (dropped for ``inner``, nulls for ``left``).
@@ -84,12 +93,12 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: s
     for c in value_cols:
         tomb = tomb & F.col(c).isNull()
     state = F.struct(*[F.col(c) for c in value_cols], (~tomb).alias("__live"))
-    bucket = _bucket(ts, bucket_seconds)
-    s = stream.withColumn("__side", F.lit(1)).withColumn("__b", bucket) \
-        .filter(F.col(key).isNotNull())
-    t = changelog.select(key, ts, seq, state.alias("__state")) \
-        .withColumn("__side", F.lit(0)).withColumn("__b", bucket) \
-        .filter(F.col(key).isNotNull())
+    hot = hot_keys(stream, key, hot_rows, sample_fraction)
+    s = with_buckets(stream.filter(F.col(key).isNotNull()), key, ts, hot, bucket_seconds,
+                     fine_seconds).withColumn("__side", F.lit(1))
+    t = with_buckets(changelog.filter(F.col(key).isNotNull())
+                     .select(key, ts, seq, state.alias("__state")),
+                     key, ts, hot, bucket_seconds, fine_seconds).withColumn("__side", F.lit(0))
     # within (key, bucket): the last table state up to each row (table first on ties)
     u = s.unionByName(t, allowMissingColumns=True)
     w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq, "__side")

@@ -6,10 +6,20 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.time import money
+from rillflow.operators.buckets import (
+    COARSE_SECONDS,
+    FINE_SECONDS,
+    HOT_ROWS,
+    SAMPLE_FRACTION,
+    hot_keys,
+    with_buckets,
+)
 
 
 def running_sum(df: DataFrame, key: str, amount: str, ts: str, seq: str,
-                out: str = "running_bal", bucket_seconds: int = 3600) -> DataFrame:
+                out: str = "running_bal", bucket_seconds: int = COARSE_SECONDS,
+                fine_seconds: int = FINE_SECONDS, hot_rows: int = HOT_ROWS,
+                sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
     """Each row with the sum of ``amount`` over its key's rows up to and including it,
     in ``(ts, seq)`` order. Amounts are exact DECIMAL(18,2) (the ``amount`` column comes
     back in that type).
@@ -17,15 +27,17 @@ def running_sum(df: DataFrame, key: str, amount: str, ts: str, seq: str,
     A window over the whole key would sort all rows of a hot key in one task. Instead:
     per ``(key, time bucket)`` totals (a partial aggregate), a prefix sum of those totals
     over the key's buckets (few rows), then a window inside each ``(key, bucket)`` plus
-    the carried prefix.
+    the carried prefix. Keys the sample shows to hold ``hot_rows`` or more use
+    ``fine_seconds`` buckets (see :mod:`rillflow.operators.buckets`).
     """
     # the amount is replaced by its decimal form in place, so the windowed rows and the
     # bucket totals below read the same columns and share one exchange
     # Rows with a null key or time have no place in a keyed order and are dropped; the
     # explicit filter also keeps both uses of ``inner`` identical, so they share a scan.
-    d = df.withColumn(amount, money(amount)) \
-        .withColumn("__b", F.window(ts, f"{int(bucket_seconds)} seconds").start) \
-        .filter(F.col(key).isNotNull() & F.col("__b").isNotNull())
+    hot = hot_keys(df, key, hot_rows, sample_fraction)
+    d = with_buckets(df.filter(F.col(key).isNotNull()).withColumn(amount, money(amount)),
+                     key, ts, hot, bucket_seconds, fine_seconds) \
+        .filter(F.col("__b").isNotNull())
     w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.withColumn("__in", F.sum(amount).over(w_in))

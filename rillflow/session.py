@@ -33,7 +33,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
     b = SparkSession.builder.master(f"local[{cores}]").appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("RILLFLOW_DRIVER_MEMORY", "8g")
+    conf["spark.driver.memory"] = os.environ.get("RILLFLOW_DRIVER_MEMORY", "4g")
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)

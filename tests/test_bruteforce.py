@@ -8,6 +8,7 @@ from decimal import Decimal
 import pytest
 
 from helpers import rows
+from rillflow.operators.buckets import hot_keys
 from rillflow.operators.joins import asof_join
 from rillflow.operators.running import running_sum
 from rillflow.operators.windows import session_count
@@ -34,11 +35,13 @@ def test_asof_matches_bruteforce(spark, seed):
         want.append((i, info))
     s = spark.createDataFrame(stream, "k long, id long, ts timestamp")
     c = spark.createDataFrame(table, "k long, id long, ts timestamp, info string")
-    got = rows(asof_join(s, c, "k", "ts", "id", ["info"], bucket_seconds=50, how="left"),
-               "id", "info")
-    assert got == sorted(want)
-    inner = rows(asof_join(s, c, "k", "ts", "id", ["info"], bucket_seconds=50), "id", "info")
-    assert inner == sorted(w for w in want if w[1] is not None)
+    # coarse grid only, then the hot key (a third of the rows) on a fine grid
+    for kw in ({"bucket_seconds": 50},
+               {"bucket_seconds": 500, "fine_seconds": 7, "hot_rows": 30, "sample_fraction": 1.0}):
+        got = rows(asof_join(s, c, "k", "ts", "id", ["info"], how="left", **kw), "id", "info")
+        assert got == sorted(want)
+        inner = rows(asof_join(s, c, "k", "ts", "id", ["info"], **kw), "id", "info")
+        assert inner == sorted(w for w in want if w[1] is not None)
 
 
 def test_running_sum_matches_bruteforce(spark):
@@ -49,8 +52,10 @@ def test_running_sum_matches_bruteforce(spark):
         tot = sum(Decimal(str(b)) for k2, j, u, b in ev if k2 == k and (u, j) <= (t, i))
         want.append((i, tot))
     df = spark.createDataFrame(ev, "k long, id long, ts timestamp, amount double")
-    got = rows(running_sum(df, "k", "amount", "ts", "id", bucket_seconds=60), "id", "running_bal")
-    assert got == sorted(want)
+    for kw in ({"bucket_seconds": 60},
+               {"bucket_seconds": 900, "fine_seconds": 11, "hot_rows": 50, "sample_fraction": 1.0}):
+        got = rows(running_sum(df, "k", "amount", "ts", "id", **kw), "id", "running_bal")
+        assert got == sorted(want)
 
 
 def test_sessions_match_bruteforce(spark):
@@ -69,3 +74,10 @@ def test_sessions_match_bruteforce(spark):
     df = spark.createDataFrame(ev, "k long, id long, ts timestamp")
     got = rows(session_count(df, "k", "ts", 300), "k", "window_start", "window_end", "count")
     assert got == sorted(want)
+
+
+def test_hot_keys_finds_the_heavy_key(spark):
+    rnd = random.Random(5)
+    df = spark.createDataFrame(_events(rnd, 600, 50, 100), "k long, id long, ts timestamp")
+    assert rows(hot_keys(df, "k", hot_rows=100, sample_fraction=1.0), "k") == [(0,)]
+    assert hot_keys(df, "k", hot_rows=100, sample_fraction=1.0, max_hot_keys=0).count() == 0
