@@ -9,9 +9,10 @@ from pyspark.sql import types as T
 
 from rillflow.functions.jsonio import decode_json
 from rillflow.session import scratch_path
-from rillflow.sinks.topics import write_records
-from rillflow.sources.tables import read_table
-from rillflow.sources.topics import records_from_table, topic_values
+from rillflow.sinks.topics import write_records, write_records_stream
+from rillflow.sources.tables import EVENTS_SCHEMA, event_stream, read_table, stream_path
+from rillflow.sources.topics import TOPIC_RECORD, records_from_table, topic_values
+from rillflow.streaming.runner import run_stream
 
 # Fixed values of our mapping: the events topic has three partitions, chosen by the
 # user id; the offset is the event id.
@@ -63,3 +64,26 @@ QUERIES = {
     "topic_inspect": topic_inspect_on_tables,
     "topic_write": topic_write_on_tables,
 }
+
+
+def topic_round_trip_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two streams through a topic folder: the first writes event records (the Kafka
+    sink's columns, exactly-once file sink), the second reads them back one file per
+    trigger (the rate cap), decodes the JSON values and keeps the rows."""
+    base = scratch_path(spark, "topic_round_trip")
+    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    rec = records_from_table(ev, EVENTS_TOPIC, "user_id", ["user_id", "event_type", "props"],
+                             "event_id", "ts",
+                             partition=F.pmod(F.col("user_id"), F.lit(EVENTS_PARTITIONS)))
+    write_records_stream(rec, f"{base}/write-checkpoint", path=f"{base}/topic",
+                         trigger={"availableNow": True}).awaitTermination()
+    back = spark.readStream.schema(TOPIC_RECORD).option("maxFilesPerTrigger", 1) \
+        .parquet(f"{base}/topic")
+    good, _dead = decode_json(back.select(F.col("offset").alias("event_id"), "value"),
+                              "value", EVENT_VALUE)
+    out = good.select("event_id", "user_id", "event_type", "props")
+    return run_stream(spark, out, "topic_read", base=f"{base}/read").wait().result()
+
+
+ORACLE["topic_round_trip_stream"] = ORACLE["topic_write"]
+QUERIES["topic_round_trip_stream"] = topic_round_trip_stream
