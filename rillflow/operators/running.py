@@ -41,8 +41,10 @@ def running_sum(df: DataFrame, key: str, amount: str, ts: str, seq: str,
     w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     inner = d.withColumn("__in", F.sum(amount).over(w_in))
-    # bucket totals from the windowed rows (already clustered by (key, bucket)): the
-    # input is scanned and shuffled once
+    # bucket totals = the running value at each bucket's last row, taken from the
+    # windowed rows (already clustered by (key, bucket)): the input is scanned and
+    # shuffled once. (A plain sum here would let Catalyst drop the window from this
+    # branch and scan the input a second time.)
     totals = inner.groupBy(key, "__b").agg(F.max_by("__in", F.struct(ts, seq)).alias("__tot"))
     w_k = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.withColumn("__carry", F.coalesce(F.sum("__tot").over(w_k),

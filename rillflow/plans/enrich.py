@@ -69,7 +69,7 @@ def _purchases(spark, sf_dir):
 USER_SEGMENT = "BUILDING"
 
 
-def _user_table(spark, sf_dir):
+def user_table(spark, sf_dir):
     c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey",
                                                 "c_mktsegment"])
     return c.filter(F.col("c_mktsegment") == USER_SEGMENT).select(
@@ -84,11 +84,11 @@ def purchase_enrich(purchases: DataFrame, users: DataFrame, how: str) -> DataFra
 
 
 def purchase_enrich_inner_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return purchase_enrich(_purchases(spark, sf_dir), _user_table(spark, sf_dir), "inner")
+    return purchase_enrich(_purchases(spark, sf_dir), user_table(spark, sf_dir), "inner")
 
 
 def purchase_enrich_left_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return purchase_enrich(_purchases(spark, sf_dir), _user_table(spark, sf_dir), "left")
+    return purchase_enrich(_purchases(spark, sf_dir), user_table(spark, sf_dir), "left")
 
 
 def _user_changelog(spark, sf_dir):

@@ -19,7 +19,7 @@ from rillflow.operators.windows import hopping_count, session_count_stream, tumb
 from rillflow.plans.counting import ORACLE as COUNT_SQL
 from rillflow.plans.counting import word_count
 from rillflow.plans.enrich import ORACLE as ENRICH_SQL
-from rillflow.plans.enrich import _user_table, enriched_text, recharge_match
+from rillflow.plans.enrich import user_table, enriched_text, recharge_match
 from rillflow.plans.windowed import (
     GRACE,
     HOP_SIZE,
@@ -123,7 +123,7 @@ def purchase_enrich_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         "user_id", "event_id",
         F.concat("event_type", F.lit("("), F.col("event_id").cast("string"), F.lit(")"))
         .alias("purchase"))
-    j = lookup_join(purchases, _user_table(spark, sf_dir), "user_id", "c_custkey", "left")
+    j = lookup_join(purchases, user_table(spark, sf_dir), "user_id", "c_custkey", "left")
     out = j.select("user_id", "event_id",
                    enriched_text(F.col("purchase"), F.col("info")).alias("enriched"))
     return run_stream(spark, out, "purchase_enrich").wait().result()
