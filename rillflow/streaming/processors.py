@@ -11,6 +11,7 @@ The same processors run on a batch DataFrame too (one pass, empty state).
 
 from __future__ import annotations
 
+import bisect
 import sys
 from collections.abc import Iterator
 
@@ -250,8 +251,9 @@ class LiveSessions(StatefulProcessor):
     ``gap`` of one or more open sessions of its key (both ends inclusive) merges them;
     the merged session is emitted with its new bounds and count, and each session it
     replaced is emitted as a delete. Sessions leave state once the watermark passes
-    their end + gap (an event-time timer). Input ``key, ts, seq``; output times are
-    epoch microseconds; ``seq`` orders the emitted changes."""
+    their end + gap (one event-time timer per key, at the earliest expiry). Input
+    ``key, ts, seq``; output times are epoch microseconds; ``seq`` orders the emitted
+    changes."""
 
     def __init__(self, gap_seconds: int) -> None:
         self.gap_us = int(gap_seconds) * 1_000_000
@@ -259,35 +261,59 @@ class LiveSessions(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.open = handle.getListState("open", "start_us long, end_us long, n long")
+        self.due = handle.getValueState("due", "ms long")
+
+    def _arm(self, sessions) -> None:
+        """Keep one timer per key, at the earliest expiry (first end + gap): when it
+        fires, every expired session goes at once and the timer moves on."""
+        if not sessions:
+            self.due.clear()
+            return
+        want = (min(s[1] for s in sessions) + self.gap_us) // 1000
+        have = self.due.get()[0] if self.due.exists() else None
+        if have is None or want < have:
+            if have is not None:
+                self.handle.deleteTimer(have)
+            self.handle.registerTimer(want)
+            self.due.update((want,))
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, ["ts", "seq"])
-        sessions = [tuple(s) for s in self.open.get()] if self.open.exists() else []
+        # open sessions never overlap (they are more than a gap apart): kept sorted by
+        # start, the ones a row can merge with are one run found by binary search
+        sessions = sorted(tuple(s) for s in self.open.get()) if self.open.exists() else []
+        starts = [s[0] for s in sessions]
         out = []
-        for ts, seq in zip(pdf["ts"], pdf["seq"]):
-            t = int(pd.Timestamp(ts).value // 1000)
-            near = [s for s in sessions if s[0] - self.gap_us <= t <= s[1] + self.gap_us]
-            keep = [s for s in sessions if s not in near]
+        micros = pdf["ts"].astype("datetime64[us]").astype("int64").tolist()
+        for t, seq in zip(micros, pdf["seq"].tolist()):
+            lo = bisect.bisect_left(starts, t - self.gap_us)
+            if lo > 0 and sessions[lo - 1][1] + self.gap_us >= t:
+                lo -= 1
+            hi = bisect.bisect_right(starts, t + self.gap_us)
+            near = sessions[lo:hi]
             start = min([t] + [s[0] for s in near])
             end = max([t] + [s[1] for s in near])
             n = 1 + sum(s[2] for s in near)
             for s in near:
-                out.append((key[0], s[0], s[1], s[2], True, int(seq)))
-            out.append((key[0], start, end, n, False, int(seq)))
-            sessions = keep + [(start, end, n)]
-            self.handle.registerTimer((end + self.gap_us) // 1000)
+                out.append((key[0], s[0], s[1], s[2], True, seq))
+            out.append((key[0], start, end, n, False, seq))
+            sessions[lo:hi] = [(start, end, n)]
+            starts[lo:hi] = [start]
+        self._arm(sessions)
         self.open.put(sessions)
         if out:
             yield pd.DataFrame(out, columns=LIVE_SESSION_OUT.fieldNames())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000
+        self.due.clear()
         if self.open.exists():
             left = [tuple(s) for s in self.open.get() if s[1] + self.gap_us > wm_us]
             if left:
                 self.open.put(left)
             else:
                 self.open.clear()
+            self._arm(left)
         return iter([])
 
     def close(self) -> None:
