@@ -160,3 +160,23 @@ def test_hold_newest_emits_after_limit(spark, tmp_dir):
                      base=os.path.join(tmp_dir, "run")).wait().result()
     # HDFC's three updates collapse into one emission of the newest; AXIS is still held
     assert rows(out, "key", "value", "seq") == [("HDFC", "12", 3)]
+
+
+def test_live_sessions_merge_sends_deletes(spark, tmp_dir):
+    S.use_rocksdb_state(spark)
+    ch = _changes(spark, tmp_dir, [
+        [{"key": "u", "ts": at(0), "seq": 1, "value": None},
+         {"key": "u", "ts": at(600), "seq": 2, "value": None}],
+        [{"key": "u", "ts": at(300), "seq": 3, "value": None}]])
+    ev = ch.select("key", "ts", "seq").withWatermark("ts", "1 hour")
+    out = run_stream(spark, S.live_sessions(ev, 300), "live",
+                     base=os.path.join(tmp_dir, "run")).wait().result()
+    us = 1_000_000
+    base = int(at(0).timestamp()) * us
+    got = sorted((r.seq, r.start_us - base, r.end_us - base, r["count"], r.deleted)
+                 for r in out.collect())
+    assert got == [(1, 0, 0, 1, False), (2, 600 * us, 600 * us, 1, False),
+                   (3, 0, 0, 1, True), (3, 0, 600 * us, 3, False),
+                   (3, 600 * us, 600 * us, 1, True)]
+    cur = S.sessions_from_updates(out)
+    assert rows(cur, "count") == [(3,)]
