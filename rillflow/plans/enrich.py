@@ -50,10 +50,16 @@ def recharge_match_1d_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- purchase enrich
+# The enriched text is "purchase <purchase> info=[<info>]", and
+# "purchase <purchase> info=null" when the user has no info.
+ENRICHED_FORMAT = "purchase %s info=[%s]"
+UNMATCHED_FORMAT = "purchase %s info=null"
+
+
 def enriched_text(purchase: F.Column, info: F.Column) -> F.Column:
-    """``purchase X info=[Y]``, or ``purchase X info=null`` when there is no info."""
-    return F.when(info.isNull(), F.concat(F.lit("purchase "), purchase, F.lit(" info=null"))) \
-        .otherwise(F.concat(F.lit("purchase "), purchase, F.lit(" info=["), info, F.lit("]")))
+    """The enriched purchase text, matched or not."""
+    return F.when(info.isNull(), F.format_string(UNMATCHED_FORMAT, purchase)) \
+        .otherwise(F.format_string(ENRICHED_FORMAT, purchase, info))
 
 
 def _purchases(spark, sf_dir):

@@ -31,9 +31,13 @@ def for_each_record(df: DataFrame, fn: Callable, checkpoint: str,
             .option("checkpointLocation", checkpoint).start())
 
 
+# Fixed value: the printed line of a windowed count.
+WINDOW_LINE_FORMAT = "name= %s window start=%s window end=%s count= %d"
+
+
 def window_lines(df: DataFrame, key: str, count: str = "count") -> DataFrame:
     """One text line per windowed count: key, window bounds and count."""
-    return df.select(F.format_string("name= %s window start=%s window end=%s count= %d",
+    return df.select(F.format_string(WINDOW_LINE_FORMAT,
                                      F.col(key).cast("string"),
                                      F.col("window_start").cast("string"),
                                      F.col("window_end").cast("string"),
