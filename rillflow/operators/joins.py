@@ -40,8 +40,7 @@ def _bucket(ts: str, width_seconds: int) -> Column:
 
 
 def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str,
-                  left_ts: str, right_ts: str, within_seconds: int,
-                  how: str = "inner") -> DataFrame:
+                  left_ts: str, right_ts: str, within_seconds: int) -> DataFrame:
     """Pairs with the same key whose times differ by at most ``within_seconds``, both
     ends inclusive; every pair is a result row.
 
@@ -50,7 +49,8 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     bound; a left row is offered to its own bucket and the two beside it, so the equi-join
     on ``(key, bucket)`` only meets candidates that are near in time, and a hot key is
     spread over its buckets. Works on streams too (watermark both sides first, append
-    mode); the bucket equality also spreads the join state of a hot key.
+    mode); the bucket equality also spreads the join state of a hot key. Inner only: a
+    left row is offered to three buckets, so an outer form would repeat unmatched rows.
     """
     span = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
     lb = _bucket(left_ts, within_seconds)
@@ -59,7 +59,7 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     cond = ((lcand[left_key] == rcand[right_key]) & (lcand["__lb"] == rcand["__rb"])
             & (rcand[right_ts] >= lcand[left_ts] - span)
             & (rcand[right_ts] <= lcand[left_ts] + span))
-    return lcand.join(rcand, cond, how).drop("__lb", "__rb")
+    return lcand.join(rcand, cond, "inner").drop("__lb", "__rb")
 
 
 def table_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
