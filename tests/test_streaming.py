@@ -180,3 +180,32 @@ def test_live_sessions_merge_sends_deletes(spark, tmp_dir):
                    (3, 600 * us, 600 * us, 1, True)]
     cur = S.sessions_from_updates(out)
     assert rows(cur, "count") == [(3,)]
+
+
+def test_hold_newest_flushes_early_when_full(spark, tmp_dir):
+    S.use_rocksdb_state(spark)
+    ch = _changes(spark, tmp_dir, [
+        [{"key": "HDFC", "ts": at(0), "seq": 1, "value": "10"},
+         {"key": "HDFC", "ts": at(1), "seq": 2, "value": "11"},
+         {"key": "HDFC", "ts": at(2), "seq": 3, "value": "12"}]])
+    ch = ch.withWatermark("ts", "1 hour")
+    out = run_stream(spark, S.hold_newest(ch, 60_000, max_held=2), "full",
+                     base=os.path.join(tmp_dir, "run")).wait().result()
+    # the second update fills the buffer and is sent at once; the third is still held
+    assert rows(out, "key", "value", "seq") == [("HDFC", "11", 2)]
+
+
+def test_update_mode_restart_keeps_newest_per_key(spark, tmp_dir):
+    from rillflow.operators.aggregates import count_by
+    src = os.path.join(tmp_dir, "in")
+    base = os.path.join(tmp_dir, "run")
+    write_batches(src, [[{"name": "a", "ts": at(0)}, {"name": "b", "ts": at(1)}]], EV)
+
+    def go():
+        st = count_by(stream_of(spark, src, "name string, ts timestamp"), "name")
+        return run_stream(spark, st, "u", mode="update", key_cols=["name"], base=base).wait()
+    assert rows(go().result(), "name", "count") == [("a", 1), ("b", 1)]
+    import pyarrow.parquet as pq
+    path = os.path.join(src, "b0001.parquet")
+    pq.write_table(pa.Table.from_pylist([{"name": "a", "ts": at(5)}], schema=EV), path)
+    assert rows(go().result(), "name", "count") == [("a", 2), ("b", 1)]
