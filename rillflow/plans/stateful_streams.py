@@ -16,11 +16,17 @@ from rillflow.plans.enrich import ORACLE as ENRICH_SQL
 from rillflow.plans.enrich import enriched_text
 from rillflow.plans.ranking import ORACLE as RANK_SQL
 from rillflow.plans.ranking import top3_order
-from rillflow.plans.table_ops import KEEP_KEYS
+from rillflow.plans.table_ops import watch_list
 from rillflow.plans.table_ops import ORACLE as TABLE_SQL
 from rillflow.plans.windowed import ORACLE as WINDOW_SQL
 from rillflow.plans.windowed import SESSION_GAP_SECONDS
-from rillflow.sources.tables import EVENTS_SCHEMA, event_stream, read_table, stream_path
+from rillflow.sources.tables import (
+    EVENTS_SCHEMA,
+    event_stream,
+    file_stream,
+    read_table,
+    stream_path,
+)
 from rillflow.streaming import stateful as S
 from rillflow.streaming.runner import run_stream
 
@@ -96,7 +102,8 @@ def stock_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.use_rocksdb_state(spark)
     ev = (_events(spark, sf_dir).withColumn("__et", as_event_time("ts"))
           .withWatermark("__et", GRACE))
-    changes = ev.filter(F.col("user_id").isin(*KEEP_KEYS)).select(
+    watched = ev.join(watch_list(spark, sf_dir), "user_id", "left_semi")
+    changes = watched.select(
         F.col("user_id").alias("key"), F.col("__et").alias("ts"),
         F.col("event_id").alias("seq"),
         F.when(F.length("event_type") > 0, F.col("event_type")).alias("value"))
@@ -108,8 +115,8 @@ def stock_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def top3_news_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks as a stream joined with the static inventory table, counted per type,
     top 3 kept in complete mode (the only mode Spark allows for a sorted aggregate)."""
-    clicks = spark.readStream.schema(read_table(spark, sf_dir, "lineitem").schema) \
-        .parquet(stream_path(sf_dir, "lineitem")).select("l_partkey")
+    clicks = file_stream(spark, stream_path(sf_dir, "lineitem"),
+                         read_table(spark, sf_dir, "lineitem").schema).select("l_partkey")
     inv = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
     counts = (clicks.join(inv, clicks["l_partkey"] == inv["p_partkey"])
               .groupBy(F.col("p_type").alias("news_type"))
@@ -123,7 +130,8 @@ ORACLE = {
     "latest_login_stream": ENRICH_SQL["latest_login"],
     "favourite_colour_stream": COUNT_SQL["favourite_colour"],
     "purchase_asof_left_stream": ENRICH_SQL["purchase_asof_left"],
-    # every kept key's first update is far more than hold + grace before the last event
+    # every watched key's first update is far more than hold + grace before the last
+    # event, so every hold has been released by the end
     "stock_filter_stream": TABLE_SQL["stock_filter"],
     "top3_news_stream": RANK_SQL["top3_news"],
 }

@@ -28,7 +28,13 @@ from rillflow.plans.windowed import (
     SESSION_GAP_SECONDS,
     TUMBLE,
 )
-from rillflow.sources.tables import EVENTS_SCHEMA, event_stream, read_table, stream_path
+from rillflow.sources.tables import (
+    EVENTS_SCHEMA,
+    event_stream,
+    file_stream,
+    read_table,
+    stream_path,
+)
 from rillflow.streaming.runner import run_stream
 
 GRACE_SECONDS = 120
@@ -86,8 +92,8 @@ JOIN_GRACE = "24 hours"
 def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running word counts in update mode: each batch sends the words whose count
     changed; the sink's table is the newest count per word."""
-    docs = spark.readStream.schema(read_table(spark, sf_dir, "documents").schema) \
-        .parquet(stream_path(sf_dir, "documents")).select("text")
+    docs = file_stream(spark, stream_path(sf_dir, "documents"),
+                       read_table(spark, sf_dir, "documents").schema).select("text")
     return run_stream(spark, word_count(docs), "word_count", mode="update",
                       key_cols=["word"]).wait().result()
 

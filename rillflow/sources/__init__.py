@@ -1,6 +1,6 @@
 """Sources: driver tables (parquet), event streams, Kafka-shaped topic records."""
 
-from rillflow.sources.tables import TABLES, event_stream, read_table
+from rillflow.sources.tables import TABLES, event_stream, file_stream, read_table
 from rillflow.sources.topics import (
     TOPIC_RECORD,
     read_topic,
@@ -8,5 +8,5 @@ from rillflow.sources.topics import (
     topic_values,
 )
 
-__all__ = ["TABLES", "read_table", "event_stream", "TOPIC_RECORD", "read_topic",
+__all__ = ["TABLES", "read_table", "event_stream", "file_stream", "TOPIC_RECORD", "read_topic",
            "records_from_table", "topic_values"]

@@ -198,6 +198,8 @@ def test_stock_filter(spark):
         [("HDFC", "10", 1), ("HDFC", "", 2), ("AXIS", "5", 3), ("SBI", "7", 4), ("AXIS", None, 5)],
         "sym string, value string, seq long")
     assert stock_filter(ch, "sym", "value", ["seq"], keep_keys=("HDFC", "AXIS")).count() == 0
+    watch = spark.createDataFrame([("HDFC",), ("AXIS",), ("SBI",)], "sym string")
+    assert rows(stock_filter(ch, "sym", "value", ["seq"], keep_keys=watch), "sym") == [("SBI",)]
 
 
 def test_top3_tie_and_json(spark):
