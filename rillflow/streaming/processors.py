@@ -194,7 +194,9 @@ class HoldNewest(StatefulProcessor):
     and it is emitted once event time (the watermark) passes the first held update's
     time plus ``limit_ms``; then the hold starts over. ``max_held`` bounds how many
     updates one key may absorb before it is flushed early (the buffer-full rule, by row
-    count instead of bytes). Input ``key, ts, seq, value`` (null value = delete)."""
+    count instead of bytes). Input ``key, ts, t_ms, seq, value`` (null value = delete;
+    ``t_ms`` is the event time in epoch milliseconds, computed in Spark so it does not
+    depend on the session time zone)."""
 
     def __init__(self, limit_ms: int, max_held: int = 1_000_000) -> None:
         self.limit_ms = int(limit_ms)
@@ -210,11 +212,11 @@ class HoldNewest(StatefulProcessor):
         value, deleted, seq, n, due = self.held.get() if self.held.exists() else \
             (None, False, -1, 0, -1)
         out = []
-        for ts, s, v in zip(pdf["ts"], pdf["seq"], pdf["value"]):
+        for t_ms, s, v in zip(pdf["t_ms"], pdf["seq"], pdf["value"]):
             value, deleted, seq = (None if pd.isna(v) else v), bool(pd.isna(v)), int(s)
             n += 1
             if due < 0:
-                due = int(pd.Timestamp(ts).value // 1_000_000) + self.limit_ms
+                due = int(t_ms) + self.limit_ms
                 self.handle.registerTimer(due)
             if n >= self.max_held:  # buffer full: flush early
                 out.append((key[0], value, deleted, seq))
@@ -252,8 +254,8 @@ class LiveSessions(StatefulProcessor):
     the merged session is emitted with its new bounds and count, and each session it
     replaced is emitted as a delete. Sessions leave state once the watermark passes
     their end + gap (one event-time timer per key, at the earliest expiry). Input
-    ``key, ts, seq``; output times are epoch microseconds; ``seq`` orders the emitted
-    changes."""
+    ``key, ts, t_us, seq`` (``t_us``: event time in epoch microseconds, computed in
+    Spark); output times are epoch microseconds; ``seq`` orders the emitted changes."""
 
     def __init__(self, gap_seconds: int) -> None:
         self.gap_us = int(gap_seconds) * 1_000_000
@@ -284,7 +286,7 @@ class LiveSessions(StatefulProcessor):
         sessions = sorted(tuple(s) for s in self.open.get()) if self.open.exists() else []
         starts = [s[0] for s in sessions]
         out = []
-        micros = pdf["ts"].astype("datetime64[us]").astype("int64").tolist()
+        micros = pdf["t_us"].tolist()
         for t, seq in zip(micros, pdf["seq"].tolist()):
             lo = bisect.bisect_left(starts, t - self.gap_us)
             if lo > 0 and sessions[lo - 1][1] + self.gap_us >= t:

@@ -71,14 +71,16 @@ def asof_lookup(table_changes: DataFrame, stream_rows: DataFrame) -> DataFrame:
 def hold_newest(changes: DataFrame, limit_ms: int, max_held: int = 1_000_000) -> DataFrame:
     """``key, ts, seq, value`` with a watermark on ``ts`` -> the newest value of each
     key, at most once per ``limit_ms`` of event time."""
-    return changes.groupBy("key").transformWithStateInPandas(
+    timed = changes.withColumn("t_ms", F.unix_millis(F.col("ts").cast("timestamp")))
+    return timed.groupBy("key").transformWithStateInPandas(
         P.HoldNewest(limit_ms, max_held), _keyed(P.SUPPRESS_OUT, changes), "append",
         "EventTime")
 
 
 def live_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
     """``key, ts, seq`` with a watermark on ``ts`` -> session updates and deletes."""
-    return events.groupBy("key").transformWithStateInPandas(
+    timed = events.withColumn("t_us", F.unix_micros(F.col("ts").cast("timestamp")))
+    return timed.groupBy("key").transformWithStateInPandas(
         P.LiveSessions(gap_seconds), _keyed(P.LIVE_SESSION_OUT, events), "append", "EventTime")
 
 
