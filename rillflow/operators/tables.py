@@ -24,7 +24,9 @@ def latest_per_key(changelog: DataFrame, key: str | list[str], value_cols: list[
     the map side keeps a hot key from landing whole in one task, and only one row per
     key per partition crosses the shuffle. ``tombstone`` marks delete rows (default:
     every value column null). Deletes win when they are latest and the key is dropped,
-    unless ``keep_deletes`` (then the row is kept with ``__deleted`` true).
+    unless ``keep_deletes`` (then the row is kept with ``__deleted`` true). The order
+    columns must be unique within a key (an offset or event id last), or ties are
+    broken arbitrarily.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if tombstone is None:

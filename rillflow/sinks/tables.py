@@ -29,5 +29,7 @@ def upsert_snapshot(spark: SparkSession, current_path: str | None, updates: Data
         deleted = deleted & F.col(c).isNull()
     table = latest_per_key(merged, key, value_cols + [order_col], [order_col],
                            tombstone=deleted)
-    table.write.mode("errorifexists").parquet(new_path)
+    # a version's content follows from its inputs alone, so a rerun after a failed
+    # write simply replaces the partial folder (idempotent)
+    table.write.mode("overwrite").parquet(new_path)
     return new_path
