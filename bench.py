@@ -92,7 +92,7 @@ def run_streams(spark, sf_dir, names):
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "5"))
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = local_session(cpus, shuffle_partitions=int(cpus) if cpus.isdigit() else 8,
                           app_name="rillflow-bench")

@@ -34,10 +34,11 @@ def balance_fold(df: DataFrame, key: str, amount: str, time: str,
     ``count + 1``, ``balance + amount``, ``time = max(time, event time)``.
 
     Every step is associative and commutative, so the fold is a plain partial
-    aggregate (count, exact decimal sum, max) and needs no ordering of the rows.
+    aggregate (count, exact decimal sum, max) and needs no ordering of the rows. Rows
+    without a key are skipped, as a keyed grouping skips them.
     """
     dtype = df.schema[time].dataType
-    return (df.groupBy(key)
+    return (df.filter(F.col(key).isNotNull()).groupBy(key)
             .agg(F.count(F.lit(1)).alias(count_name),
                  F.coalesce(F.sum(money(amount)), F.lit(0).cast("decimal(28,2)"))
                  .alias(balance_name),
@@ -50,7 +51,7 @@ def balance_reduce(df: DataFrame, key: str, amount: str, time: str,
     """The same balance as a reduce whose result type is the input type: each row is
     first lifted to a ``(count=1, balance=amount, time)`` record, then records are
     combined pairwise (sum, sum, max). Same result as :func:`balance_fold`."""
-    lifted = df.select(key, F.lit(1).cast("long").alias("__c"),
+    lifted = df.filter(F.col(key).isNotNull()).select(key, F.lit(1).cast("long").alias("__c"),
                        money(amount).alias("__b"), F.col(time).alias("__t"))
     return (lifted.groupBy(key)
             .agg(F.sum("__c").alias(count_name), F.sum("__b").alias(balance_name),

@@ -33,7 +33,10 @@ def latest_per_key(changelog: DataFrame, key: str | list[str], value_cols: list[
         tombstone = F.lit(True)
         for c in value_cols:
             tombstone = tombstone & F.col(c).isNull()
-    latest = (changelog
+    not_null = F.lit(True)
+    for k in keys:
+        not_null = not_null & F.col(k).isNotNull()
+    latest = (changelog.filter(not_null)   # a record without a key has no table row
               .groupBy(*keys)
               .agg(F.max_by(F.struct(*_cols(value_cols), tombstone.alias("__deleted")),
                             F.struct(*_cols(order_cols))).alias("__latest")))

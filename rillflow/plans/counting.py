@@ -64,8 +64,8 @@ ORACLE = {
         FROM (SELECT unnest({WORDS_SQL}) AS word FROM documents WHERE text IS NOT NULL)
         GROUP BY word""",
     "favourite_colour": """
-        WITH cur AS (SELECT user_id, arg_max(event_type, event_id) AS colour
-                     FROM events GROUP BY user_id),
+        WITH cur AS (SELECT user_id, arg_max_null(event_type, event_id) AS colour
+                     FROM events WHERE user_id IS NOT NULL GROUP BY user_id),
              cnt AS (SELECT colour, count(*) AS n FROM cur
                      WHERE colour IS NOT NULL GROUP BY colour),
              seen AS (SELECT DISTINCT event_type AS colour FROM events
@@ -76,12 +76,12 @@ ORACLE = {
         SELECT user_id, count(*) AS txn_count,
                CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS balance,
                greatest(max(ts), TIMESTAMP '1970-01-01 00:00:00') AS last_time
-        FROM events GROUP BY user_id""",
+        FROM events WHERE user_id IS NOT NULL GROUP BY user_id""",
     "bank_balance_reduce": """
         SELECT user_id, count(*) AS txn_count,
                CAST(sum(CAST(value AS DECIMAL(18,2))) AS DECIMAL(28,2)) AS balance,
                max(ts) AS last_time
-        FROM events GROUP BY user_id""",
+        FROM events WHERE user_id IS NOT NULL GROUP BY user_id""",
 }
 
 QUERIES = {

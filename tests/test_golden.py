@@ -37,7 +37,8 @@ def test_java_split_rules(spark):
 
 def test_favourite_colour_keeps_zero(spark):
     ch = spark.createDataFrame(
-        [("stephane", "blue", 1), ("john", "green", 2), ("stephane", "red", 3), ("alice", "red", 4)],
+        [("stephane", "blue", 1), ("john", "green", 2), ("stephane", "red", 3), ("alice", "red", 4),
+         (None, "red", 5)],  # a record without a key has no table row
         "user string, colour string, seq long")
     got = dict(rows(favourite_colour(ch, "user", "colour", ["seq"]), "colour", "count"))
     assert got == {"red": 2, "green": 1, "blue": 0}
