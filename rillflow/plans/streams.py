@@ -99,11 +99,12 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bank_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The balance fold in update mode (a compacted output: newest row per user)."""
+    """The balance fold in update mode into a compacted output: each batch is merged
+    into the newest-row-per-user snapshot, written as a new version."""
     ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA) \
         .select("user_id", "value", "ts")
     agg = balance_fold(ev, "user_id", "value", "ts", "txn_count", "balance", "last_time")
-    return run_stream(spark, agg, "bank_balance", mode="update",
+    return run_stream(spark, agg, "bank_balance", mode="upsert",
                       key_cols=["user_id"]).wait().result()
 
 

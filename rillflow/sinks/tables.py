@@ -15,19 +15,20 @@ from rillflow.operators.tables import latest_per_key
 
 
 def upsert_snapshot(spark: SparkSession, current_path: str | None, updates: DataFrame,
-                    key: str, value_cols: list[str], order_col: str,
+                    key: str | list[str], value_cols: list[str], order_col: str,
                     new_path: str) -> str:
     """Merge ``updates`` (key, values, order) into the snapshot at ``current_path`` and
     write the result to ``new_path``. Rows are ordered by ``order_col`` (e.g. batch id
     then offset); all-null values delete the key."""
-    cols = [key, *value_cols, order_col]
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [*keys, *value_cols, order_col]
     merged = updates.select(*cols)
     if current_path:
         merged = spark.read.parquet(current_path).select(*cols).unionByName(merged)
     deleted = F.lit(True)
     for c in value_cols:
         deleted = deleted & F.col(c).isNull()
-    table = latest_per_key(merged, key, value_cols + [order_col], [order_col],
+    table = latest_per_key(merged, keys, value_cols + [order_col], [order_col],
                            tombstone=deleted)
     # a version's content follows from its inputs alone, so a rerun after a failed
     # write simply replaces the partial folder (idempotent)

@@ -6,6 +6,10 @@
   by its batch id with overwrite, so a replayed batch replaces itself (idempotent,
   exactly-once). The current table is the newest row per key over all batches
   (update) or the last batch (complete).
+* ``upsert`` (a compacted output): each update-mode batch is merged into the previous
+  snapshot version and written as version ``v=<batchId>``; readers read one complete
+  version. Each batch rewrites the snapshot, so this suits tables that are small next to
+  the stream (one row per key); ``update`` keeps writes at the batch's size instead.
 
 Checkpoints and output live under ``spark.checkpoint.dir`` (shared storage on a
 cluster), so a restarted driver or lost executor resumes from the last commit.
@@ -23,6 +27,15 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillflow.operators.tables import latest_per_key
 from rillflow.session import scratch_path
+from rillflow.sinks.tables import upsert_snapshot
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except AnalysisException:
+        return False
 
 
 @dataclass
@@ -39,11 +52,21 @@ class StreamRun:
         self.query.awaitTermination()
         return self
 
+    def last_batch(self) -> int | None:
+        """Id of the last batch this run committed (from the query's progress)."""
+        done = [p["batchId"] for p in self.query.recentProgress]
+        return max(done) if done else None
+
     def result(self) -> DataFrame:
         """The sink's current content as a static DataFrame."""
         if self.mode == "append":
             return self.spark.read.schema(self.schema).parquet(self.output)
         names = self.schema.fieldNames()
+        if self.mode == "upsert":
+            last = self.last_batch()
+            if last is None:
+                return self.spark.createDataFrame([], self.schema)
+            return self.spark.read.parquet(f"{self.output}/snapshots/v={last}").select(*names)
         with_batch = T.StructType(self.schema.fields + [T.StructField("__batch", T.LongType())])
         try:
             batches = self.spark.read.schema(with_batch).parquet(f"{self.output}/batches") \
@@ -71,6 +94,23 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
     if mode == "append":
         q = (stream.writeStream.format("parquet").outputMode("append")
              .option("checkpointLocation", ckpt).trigger(**trig).start(out))
+    elif mode == "upsert":
+        if not key_cols:
+            raise ValueError("upsert mode needs key_cols")
+        values = [c for c in schema.fieldNames() if c not in key_cols]
+
+        def upsert_batch(batch: DataFrame, batch_id: int) -> None:
+            # version v=<id> = version v=<id-1> merged with this batch's rows; a
+            # replayed batch rewrites the same version from the same inputs
+            prev = f"{out}/snapshots/v={batch_id - 1}" if batch_id > 0 else None
+            rows = batch.withColumn("__batch", F.lit(batch_id).cast("long"))
+            if prev is not None and not _exists(spark, prev):
+                prev = None
+            upsert_snapshot(spark, prev, rows, key_cols, values, "__batch",
+                            f"{out}/snapshots/v={batch_id}")
+
+        q = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
+             .option("checkpointLocation", ckpt).trigger(**trig).start())
     else:
         if mode == "update" and not key_cols:
             raise ValueError("update mode needs key_cols to rebuild the table")
