@@ -12,6 +12,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillflow.operators.aggregates import balance_fold
 from rillflow.operators.joins import lookup_join
@@ -35,6 +36,7 @@ from rillflow.sources.tables import (
     read_table,
     stream_path,
 )
+from rillflow.streaming.lookup import enrich_each_batch
 from rillflow.streaming.runner import run_stream
 
 GRACE_SECONDS = 120
@@ -149,3 +151,28 @@ QUERIES.update({
     "recharge_match_stream": recharge_match_stream,
     "purchase_enrich_left_stream": purchase_enrich_left_stream,
 })
+
+
+def purchase_enrich_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream x table, left, with the user table read again for every micro-batch, so a
+    changing table is seen as it is when each batch runs."""
+    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    purchases = ev.filter(F.col("event_type") == "purchase").select(
+        "user_id", "event_id",
+        F.concat("event_type", F.lit("("), F.col("event_id").cast("string"), F.lit(")"))
+        .alias("purchase"))
+
+    def join(batch: DataFrame, users: DataFrame) -> DataFrame:
+        j = lookup_join(batch, users, "user_id", "c_custkey", "left")
+        return j.select("user_id", "event_id",
+                        enriched_text(F.col("purchase"), F.col("info")).alias("enriched"))
+
+    run = enrich_each_batch(spark, purchases, lambda: user_table(spark, sf_dir), join,
+                            "purchase_enrich_refresh").wait()
+    return run.result(T.StructType([T.StructField("user_id", T.LongType()),
+                                    T.StructField("event_id", T.LongType()),
+                                    T.StructField("enriched", T.StringType())]))
+
+
+ORACLE["purchase_enrich_refresh_stream"] = ENRICH_SQL["purchase_enrich_left"]
+QUERIES["purchase_enrich_refresh_stream"] = purchase_enrich_refresh_stream

@@ -232,3 +232,32 @@ def test_upsert_mode_versions_across_restart(spark, tmp_dir):
     # the older version is still whole and readable
     older = spark.read.parquet(os.path.join(base, "output", "snapshots", "v=1"))
     assert rows(older, "name", "count") == [("a", 1), ("b", 1)]
+
+
+def test_lookup_table_is_read_again_per_batch(spark, tmp_dir):
+    from rillflow.operators.joins import lookup_join
+    from rillflow.streaming.lookup import enrich_each_batch
+    from pyspark.sql import types as T
+    src = os.path.join(tmp_dir, "in")
+    table = os.path.join(tmp_dir, "table")
+    base = os.path.join(tmp_dir, "run")
+    spark.createDataFrame([("roshan", "last=soni")], "user string, info string") \
+        .write.mode("overwrite").parquet(table)
+    write_batches(src, [[{"key": "roshan", "ts": at(1), "seq": 1, "value": "rapple(1)"}]], CH)
+    schema = T.StructType([T.StructField("seq", T.LongType()), T.StructField("info", T.StringType())])
+
+    def go():
+        st = stream_of(spark, src, "key string, ts timestamp, seq long, value string")
+        return enrich_each_batch(
+            spark, st, lambda: spark.read.parquet(table),
+            lambda b, t: lookup_join(b, t, "key", "user", "left").select("seq", "info"),
+            "refresh", base=base).wait()
+    go()
+    spark.createDataFrame([("roshan", "last=sonyy")], "user string, info string") \
+        .write.mode("overwrite").parquet(table)
+    import pyarrow.parquet as pq
+    path = os.path.join(src, "b0001.parquet")
+    pq.write_table(pa.Table.from_pylist(
+        [{"key": "roshan", "ts": at(5), "seq": 5, "value": "rorange(3)"}], schema=CH), path)
+    got = rows(go().result(schema), "seq", "info")
+    assert got == [(1, "last=soni"), (5, "last=sonyy")]
