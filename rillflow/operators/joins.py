@@ -45,17 +45,21 @@ def interval_join(left: DataFrame, right: DataFrame, left_key: str, right_key: s
     ends inclusive; every pair is a result row.
 
     The key alone would put all rows of a hot key in one task and pair each with all
-    others before the time test. Here both sides also carry a time bucket as wide as the
-    bound; a left row is offered to its own bucket and the two beside it, so the equi-join
-    on ``(key, bucket)`` only meets candidates that are near in time, and a hot key is
-    spread over its buckets. Works on streams too (watermark both sides first, append
-    mode); the bucket equality also spreads the join state of a hot key. Inner only: a
-    left row is offered to three buckets, so an outer form would repeat unmatched rows.
+    others before the time test. Here both sides also carry a time bucket twice as wide
+    as the bound. A left row's range ``[t - w, t + w]`` then reaches only its own bucket
+    and the nearer neighbour, so each left row is offered to two buckets, and the
+    equi-join on ``(key, bucket)`` meets only candidates that are near in time (at most
+    twice the range); a hot key is spread over its buckets. Works on streams too
+    (watermark both sides first, append mode); the bucket equality also spreads the join
+    state of a hot key. Inner only: a left row is offered to two buckets, so an outer
+    form would repeat unmatched rows.
     """
     span = F.expr(f"INTERVAL {int(within_seconds)} SECONDS")
-    lb = _bucket(left_ts, within_seconds)
-    lcand = left.withColumn("__lb", F.explode(F.array(lb - span, lb, lb + span)))
-    rcand = right.withColumn("__rb", _bucket(right_ts, within_seconds))
+    width = F.expr(f"INTERVAL {2 * int(within_seconds)} SECONDS")
+    lb = _bucket(left_ts, 2 * within_seconds)
+    near = F.when(F.col(left_ts) < lb + span, lb - width).otherwise(lb + width)
+    lcand = left.withColumn("__lb", F.explode(F.array(lb, near)))
+    rcand = right.withColumn("__rb", _bucket(right_ts, 2 * within_seconds))
     cond = ((lcand[left_key] == rcand[right_key]) & (lcand["__lb"] == rcand["__rb"])
             & (rcand[right_ts] >= lcand[left_ts] - span)
             & (rcand[right_ts] <= lcand[left_ts] + span))

@@ -81,3 +81,20 @@ def test_hot_keys_finds_the_heavy_key(spark):
     df = spark.createDataFrame(_events(rnd, 600, 50, 100), "k long, id long, ts timestamp")
     assert rows(hot_keys(df, "k", hot_rows=100, sample_fraction=1.0), "k") == [(0,)]
     assert hot_keys(df, "k", hot_rows=100, sample_fraction=1.0, max_hot_keys=0).count() == 0
+
+
+def test_interval_join_on_bucket_edges_and_exact_bounds(spark):
+    from rillflow.operators.joins import interval_join
+    rnd = random.Random(8)
+    w = 300
+    # times on bucket edges (multiples of w and 2w) and exactly +-w apart, with a hot key
+    pts = [k * w + d for k in range(12) for d in (-1, 0, 1)]
+    left = [(0 if rnd.random() < 0.5 else 1, i, T0 + timedelta(seconds=rnd.choice(pts)))
+            for i in range(120)]
+    right = [(0 if rnd.random() < 0.5 else 1, i, T0 + timedelta(seconds=rnd.choice(pts)))
+             for i in range(120)]
+    want = sorted((a[1], b[1]) for a in left for b in right
+                  if a[0] == b[0] and abs((a[2] - b[2]).total_seconds()) <= w)
+    lf = spark.createDataFrame(left, "k long, lid long, lt timestamp")
+    rf = spark.createDataFrame(right, "k2 long, rid long, rt timestamp")
+    assert rows(interval_join(lf, rf, "k", "k2", "lt", "rt", w), "lid", "rid") == want
