@@ -19,10 +19,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rillflow.operators.tables import latest_per_key
@@ -53,9 +52,20 @@ class StreamRun:
         return self
 
     def last_batch(self) -> int | None:
-        """Id of the last batch this run committed (from the query's progress)."""
-        done = [p["batchId"] for p in self.query.recentProgress]
-        return max(done) if done else None
+        """Id of the last committed batch: from this run's progress, else (a restart
+        that found no new data) the newest batch folder an earlier run wrote."""
+        # an idle trigger also reports progress (with the next batch id) but runs
+        # nothing; a batch that ran has an addBatch time
+        done = [p["batchId"] for p in self.query.recentProgress
+                if "addBatch" in p.get("durationMs", {})]
+        if done:
+            return max(done)
+        folder, col = ((f"{self.output}/snapshots", "v") if self.mode == "upsert"
+                       else (f"{self.output}/batches", "__b"))
+        try:
+            return self.spark.read.parquet(folder).agg(F.max(col)).first()[0]
+        except AnalysisException:
+            return None
 
     def result(self) -> DataFrame:
         """The sink's current content as a static DataFrame."""
@@ -67,16 +77,17 @@ class StreamRun:
             if last is None:
                 return self.spark.createDataFrame([], self.schema)
             return self.spark.read.parquet(f"{self.output}/snapshots/v={last}").select(*names)
-        with_batch = T.StructType(self.schema.fields + [T.StructField("__batch", T.LongType())])
         try:
-            batches = self.spark.read.schema(with_batch).parquet(f"{self.output}/batches") \
-                .select(*names, "__batch")
+            batches = self.spark.read.parquet(f"{self.output}/batches")
         except AnalysisException:  # no batch written yet
             return self.spark.createDataFrame([], self.schema)
         if self.mode == "complete":
-            last = batches.agg(F.max("__batch").alias("__last"))
-            return batches.join(last, F.col("__batch") == F.col("__last")) \
-                .select(*names)
+            # each batch holds the whole result: only the last committed one is read
+            last = self.last_batch()
+            if last is None:
+                return self.spark.createDataFrame([], self.schema)
+            return batches.filter(F.col("__b") == F.lit(last)).select(*names)
+        batches = batches.select(*names, "__batch")
         values = [c for c in names if c not in self.key_cols]
         return latest_per_key(batches, self.key_cols, values, ["__batch"],
                               tombstone=F.lit(False)).select(*names)

@@ -232,6 +232,10 @@ def test_upsert_mode_versions_across_restart(spark, tmp_dir):
     # the older version is still whole and readable
     older = spark.read.parquet(os.path.join(base, "output", "snapshots", "v=1"))
     assert rows(older, "name", "count") == [("a", 1), ("b", 1)]
+    # a restart with nothing new still reads the newest version
+    third = go()
+    assert third.last_batch() == 2
+    assert rows(third.result(), "name", "count") == [("a", 2), ("b", 1)]
 
 
 def test_lookup_table_is_read_again_per_batch(spark, tmp_dir):
