@@ -12,12 +12,23 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 
+def _kafka_columns(records: DataFrame, topic: str | None) -> DataFrame:
+    """The columns Spark's Kafka sink reads: key, value, and topic unless one topic is
+    given; a ``partition`` column, when present, carries our partitioner's choice."""
+    cols = ["key", "value"]
+    if topic is None:
+        cols.append("topic")
+    if "partition" in records.columns:
+        cols.append("partition")
+    return records.select(*cols)
+
+
 def write_records(records: DataFrame, path: str | None = None,
                   bootstrap_servers: str | None = None, topic: str | None = None,
                   **kafka_options: str) -> None:
     """Batch write of records."""
     if bootstrap_servers:
-        w = records.select("key", "value", *(["topic"] if topic is None else [])) \
+        w = _kafka_columns(records, topic) \
             .write.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers)
         if topic:
             w = w.option("topic", topic)
@@ -35,7 +46,8 @@ def write_records_stream(records: DataFrame, checkpoint: str, path: str | None =
                          trigger: dict | None = None, **kafka_options: str) -> StreamingQuery:
     """Append a stream of records. The checkpoint makes the file sink exactly-once;
     Spark's Kafka sink is at-least-once (readers dedupe by key and offset)."""
-    w = records.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
+    src = _kafka_columns(records, topic) if bootstrap_servers else records
+    w = src.writeStream.option("checkpointLocation", checkpoint).outputMode("append")
     if trigger:
         w = w.trigger(**trigger)
     if bootstrap_servers:
