@@ -38,6 +38,7 @@ from rillflow.sources.tables import (
 )
 from rillflow.streaming.lookup import enrich_each_batch
 from rillflow.streaming.runner import run_stream
+from rillflow.streaming.state import read_state
 
 GRACE_SECONDS = 120
 
@@ -176,3 +177,22 @@ def purchase_enrich_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFram
 
 ORACLE["purchase_enrich_refresh_stream"] = ENRICH_SQL["purchase_enrich_left"]
 QUERIES["purchase_enrich_refresh_stream"] = purchase_enrich_refresh_stream
+
+
+def tumbling_open_state(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tumbling count's state after its run, read with the state data source: the
+    windows the watermark has not closed yet (their counts so far)."""
+    s = tumbling_count(_events(spark, sf_dir), "user_id", "ts", TUMBLE, grace=GRACE)
+    run = run_stream(spark, s, "tumbling_state").wait()
+    st = read_state(spark, run.checkpoint)
+    return st.select(F.col("key.user_id").alias("user_id"),
+                     F.col("key.window.start").cast("timestamp_ntz").alias("window_start"),
+                     F.col("key.window.end").cast("timestamp_ntz").alias("window_end"),
+                     F.col("value.count").alias("count"))
+
+
+ORACLE["tumbling_open_state"] = f"""
+    SELECT * FROM ({WINDOW_SQL["tumbling_count"]})
+    WHERE window_end > (SELECT date_trunc('millisecond', max(ts)) FROM events)
+                       - INTERVAL {GRACE_SECONDS} SECONDS"""
+QUERIES["tumbling_open_state"] = tumbling_open_state
