@@ -94,3 +94,29 @@ def test_hopping_parity_on_closed_windows(spark, tmp_dir, parts):
         .filter(F.col("window_end") <= F.lit(wm))
     assert rows(got, "user_id", "window_start", "count") == \
         rows(batch, "user_id", "window_start", "count")
+
+
+@pytest.mark.parametrize("parts", [1, 3])
+def test_session_parity(spark, tmp_dir, parts):
+    from rillflow.operators.windows import session_count, session_count_stream
+    folder = _cut(tmp_dir, parts)
+    st = session_count_stream(_stream(spark, folder), "user_id", "ts", 300, grace="2 minutes")
+    final = run_stream(spark, st, "s", base=os.path.join(tmp_dir, "run")).wait().result()
+    static = spark.read.parquet(EVENTS)
+    wm = static.agg(F.expr("date_trunc('MILLISECOND', max(ts)) - INTERVAL 2 MINUTES")).first()[0]
+    batch = session_count(static, "user_id", "ts", 300)
+    closed = batch.filter(F.col("window_end") + F.expr("INTERVAL 300 SECONDS") <= F.lit(wm))
+    cols = ("user_id", "window_start", "window_end", "count")
+    assert rows(final, *cols) == rows(closed, *cols)
+    # live sessions see every session, open ones included
+    S.use_rocksdb_state(spark)
+    ev = (_stream(spark, folder).withColumn("__et", as_event_time("ts"))
+          .withWatermark("__et", "2 minutes")
+          .select(F.col("user_id").alias("key"), F.col("__et").alias("ts"),
+                  F.col("event_id").alias("seq")))
+    live = run_stream(spark, S.live_sessions(ev, 300), "l",
+                      base=os.path.join(tmp_dir, "live")).wait().result()
+    cur = S.sessions_from_updates(live).select(
+        F.col("key").alias("user_id"), F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "count")
+    assert rows(cur, *cols) == rows(batch, *cols)
