@@ -69,3 +69,24 @@ def test_top3_json_round_trip(spark):
     js = top3_sorted(counts)
     back = js.select(parse_top3("top3_sorted").alias("a")).first().a
     assert [(e.NewsType, e.Clicks) for e in back] == [("y", 9), ("x", 3)]
+
+
+def test_console_and_per_record_sinks_run(spark, tmp_dir):
+    from rillflow.sinks.console import for_each_record, print_stream
+    src = os.path.join(tmp_dir, "in")
+    spark.createDataFrame([("a", 1), ("b", 2)], "name string, n long").write.parquet(src)
+    stream = spark.readStream.schema("name string, n long").parquet(src)
+    q = print_stream(stream, os.path.join(tmp_dir, "c1"), label="KT1",
+                     trigger={"availableNow": True})
+    q.awaitTermination()
+    assert q.lastProgress["numInputRows"] == 2
+    marks = os.path.join(tmp_dir, "marks")
+    os.makedirs(marks)
+
+    def touch(row, folder=marks):  # runs on the Python workers, once per row
+        open(os.path.join(folder, row["name"]), "w").close()
+
+    q2 = for_each_record(stream, touch, os.path.join(tmp_dir, "c2"))
+    q2.processAllAvailable()
+    q2.stop()
+    assert sorted(os.listdir(marks)) == ["a", "b"]
