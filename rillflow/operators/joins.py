@@ -89,6 +89,11 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: s
     that has stream rows, plus the last table state of each ``(key, bucket)`` with
     changes, ordered per key by bucket (markers before the table state of their own
     bucket), so each marker picks up the state left by the key's earlier buckets.
+
+    Buckets are ``bucket_seconds`` wide, and ``fine_seconds`` wide for keys the stream's
+    sample shows to hold ``hot_rows`` or more (see :mod:`rillflow.operators.buckets`);
+    both inputs use the same grid per key. For batch DataFrames; a stream uses the
+    ``AsOfLookup`` processor (``rillflow.streaming.stateful.asof_lookup``).
     """
     for c in value_cols:
         if c in stream.columns:

@@ -28,7 +28,8 @@ def running_sum(df: DataFrame, key: str, amount: str, ts: str, seq: str,
     per ``(key, time bucket)`` totals (a partial aggregate), a prefix sum of those totals
     over the key's buckets (few rows), then a window inside each ``(key, bucket)`` plus
     the carried prefix. Keys the sample shows to hold ``hot_rows`` or more use
-    ``fine_seconds`` buckets (see :mod:`rillflow.operators.buckets`).
+    ``fine_seconds`` buckets (see :mod:`rillflow.operators.buckets`). For batch
+    DataFrames; a stream uses the ``RunningBalance`` processor.
     """
     # the amount is replaced by its decimal form in place, so the windowed rows and the
     # bucket totals below read the same columns and share one exchange
