@@ -85,10 +85,10 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: s
 
     Two-level plan so no task holds all rows of a hot key: rows are cut into
     ``(key, time bucket)`` groups. Inside a group a window carries the last table row
-    forward. Across groups a small frame carries it: one marker per ``(key, bucket)``
-    that has stream rows, plus the last table state of each ``(key, bucket)`` with
-    changes, ordered per key by bucket (markers before the table state of their own
-    bucket), so each marker picks up the state left by the key's earlier buckets.
+    forward. Across groups a small frame carries it: one summary row per
+    ``(key, bucket)`` (has it stream rows; its last table state), ordered per key by
+    bucket, so each bucket with stream rows picks up the state left by the key's
+    earlier buckets.
 
     Buckets are ``bucket_seconds`` wide, and ``fine_seconds`` wide for keys the stream's
     sample shows to hold ``hot_rows`` or more (see :mod:`rillflow.operators.buckets`);
@@ -114,17 +114,15 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: s
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     rows = u.withColumn("__in", F.last("__state", ignorenulls=True).over(w_in)) \
         .filter(F.col("__side") == 1)
-    # across buckets: markers and per-bucket last states, one row each per (key, bucket)
-    marks = s.select(key, "__b").distinct() \
-        .withColumn("__last", F.lit(None).cast(t.schema["__state"].dataType)) \
-        .withColumn("__m", F.lit(0))
-    lasts = t.groupBy(key, "__b").agg(
-        F.max_by("__state", F.struct(ts, seq)).alias("__last")).withColumn("__m", F.lit(1))
-    w_k = (Window.partitionBy(key).orderBy("__b", "__m")
-           .rowsBetween(Window.unboundedPreceding, -1))
-    carry = (marks.unionByName(lasts)
-             .withColumn("__carry", F.last("__last", ignorenulls=True).over(w_k))
-             .filter(F.col("__m") == 0).select(key, "__b", "__carry"))
+    # across buckets: one summary row per (key, bucket): whether it has stream rows, and
+    # its last table state; each bucket with stream rows takes the state left by the
+    # key's earlier buckets
+    summary = u.groupBy(key, "__b").agg(
+        F.max("__side").alias("__has_rows"),
+        F.max_by("__state", F.when(F.col("__side") == 0, F.struct(ts, seq))).alias("__last"))
+    w_k = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (summary.withColumn("__carry", F.last("__last", ignorenulls=True).over(w_k))
+             .filter(F.col("__has_rows") == 1).select(key, "__b", "__carry"))
     st = F.coalesce(F.col("__in"), F.col("__carry"))
     matched = st.isNotNull() & st["__live"]
     out = rows.join(carry, [key, "__b"], "left").select(
