@@ -39,16 +39,18 @@ def read_table(spark: SparkSession, sf_dir: str, name: str,
     """One driver table, pruned to ``columns`` when given.
 
     ``spread`` is for CPU-heavy per-row work (splitting long texts): when the scan
-    yields fewer splits than the cluster has cores (a small file with one row group),
-    the rows are dealt round-robin over the cores. A large input already scans in many
-    splits and is left alone, so no shuffle is added at scale.
+    yields fewer than two splits per core, the rows are dealt round-robin over the
+    cores. A small file is cut into byte ranges, but only the ranges holding a row
+    group's start read anything, so a one-row-group file gives one busy task however
+    many splits it shows. A large input scans in many splits and is left alone, so no
+    shuffle is added at scale.
     """
     df = spark.read.parquet(table_path(sf_dir, name))
     if columns:
         df = df.select(*columns)
     if spread:
         cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        if df.rdd.getNumPartitions() < 2 * cores:
             df = df.repartition(cores)
     return df
 
