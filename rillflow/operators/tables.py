@@ -38,13 +38,13 @@ def latest_per_key(changelog: DataFrame, key: str | list[str], value_cols: list[
         not_null = not_null & F.col(k).isNotNull()
     latest = (changelog.filter(not_null)   # a record without a key has no table row
               .groupBy(*keys)
-              .agg(F.max_by(F.struct(*_cols(value_cols), tombstone.alias("__deleted")),
+              .agg(F.max_by(F.struct(*_cols(value_cols), tombstone.alias("__tomb")),
                             F.struct(*_cols(order_cols))).alias("__latest")))
     out = latest.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in value_cols],
-                        F.col("__latest.__deleted").alias("__deleted"))
+                        F.col("__latest.__tomb").alias("__tomb"))
     if keep_deletes:
-        return out
-    return out.filter(~F.col("__deleted")).drop("__deleted")
+        return out.withColumnRenamed("__tomb", "__deleted")
+    return out.filter(~F.col("__tomb")).drop("__tomb")
 
 
 def filter_table(table: DataFrame, condition: Column) -> DataFrame:

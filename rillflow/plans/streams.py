@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from rillflow.operators.aggregates import balance_fold
 from rillflow.operators.joins import lookup_join
+from rillflow.operators.tables import latest_per_key
 from rillflow.operators.windows import hopping_count, session_count_stream, tumbling_count
 from rillflow.plans.counting import ORACLE as COUNT_SQL
 from rillflow.plans.counting import word_count
@@ -196,3 +197,23 @@ ORACLE["tumbling_open_state"] = f"""
     WHERE window_end > (SELECT date_trunc('millisecond', max(ts)) FROM events)
                        - INTERVAL {GRACE_SECONDS} SECONDS"""
 QUERIES["tumbling_open_state"] = tumbling_open_state
+
+
+def latest_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table from a changelog stream: the newest ``event_type`` per user as one
+    streaming ``max_by`` aggregation in update mode. Deletes are kept as rows in the
+    output (a key whose newest change is a delete must leave the table downstream);
+    the sink's table drops them after compaction."""
+    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    table = latest_per_key(ev, "user_id", ["event_type"], ["event_id"], keep_deletes=True)
+    out = run_stream(spark, table, "latest_table", mode="update", key_cols=["user_id"]) \
+        .wait().result()
+    return out.filter(~F.col("__deleted")).select("user_id", "event_type")
+
+
+ORACLE["latest_table_stream"] = """
+    SELECT user_id, event_type FROM (
+        SELECT user_id, arg_max_null(event_type, event_id) AS event_type
+        FROM events WHERE user_id IS NOT NULL GROUP BY user_id)
+    WHERE event_type IS NOT NULL"""
+QUERIES["latest_table_stream"] = latest_table_stream

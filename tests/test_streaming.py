@@ -265,3 +265,16 @@ def test_lookup_table_is_read_again_per_batch(spark, tmp_dir):
         [{"key": "roshan", "ts": at(5), "seq": 5, "value": "rorange(3)"}], schema=CH), path)
     got = rows(go().result(schema), "seq", "info")
     assert got == [(1, "last=soni"), (5, "last=sonyy")]
+
+
+def test_table_stream_update_mode_carries_deletes(spark, tmp_dir):
+    from rillflow.operators.tables import latest_per_key
+    ch = _changes(spark, tmp_dir, [
+        [{"key": "a", "ts": at(1), "seq": 1, "value": "x"},
+         {"key": "b", "ts": at(2), "seq": 2, "value": "y"}],
+        [{"key": "a", "ts": at(3), "seq": 3, "value": None},
+         {"key": "b", "ts": at(4), "seq": 4, "value": "z"}]])
+    table = latest_per_key(ch, "key", ["value"], ["seq"], keep_deletes=True)
+    out = run_stream(spark, table, "tbl", mode="update", key_cols=["key"],
+                     base=os.path.join(tmp_dir, "run")).wait().result()
+    assert rows(out.filter(~F.col("__deleted")), "key", "value") == [("b", "z")]
