@@ -5,7 +5,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillflow.operators.windows import hopping_count, session_count, tumbling_count
+from rillflow.operators.windows import (
+    hopping_count,
+    session_count,
+    tumbling_count,
+    windowed_count_with_grace,
+)
 from rillflow.sources.tables import read_table
 
 # Fixed values from the reference programs.
@@ -35,6 +40,41 @@ def session_count_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return session_count(_events(spark, sf_dir), "user_id", "ts", SESSION_GAP_SECONDS)
 
 
+GRACE_SECONDS = 120
+
+
+def tumbling_count_grace_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """30 s counts with the 2 min grace applied per record in arrival order
+    (``event_id``): a record whose window closed before it arrived is dropped."""
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts"])
+    return windowed_count_with_grace(ev, "user_id", "ts", "event_id", TUMBLE, GRACE_SECONDS)
+
+
+def hopping_count_grace_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts"])
+    return windowed_count_with_grace(ev, "user_id", "ts", "event_id", HOP_SIZE, GRACE_SECONDS,
+                                     slide=HOP_SLIDE)
+
+
+def _grace_sql(size_us: int, step_us: int) -> str:
+    copies = size_us // step_us
+    return f"""
+        WITH st AS (
+            SELECT user_id, ts, max(ts) OVER (ORDER BY event_id
+                ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS stream_time
+            FROM events),
+        w AS (
+            SELECT user_id, stream_time,
+                   (floor(epoch_us(ts) / {step_us})::BIGINT - k) * {step_us} AS s, ts
+            FROM st, range({copies}) AS o(k))
+        SELECT user_id, make_timestamp(s) AS window_start,
+               make_timestamp(s + {size_us}) AS window_end, count(*) AS count
+        FROM w
+        WHERE epoch_us(ts) < s + {size_us}
+          AND make_timestamp(s + {size_us}) + INTERVAL {GRACE_SECONDS} SECONDS > stream_time
+        GROUP BY user_id, s"""
+
+
 def _tumble_sql(seconds: int) -> str:
     us = seconds * 1_000_000
     return f"""
@@ -66,7 +106,12 @@ ORACLE = {
         FROM numbered GROUP BY user_id, sid""",
 }
 
+ORACLE["tumbling_count_grace"] = _grace_sql(30_000_000, 30_000_000)
+ORACLE["hopping_count_grace"] = _grace_sql(30_000_000, 15_000_000)
+
 QUERIES = {
+    "tumbling_count_grace": tumbling_count_grace_on_tables,
+    "hopping_count_grace": hopping_count_grace_on_tables,
     "tumbling_count": tumbling_count_on_tables,
     "tumbling_count_1h": tumbling_count_1h_on_tables,
     "hopping_count": hopping_count_on_tables,

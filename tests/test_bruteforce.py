@@ -98,3 +98,31 @@ def test_interval_join_on_bucket_edges_and_exact_bounds(spark):
     lf = spark.createDataFrame(left, "k long, lid long, lt timestamp")
     rf = spark.createDataFrame(right, "k2 long, rid long, rt timestamp")
     assert rows(interval_join(lf, rf, "k", "k2", "lt", "rt", w), "lid", "rid") == want
+
+
+@pytest.mark.parametrize("slide", [None, 15])
+def test_grace_drops_late_records_like_bruteforce(spark, slide):
+    from rillflow.operators.windows import windowed_count_with_grace
+    rnd = random.Random(11 + (slide or 0))
+    size, grace = 30, 20
+    # arrival order = list order; event times jump back now and then (late records)
+    ev, t = [], 0
+    for i in range(300):
+        t += rnd.randint(0, 6)
+        back = rnd.choice([0, 0, 0, 5, 40, 90])
+        ev.append((rnd.randint(1, 3), i, T0 + timedelta(seconds=max(0, t - back))))
+    want, seen = {}, None
+    step = slide or size
+    for k, i, ts in ev:
+        seen = ts if seen is None else max(seen, ts)
+        sec = int((ts - T0).total_seconds())
+        start = sec - sec % step
+        starts = [start - j * step for j in range(size // step)]
+        for s0 in starts:
+            if s0 <= sec < s0 + size and T0 + timedelta(seconds=s0 + size + grace) > seen:
+                want[(k, s0)] = want.get((k, s0), 0) + 1
+    df = spark.createDataFrame(ev, "k long, id long, ts timestamp")
+    got = windowed_count_with_grace(df, "k", "ts", "id", f"{size} seconds", grace,
+                                    slide=f"{slide} seconds" if slide else None, chunk_width=37)
+    assert rows(got, "k", "window_start", "count") == sorted(
+        (k, T0 + timedelta(seconds=s0), n) for (k, s0), n in want.items())
