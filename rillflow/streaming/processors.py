@@ -15,6 +15,7 @@ import bisect
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming.stateful_processor import (
     StatefulProcessor,
@@ -279,11 +280,54 @@ class LiveSessions(StatefulProcessor):
             self.handle.registerTimer(want)
             self.due.update((want,))
 
+    def _in_order(self, k, t, seq, sessions):
+        """Rows all at or after every open session's end (the usual, in-order case),
+        vectorized: sessions split where the gap to the previous row exceeds ``gap``;
+        the first may continue the last open session. Each row emits its session's new
+        version and a delete of the version it replaces."""
+        last = sessions[-1] if sessions else None
+        prev = np.empty_like(t)
+        prev[1:] = t[:-1]
+        cont = last is not None and t[0] - last[1] <= self.gap_us
+        prev[0] = last[1] if cont else t[0] - self.gap_us - 1
+        new = (t - prev) > self.gap_us
+        sid = np.cumsum(new)  # 0 only for rows continuing the open session
+        first_idx = np.flatnonzero(new)
+        starts_of = np.empty(sid.max() + 1, dtype=np.int64)
+        base = np.zeros(sid.max() + 1, dtype=np.int64)
+        if cont:
+            starts_of[0], base[0] = last[0], last[2]
+        starts_of[sid[first_idx]] = t[first_idx]
+        pos = np.arange(len(t)) - np.maximum.accumulate(np.where(new, np.arange(len(t)), 0))
+        if cont:  # rows before the first new session continue the open one
+            head = sid == 0
+            pos[head] = np.arange(int(head.sum()))
+        start = starts_of[sid]
+        count = base[sid] + pos + 1
+        ups = pd.DataFrame({"key": k, "start_us": start, "end_us": t, "count": count,
+                            "deleted": False, "seq": seq})
+        replaced = (~new)
+        dels = pd.DataFrame({"key": k, "start_us": start[replaced], "end_us": prev[replaced],
+                             "count": count[replaced] - 1, "deleted": True,
+                             "seq": seq[replaced]})
+        ends = np.flatnonzero(np.append(sid[1:] != sid[:-1], True))
+        done = [(int(start[i]), int(t[i]), int(count[i])) for i in ends]
+        kept = sessions[:-1] if cont else sessions
+        return pd.concat([dels, ups], ignore_index=True), kept + done
+
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, ["ts", "seq"])
         # open sessions never overlap (they are more than a gap apart): kept sorted by
         # start, the ones a row can merge with are one run found by binary search
         sessions = sorted(tuple(s) for s in self.open.get()) if self.open.exists() else []
+        t_all = pdf["t_us"].to_numpy(dtype=np.int64)
+        if not sessions or t_all[0] >= max(s[1] for s in sessions):
+            out, sessions = self._in_order(key[0], t_all, pdf["seq"].to_numpy(dtype=np.int64),
+                                           sessions)
+            self._arm(sessions)
+            self.open.put(sessions)
+            yield out[LIVE_SESSION_OUT.fieldNames()]
+            return
         starts = [s[0] for s in sessions]
         out = []
         micros = pdf["t_us"].tolist()

@@ -278,3 +278,25 @@ def test_table_stream_update_mode_carries_deletes(spark, tmp_dir):
     out = run_stream(spark, table, "tbl", mode="update", key_cols=["key"],
                      base=os.path.join(tmp_dir, "run")).wait().result()
     assert rows(out.filter(~F.col("__deleted")), "key", "value") == [("b", "z")]
+
+
+def test_live_sessions_in_order_batches_match_batch_sessions(spark, tmp_dir):
+    import random
+    from rillflow.operators.windows import session_count
+    S.use_rocksdb_state(spark)
+    rnd = random.Random(21)
+    evs, t = [], {k: 0 for k in "abc"}
+    for i in range(240):
+        k = rnd.choice("abc")
+        t[k] += rnd.choice([10, 60, 200, 299, 300, 301, 900])
+        evs.append({"key": k, "ts": at(t[k]), "seq": i, "value": None})
+    batches = [evs[i:i + 60] for i in range(0, 240, 60)]  # sessions span batch edges
+    ch = _changes(spark, tmp_dir, batches)
+    ev = ch.select("key", "ts", "seq").withWatermark("ts", "1 hour")
+    out = run_stream(spark, S.live_sessions(ev, 300), "live_in_order",
+                     base=os.path.join(tmp_dir, "run")).wait().result()
+    cur = S.sessions_from_updates(out)
+    static = spark.createDataFrame([(e["key"], e["ts"]) for e in evs], "key string, ts timestamp")
+    want = session_count(static, "key", "ts", 300)
+    assert rows(cur, "key", "window_start", "window_end", "count") == \
+        rows(want, "key", "window_start", "window_end", "count")
