@@ -31,6 +31,17 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
+def _carry(is_change: pd.Series, values: pd.Series, start) -> pd.Series:
+    """The value current after each row: a change row sets it (null = deleted), other
+    rows keep the last one; ``start`` is the value before the batch."""
+    gone = object()
+    marks = pd.Series([None] * len(values), dtype=object)
+    marks[is_change.values] = [gone if pd.isna(v) else v for v in values[is_change]]
+    first = pd.Series([gone if start is None else start], dtype=object)
+    filled = pd.concat([first, marks], ignore_index=True).ffill().iloc[1:]
+    return filled.reset_index(drop=True).map(lambda v: None if v is gone else v)
+
+
 def _rows(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
     pdf = pd.concat(list(batches), ignore_index=True)
     return pdf.sort_values(order, kind="stable", ignore_index=True)
@@ -85,22 +96,17 @@ class TableJoin(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, ["ts", "seq", "side"])
         left, right, emitted = self.sides.get() if self.sides.exists() else (None, None, False)
-        out = []
-        for side, ts, seq, value in zip(pdf["side"], pdf["ts"], pdf["seq"], pdf["value"]):
-            v = None if pd.isna(value) else value
-            if side == 0:
-                left = v
-            else:
-                right = v
-            if left is not None and right is not None:
-                out.append((key[0], ts, seq, right, False))
-                emitted = True
-            elif emitted:
-                out.append((key[0], ts, seq, None, True))
-                emitted = False
-        self.sides.update((left, right, emitted))
-        if out:
-            yield pd.DataFrame(out, columns=TABLE_JOIN_OUT.fieldNames())
+        lv = _carry(pdf["side"] == 0, pdf["value"], left)
+        rv = _carry(pdf["side"] == 1, pdf["value"], right)
+        both = (lv.notna() & rv.notna()).to_numpy()
+        before = np.concatenate([[bool(emitted)], both[:-1]])
+        send = both | before  # a joined value, or a delete after an emitted pair
+        self.sides.update((lv.iloc[-1], rv.iloc[-1], bool(both[-1])))
+        if send.any():
+            yield pd.DataFrame({"key": key[0], "ts": pdf["ts"].values[send],
+                                "seq": pdf["seq"].values[send],
+                                "value": rv.where(pd.Series(both), None).values[send],
+                                "deleted": ~both[send]})
 
     def close(self) -> None:
         pass
@@ -126,22 +132,22 @@ class GroupDeltas(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, ["ts", "seq"])
         cur = self.current.get()[0] if self.current.exists() else None
-        out = []
-        for seq, value in zip(pdf["seq"], pdf["value"]):
-            v = None if pd.isna(value) else value
-            if v == cur:
-                continue
-            if cur is not None:
-                out.append((key[0], seq, cur, -1))
-            if v is not None:
-                out.append((key[0], seq, v, 1))
-            cur = v
-        if cur is None:
+        vals = pdf["value"].astype(object).where(pdf["value"].notna(), None)
+        prev = vals.shift(1).astype(object)
+        prev.iloc[0] = cur
+        changed = [a != b for a, b in zip(vals, prev)]
+        ch = pdf.loc[changed, ["seq"]].assign(old=prev[changed].values, new=vals[changed].values)
+        minus = ch[ch["old"].notna()].assign(group=lambda d: d["old"], delta=-1)
+        plus = ch[ch["new"].notna()].assign(group=lambda d: d["new"], delta=1)
+        out = pd.concat([minus, plus], ignore_index=True)
+        last = vals.iloc[-1]
+        if last is None:
             self.current.clear()
         else:
-            self.current.update((cur,))
-        if out:
-            yield pd.DataFrame(out, columns=DELTA_OUT.fieldNames())
+            self.current.update((last,))
+        if len(out):
+            out = out.assign(key=key[0]).sort_values(["seq", "delta"], kind="stable")
+            yield out[DELTA_OUT.fieldNames()]
 
     def close(self) -> None:
         pass
@@ -166,18 +172,18 @@ class AsOfLookup(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, ["ts", "seq", "side"])
         cur = self.info.get()[0] if self.info.exists() else None
-        out = []
-        for side, seq, info, payload in zip(pdf["side"], pdf["seq"], pdf["info"], pdf["payload"]):
-            if side == 0:
-                cur = None if pd.isna(info) else info
-            else:
-                out.append((key[0], seq, payload, cur))
-        if cur is None:
+        table_rows = pdf["side"] == 0
+        filled = _carry(table_rows, pdf["info"], cur)
+        last = filled.iloc[-1]
+        if last is None:
             self.info.clear()
         else:
-            self.info.update((cur,))
-        if out:
-            yield pd.DataFrame(out, columns=ASOF_OUT.fieldNames())
+            self.info.update((last,))
+        rows_out = ~table_rows.values
+        if rows_out.any():
+            yield pd.DataFrame({"key": key[0], "seq": pdf["seq"].values[rows_out],
+                                "payload": pdf["payload"].values[rows_out],
+                                "info": filled.values[rows_out]})
 
     def close(self) -> None:
         pass
