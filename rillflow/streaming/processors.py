@@ -218,6 +218,16 @@ class HoldNewest(StatefulProcessor):
         pdf = _rows(rows, ["ts", "seq"])
         value, deleted, seq, n, due = self.held.get() if self.held.exists() else \
             (None, False, -1, 0, -1)
+        if n + len(pdf) < self.max_held:
+            # the buffer cannot fill in this batch: keep the newest row, start the hold
+            # at the first row if none is running
+            v = pdf["value"].iloc[-1]
+            if due < 0:
+                due = int(pdf["t_ms"].iloc[0]) + self.limit_ms
+                self.handle.registerTimer(due)
+            self.held.update((None if pd.isna(v) else v, bool(pd.isna(v)),
+                              int(pdf["seq"].iloc[-1]), n + len(pdf), due))
+            return
         out = []
         for t_ms, s, v in zip(pdf["t_ms"], pdf["seq"], pdf["value"]):
             value, deleted, seq = (None if pd.isna(v) else v), bool(pd.isna(v)), int(s)
