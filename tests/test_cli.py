@@ -4,7 +4,7 @@ import os
 import subprocess
 import sys
 
-from __spark_entry__ import queries
+from rillflow.plans import all_queries
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
@@ -14,4 +14,4 @@ def test_cli_lists_queries():
                          text=True, timeout=120)
     assert out.returncode == 0
     listed = out.stdout.split(":", 1)[1].strip().split(", ")
-    assert sorted(listed) == sorted(queries())
+    assert sorted(listed) == sorted(all_queries())

@@ -7,12 +7,13 @@ from decimal import Decimal
 import duckdb
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from rillflow.plans import all_oracle_sql, all_queries
 from rillflow.sources.tables import TABLES
 
 SF = os.environ.get("RILLFLOW_ORACLE_SF", "/root/testdata/sf0.001")
-Q = queries()
-O = oracle_sql()
+Q = all_queries()
+O = all_oracle_sql()
 
 
 @pytest.fixture(scope="module")
