@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillflow.llm import mixing, quality
+from rillflow.llm import mixing, packing, quality
 from rillflow.llm.common import stored
 
 STAGES = [
     ("quality_rules", quality.quality_stage),
     ("mixing", mixing.mix_stage),
+    ("packing", packing.packing_stage),
 ]
 
 #: No SQL: rule accuracies come from expectation-maximisation, tokens from a tokenizer.

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rillflow.llm import mixing, quality
+from rillflow.llm import mixing, packing, quality
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op6_packing": packing.op6_packing,
     "op9_mixing": mixing.op9_mixing,
 }
 
