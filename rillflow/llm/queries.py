@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from rillflow.llm import mixing, packing, quality
+from rillflow.llm import mixing, packing, quality, simhash
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
+    "op4_simhash": simhash.op4_simhash,
     "op6_packing": packing.op6_packing,
     "op9_mixing": mixing.op9_mixing,
 }
