@@ -10,12 +10,13 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rillflow.llm import mixing, packing, quality, simhash
+from rillflow.llm import mixing, packing, quality, simhash, substring
 from rillflow.llm.common import stored
 
 STAGES = [
     ("quality_rules", quality.quality_stage),
     ("simhash_near_dedup", simhash.simhash_stage),
+    ("substring_dedup", substring.substring_stage),
     ("mixing", mixing.mix_stage),
     ("packing", packing.packing_stage),
 ]
