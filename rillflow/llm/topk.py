@@ -35,7 +35,7 @@ GROUP_QUERIES = 4096
 EXACT = 2.0 ** 53
 
 
-def _blocks(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> DataFrame:
+def _blocks(vectors: DataFrame, vec_id: str, embedding: str, scale: int, size: int) -> DataFrame:
     """``n, dims, ids, matrix, low, high`` per block, arrays as bytes (ids int64, else float64:
     the floor of a double is one)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -58,11 +58,11 @@ def _blocks(vectors: DataFrame, vec_id: str, embedding: str, scale: int) -> Data
             m = np.floor(scale * m[good])
             order = np.argsort(ids, kind="stable")
             ids, m = ids[order], m[order]
-            for a in range(0, len(ids), BLOCK_ROWS):
-                part = m[a:a + BLOCK_ROWS]
+            for a in range(0, len(ids), size):
+                part = m[a:a + size]
                 yield pa.RecordBatch.from_arrays([
                     pa.array([len(part)], pa.int32()), pa.array([dims], pa.int32()),
-                    pa.array([ids[a:a + BLOCK_ROWS].astype(np.int64).tobytes()], pa.binary()),
+                    pa.array([ids[a:a + size].astype(np.int64).tobytes()], pa.binary()),
                     pa.array([part.tobytes()], pa.binary()), pa.array([part.min(axis=0).tobytes()], pa.binary()),
                     pa.array([part.max(axis=0).tobytes()], pa.binary())],
                     names=["n", "dims", "ids", "matrix", "low", "high"])
@@ -93,7 +93,7 @@ def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.clip(whole(a).dot(whole(b).T), -2 ** 63, 2 ** 63 - 1).astype(np.int64)
 
 
-def search(queries: np.ndarray, own: np.ndarray, blocks: list[tuple], k: int):
+def search(queries: np.ndarray, own: np.ndarray, blocks: list[tuple], k: int, size: int):
     """The k best (score, id) of each query over the blocks (number, ids, matrix, low, high),
     without the row whose place ``own`` names; places are block number times the block's most
     rows, plus the row. Missing ones have found = False."""
@@ -122,7 +122,7 @@ def search(queries: np.ndarray, own: np.ndarray, blocks: list[tuple], k: int):
             number, b_ids, matrix, _, _ = blocks[b]
             q = np.flatnonzero(wants & (at == b))
             score = product(queries[q], matrix)
-            place = own[q] - number * BLOCK_ROWS
+            place = own[q] - number * size
             mine = (place >= 0) & (place < len(b_ids))
             ok = np.ones(score.shape, bool)
             ok[np.flatnonzero(mine), place[mine]] = False
@@ -144,13 +144,14 @@ def search(queries: np.ndarray, own: np.ndarray, blocks: list[tuple], k: int):
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, vec_id: str = "vec_id",
-          embedding: str = "embedding") -> DataFrame:
+          embedding: str = "embedding", block_rows: int = BLOCK_ROWS, shard_blocks: int = SHARD_BLOCKS,
+          group_queries: int = GROUP_QUERIES) -> DataFrame:
     """The ``k`` best scores of each query row: query_id, rank, vec_id, score.
 
     ``is_query`` is a condition on the column ``vec_id``. Components become
     floor(scale * x); candidates are all rows but the query's own; ties go to the smaller id.
     """
-    blocks = _blocks(vectors, vec_id, embedding, scale)
+    blocks = _blocks(vectors, vec_id, embedding, scale, block_rows)
     flat = blocks.select("block", F.col("n"), "dims", "ids", "matrix")
 
     def pick(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -161,11 +162,11 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ve
                                     "vector": [x.tobytes() for x in np.frombuffer(r.matrix).reshape(len(ids), r.dims)]})
 
     chosen = flat.mapInPandas(pick, "block bigint, place bigint, vec_id bigint, dims int, vector binary")
-    chosen = chosen.filter(is_query).select((F.col("block") * BLOCK_ROWS + F.col("place")).alias("own"),
+    chosen = chosen.filter(is_query).select((F.col("block") * block_rows + F.col("place")).alias("own"),
                                             F.col("vec_id").alias("query_id"), "dims", "vector")
     chosen = stored(chosen, "topk_queries")
-    shards = max(1, -(-blocks.count() // SHARD_BLOCKS))
-    groups = max(1, -(-chosen.count() // GROUP_QUERIES))
+    shards = max(1, -(-blocks.count() // shard_blocks))
+    groups = max(1, -(-chosen.count() // group_queries))
     every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
     to = lambda c, n: F.pmod(F.xxhash64(c), F.lit(n)).cast("int")
     none = F.lit(None)
@@ -185,7 +186,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, scale: int = 256, ve
                  if r.dims else np.zeros((len(r.ids) // 8, dims)), pad(r.low), pad(r.high)) for r in b.itertuples()]
         asked_by = np.stack([pad(x) for x in q["matrix"]]) if len(q) else np.zeros((0, dims))
         own = q["number"].to_numpy(np.int64)
-        best, ids, found = search(asked_by, own, held, k)
+        best, ids, found = search(asked_by, own, held, k, block_rows)
         at, nth = np.nonzero(found)
         return pd.DataFrame({"own": own[at], "query_id": q["query_id"].to_numpy(np.int64)[at],
                              "vec_id": ids[at, nth], "score": best[at, nth]})
