@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from rillflow.llm import mixing, packing, quality, simhash, substring, topk
+from rillflow.llm import chat, mixing, packing, quality, simhash, substring, topk
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
     "op2_topk": topk.op2_topk,
+    "op3_chat": chat.op3_chat,
     "op4_simhash": simhash.op4_simhash,
     "op5_substring_dedup": substring.op5_substring_dedup,
     "op6_packing": packing.op6_packing,
     "op9_mixing": mixing.op9_mixing,
 }
 
-ORACLE = {"op2_topk": topk.OP2_SQL, "op9_mixing": mixing.OP9_SQL}
+ORACLE = {"op2_topk": topk.OP2_SQL, "op3_chat": chat.OP3_SQL, "op9_mixing": mixing.OP9_SQL}
