@@ -95,14 +95,15 @@ _BYTE_VALUES = mixed(np.arange(256, dtype=np.uint64))
 
 
 def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes, from one running sum over the buffer."""
+    """A 64-bit hash of each span of bytes (or code points), from one running sum over the buffer."""
     with np.errstate(over="ignore"):
         up = np.empty(len(buf) + 1, np.uint64)
         up[0] = 1
         up[1:] = np.uint64(_BASE)
         np.multiply.accumulate(up, out=up)
         sums = np.zeros(len(buf) + 1, np.uint64)
-        np.cumsum(_BYTE_VALUES[buf] * up[:-1], out=sums[1:])
+        values = _BYTE_VALUES[buf] if buf.dtype == np.uint8 else mixed(buf.astype(np.uint64))
+        np.cumsum(values * up[:-1], out=sums[1:])
         down = up  # the same room again, now for the inverse's powers
         down[0] = 1
         down[1:] = np.uint64(pow(_BASE, -1, 1 << 64))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rillflow.llm import chat, mixing, packing, quality, simhash, substring, topk
+from rillflow.llm import chat, language, mixing, packing, quality, simhash, substring, topk, toxicity
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -11,7 +11,9 @@ QUERIES = {
     "op4_simhash": simhash.op4_simhash,
     "op5_substring_dedup": substring.op5_substring_dedup,
     "op6_packing": packing.op6_packing,
+    "op7_language": language.op7_language,
     "op9_mixing": mixing.op9_mixing,
+    "op10_toxicity": toxicity.op10_toxicity,
 }
 
 ORACLE = {"op2_topk": topk.OP2_SQL, "op3_chat": chat.OP3_SQL, "op9_mixing": mixing.OP9_SQL}
