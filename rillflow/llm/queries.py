@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rillflow.llm import chat, language, mixing, packing, quality, simhash, substring, topk, toxicity
+from rillflow.llm import chat, language, mixing, packing, quality, simhash, substring, topk, toxicity, urls
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -12,6 +12,7 @@ QUERIES = {
     "op5_substring_dedup": substring.op5_substring_dedup,
     "op6_packing": packing.op6_packing,
     "op7_language": language.op7_language,
+    "op8_url_filters": urls.op8_url_filters,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
 }
