@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,3 +35,9 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     """Marks a stored table for broadcast if it has few rows; else the join is left to Spark."""
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
+def shielded(docs: DataFrame, added: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with the columns named like ``added`` ones renamed, and how to name them back."""
+    own = {f"__own_{c}": c for c in docs.columns if c in set(added)}
+    return docs.withColumnsRenamed({v: k for k, v in own.items()}), own

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import WORD, small_or_not, stored
+from rillflow.llm.common import WORD, shielded, small_or_not, stored
 
 #: Hex digits of the key that name a range. 65,536 ranges per source: one holds 1/65,536 of it.
 RANGE_DIGITS = 4
@@ -116,7 +116,8 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
 def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often and as far as the mix takes them: one row per epoch, the row at the
     end of a source's budget cut after its last word that still fits; columns as given."""
-    taken = mix(with_size_and_key(docs))
+    given, own = shielded(docs, ADDED)
+    taken = mix(with_size_and_key(given))
     parts = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
     rows = taken.filter("taken > 0").withColumn("__mix_part", F.explode(parts))
     left = (F.col("taken") - (F.col("__mix_part") - 1) * F.col("size")).cast("int")
@@ -127,7 +128,7 @@ def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("__mix_cut"), F.length("text").cast("long"))
                                .otherwise(F.col("n_chars")))
-    return rows.select(*docs.columns)
+    return rows.drop(*ADDED).withColumnsRenamed(own).select(*docs.columns)
 
 
 OP9_SQL = r"""

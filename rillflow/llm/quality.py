@@ -20,13 +20,14 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import let, stored
+from rillflow.llm.common import let, shielded, stored
 
 SYMBOLS = "#*$%&|<>"
 #: ASCII white space, the characters between words.
 BLANKS = " \t\n\x0b\x0c\r"
 WINDOW = 8
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+ADDED = (*COUNTS, "base_failed", "posterior", "kept")
 MORE = ("__q_lines", "__q_upper", "__q_ends", "__q_marks")
 
 
@@ -71,7 +72,7 @@ def with_counts(docs: DataFrame) -> DataFrame:
     of_lines = let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"),
                                              F.size(F.array_distinct(x)).cast("long").alias("d")))
     size = F.length(text).cast("long")
-    out = docs.drop(*COUNTS, "base_failed", "posterior", "kept").withColumns({
+    out = docs.drop(*ADDED).withColumns({
         "__q_words": of_words, "__q_line": of_lines,
         "word_chars": F.length(_without(text, BLANKS)).cast("long"),
         "n_symbols": size - F.length(_without(text, SYMBOLS)),
@@ -201,6 +202,8 @@ def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep, columns as given."""
-    counted = with_counts(docs)
+    given, own = shielded(docs, ADDED)
+    counted = with_counts(given)
     narrow = stored(counted.select("doc_id", *COUNTS, *MORE, "base_failed"), "quality_counts")
-    return judge(counted, fit_label_model(vote_patterns(narrow))).filter("kept").select(*docs.columns)
+    return judge(counted, fit_label_model(vote_patterns(narrow))).filter("kept") \
+        .drop(*ADDED).withColumnsRenamed(own).select(*docs.columns)

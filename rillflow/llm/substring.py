@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.llm.arrowtext import Words, joined, mixed, slices, span_hashes, split_words
-from rillflow.llm.common import stored
+from rillflow.llm.common import shielded, stored
 
 ADDED = ("n_words", "n_removed", "kept_sha256")
 #: Values that one range of hashes holds on the first level, about.
@@ -306,8 +306,8 @@ def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
 def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the repeated passages; columns as given."""
-    given = {c: f"__sub_{c}" for c in ADDED if c in docs.columns}
-    out = dedup_substrings(docs.withColumnsRenamed(given))
+    given, own = shielded(docs, ADDED)
+    out = dedup_substrings(given)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.drop(*ADDED).withColumnsRenamed({v: k for k, v in given.items()}).select(*docs.columns)
+    return out.drop(*ADDED).withColumnsRenamed(own).select(*docs.columns)
