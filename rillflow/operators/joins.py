@@ -9,17 +9,12 @@ split for a hot key on the large side.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.operators.buckets import (
-    COARSE_SECONDS,
-    FINE_SECONDS,
-    HOT_ROWS,
-    SAMPLE_FRACTION,
-    hot_keys,
-    with_buckets,
-)
+from rillflow.operators.buckets import BITS, bucket_of, carry_over, last_place
 from rillflow.operators.tables import latest_per_key
 
 
@@ -72,28 +67,21 @@ def table_join(left: DataFrame, right: DataFrame, key: str, how: str = "inner")
     return left.join(right, key, how)
 
 
-def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: str,
-              value_cols: list[str], bucket_seconds: int = COARSE_SECONDS,
-              how: str = "inner", fine_seconds: int = FINE_SECONDS,
-              hot_rows: int = HOT_ROWS, sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Each stream row sees the table as it was when the row arrived: the latest
-    changelog row of its key ordered before it by ``(ts, seq)``. A delete (all values
-    null) or no earlier row means no match (dropped for ``inner``, nulls for ``left``).
-    Rows with a null key are dropped (a keyed lookup skips them).
-
-    Both inputs carry ``key``, ``ts`` and ``seq``; the changelog also ``value_cols``.
-
-    Two-level plan so no task holds all rows of a hot key: rows are cut into
-    ``(key, time bucket)`` groups. Inside a group a window carries the last table row
-    forward. Across groups a small frame carries it: one summary row per
-    ``(key, bucket)`` (has it stream rows; its last table state), ordered per key by
-    bucket, so each bucket with stream rows picks up the state left by the key's
-    earlier buckets.
-
-    Buckets are ``bucket_seconds`` wide, and ``fine_seconds`` wide for keys the stream's
-    sample shows to hold ``hot_rows`` or more (see :mod:`rillflow.operators.buckets`);
-    both inputs use the same grid per key. For batch DataFrames; a stream uses the
-    ``AsOfLookup`` processor (``rillflow.streaming.stateful.asof_lookup``).
+def asof_join(stream: DataFrame, changelog: DataFrame, key: str, seq: str, value_cols: list[str],
+              how: str = "inner", bits: Sequence[int] = BITS) -> DataFrame:
+    """Each stream row sees the table as it was when the row arrived: the latest changelog row
+    of its key before it in the order of the offset ``seq``. A delete (all values null) or no
+    earlier row means no match (dropped for ``inner``, nulls for ``left``). Rows with a null key
+    are dropped (a keyed lookup skips them).
+
+    Both inputs carry ``key`` and ``seq``; the changelog also ``value_cols``. Of a stream row and
+    a changelog row with one offset the changelog row comes first.
+
+    Rows are grouped by ``(key, offset bucket)``; inside a group a window carries the last table
+    row forward, and the state that a group leaves is carried to the key's later groups in two
+    levels (see :mod:`rillflow.operators.buckets`), so a key that is hot on either side is spread
+    over its buckets. For batch DataFrames; a stream uses the ``AsOfLookup`` processor
+    (``rillflow.streaming.stateful.asof_lookup``).
     """
     for c in value_cols:
         if c in stream.columns:
@@ -102,30 +90,25 @@ def asof_join(stream: DataFrame, changelog: DataFrame, key: str, ts: str, seq: s
     for c in value_cols:
         tomb = tomb & F.col(c).isNull()
     state = F.struct(*[F.col(c) for c in value_cols], (~tomb).alias("__live"))
-    hot = hot_keys(stream, key, hot_rows, sample_fraction)
-    s = with_buckets(stream.filter(F.col(key).isNotNull()), key, ts, hot, bucket_seconds,
-                     fine_seconds).withColumn("__side", F.lit(1))
-    t = with_buckets(changelog.filter(F.col(key).isNotNull())
-                     .select(key, ts, seq, state.alias("__state")),
-                     key, ts, hot, bucket_seconds, fine_seconds).withColumn("__side", F.lit(0))
-    # within (key, bucket): the last table state up to each row (table first on ties)
-    u = s.unionByName(t, allowMissingColumns=True)
-    w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq, "__side")
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    rows = u.withColumn("__in", F.last("__state", ignorenulls=True).over(w_in)) \
-        .filter(F.col("__side") == 1)
-    # across buckets: one summary row per (key, bucket): whether it has stream rows, and
-    # its last table state; each bucket with stream rows takes the state left by the
-    # key's earlier buckets
-    summary = u.groupBy(key, "__b").agg(
-        F.max("__side").alias("__has_rows"),
-        F.max_by("__state", F.when(F.col("__side") == 0, F.struct(ts, seq))).alias("__last"))
-    w_k = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = (summary.withColumn("__carry", F.last("__last", ignorenulls=True).over(w_k))
-             .filter(F.col("__has_rows") == 1).select(key, "__b", "__carry"))
+    s = stream.filter(F.col(key).isNotNull()).withColumn("__side", F.lit(1))
+    t = changelog.filter(F.col(key).isNotNull()).select(key, seq, state.alias("__state")) \
+        .withColumn("__side", F.lit(0))
+    u = s.unionByName(t, allowMissingColumns=True).withColumn("__b", bucket_of(seq, bits[0]))
+    in_bucket = Window.partitionBy(key, "__b").orderBy(seq, "__side")
+    seen = u.withColumns({
+        "__in": F.last("__state", ignorenulls=True).over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
+        "__n": F.row_number().over(in_bucket)})
+    # one summary row per (key, bucket), from the same windowed rows: the state at its end
+    summary = seen.groupBy(key, "__b").agg(F.max("__side").alias("__has_rows"),
+                                                   F.max_by("__in", last_place(stream, "__n", (key, seq))).alias("__last"))
+    latest = lambda c, w: F.last(c, ignorenulls=True).over(w)
+    carry = carry_over(summary, key, "__last", latest,
+                       lambda c: F.max_by(c, F.when(c.isNotNull(), F.col("__b"))),
+                       lambda far, near: F.coalesce(near, far), bits) \
+        .filter(F.col("__has_rows") == 1).select(key, "__b", "__carry")
     st = F.coalesce(F.col("__in"), F.col("__carry"))
     matched = st.isNotNull() & st["__live"]
-    out = rows.join(carry, [key, "__b"], "left").select(
+    out = seen.filter(F.col("__side") == 1).join(carry, [key, "__b"], "left").select(
         *stream.columns, *[F.when(matched, st[c]).alias(c) for c in value_cols],
         matched.alias("__matched"))
     if how == "inner":

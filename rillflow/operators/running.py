@@ -2,55 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.time import money
-from rillflow.operators.buckets import (
-    COARSE_SECONDS,
-    FINE_SECONDS,
-    HOT_ROWS,
-    SAMPLE_FRACTION,
-    hot_keys,
-    with_buckets,
-)
+from rillflow.operators.buckets import BITS, bucket_of, carry_over, last_place
 
 
-def running_sum(df: DataFrame, key: str, amount: str, ts: str, seq: str,
-                out: str = "running_bal", bucket_seconds: int = COARSE_SECONDS,
-                fine_seconds: int = FINE_SECONDS, hot_rows: int = HOT_ROWS,
-                sample_fraction: float = SAMPLE_FRACTION) -> DataFrame:
-    """Each row with the sum of ``amount`` over its key's rows up to and including it,
-    in ``(ts, seq)`` order. Amounts are exact DECIMAL(18,2) (the ``amount`` column comes
-    back in that type).
+def running_sum(df: DataFrame, key: str, amount: str, seq: str, out: str = "running_bal",
+                bits: Sequence[int] = BITS) -> DataFrame:
+    """Each row with the sum of ``amount`` over its key's rows up to and including it, in the
+    order of the offset ``seq``, whatever the rows' times. Amounts are exact DECIMAL(18,2)
+    (the ``amount`` column comes back in that type); rows with a null key are dropped.
 
-    A window over the whole key would sort all rows of a hot key in one task. Instead:
-    per ``(key, time bucket)`` totals (a partial aggregate), a prefix sum of those totals
-    over the key's buckets (few rows), then a window inside each ``(key, bucket)`` plus
-    the carried prefix. Keys the sample shows to hold ``hot_rows`` or more use
-    ``fine_seconds`` buckets (see :mod:`rillflow.operators.buckets`). For batch
-    DataFrames; a stream uses the ``RunningBalance`` processor.
+    The sum runs inside ``(key, offset bucket)`` groups; the totals of a key's earlier groups
+    are carried in two levels (see :mod:`rillflow.operators.buckets`), so a hot key is spread
+    over its buckets. For batch DataFrames; a stream uses the ``RunningBalance`` processor.
     """
-    # the amount is replaced by its decimal form in place, so the windowed rows and the
-    # bucket totals below read the same columns and share one exchange
-    # Rows with a null key or time have no place in a keyed order and are dropped; the
-    # explicit filter also keeps both uses of ``inner`` identical, so they share a scan.
-    hot = hot_keys(df, key, hot_rows, sample_fraction)
-    d = with_buckets(df.filter(F.col(key).isNotNull()).withColumn(amount, money(amount)),
-                     key, ts, hot, bucket_seconds, fine_seconds) \
-        .filter(F.col("__b").isNotNull())
-    w_in = (Window.partitionBy(key, "__b").orderBy(ts, seq)
+    zero = F.lit(0).cast("decimal(38,2)")
+    # the amount is replaced by its decimal form in place, so the windowed rows and the bucket
+    # totals below read the same columns and share one exchange
+    d = df.filter(F.col(key).isNotNull()).withColumn(amount, money(amount)) \
+        .withColumn("__b", bucket_of(seq, bits[0]))
+    w_in = (Window.partitionBy(key, "__b").orderBy(seq)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inner = d.withColumn("__in", F.sum(amount).over(w_in))
-    # bucket totals = the running value at each bucket's last row, taken from the
-    # windowed rows (already clustered by (key, bucket)): the input is scanned and
-    # shuffled once. (A plain sum here would let Catalyst drop the window from this
-    # branch and scan the input a second time.)
-    totals = inner.groupBy(key, "__b").agg(F.max_by("__in", F.struct(ts, seq)).alias("__tot"))
-    w_k = Window.partitionBy(key).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
-    carry = totals.withColumn("__carry", F.coalesce(F.sum("__tot").over(w_k),
-                                                    F.lit(0).cast("decimal(38,2)"))) \
-        .select(key, "__b", "__carry")
+    inner = d.withColumns({"__in": F.coalesce(F.sum(amount).over(w_in), zero), "__n": F.row_number().over(
+        Window.partitionBy(key, "__b").orderBy(seq))})
+    # bucket totals = the running value at each bucket's last row, taken from the windowed rows
+    # (already clustered by (key, bucket)): the input is scanned and shuffled once
+    totals = inner.groupBy(key, "__b").agg(F.max_by("__in", last_place(df, "__n", (key, amount, seq))).alias("__tot"))
+    carry = carry_over(totals, key, "__tot", lambda c, w: F.coalesce(F.sum(c).over(w), zero), F.sum,
+                       lambda far, near: far + near, bits).select(key, "__b", "__carry")
     return (inner.join(carry, [key, "__b"], "inner")
             .withColumn(out, (F.col("__in") + F.col("__carry")).cast("decimal(28,2)"))
-            .drop("__b", "__in", "__carry"))
+            .drop("__b", "__n", "__in", "__carry"))

@@ -11,7 +11,7 @@ from rillflow.sources.tables import read_table
 
 def running_balance_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "value"])
-    out = running_sum(ev, "user_id", "value", "ts", "event_id", out="running_bal")
+    out = running_sum(ev, "user_id", "value", "event_id", out="running_bal")
     return out.select("user_id", "event_id", "ts", F.col("value").alias("amount"),
                       "running_bal")
 
@@ -20,10 +20,10 @@ ORACLE = {
     "running_balance": """
         SELECT user_id, event_id, ts, CAST(value AS DECIMAL(18,2)) AS amount,
                CAST(sum(CAST(value AS DECIMAL(18,2))) OVER (
-                   PARTITION BY user_id ORDER BY ts, event_id
+                   PARTITION BY user_id ORDER BY event_id
                    ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(28,2))
                AS running_bal
-        FROM events""",
+        FROM events WHERE user_id IS NOT NULL""",
 }
 
 QUERIES = {"running_balance": running_balance_on_tables}

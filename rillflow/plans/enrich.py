@@ -7,7 +7,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.operators.joins import asof_join, interval_join, lookup_join, table_join
+from rillflow.operators.joins import (
+    asof_join,
+    interval_join,
+    lookup_join,
+    snapshot_lookup,
+    table_join,
+)
 from rillflow.operators.tables import latest_per_key
 from rillflow.sources.tables import read_table
 
@@ -45,12 +51,9 @@ def recharge_match_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recharge_match(*_recharge_inputs(spark, sf_dir))
 
 
-def recharge_match_1d_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return recharge_match(*_recharge_inputs(spark, sf_dir), within_seconds=86400)
-
-
 # ---------------------------------------------------------------- purchase enrich
-# The enriched text is "purchase <purchase> info=[<info>]", and
+# Matched pairs are "success" when the one-time passwords agree, else "fail"
+# (above); the enriched text is "purchase <purchase> info=[<info>]", and
 # "purchase <purchase> info=null" when the user has no info.
 ENRICHED_FORMAT = "purchase %s info=[%s]"
 UNMATCHED_FORMAT = "purchase %s info=null"
@@ -63,22 +66,17 @@ def enriched_text(purchase: F.Column, info: F.Column) -> F.Column:
 
 
 def _purchases(spark, sf_dir):
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type"])
     return ev.filter(F.col("event_type") == "purchase").select(
-        "user_id", "event_id", "ts",
+        "user_id", "event_id",
         F.concat("event_type", F.lit("("), F.col("event_id").cast("string"), F.lit(")"))
         .alias("purchase"))
 
 
-# Fixed value of our table mapping: the user table holds customers of one segment, so
-# users of other segments find no row.
-USER_SEGMENT = "BUILDING"
-
-
 def user_table(spark, sf_dir):
-    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey",
-                                                "c_mktsegment"])
-    return c.filter(F.col("c_mktsegment") == USER_SEGMENT).select(
+    """The whole user table: every customer."""
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_name", "c_nationkey"])
+    return c.select(
         "c_custkey", F.concat(F.lit("name="), "c_name", F.lit(", nation="),
                               F.col("c_nationkey").cast("string")).alias("info"))
 
@@ -100,15 +98,15 @@ def purchase_enrich_left_on_tables(spark: SparkSession, sf_dir: str) -> DataFram
 def _user_changelog(spark, sf_dir):
     """A user-table changelog derived from the events: a signup sets the user's info
     (its props), an error deletes the user (tombstone)."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "user_id", "event_type", "props"])
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type", "props"])
     return ev.filter(F.col("event_type").isin("signup", "error")).select(
-        "user_id", "ts", "event_id",
+        "user_id", "event_id",
         F.when(F.col("event_type") == "signup", F.col("props")).alias("info"))
 
 
 def purchase_asof(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
     j = asof_join(_purchases(spark, sf_dir), _user_changelog(spark, sf_dir), "user_id",
-                  "ts", "event_id", ["info"], how=how)
+                  "event_id", ["info"], how=how)
     return j.select("user_id", "event_id", enriched_text(F.col("purchase"), F.col("info"))
                     .alias("enriched"))
 
@@ -123,9 +121,19 @@ def purchase_asof_left_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchase_snapshot_left_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same changelog, but every purchase sees the final table."""
-    table = latest_per_key(_user_changelog(spark, sf_dir), "user_id", ["info"],
-                           ["ts", "event_id"]).withColumnRenamed("user_id", "c_custkey")
-    return purchase_enrich(_purchases(spark, sf_dir), table, "left")
+    return _purchase_snapshot(spark, sf_dir, "left")
+
+
+def purchase_snapshot_inner_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The final table again; purchases of users that it lacks are dropped."""
+    return _purchase_snapshot(spark, sf_dir, "inner")
+
+
+def _purchase_snapshot(spark: SparkSession, sf_dir: str, how: str) -> DataFrame:
+    j = snapshot_lookup(_purchases(spark, sf_dir),
+                        _user_changelog(spark, sf_dir).withColumnRenamed("user_id", "c_custkey"),
+                        "user_id", "c_custkey", ["info"], ["event_id"], how)
+    return j.select("user_id", "event_id", enriched_text(F.col("purchase"), F.col("info")).alias("enriched"))
 
 
 # ---------------------------------------------------------------- latest login
@@ -144,8 +152,8 @@ def latest_login(spark: SparkSession, sf_dir: str) -> DataFrame:
 _PURCHASES = """(SELECT user_id, event_id, ts,
                         event_type || '(' || CAST(event_id AS VARCHAR) || ')' AS purchase
                  FROM events WHERE event_type = 'purchase')"""
-_USERS = f"""(SELECT c_custkey, 'name=' || c_name || ', nation=' || CAST(c_nationkey AS VARCHAR)
-                     AS info FROM customer WHERE c_mktsegment = '{USER_SEGMENT}')"""
+_USERS = """(SELECT c_custkey, 'name=' || c_name || ', nation=' || CAST(c_nationkey AS VARCHAR)
+                     AS info FROM customer)"""
 _ENRICHED = """CASE WHEN info IS NULL THEN 'purchase ' || purchase || ' info=null'
                     ELSE 'purchase ' || purchase || ' info=[' || info || ']' END"""
 _CHANGELOG = """(SELECT user_id, ts, event_id,
@@ -154,9 +162,11 @@ _CHANGELOG = """(SELECT user_id, ts, event_id,
 _ASOF = f"""
     SELECT p.user_id, p.event_id, p.purchase,
            (SELECT c.info FROM {_CHANGELOG} c
-            WHERE c.user_id = p.user_id AND (c.ts < p.ts OR (c.ts = p.ts AND c.event_id < p.event_id))
-            ORDER BY c.ts DESC, c.event_id DESC LIMIT 1) AS info
-    FROM {_PURCHASES} p"""
+            WHERE c.user_id = p.user_id AND c.event_id < p.event_id
+            ORDER BY c.event_id DESC LIMIT 1) AS info
+    FROM {_PURCHASES} p WHERE p.user_id IS NOT NULL"""
+_TABLE = f"""t AS (SELECT user_id AS c_custkey, arg_max_null(info, event_id) AS info
+                   FROM {_CHANGELOG} GROUP BY user_id)"""
 
 
 def _recharge_sql(seconds: int) -> str:
@@ -172,21 +182,24 @@ def _recharge_sql(seconds: int) -> str:
 
 ORACLE = {
     "recharge_match": _recharge_sql(RECHARGE_WINDOW_SECONDS),
-    "recharge_match_1d": _recharge_sql(86400),
     "purchase_enrich_inner": f"""
         SELECT user_id, event_id, {_ENRICHED} AS enriched
         FROM {_PURCHASES} p JOIN {_USERS} u ON p.user_id = u.c_custkey""",
     "purchase_enrich_left": f"""
         SELECT user_id, event_id, {_ENRICHED} AS enriched
-        FROM {_PURCHASES} p LEFT JOIN {_USERS} u ON p.user_id = u.c_custkey""",
+        FROM {_PURCHASES} p LEFT JOIN {_USERS} u ON p.user_id = u.c_custkey
+        WHERE p.user_id IS NOT NULL""",
     "purchase_asof_inner": f"""
         SELECT user_id, event_id, {_ENRICHED} AS enriched FROM ({_ASOF}) WHERE info IS NOT NULL""",
     "purchase_asof_left": f"SELECT user_id, event_id, {_ENRICHED} AS enriched FROM ({_ASOF})",
     "purchase_snapshot_left": f"""
-        WITH t AS (SELECT user_id AS c_custkey, arg_max_null(info, (ts, event_id)) AS info
-                   FROM {_CHANGELOG} GROUP BY user_id)
+        WITH {_TABLE}
+        SELECT p.user_id, p.event_id, {_ENRICHED} AS enriched
+        FROM {_PURCHASES} p LEFT JOIN t ON p.user_id = t.c_custkey WHERE p.user_id IS NOT NULL""",
+    "purchase_snapshot_inner": f"""
+        WITH {_TABLE}
         SELECT p.user_id, p.event_id, {_ENRICHED} AS enriched
-        FROM {_PURCHASES} p LEFT JOIN t ON p.user_id = t.c_custkey""",
+        FROM {_PURCHASES} p JOIN t ON p.user_id = t.c_custkey WHERE t.info IS NOT NULL""",
     "latest_login": """
         WITH lc AS (SELECT user_id FROM events WHERE event_type = 'click' GROUP BY user_id),
              lp AS (SELECT user_id, arg_max(ts, event_id) AS login_time FROM events
@@ -196,11 +209,11 @@ ORACLE = {
 
 QUERIES = {
     "recharge_match": recharge_match_on_tables,
-    "recharge_match_1d": recharge_match_1d_on_tables,
     "purchase_enrich_inner": purchase_enrich_inner_on_tables,
     "purchase_enrich_left": purchase_enrich_left_on_tables,
     "purchase_asof_inner": purchase_asof_inner_on_tables,
     "purchase_asof_left": purchase_asof_left_on_tables,
+    "purchase_snapshot_inner": purchase_snapshot_inner_on_tables,
     "purchase_snapshot_left": purchase_snapshot_left_on_tables,
     "latest_login": latest_login,
 }

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from helpers import rows
-from rillflow.functions.jsonio import decode_json, encode_json
+from rillflow.functions.jsonio import decode_json, encode_json, parse_json
 from rillflow.functions.text import java_split_words
 from rillflow.operators.aggregates import balance_fold, balance_reduce
 from rillflow.operators.joins import asof_join, interval_join, snapshot_lookup
@@ -40,7 +40,7 @@ def test_favourite_colour_keeps_zero(spark):
         [("stephane", "blue", 1), ("john", "green", 2), ("stephane", "red", 3), ("alice", "red", 4),
          (None, "red", 5)],  # a record without a key has no table row
         "user string, colour string, seq long")
-    got = dict(rows(favourite_colour(ch, "user", "colour", ["seq"]), "colour", "count"))
+    got = dict(rows(favourite_colour(ch, "user", "colour", "seq"), "colour", "count"))
     assert got == {"red": 2, "green": 1, "blue": 0}
 
 
@@ -67,7 +67,7 @@ def test_running_balance(spark):
             for i, (x, n, m) in enumerate((x, n, m) for x in (1, 2, 3)
                                           for n, m in (("divya", 2), ("roshan", 1), ("shubham", 3)))]
     df = spark.createDataFrame(data, "name string, amount int, time timestamp, id long")
-    got = running_sum(df, "name", "amount", "time", "id", bucket_seconds=2)
+    got = running_sum(df, "name", "amount", "id", bits=(1, 2))
     by = {}
     for n, t, b in rows(got, "name", "time", "running_bal"):
         by.setdefault(n, []).append(int(b))
@@ -150,8 +150,8 @@ def _purchase_frames(spark):
 
 def test_purchases_asof(spark):
     purchases, table = _purchase_frames(spark)
-    inner = asof_join(purchases, table, "user", "ts", "seq", ["info"], bucket_seconds=3)
-    left = asof_join(purchases, table, "user", "ts", "seq", ["info"], bucket_seconds=3, how="left")
+    inner = asof_join(purchases, table, "user", "seq", ["info"], bits=(1, 3))
+    left = asof_join(purchases, table, "user", "seq", ["info"], bits=(1, 3), how="left")
     assert rows(inner, "purchase", "info") == [
         ("rapple(1)", "first=roshan, last=soni"), ("rorange(3)", "first=roshan, last=sonyy"),
         ("scherry(5)", "first=shubham, last=soni")]
@@ -225,6 +225,14 @@ def test_json_dead_letter_and_lenient_ints(spark):
     good, dead = decode_json(df, "value", schema, lenient_ints=True)
     assert rows(dead, "id") == [(2,)]
     assert rows(good, "id", "amount") == [(1, 5), (3, 0), (4, 0), (5, 7), (6, None)]
+    # whole numbers of the target type, cut towards zero; what it does not hold is 0
+    texts = [("3000000000", 3000000000), ("7.9", 7), ('"7.5"', 7), ("-7.9", -7), ("9223372036854775807", 2**63 - 1),
+             ("9223372036854775808", 0), ("1e3", 1000), ('" 5 "', 5), ("true", 0), ("null", 0)]
+    df2 = spark.createDataFrame([(i, f'{{"amount":{t}}}') for i, (t, _) in enumerate(texts)], "id long, value string")
+    big = T.StructType([T.StructField("amount", T.LongType())])
+    assert rows(decode_json(df2, "value", big, lenient_ints=True)[0], "id", "amount") == [(i, v) for i, (_, v) in enumerate(texts)]
+    both = parse_json(df, "value", schema, lenient_ints=True)
+    assert rows(both.filter("bad_record IS NOT NULL"), "id", "bad_record") == [(2, "not json")]
     enc = df.select(encode_json(F.lit(None).cast("string")).alias("v")).first().v
     assert enc is None
 
