@@ -17,27 +17,30 @@ def _cols(cs):
 
 def latest_per_key(changelog: DataFrame, key: str | list[str], value_cols: list[str],
                    order_cols: list[str], keep_deletes: bool = False,
-                   tombstone: Column | None = None) -> DataFrame:
+                   tombstone: Column | None = None, null_keys: bool = False) -> DataFrame:
     """The table a changelog describes: one row per key with its latest values.
 
-    Runs as one ``groupBy(key)`` with ``max_by(values, order)``: partial aggregation on
-    the map side keeps a hot key from landing whole in one task, and only one row per
-    key per partition crosses the shuffle. ``tombstone`` marks delete rows (default:
-    every value column null). Deletes win when they are latest and the key is dropped,
-    unless ``keep_deletes`` (then the row is kept with ``__deleted`` true). The order
-    columns must be unique within a key (an offset or event id last), or ties are
-    broken arbitrarily.
+    ``tombstone`` marks delete rows (default: every value column null). Deletes win when they are
+    latest and the key is dropped, unless ``keep_deletes`` (then the row is kept with
+    ``__deleted`` true). A record without a key has no table row, unless ``null_keys``, for
+    tables whose rows are groups. The order columns must be unique within a key (an offset
+    or event id last), or ties are broken arbitrarily.
+
+    Runs as one ``groupBy(key)`` with ``max_by(values, order)``: partial aggregation on the map
+    side keeps a hot key from landing whole in one task, and only one row per key per partition
+    crosses the shuffle.
     """
     keys = [key] if isinstance(key, str) else list(key)
     if tombstone is None:
         tombstone = F.lit(True)
         for c in value_cols:
             tombstone = tombstone & F.col(c).isNull()
-    not_null = F.lit(True)
-    for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    latest = (changelog.filter(not_null)   # a record without a key has no table row
-              .groupBy(*keys)
+    if not null_keys:
+        not_null = F.lit(True)
+        for k in keys:
+            not_null = not_null & F.col(k).isNotNull()
+        changelog = changelog.filter(not_null)
+    latest = (changelog.groupBy(*keys)
               .agg(F.max_by(F.struct(*_cols(value_cols), tombstone.alias("__tomb")),
                             F.struct(*_cols(order_cols))).alias("__latest")))
     out = latest.select(*keys, *[F.col(f"__latest.{c}").alias(c) for c in value_cols],

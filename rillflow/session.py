@@ -6,7 +6,9 @@ session they are given; these helpers exist for tests, the bench and local runs.
 
 from __future__ import annotations
 
+import functools
 import os
+import re
 import tempfile
 import uuid
 
@@ -32,39 +34,50 @@ DEFAULT_CONF = {
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app_name: str = "rillflow", extra: dict | None = None) -> SparkSession:
-    """A local session for tests and benches (``local[cores]``)."""
+    """A local session for tests and benches (``local[cores]``). As all of it runs on one machine
+    a new temporary folder serves as the shared one, unless ``RILLFLOW_CHECKPOINT_DIR`` or
+    ``extra`` names another."""
     b = SparkSession.builder.master(f"local[{cores}]").appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf["spark.driver.memory"] = os.environ.get("RILLFLOW_DRIVER_MEMORY", "4g")
+    conf["spark.checkpoint.dir"] = os.environ.get("RILLFLOW_CHECKPOINT_DIR") or _own_folder()
     conf.update(extra or {})
     for k, v in conf.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
+@functools.cache
+def _own_folder() -> str:
+    return tempfile.mkdtemp(prefix="rillflow-ckpt-")
+
 
-    On a cluster that setting points at shared storage and is only read here. When it
-    is unset and the master is local (tests), a folder under the system temp dir is set.
-    """
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The shared folder named by ``spark.checkpoint.dir``, or the one set on the context; the
+    session is not changed. Only where neither is set and all of Spark is one process on this
+    machine (a ``local`` master, as in tests) a temporary folder serves; elsewhere there would
+    be no place that all executors share, and this raises."""
     sc = spark.sparkContext
-    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    d = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") \
+        or sc.getCheckpointDir()
     if not d:
-        d = sc.getCheckpointDir()
-    if not d:
-        if not sc.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a shared folder for this cluster")
-        d = tempfile.mkdtemp(prefix="rillflow-ckpt-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(d)
+        if re.match(r"local(\[|$)", sc.master):
+            return _own_folder()
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     return d.rstrip("/")
 
 
+def require_utc(spark: SparkSession) -> None:
+    """Event times without a zone are read as UTC. A session in another zone would move them, and
+    merge two of them where its clock is set back, so it is refused."""
+    zone = spark.conf.get("spark.sql.session.timeZone")
+    if zone.removeprefix("Etc/") not in ("UTC", "GMT", "UCT", "Zulu", "Universal", "Z", "+00:00", "GMT0", "Greenwich"):
+        raise ValueError(f"set spark.sql.session.timeZone to UTC (it is {zone})")
+
+
 def scratch_path(spark: SparkSession, *parts: str) -> str:
     """A fresh, unique folder under the shared checkpoint dir (streaming checkpoints,
     sink output, snapshot tables)."""

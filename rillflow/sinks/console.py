@@ -31,7 +31,7 @@ def for_each_record(df: DataFrame, fn: Callable, checkpoint: str,
             .option("checkpointLocation", checkpoint).start())
 
 
-# Fixed value: the printed line of a windowed count.
+# The printed line of a windowed count (a form of our own).
 WINDOW_LINE_FORMAT = "name= %s window start=%s window end=%s count= %d"
 
 

@@ -29,7 +29,7 @@ def upsert_snapshot(spark: SparkSession, current_path: str | None, updates: Data
     for c in value_cols:
         deleted = deleted & F.col(c).isNull()
     table = latest_per_key(merged, keys, value_cols + [order_col], [order_col],
-                           tombstone=deleted)
+                           tombstone=deleted, null_keys=True)
     # a version's content follows from its inputs alone, so a rerun after a failed
     # write simply replaces the partial folder (idempotent)
     table.write.mode("overwrite").parquet(new_path)

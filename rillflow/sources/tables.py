@@ -8,8 +8,11 @@ scan as PushedFilters.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from rillflow.session import require_utc, scratch_path
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
@@ -34,37 +37,17 @@ def stream_path(sf_dir: str, name: str) -> str:
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str,
-               columns: list[str] | tuple[str, ...] | None = None,
-               spread: bool = False) -> DataFrame:
-    """One driver table, pruned to ``columns`` when given.
-
-    ``spread`` is for CPU-heavy per-row work (splitting long texts): when the scan
-    yields fewer than two splits per core, the rows are dealt round-robin over the
-    cores. A small file is cut into byte ranges, but only the ranges holding a row
-    group's start read anything, so a one-row-group file gives one busy task however
-    many splits it shows. A large input scans in many splits and is left alone, so no
-    shuffle is added at scale.
-    """
+               columns: list[str] | tuple[str, ...] | None = None) -> DataFrame:
+    """One driver table, pruned to ``columns`` when given. How the scan is split is Spark's
+    ``spark.sql.files.maxPartitionBytes``."""
     df = spark.read.parquet(table_path(sf_dir, name))
-    if columns:
-        df = df.select(*columns)
-    if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < 2 * cores:
-            df = df.repartition(cores)
-    return df
-
-
-# Files read per micro-batch. With ~128 MB files a batch holds at most ~2 GB, which
-# bounds the rows of one key a stateful processor sees at once (Kafka sources cap the
-# same way with maxOffsetsPerTrigger).
-FILES_PER_TRIGGER = 16
+    return df.select(*columns) if columns else df
 
 
 def file_stream(spark: SparkSession, path: str, schema: T.StructType,
-                max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
-    """A streaming DataFrame over parquet files (one file per arrival); the explicit
-    schema is required for file streams and is never inferred."""
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """A streaming DataFrame over parquet files; the explicit schema is required for file
+    streams and is never inferred. The rate cap is the caller's to set."""
     r = spark.readStream.schema(schema)
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -72,6 +55,27 @@ def file_stream(spark: SparkSession, path: str, schema: T.StructType,
 
 
 def event_stream(spark: SparkSession, path: str, schema: T.StructType = EVENTS_SCHEMA,
-                 max_files_per_trigger: int | None = FILES_PER_TRIGGER) -> DataFrame:
-    """The events table as a stream."""
+                 max_files_per_trigger: int | None = None) -> DataFrame:
+    """The events table as a stream; its times have no zone and are taken as UTC."""
+    require_utc(spark)
     return file_stream(spark, path, schema, max_files_per_trigger)
+
+
+def arriving_table(spark: SparkSession, sf_dir: str, name: str, offset: str, batches: int = 3,
+                   files: int = 2, schema: T.StructType | None = None) -> DataFrame:
+    """A driver table as a stream that arrives in ``batches`` micro-batches, in the order of its
+    ``offset`` column (rows without one first): ranges of offsets are written one after the
+    other, ``files`` files each, to a folder under ``spark.checkpoint.dir``, and each trigger
+    reads as many files."""
+    require_utc(spark)
+    table = read_table(spark, sf_dir, name)
+    if schema is not None:
+        table = table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+    lo, hi = table.agg(F.min(offset), F.max(offset)).first()
+    lo, hi = (0, 0) if lo is None else (lo, hi)
+    edges = [lo + (hi - lo + 1) * k // batches for k in range(1, batches)]
+    path = scratch_path(spark, "arrivals", name)
+    place = F.coalesce(sum((F.col(offset) >= e).cast("int") for e in edges), F.lit(0)) if edges else F.lit(0)
+    for k in range(batches):
+        table.filter(place == k).repartition(files).write.mode("append").parquet(path)
+    return file_stream(spark, path, table.schema, files)

@@ -32,8 +32,10 @@ class LookupRun:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.output}/batches") \
                 .select(*schema.fieldNames())
-        except AnalysisException:
-            return self.spark.createDataFrame([], schema)
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], schema)  # no batch written yet
 
 
 def enrich_each_batch(spark: SparkSession, stream: DataFrame,

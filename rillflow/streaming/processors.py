@@ -2,9 +2,13 @@
 
 Each processor keeps small per-key state in Spark's state store (RocksDB provider,
 checkpointed) and is driven per micro-batch with the rows of one key. Rows of a key
-inside a micro-batch come in no particular order, so each processor sorts them by
-``(ts, seq)`` first. A micro-batch is bounded by the source's per-trigger cap, so so is
-the group a processor sees at once.
+inside a micro-batch come in no particular order, so each processor sorts them first, by
+``seq``, the offset: tables, as-of lookups and running state follow the order of arrival,
+whatever the rows' event times, so the result does not depend on how the input is cut into
+micro-batches. Event time counts only for windows, sessions and held output.
+
+A processor sees all rows of a key in a micro-batch at once; cap the source's rate
+(``maxOffsetsPerTrigger``, ``max_files_per_trigger``) to bound them.
 
 The same processors run on a batch DataFrame too (one pass, empty state).
 """
@@ -31,15 +35,14 @@ from pyspark.sql import types as T
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
-def _carry(is_change: pd.Series, values: pd.Series, start) -> pd.Series:
-    """The value current after each row: a change row sets it (null = deleted), other
-    rows keep the last one; ``start`` is the value before the batch."""
-    gone = object()
-    marks = pd.Series([None] * len(values), dtype=object)
-    marks[is_change.values] = [gone if pd.isna(v) else v for v in values[is_change]]
-    first = pd.Series([gone if start is None else start], dtype=object)
-    filled = pd.concat([first, marks], ignore_index=True).ffill().iloc[1:]
-    return filled.reset_index(drop=True).map(lambda v: None if v is gone else v)
+def _carry(is_change: np.ndarray, values: pd.Series, start):
+    """The value current after each row: a change row sets it (null = deleted), other rows keep
+    the last one; ``start`` is the value before the batch."""
+    pool = np.empty(len(values) + 1, dtype=object)
+    pool[0] = start
+    pool[1:] = values.astype(object).where(values.notna(), None)
+    last = np.maximum.accumulate(np.where(is_change, np.arange(1, len(values) + 1), 0))
+    return pool[last]
 
 
 def _rows(batches: Iterator[pd.DataFrame], order: list[str]) -> pd.DataFrame:
@@ -52,7 +55,7 @@ RUNNING_OUT = T.StructType([
     T.StructField("key", T.LongType()), T.StructField("seq", T.LongType()),
     T.StructField("ts", T.TimestampType()), T.StructField("cents", T.LongType()),
     T.StructField("running_cents", T.LongType()),
-])
+])  # cents: whole numbers, so that the sums are exact
 
 
 class RunningBalance(StatefulProcessor):
@@ -64,7 +67,7 @@ class RunningBalance(StatefulProcessor):
         self.balance = handle.getValueState("balance", "cents long")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, ["ts", "seq"])
+        pdf = _rows(rows, ["seq"])
         start = int(self.balance.get()[0]) if self.balance.exists() else 0
         pdf["running_cents"] = pdf["cents"].astype("int64").cumsum() + start
         self.balance.update((int(pdf["running_cents"].iloc[-1]),))
@@ -85,27 +88,35 @@ TABLE_JOIN_OUT = T.StructType([
 class TableJoin(StatefulProcessor):
     """Inner join of two tables given as one tagged changelog ``key, side (0 left,
     1 right), ts, seq, value`` (null value = delete). State holds both sides' current
-    values. Each change re-emits the joined value (here: the right side's value) when
+    values, and nothing once both are gone. Each change re-emits the joined value when
     both sides are present, and a delete when the pair was emitted before but one side
-    is now gone."""
+    is now gone. ``joiner`` makes the joined value from the arrays of left and right values;
+    the right side's value by default."""
+
+    def __init__(self, joiner=None) -> None:
+        self.joiner = joiner or (lambda left, right: right)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.sides = handle.getValueState(
             "sides", "left string, right string, emitted boolean")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, ["ts", "seq", "side"])
+        pdf = _rows(rows, ["seq", "side"])
         left, right, emitted = self.sides.get() if self.sides.exists() else (None, None, False)
-        lv = _carry(pdf["side"] == 0, pdf["value"], left)
-        rv = _carry(pdf["side"] == 1, pdf["value"], right)
-        both = (lv.notna() & rv.notna()).to_numpy()
+        lv = _carry((pdf["side"] == 0).to_numpy(), pdf["value"], left)
+        rv = _carry((pdf["side"] == 1).to_numpy(), pdf["value"], right)
+        both = pd.notna(lv) & pd.notna(rv)
         before = np.concatenate([[bool(emitted)], both[:-1]])
         send = both | before  # a joined value, or a delete after an emitted pair
-        self.sides.update((lv.iloc[-1], rv.iloc[-1], bool(both[-1])))
+        if lv[-1] is None and rv[-1] is None:
+            self.sides.clear()
+        else:
+            self.sides.update((lv[-1], rv[-1], bool(both[-1])))
         if send.any():
+            value = np.full(len(pdf), None, dtype=object)
+            value[both] = self.joiner(lv[both], rv[both])
             yield pd.DataFrame({"key": key[0], "ts": pdf["ts"].values[send],
-                                "seq": pdf["seq"].values[send],
-                                "value": rv.where(pd.Series(both), None).values[send],
+                                "seq": pdf["seq"].values[send], "value": value[send],
                                 "deleted": ~both[send]})
 
     def close(self) -> None:
@@ -130,12 +141,13 @@ class GroupDeltas(StatefulProcessor):
         self.current = handle.getValueState("current", "grp string")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, ["ts", "seq"])
+        pdf = _rows(rows, ["seq"])
         cur = self.current.get()[0] if self.current.exists() else None
         vals = pdf["value"].astype(object).where(pdf["value"].notna(), None)
         prev = vals.shift(1).astype(object)
         prev.iloc[0] = cur
-        changed = [a != b for a, b in zip(vals, prev)]
+        codes = pd.factorize(np.concatenate([vals.to_numpy(), prev.to_numpy()]))[0]
+        changed = codes[:len(vals)] != codes[len(vals):]
         ch = pdf.loc[changed, ["seq"]].assign(old=prev[changed].values, new=vals[changed].values)
         minus = ch[ch["old"].notna()].assign(group=lambda d: d["old"], delta=-1)
         plus = ch[ch["new"].notna()].assign(group=lambda d: d["new"], delta=1)
@@ -170,20 +182,20 @@ class AsOfLookup(StatefulProcessor):
         self.info = handle.getValueState("info", "info string")
 
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, ["ts", "seq", "side"])
+        pdf = _rows(rows, ["seq", "side"])
         cur = self.info.get()[0] if self.info.exists() else None
-        table_rows = pdf["side"] == 0
+        table_rows = (pdf["side"] == 0).to_numpy()
         filled = _carry(table_rows, pdf["info"], cur)
-        last = filled.iloc[-1]
+        last = filled[-1]
         if last is None:
             self.info.clear()
         else:
             self.info.update((last,))
-        rows_out = ~table_rows.values
+        rows_out = ~table_rows
         if rows_out.any():
             yield pd.DataFrame({"key": key[0], "seq": pdf["seq"].values[rows_out],
                                 "payload": pdf["payload"].values[rows_out],
-                                "info": filled.values[rows_out]})
+                                "info": filled[rows_out]})
 
     def close(self) -> None:
         pass
@@ -197,61 +209,86 @@ SUPPRESS_OUT = T.StructType([
 
 
 class HoldNewest(StatefulProcessor):
-    """Rate-limited table output: updates of a key are held, only the newest is kept,
-    and it is emitted once event time (the watermark) passes the first held update's
-    time plus ``limit_ms``; then the hold starts over. ``max_held`` bounds how many
-    updates one key may absorb before it is flushed early (the buffer-full rule, by row
-    count instead of bytes). Input ``key, ts, t_ms, seq, value`` (null value = delete;
-    ``t_ms`` is the event time in epoch milliseconds, computed in Spark so it does not
-    depend on the session time zone)."""
-
-    def __init__(self, limit_ms: int, max_held: int = 1_000_000) -> None:
+    """Rate-limited table output, by event time alone. A hold of a key opens at its first row,
+    at time t; the newest row before t + ``limit_ms`` is emitted, and the next row from then on
+    opens the next hold. A hold is settled once the watermark passes its end, when all rows
+    that count have arrived, so what is emitted does not depend on how the input is cut into
+    micro-batches: updates at 0, 30, 70, 200 and 400 s with a limit of 60 s give those at 30,
+    70, 200 and 400 s.
+
+    Rows that wait for the watermark are held in state: of each hold that is full, only what
+    later rows could still change. ``max_bytes`` bounds them per key: beyond it all holds but
+    the last are settled early, as the rows held so far say. Input ``key, ts, t_ms, seq,
+    value`` (null value = delete; ``t_ms`` is the event time in epoch milliseconds, computed in
+    Spark so it does not depend on the session time zone)."""
+
+    def __init__(self, limit_ms: int, max_bytes: int = 100_000) -> None:
         self.limit_ms = int(limit_ms)
-        self.max_held = int(max_held)
+        self.max_bytes = int(max_bytes)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.held = handle.getValueState(
-            "held", "value string, deleted boolean, seq long, n long, due long")
-
-    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
-        pdf = _rows(rows, ["ts", "seq"])
-        value, deleted, seq, n, due = self.held.get() if self.held.exists() else \
-            (None, False, -1, 0, -1)
-        if n + len(pdf) < self.max_held:
-            # the buffer cannot fill in this batch: keep the newest row, start the hold
-            # at the first row if none is running
-            v = pdf["value"].iloc[-1]
-            if due < 0:
-                due = int(pdf["t_ms"].iloc[0]) + self.limit_ms
-                self.handle.registerTimer(due)
-            self.held.update((None if pd.isna(v) else v, bool(pd.isna(v)),
-                              int(pdf["seq"].iloc[-1]), n + len(pdf), due))
-            return
-        out = []
-        for t_ms, s, v in zip(pdf["t_ms"], pdf["seq"], pdf["value"]):
-            value, deleted, seq = (None if pd.isna(v) else v), bool(pd.isna(v)), int(s)
-            n += 1
-            if due < 0:
-                due = int(t_ms) + self.limit_ms
+        self.held = handle.getListState("held", "t long, seq long, value string")
+        self.open = handle.getValueState("open", "start long, timer long")
+
+    def _settle(self, key, pdf: pd.DataFrame, start: int, upto: int):
+        """Emits the holds that end by ``upto``; (their rows, the rest, its start)."""
+        t = pdf["t"].to_numpy()
+        out, a = [], 0
+        while a < len(t):
+            start = int(t[a]) if start < 0 else start
+            due = start + self.limit_ms
+            b = int(np.searchsorted(t, due))
+            if due > upto:
+                break
+            out.append(b - 1)
+            a, start = b, -1
+        done = pdf.iloc[out]
+        rows = pd.DataFrame({"key": key[0], "value": done["value"].to_numpy(), "deleted": done["value"].isna().to_numpy(),
+                             "seq": done["seq"].to_numpy()}, columns=SUPPRESS_OUT.fieldNames())
+        return rows, pdf.iloc[a:], start
+
+    def _go(self, key, pdf: pd.DataFrame, watermark: int) -> Iterator[pd.DataFrame]:
+        start, timer = self.open.get() if self.open.exists() else (-1, -1)
+        if start >= 0 and len(pdf) and int(pdf["t"].iloc[0]) < start:
+            start = int(pdf["t"].iloc[0])  # an earlier row came later: the hold began with it
+        out, rest, start = self._settle(key, pdf, start, watermark)
+        size = int(rest["value"].astype(object).map(lambda v: 16 + (0 if v is None or v != v else len(v))).sum())
+        if size > self.max_bytes:
+            early, rest, start = self._settle(key, rest, start, int(rest["t"].iloc[-1]))
+            out = pd.concat([out, early], ignore_index=True)
+        if len(rest):
+            # once no earlier row can come the hold's end is fixed, and of the rows before it
+            # only the newest counts
+            inside = int(np.searchsorted(rest["t"].to_numpy(), start + self.limit_ms))
+            rest = rest.iloc[max(0, inside - 1) if start <= watermark else 0:]
+            self.held.put([(int(t), int(s), None if v is None or v != v else v)
+                           for t, s, v in zip(rest["t"], rest["seq"], rest["value"])])
+            due = start + self.limit_ms
+            if due != timer:
+                if timer >= 0 and timer > watermark:
+                    self.handle.deleteTimer(timer)
                 self.handle.registerTimer(due)
-            if n >= self.max_held:  # buffer full: flush early
-                out.append((key[0], value, deleted, seq))
-                self.handle.deleteTimer(due)
-                n, due = 0, -1
-        if n == 0:
-            self.held.clear()
+            self.open.update((start, due))
         else:
-            self.held.update((value, deleted, seq, n, due))
-        if out:
-            yield pd.DataFrame(out, columns=SUPPRESS_OUT.fieldNames())
+            self.held.clear()
+            self.open.clear()
+        if len(out):
+            yield out
+
+    def _held(self) -> pd.DataFrame:
+        rows = list(self.held.get()) if self.held.exists() else []
+        return pd.DataFrame(rows, columns=["t", "seq", "value"])
+
+    def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows), ignore_index=True)[["t_ms", "seq", "value"]].set_axis(["t", "seq", "value"], axis=1)
+        held = self._held()
+        pdf = pd.concat([held, new], ignore_index=True) if len(held) else new
+        pdf = pdf.sort_values(["t", "seq"], kind="stable", ignore_index=True)
+        yield from self._go(key, pdf, timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        if self.held.exists():
-            value, deleted, seq, _n, _due = self.held.get()
-            self.held.clear()
-            yield pd.DataFrame([(key[0], value, deleted, seq)],
-                               columns=SUPPRESS_OUT.fieldNames())
+        yield from self._go(key, self._held(), timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass

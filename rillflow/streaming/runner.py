@@ -29,12 +29,9 @@ from rillflow.session import scratch_path
 from rillflow.sinks.tables import upsert_snapshot
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    try:
-        spark.read.parquet(path).schema
-        return True
-    except AnalysisException:
-        return False
+def _missing(e: AnalysisException) -> bool:
+    """Whether the folder is not there, as before the first batch; anything else is an error."""
+    return e.getCondition() == "PATH_NOT_FOUND"
 
 
 @dataclass
@@ -64,7 +61,9 @@ class StreamRun:
                        else (f"{self.output}/batches", "__b"))
         try:
             return self.spark.read.parquet(folder).agg(F.max(col)).first()[0]
-        except AnalysisException:
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
             return None
 
     def result(self) -> DataFrame:
@@ -79,8 +78,10 @@ class StreamRun:
             return self.spark.read.parquet(f"{self.output}/snapshots/v={last}").select(*names)
         try:
             batches = self.spark.read.parquet(f"{self.output}/batches")
-        except AnalysisException:  # no batch written yet
-            return self.spark.createDataFrame([], self.schema)
+        except AnalysisException as e:
+            if not _missing(e):
+                raise
+            return self.spark.createDataFrame([], self.schema)  # no batch written yet
         if self.mode == "complete":
             # each batch holds the whole result: only the last committed one is read
             last = self.last_batch()
@@ -90,7 +91,7 @@ class StreamRun:
         batches = batches.select(*names, "__batch")
         values = [c for c in names if c not in self.key_cols]
         return latest_per_key(batches, self.key_cols, values, ["__batch"],
-                              tombstone=F.lit(False)).select(*names)
+                              tombstone=F.lit(False), null_keys=True).select(*names)
 
 
 def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append",
@@ -111,12 +112,11 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
         values = [c for c in schema.fieldNames() if c not in key_cols]
 
         def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-            # version v=<id> = version v=<id-1> merged with this batch's rows; a
-            # replayed batch rewrites the same version from the same inputs
+            # version v=<id> = version v=<id-1> merged with this batch's rows; a replayed
+            # batch rewrites the same version from the same inputs. A version before this
+            # one that cannot be read raises: going on without it would lose its keys.
             prev = f"{out}/snapshots/v={batch_id - 1}" if batch_id > 0 else None
             rows = batch.withColumn("__batch", F.lit(batch_id).cast("long"))
-            if prev is not None and not _exists(spark, prev):
-                prev = None
             upsert_snapshot(spark, prev, rows, key_cols, values, "__batch",
                             f"{out}/snapshots/v={batch_id}")
 
