@@ -9,46 +9,59 @@ from pyspark.sql import types as T
 CORRUPT = "_corrupt_record"
 
 
-def lenient_int(text: Column | str) -> Column:
-    """Integer from JSON text the lenient way: ``7`` and ``"7"`` give 7, text that is
-    not a number and a missing field give 0."""
+#: Largest value of each integer type.
+_TOP = {T.ByteType: 2**7 - 1, T.ShortType: 2**15 - 1, T.IntegerType: 2**31 - 1, T.LongType: 2**63 - 1}
+
+
+def lenient_int(text: Column | str, to: T.DataType | None = None) -> Column:
+    """Integer of type ``to`` (int by default) from JSON text the lenient way: ``7``, ``"7"``,
+    ``7.9`` and ``"7.5"`` give 7 (cut towards zero); text that is no number, a missing field and
+    a number that the type does not hold give 0."""
+    to = to or T.IntegerType()
     c = F.col(text) if isinstance(text, str) else text
-    return F.coalesce(F.trim(c).try_cast("int"), F.lit(0))
+    number = F.trim(c).try_cast("decimal(38,10)")
+    whole = F.when(number < 0, F.ceil(number)).otherwise(F.floor(number))
+    top = F.lit(str(_TOP[type(to)])).cast("decimal(38,0)")
+    held = whole.between(-top - 1, top)
+    return F.coalesce(F.when(held, whole).cast(to), F.lit(0).cast(to))
 
 
-def decode_json(df: DataFrame, value_col: str, schema: T.StructType,
-                lenient_ints: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Parse ``value_col`` (JSON text or bytes) into the fields of ``schema``.
+def parse_json(df: DataFrame, value_col: str, schema: T.StructType, lenient_ints: bool = False,
+               bad: str = "bad_record") -> DataFrame:
+    """``df`` with ``value_col`` (JSON text or bytes) replaced by the fields of ``schema`` and by
+    ``bad``: the raw text where it is not readable JSON, else null. The text is parsed once;
+    both sides of the split are filters on ``bad``, on a stream too.
 
-    Returns ``(good, dead_letter)``. Rows whose value is not readable JSON go to the
-    dead-letter frame with the raw text; the rest keep every other column plus the
-    schema's fields. With ``lenient_ints`` every integer field is read as text and
-    converted with :func:`lenient_int`. A null value (tombstone) stays a good row with
-    null fields.
+    With ``lenient_ints`` every integer field is read as text and converted with
+    :func:`lenient_int`. A null value (tombstone) is a good row with null fields.
     """
     raw = F.col(value_col).cast("string")
-    fields = []
-    for f in schema.fields:
-        if lenient_ints and isinstance(f.dataType, (T.IntegerType, T.LongType)):
-            fields.append(T.StructField(f.name, T.StringType(), True))
-        else:
-            fields.append(f)
-    read_schema = T.StructType(fields + [T.StructField(CORRUPT, T.StringType(), True)])
+    whole = lambda f: lenient_ints and type(f.dataType) in _TOP
+    read_schema = T.StructType([T.StructField(f.name, T.StringType() if whole(f) else f.dataType, True)
+                                for f in schema.fields] + [T.StructField(CORRUPT, T.StringType(), True)])
     parsed = df.withColumn("__raw", raw).withColumn(
         "__parsed", F.from_json("__raw", read_schema,
                                 {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
-    bad_cond = F.col("__raw").isNotNull() & (
-        F.col("__parsed").isNull() | F.col(f"__parsed.{CORRUPT}").isNotNull())
-    others = [c for c in df.columns if c != value_col]
+    unread = F.col("__raw").isNotNull() & (F.col("__parsed").isNull() | F.col(f"__parsed.{CORRUPT}").isNotNull())
     outs = []
     for f in schema.fields:
         v = F.col(f"__parsed.{f.name}")
-        if lenient_ints and isinstance(f.dataType, (T.IntegerType, T.LongType)):
-            v = F.when(F.col("__raw").isNotNull(), lenient_int(v)).cast(f.dataType)
+        if whole(f):
+            v = F.when(F.col("__raw").isNotNull() & ~unread, lenient_int(v, f.dataType))
         outs.append(v.alias(f.name))
-    good = parsed.filter(~bad_cond).select(*others, *outs)
-    dead = parsed.filter(bad_cond).select(*others, F.col("__raw").alias(value_col))
-    return good, dead
+    others = [c for c in df.columns if c != value_col]
+    return parsed.select(*others, *outs, F.when(unread, F.col("__raw")).alias(bad))
+
+
+def decode_json(df: DataFrame, value_col: str, schema: T.StructType,
+                lenient_ints: bool = False) -> tuple[DataFrame, DataFrame]:
+    """``(good, dead_letter)`` of :func:`parse_json`: good rows with the schema's fields, and bad
+    ones with the raw text. Two frames are two reads of the input; where one pass matters, as
+    on a stream, take :func:`parse_json` and split its result downstream."""
+    parsed = parse_json(df, value_col, schema, lenient_ints, "__bad")
+    others = [c for c in df.columns if c != value_col]
+    return (parsed.filter(F.col("__bad").isNull()).drop("__bad"),
+            parsed.filter(F.col("__bad").isNotNull()).select(*others, F.col("__bad").alias(value_col)))
 
 
 def encode_json(*cols: Column | str) -> Column:

@@ -16,8 +16,9 @@ def _c(c: Column | str) -> Column:
 
 
 def parse_iso(text: Column | str) -> Column:
-    """ISO-8601 instant text (``2024-01-01T00:00:07.179Z``) to a timestamp."""
-    return F.to_timestamp(_c(text))
+    """ISO-8601 instant text (``2024-01-01T00:00:07.179Z``) to a timestamp; null for other text,
+    which the caller sends to its dead letters."""
+    return F.try_to_timestamp(_c(text))
 
 
 def epoch_millis(ts: Column | str) -> Column:
@@ -48,3 +49,8 @@ def money(amount: Column | str) -> Column:
     """Amounts with at most two decimals as DECIMAL(18,2): sums are exact and equal
     in every engine, whatever the order of addition."""
     return _c(amount).cast("decimal(18,2)")
+
+
+def from_cents(cents: Column | str) -> Column:
+    """Whole cents as an exact decimal amount."""
+    return (_c(cents).cast("decimal(28,0)") * F.lit("0.01").cast("decimal(3,2)")).cast("decimal(28,2)")

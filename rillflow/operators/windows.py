@@ -105,44 +105,3 @@ def closed_windows(result: DataFrame, max_event_time: Column, grace_seconds: int
     the batch result over the same input."""
     return result.filter(F.col(end_col) + F.expr(f"INTERVAL {int(grace_seconds)} SECONDS")
                          <= max_event_time)
-
-
-def stream_time(df: DataFrame, ts: str, seq: str, chunk_width: int = 1_000_000,
-                out: str = "__stream_time") -> DataFrame:
-    """Each row with the largest event time seen up to and including it in arrival
-    order ``seq`` (a dense offset): the stream time a record-at-a-time engine observes.
-
-    Two-level running max, so no task sorts the whole input: inside chunks of
-    ``chunk_width`` consecutive offsets a window gives the running max; the chunks'
-    maxima (one row per chunk, few) carry it across chunks.
-    """
-    d = df.withColumn("__chunk", F.floor(F.col(seq) / F.lit(chunk_width)).cast("long"))
-    w_in = (Window.partitionBy("__chunk").orderBy(seq)
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    d = d.withColumn("__in", F.max(ts).over(w_in))
-    chunks = df.select(F.floor(F.col(seq) / F.lit(chunk_width)).cast("long").alias("__chunk"),
-                       ts).groupBy("__chunk").agg(F.max(ts).alias("__cmax"))
-    # one row per chunk: a single ordered pass over the chunk maxima is small
-    w_c = Window.orderBy("__chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = chunks.withColumn("__prev", F.max("__cmax").over(w_c)).select("__chunk", "__prev")
-    return (d.join(carry, "__chunk", "left")
-            .withColumn(out, F.greatest("__in", "__prev"))
-            .drop("__chunk", "__in", "__prev"))
-
-
-def windowed_count_with_grace(df: DataFrame, key: str, ts: str, seq: str, size: str,
-                              grace_seconds: int, slide: str | None = None,
-                              out: str = "count", chunk_width: int = 1_000_000) -> DataFrame:
-    """Tumbling (or, with ``slide``, hopping) counts that drop late records the way a
-    record-at-a-time engine does: a record is left out of a window once that window's
-    end + grace is at or before the stream time (the largest event time seen so far in
-    arrival order ``seq``, this record included). Each window of a hopping record is
-    judged on its own. The batch twin of a grace period, exact per record, where a
-    streaming watermark moves per micro-batch."""
-    st = stream_time(df.select(key, ts, seq), ts, seq, chunk_width)
-    win = F.window(ts, size, slide) if slide else F.window(ts, size)
-    grace = F.expr(f"INTERVAL {int(grace_seconds)} SECONDS")
-    kept = st.select(key, win.alias("__w"), "__stream_time") \
-        .filter(F.col("__w.end") + grace > F.col("__stream_time"))
-    g = kept.groupBy(key, "__w").agg(F.count(F.lit(1)).alias(out))
-    return _flat(g, key, "__w", out, False)

@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from rillflow.functions.text import java_split_words
-from rillflow.operators.aggregates import balance_fold, balance_reduce, count_by, regroup_count
-from rillflow.operators.tables import latest_per_key
+from rillflow.operators.aggregates import balance_fold, balance_reduce, count_by
 from rillflow.sources.tables import read_table
 
 
@@ -20,22 +19,30 @@ def word_count(lines: DataFrame, text: str = "text") -> DataFrame:
 
 
 def word_count_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return word_count(read_table(spark, sf_dir, "documents", ["text"], spread=True))
+    return word_count(read_table(spark, sf_dir, "documents", ["text"]))
 
 
-def favourite_colour(changes: DataFrame, user: str, colour: str, order: list[str],
+def favourite_colour(changes: DataFrame, user: str, colour: str, order: str,
                      keep_zero: bool = True) -> DataFrame:
     """Users per *current* colour: the latest colour of each user, counted per colour.
     A user who changes colour moves from the old count to the new one; colours that
-    fell to zero stay with 0 when ``keep_zero``."""
-    current = latest_per_key(changes, user, [colour], order)
-    universe = changes.select(colour).filter(F.col(colour).isNotNull()) if keep_zero else None
-    return regroup_count(current, colour, universe).withColumnRenamed(colour, "colour")
+    fell to zero stay with 0 when ``keep_zero``.
+
+    One pass: the newest ``order`` of each (user, colour) is a hash aggregate that combines on
+    the map side; among a user's few colours the newest is the current one, and the colours
+    with none left are the zero rows.
+    """
+    newest = changes.groupBy(user, colour).agg(F.max(order).alias("__at"))
+    last = Window.partitionBy(user).orderBy(F.col("__at").desc())
+    current = F.col(user).isNotNull() & (F.row_number().over(last) == 1)
+    counts = newest.withColumn("__current", current).filter(F.col(colour).isNotNull()) \
+        .groupBy(F.col(colour).alias("colour")).agg(F.count_if("__current").alias("count"))
+    return counts if keep_zero else counts.filter("count > 0")
 
 
 def favourite_colour_on_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "event_type"])
-    return favourite_colour(ev, "user_id", "event_type", ["event_id"])
+    return favourite_colour(ev, "user_id", "event_type", "event_id")
 
 
 def _balance_input(spark, sf_dir):

@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rillflow.functions.time import as_event_time
+from rillflow.functions.time import as_event_time, from_cents, money
 from rillflow.operators.tables import latest_per_key
 from rillflow.plans.balances import ORACLE as BALANCE_SQL
 from rillflow.plans.counting import ORACLE as COUNT_SQL
@@ -16,16 +16,14 @@ from rillflow.plans.enrich import ORACLE as ENRICH_SQL
 from rillflow.plans.enrich import enriched_text
 from rillflow.plans.ranking import ORACLE as RANK_SQL
 from rillflow.plans.ranking import top3_order
-from rillflow.plans.table_ops import watch_list
-from rillflow.plans.table_ops import ORACLE as TABLE_SQL
+from rillflow.plans.table_ops import WATCH_SQL, watch_list
 from rillflow.plans.windowed import ORACLE as WINDOW_SQL
 from rillflow.plans.windowed import SESSION_GAP_SECONDS
 from rillflow.sources.tables import (
     EVENTS_SCHEMA,
-    event_stream,
+    arriving_table,
     file_stream,
     read_table,
-    stream_path,
 )
 from rillflow.streaming import stateful as S
 from rillflow.streaming.runner import run_stream
@@ -34,10 +32,11 @@ from rillflow.streaming.runner import run_stream
 # time runs two minutes behind the newest event (the grace).
 HOLD_MS = 60_000
 GRACE = "2 minutes"
+GRACE_MS = 120_000
 
 
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    return arriving_table(spark, sf_dir, "events", "event_id", schema=EVENTS_SCHEMA)
 
 
 def running_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -45,13 +44,13 @@ def running_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = _events(spark, sf_dir).select(
         F.col("user_id").alias("key"), F.col("event_id").alias("seq"),
         as_event_time("ts").alias("ts"),
-        F.round(F.col("value") * 100).cast("long").alias("cents"))
+        (money("value") * 100).cast("long").alias("cents"))
     res = run_stream(spark, S.running_balance(ev), "running_balance").wait().result()
     return res.select(
         F.col("key").alias("user_id"), F.col("seq").alias("event_id"),
         F.col("ts").cast("timestamp_ntz").alias("ts"),
-        (F.col("cents") / 100).cast("decimal(18,2)").alias("amount"),
-        (F.col("running_cents") / 100).cast("decimal(28,2)").alias("running_bal"))
+        from_cents("cents").cast("decimal(18,2)").alias("amount"),
+        from_cents("running_cents").cast("decimal(28,2)").alias("running_bal"))
 
 
 def latest_login_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +104,19 @@ def stock_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stock filter with its emission held one minute of event time per key: the
     table is filtered (a failing update becomes a delete), updates are held, and the
     newest is sent once the watermark passes the first held update + 1 minute."""
+    table = latest_per_key(_stock_emissions(spark, sf_dir), "key", ["value", "deleted"], ["seq"],
+                           tombstone=F.col("deleted"))
+    return table.select(F.col("key").alias("user_id"), F.col("value").alias("event_type"))
+
+
+def stock_filter_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every emission of the held stock filter, deletes included."""
+    return _stock_emissions(spark, sf_dir).select(
+        F.col("key").alias("user_id"), F.col("seq").alias("event_id"),
+        F.col("value").alias("event_type"), "deleted")
+
+
+def _stock_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.use_rocksdb_state(spark)
     ev = (_events(spark, sf_dir).withColumn("__et", as_event_time("ts"))
           .withWatermark("__et", GRACE))
@@ -113,32 +125,52 @@ def stock_filter_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("user_id").alias("key"), F.col("__et").alias("ts"),
         F.col("event_id").alias("seq"),
         F.when(F.length("event_type") > 0, F.col("event_type")).alias("value"))
-    out = run_stream(spark, S.hold_newest(changes, HOLD_MS), "stock_filter").wait().result()
-    table = latest_per_key(out, "key", ["value", "deleted"], ["seq"], tombstone=F.col("deleted"))
-    return table.select(F.col("key").alias("user_id"), F.col("value").alias("event_type"))
+    return run_stream(spark, S.hold_newest(changes, HOLD_MS), "stock_filter").wait().result()
 
 
 def top3_news_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Clicks as a stream joined with the static inventory table, counted per type,
-    top 3 kept in complete mode (the only mode Spark allows for a sorted aggregate)."""
-    clicks = file_stream(spark, stream_path(sf_dir, "lineitem"),
-                         read_table(spark, sf_dir, "lineitem").schema).select("l_partkey")
+    """Clicks are counted per inventory id in state (update mode), so a micro-batch meets the
+    inventory only with the ids whose counts changed; counts per type, and the top 3, come
+    from the table of counts."""
+    clicks = arriving_table(spark, sf_dir, "lineitem", "l_orderkey").select("l_partkey")
+    counts = clicks.filter(F.col("l_partkey").isNotNull()).groupBy("l_partkey").agg(
+        F.count(F.lit(1)).alias("clicks"))
+    now = run_stream(spark, counts, "top3_news", mode="update", key_cols=["l_partkey"]).wait().result()
     inv = read_table(spark, sf_dir, "part", ["p_partkey", "p_type"])
-    counts = (clicks.join(inv, clicks["l_partkey"] == inv["p_partkey"])
-              .groupBy(F.col("p_type").alias("news_type"))
-              .agg(F.count(F.lit(1)).alias("clicks")))
-    ranked = counts.orderBy(*top3_order()).limit(3)
-    return run_stream(spark, ranked, "top3_news", mode="complete").wait().result()
-
+    by_type = now.join(inv, now["l_partkey"] == inv["p_partkey"]) \
+        .groupBy(F.col("p_type").alias("news_type")).agg(F.sum("clicks").alias("clicks"))
+    return by_type.orderBy(*top3_order()).limit(3)
+
+
+# holds by event time: one opens at the first row from the last one's end on; the newest row
+# before its end goes out if the watermark has passed it
+_EMISSIONS = f"""
+    WITH RECURSIVE w AS (
+        SELECT user_id, event_id, epoch_us(ts) // 1000 AS t,
+               CASE WHEN length(event_type) > 0 THEN event_type END AS event_type
+        FROM events WHERE user_id IN ({WATCH_SQL})),
+    holds(user_id, start) AS (
+        SELECT user_id, min(t) FROM w GROUP BY user_id
+        UNION ALL
+        SELECT h.user_id, (SELECT min(w.t) FROM w WHERE w.user_id = h.user_id AND w.t >= h.start + {HOLD_MS})
+        FROM holds h WHERE h.start IS NOT NULL)
+    SELECT h.user_id, arg_max(w.event_id, (w.t, w.event_id)) AS event_id,
+           arg_max_null(w.event_type, (w.t, w.event_id)) AS event_type,
+           arg_max_null(w.event_type, (w.t, w.event_id)) IS NULL AS deleted
+    FROM holds h JOIN w ON w.user_id = h.user_id AND w.t >= h.start AND w.t < h.start + {HOLD_MS}
+    WHERE h.start + {HOLD_MS} <= (SELECT epoch_us(max(ts)) // 1000 FROM events) - {GRACE_MS}
+    GROUP BY h.user_id, h.start"""
 
 ORACLE = {
     "running_balance_stream": BALANCE_SQL["running_balance"],
     "latest_login_stream": ENRICH_SQL["latest_login"],
     "favourite_colour_stream": COUNT_SQL["favourite_colour"],
     "purchase_asof_left_stream": ENRICH_SQL["purchase_asof_left"],
-    # every watched key's first update is far more than hold + grace before the last
-    # event, so every hold has been released by the end
-    "stock_filter_stream": TABLE_SQL["stock_filter"],
+    "stock_filter_stream": f"""
+        SELECT user_id, event_type FROM (
+            SELECT user_id, arg_max(event_type, event_id) AS event_type, arg_max(deleted, event_id) AS deleted
+            FROM ({_EMISSIONS}) GROUP BY user_id) WHERE NOT deleted""",
+    "stock_filter_changes_stream": _EMISSIONS,
     "top3_news_stream": RANK_SQL["top3_news"],
 }
 
@@ -148,6 +180,7 @@ QUERIES = {
     "favourite_colour_stream": favourite_colour_stream,
     "purchase_asof_left_stream": purchase_asof_left_stream,
     "stock_filter_stream": stock_filter_stream,
+    "stock_filter_changes_stream": stock_filter_changes_stream,
     "top3_news_stream": top3_news_stream,
 }
 

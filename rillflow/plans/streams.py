@@ -30,13 +30,7 @@ from rillflow.plans.windowed import (
     SESSION_GAP_SECONDS,
     TUMBLE,
 )
-from rillflow.sources.tables import (
-    EVENTS_SCHEMA,
-    event_stream,
-    file_stream,
-    read_table,
-    stream_path,
-)
+from rillflow.sources.tables import EVENTS_SCHEMA, arriving_table
 from rillflow.streaming.lookup import enrich_each_batch
 from rillflow.streaming.runner import run_stream
 from rillflow.streaming.state import read_state
@@ -44,9 +38,12 @@ from rillflow.streaming.state import read_state
 GRACE_SECONDS = 120
 
 
+def _arriving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return arriving_table(spark, sf_dir, "events", "event_id", schema=EVENTS_SCHEMA)
+
+
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA) \
-        .select("user_id", "ts")
+    return _arriving(spark, sf_dir).select("user_id", "ts")
 
 
 def tumbling_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,8 +93,7 @@ JOIN_GRACE = "24 hours"
 def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running word counts in update mode: each batch sends the words whose count
     changed; the sink's table is the newest count per word."""
-    docs = file_stream(spark, stream_path(sf_dir, "documents"),
-                       read_table(spark, sf_dir, "documents").schema).select("text")
+    docs = arriving_table(spark, sf_dir, "documents", "doc_id").select("text")
     return run_stream(spark, word_count(docs), "word_count", mode="update",
                       key_cols=["word"]).wait().result()
 
@@ -105,7 +101,7 @@ def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 def bank_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The balance fold in update mode into a compacted output: each batch is merged
     into the newest-row-per-user snapshot, written as a new version."""
-    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA) \
+    ev = _arriving(spark, sf_dir) \
         .select("user_id", "value", "ts")
     agg = balance_fold(ev, "user_id", "value", "ts", "txn_count", "balance", "last_time")
     return run_stream(spark, agg, "bank_balance", mode="upsert",
@@ -114,7 +110,7 @@ def bank_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def recharge_match_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream x stream join within five minutes, both sides watermarked (append)."""
-    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA) \
+    ev = _arriving(spark, sf_dir) \
         .withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", JOIN_GRACE)
 
     def side(t):
@@ -129,7 +125,7 @@ def recharge_match_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def purchase_enrich_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream x static table, left (append): each purchase looks up the user table."""
-    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    ev = _arriving(spark, sf_dir)
     purchases = ev.filter(F.col("event_type") == "purchase").select(
         "user_id", "event_id",
         F.concat("event_type", F.lit("("), F.col("event_id").cast("string"), F.lit(")"))
@@ -158,7 +154,7 @@ QUERIES.update({
 def purchase_enrich_refresh_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Stream x table, left, with the user table read again for every micro-batch, so a
     changing table is seen as it is when each batch runs."""
-    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    ev = _arriving(spark, sf_dir)
     purchases = ev.filter(F.col("event_type") == "purchase").select(
         "user_id", "event_id",
         F.concat("event_type", F.lit("("), F.col("event_id").cast("string"), F.lit(")"))
@@ -204,7 +200,7 @@ def latest_table_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     streaming ``max_by`` aggregation in update mode. Deletes are kept as rows in the
     output (a key whose newest change is a delete must leave the table downstream);
     the sink's table drops them after compaction."""
-    ev = event_stream(spark, stream_path(sf_dir, "events"), EVENTS_SCHEMA)
+    ev = _arriving(spark, sf_dir)
     table = latest_per_key(ev, "user_id", ["event_type"], ["event_id"], keep_deletes=True)
     out = run_stream(spark, table, "latest_table", mode="update", key_cols=["user_id"]) \
         .wait().result()

@@ -23,10 +23,11 @@ def stock_filter(changes: DataFrame, key: str, value: str, order: list[str],
     Catalyst moves below the aggregation into the scan) or a DataFrame of keys in a
     column named like ``key`` (a left-semi join; Spark broadcasts it only when its size
     check allows)."""
-    table = latest_per_key(changes, key, [value], order)
     if isinstance(keep_keys, DataFrame):
-        table = table.join(keep_keys.select(key).distinct(), key, "left_semi")
-        return filter_table(table, F.length(value) > 0)
+        # on the grouping key, so it commutes with the aggregate: unwatched rows go first
+        changes = changes.join(keep_keys.select(key).distinct(), key, "left_semi")
+        return filter_table(latest_per_key(changes, key, [value], order), F.length(value) > 0)
+    table = latest_per_key(changes, key, [value], order)
     return filter_table(table, F.col(key).isin(*keep_keys) & (F.length(value) > 0))
 
 

@@ -39,3 +39,21 @@ def test_upper_all_and_ntz_input(spark):
     ntz = spark.createDataFrame([(datetime(2024, 1, 1, 0, 0, 1),)], "ts timestamp_ntz")
     assert ntz.select(format_iso_millis(F.col("ts")).alias("i")).first().i == \
         "2024-01-01T00:00:01.000Z"
+
+
+def test_bad_time_text_is_null_and_cents_are_exact(spark):
+    from rillflow.functions.time import from_cents
+    df = spark.createDataFrame([("soon", 9007199254740993), (None, -5)], "t string, c long")
+    got = df.select(parse_iso("t").alias("ts"), from_cents("c").cast("string").alias("m")).collect()
+    assert [(r.ts, r.m) for r in got] == [(None, "90071992547409.93"), (None, "-0.05")]
+
+
+def test_a_session_in_another_zone_is_refused(spark):
+    import pytest
+
+    from rillflow.session import require_utc
+    require_utc(spark)
+    other = spark.newSession()
+    other.conf.set("spark.sql.session.timeZone", "America/New_York")
+    with pytest.raises(ValueError):
+        require_utc(other)

@@ -5,6 +5,7 @@ import os
 from datetime import datetime, timedelta
 
 import pyarrow as pa
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import rows, write_batches
@@ -158,7 +159,7 @@ def test_hold_newest_emits_after_limit(spark, tmp_dir):
     ch = ch.withWatermark("ts", "10 seconds")
     out = run_stream(spark, S.hold_newest(ch, 60_000), "hold",
                      base=os.path.join(tmp_dir, "run")).wait().result()
-    # HDFC's three updates collapse into one emission of the newest; AXIS is still held
+    # HDFC's three updates are in one hold and give the newest; AXIS is still held
     assert rows(out, "key", "value", "seq") == [("HDFC", "12", 3)]
 
 
@@ -185,14 +186,74 @@ def test_live_sessions_merge_sends_deletes(spark, tmp_dir):
 def test_hold_newest_flushes_early_when_full(spark, tmp_dir):
     S.use_rocksdb_state(spark)
     ch = _changes(spark, tmp_dir, [
-        [{"key": "HDFC", "ts": at(0), "seq": 1, "value": "10"},
-         {"key": "HDFC", "ts": at(1), "seq": 2, "value": "11"},
-         {"key": "HDFC", "ts": at(2), "seq": 3, "value": "12"}]])
+        [{"key": "HDFC", "ts": at(70 * i), "seq": i, "value": "x" * 30} for i in range(4)]])
     ch = ch.withWatermark("ts", "1 hour")
-    out = run_stream(spark, S.hold_newest(ch, 60_000, max_held=2), "full",
+    out = run_stream(spark, S.hold_newest(ch, 60_000, max_bytes=100), "full",
                      base=os.path.join(tmp_dir, "run")).wait().result()
-    # the second update fills the buffer and is sent at once; the third is still held
-    assert rows(out, "key", "value", "seq") == [("HDFC", "11", 2)]
+    # four holds of 46 bytes are more than 100: all but the last are sent at once
+    assert rows(out, "key", "seq") == [("HDFC", 0), ("HDFC", 1), ("HDFC", 2)]
+
+
+def test_held_rows_out_of_order_within_the_grace(spark, tmp_dir):
+    S.use_rocksdb_state(spark)
+    ch = _changes(spark, tmp_dir, [
+        [{"key": "k", "ts": at(50), "seq": 1, "value": "a"}, {"key": "k", "ts": at(100), "seq": 2, "value": "b"}],
+        [{"key": "k", "ts": at(0), "seq": 3, "value": "c"}, {"key": "k", "ts": at(130), "seq": 4, "value": "d"}],
+        [{"key": "z", "ts": at(900), "seq": 5, "value": "z"}]]).withWatermark("ts", "10 minutes")
+    out = run_stream(spark, S.hold_newest(ch, 60_000), "ooo", base=os.path.join(tmp_dir, "run")).wait().result()
+    # by event time: 0 and 50 in one hold, 100 and 130 in the next
+    assert rows(out, "seq", "value") == [(1, "a"), (4, "d")]
+
+
+def test_join_state_is_cleared_when_both_sides_are_gone(spark, tmp_dir):
+    from rillflow.streaming.state import read_state
+    S.use_rocksdb_state(spark)
+    ddl = "key string, ts timestamp, seq long, value string"
+    l_src = write_batches(os.path.join(tmp_dir, "l"), [[{"key": "u", "ts": at(1), "seq": 1, "value": "x"}],
+                                                       [{"key": "u", "ts": at(5), "seq": 5, "value": None}]], CH)
+    r_src = write_batches(os.path.join(tmp_dir, "r"), [[{"key": "u", "ts": at(2), "seq": 2, "value": "y"}],
+                                                       [{"key": "u", "ts": at(3), "seq": 3, "value": None}]], CH)
+    run = run_stream(spark, S.table_join(stream_of(spark, l_src, ddl), stream_of(spark, r_src, ddl),
+                                         lambda left, right: left + "-" + right),
+                     "tj", base=os.path.join(tmp_dir, "run")).wait()
+    assert rows(run.result(), "seq", "value", "deleted") == [(2, "x-y", False), (3, None, True)]
+    held = spark.read.format("statestore").option("stateVarName", "sides").load(run.checkpoint)
+    assert held.count() == 0
+
+
+def test_unreadable_version_raises(spark, tmp_dir):
+    from rillflow.operators.aggregates import count_by
+    src, base = os.path.join(tmp_dir, "in"), os.path.join(tmp_dir, "run")
+    write_batches(src, [[{"name": "a", "ts": at(0)}]], EV)
+
+    def go():
+        st = count_by(stream_of(spark, src, "name string, ts timestamp"), "name")
+        return run_stream(spark, st, "ups", mode="upsert", key_cols=["name"], base=base).wait()
+    go()
+    os.rename(os.path.join(base, "output", "snapshots", "v=0"), os.path.join(base, "output", "gone"))
+    import pyarrow.parquet as pq
+    pq.write_table(pa.Table.from_pylist([{"name": "b", "ts": at(5)}], schema=EV), os.path.join(src, "b0001.parquet"))
+    with pytest.raises(Exception):
+        go()
+
+
+def test_replayed_batch_replaces_itself(spark, tmp_dir):
+    """The last batch runs again after its commit is lost: the table is the same."""
+    from rillflow.operators.aggregates import count_by
+    for mode in ("update", "upsert"):
+        src, base = os.path.join(tmp_dir, mode, "in"), os.path.join(tmp_dir, mode, "run")
+        write_batches(src, [[{"name": "a", "ts": at(0)}], [{"name": "a", "ts": at(1)}, {"name": None, "ts": at(2)}]], EV)
+
+        def go():
+            st = count_by(stream_of(spark, src, "name string, ts timestamp"), "name")
+            return run_stream(spark, st, "r", mode=mode, key_cols=["name"], base=base).wait()
+        want = sorted(map(repr, go().result().select("name", "count").collect()))
+        assert len(want) == 2  # the group without a name is kept
+        for f in ("1", ".1.crc"):
+            os.remove(os.path.join(base, "checkpoint", "commits", f))
+        again = go()
+        assert again.last_batch() == 1
+        assert sorted(map(repr, again.result().select("name", "count").collect())) == want
 
 
 def test_update_mode_restart_keeps_newest_per_key(spark, tmp_dir):
