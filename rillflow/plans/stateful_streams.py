@@ -54,6 +54,18 @@ def running_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def latest_login_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return S.table_from_changelog(_login_changes(spark, sf_dir)).select(
+        F.col("key").alias("user_id"), F.col("value").cast("timestamp_ntz").alias("login_time"))
+
+
+def latest_login_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row the table join emits: each change of either side, once both are there."""
+    return _login_changes(spark, sf_dir).select(
+        F.col("key").alias("user_id"), F.col("seq").alias("event_id"),
+        F.col("value").cast("timestamp_ntz").alias("login_time"), "deleted")
+
+
+def _login_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     S.use_rocksdb_state(spark)
     ev = _events(spark, sf_dir)
 
@@ -62,10 +74,8 @@ def latest_login_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("user_id").alias("key"), as_event_time("ts").alias("ts"),
             F.col("event_id").alias("seq"), F.col("ts").cast("string").alias("value"))
 
-    out = run_stream(spark, S.table_join(side("click"), side("purchase")),
-                     "latest_login").wait().result()
-    return S.table_from_changelog(out).select(
-        F.col("key").alias("user_id"), F.col("value").cast("timestamp_ntz").alias("login_time"))
+    return run_stream(spark, S.table_join(side("click"), side("purchase")),
+                      "latest_login").wait().result()
 
 
 def favourite_colour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -188,18 +198,53 @@ QUERIES = {
 def session_count_live(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sessions with every update emitted (merges send deletes for the sessions they
     replace); the current sessions are the newest non-deleted emission per session."""
-    S.use_rocksdb_state(spark)
-    ev = (_events(spark, sf_dir).withColumn("__et", as_event_time("ts"))
-          .withWatermark("__et", GRACE)
-          .select(F.col("user_id").alias("key"), F.col("__et").alias("ts"),
-                  F.col("event_id").alias("seq")))
-    out = run_stream(spark, S.live_sessions(ev, SESSION_GAP_SECONDS), "live_sessions") \
-        .wait().result()
-    cur = S.sessions_from_updates(out)
+    cur = S.sessions_from_updates(_session_updates(spark, sf_dir))
     return cur.select(F.col("key").alias("user_id"),
                       F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "count")
 
 
+def session_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every update of the live sessions, and the delete of each version it replaces."""
+    at = lambda c: F.timestamp_micros(c).cast("timestamp_ntz")
+    return _session_updates(spark, sf_dir).select(
+        F.col("key").alias("user_id"), F.col("seq").alias("event_id"), at("start_us").alias("window_start"),
+        at("end_us").alias("window_end"), "count", "deleted")
+
+
+def _session_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    S.use_rocksdb_state(spark)
+    ev = (_events(spark, sf_dir).withColumn("__et", as_event_time("ts"))
+          .withWatermark("__et", GRACE)
+          .select(F.col("user_id").alias("key"), F.col("__et").alias("ts"),
+                  F.col("event_id").alias("seq")))
+    return run_stream(spark, S.live_sessions(ev, SESSION_GAP_SECONDS), "live_sessions").wait().result()
+
+
+# the events are in the order of their times, so each one is its session's newest version
+ORACLE["session_changes_stream"] = f"""
+    WITH marked AS (
+        SELECT user_id, event_id, ts, lag(ts) OVER w AS before,
+               CASE WHEN lag(ts) OVER w IS NULL OR ts - lag(ts) OVER w > INTERVAL {SESSION_GAP_SECONDS} SECONDS
+                    THEN 1 ELSE 0 END AS new
+        FROM events WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+    placed AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id
+                   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM marked),
+    versions AS (SELECT *, min(ts) OVER s AS window_start, count(*) OVER s AS n FROM placed
+                 WINDOW s AS (PARTITION BY user_id, sid ORDER BY ts, event_id
+                              ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    SELECT user_id, event_id, window_start, ts AS window_end, n AS count, false AS deleted FROM versions
+    UNION ALL
+    SELECT user_id, event_id, window_start, before, n - 1, true FROM versions WHERE n > 1"""
+ORACLE["latest_login_changes_stream"] = """
+    SELECT user_id, event_id, login_time, false AS deleted FROM (
+        SELECT user_id, event_id,
+               last_value(CASE WHEN event_type = 'purchase' THEN ts END IGNORE NULLS) OVER w AS login_time,
+               count(*) FILTER (WHERE event_type = 'click') OVER w AS clicks
+        FROM events WHERE event_type IN ('click', 'purchase') AND user_id IS NOT NULL
+        WINDOW w AS (PARTITION BY user_id ORDER BY event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW))
+    WHERE login_time IS NOT NULL AND clicks > 0"""
+QUERIES["session_changes_stream"] = session_changes_stream
+QUERIES["latest_login_changes_stream"] = latest_login_changes_stream
 ORACLE["session_count_live"] = WINDOW_SQL["session_count"]
 QUERIES["session_count_live"] = session_count_live

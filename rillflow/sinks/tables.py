@@ -34,3 +34,57 @@ def upsert_snapshot(spark: SparkSession, current_path: str | None, updates: Data
     # write simply replaces the partial folder (idempotent)
     table.write.mode("overwrite").parquet(new_path)
     return new_path
+
+
+#: Buckets of keys that a compacted table is written in.
+BUCKETS = 64
+
+
+def read_manifest(spark: SparkSession, base: str, batch_id: int) -> dict[int, int]:
+    """Which version holds each bucket's newest rows after a batch; at most one entry a bucket.
+    A manifest that cannot be read raises."""
+    rows = spark.read.schema("h int, v long").parquet(f"{base}/manifest/b={batch_id}").collect()
+    return {r.h: r.v for r in rows}
+
+
+def read_buckets(spark: SparkSession, base: str, manifest: dict[int, int], schema) -> DataFrame:
+    """The rows of the given buckets, each in its version."""
+    if not manifest:
+        return spark.createDataFrame([], schema)
+    paths = [f"{base}/rows/v={v}/h={h}" for h, v in sorted(manifest.items())]
+    return spark.read.schema(schema).parquet(*paths)
+
+
+def upsert_buckets(spark: SparkSession, base: str, batch_id: int, updates: DataFrame,
+                   key: str | list[str], value_cols: list[str], order_col: str,
+                   buckets: int = BUCKETS) -> None:
+    """Merges one batch's ``updates`` into the compacted table at ``base``, rewriting only the
+    buckets (of the hash of the key) that the batch touches.
+
+    The buckets' new rows go to ``rows/v=<batch>/h=<bucket>``, and ``manifest/b=<batch>`` says
+    for every bucket which version is its newest. Both follow from the batch and the manifest
+    before it, so a batch that runs again replaces what it wrote; a manifest before it that
+    is not there raises, as going on without it would lose its rows.
+    """
+    keys = [key] if isinstance(key, str) else list(key)
+    cols = [*keys, *value_cols, order_col]
+    before = read_manifest(spark, base, batch_id - 1) if batch_id > 0 else {}
+    bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+    new = updates.select(*cols).persist()
+    try:
+        touched = {r.h for r in new.select(bucket.alias("h")).distinct().collect()}
+        old = read_buckets(spark, base, {h: v for h, v in before.items() if h in touched}, new.schema)
+        deleted = F.lit(True)
+        for c in value_cols:
+            deleted = deleted & F.col(c).isNull()
+        table = latest_per_key(old.unionByName(new), keys, value_cols + [order_col], [order_col],
+                               tombstone=deleted, null_keys=True)
+        path = f"{base}/rows/v={batch_id}"
+        table.withColumn("h", bucket).write.mode("overwrite").partitionBy("h").parquet(path)
+        # a bucket that lost its last key has no folder any more
+        left = {r.h for r in table.select(bucket.alias("h")).distinct().collect()}
+    finally:
+        new.unpersist()
+    after = {h: v for h, v in before.items() if h not in touched} | {h: batch_id for h in left}
+    spark.createDataFrame([(h, v) for h, v in sorted(after.items())], "h int, v long") \
+        .coalesce(1).write.mode("overwrite").parquet(f"{base}/manifest/b={batch_id}")

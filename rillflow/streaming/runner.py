@@ -6,10 +6,9 @@
   by its batch id with overwrite, so a replayed batch replaces itself (idempotent,
   exactly-once). The current table is the newest row per key over all batches
   (update) or the last batch (complete).
-* ``upsert`` (a compacted output): each update-mode batch is merged into the previous
-  snapshot version and written as version ``v=<batchId>``; readers read one complete
-  version. Each batch rewrites the snapshot, so this suits tables that are small next to
-  the stream (one row per key); ``update`` keeps writes at the batch's size instead.
+* ``upsert`` (a compacted output): each update-mode batch is merged into the buckets of
+  the table that it touches (see :func:`rillflow.sinks.tables.upsert_buckets`), so a batch costs
+  what it changes; readers read one whole version, that of the last batch.
 
 Checkpoints and output live under ``spark.checkpoint.dir`` (shared storage on a
 cluster), so a restarted driver or lost executor resumes from the last commit.
@@ -22,11 +21,12 @@ from dataclasses import dataclass
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from rillflow.operators.tables import latest_per_key
 from rillflow.session import scratch_path
-from rillflow.sinks.tables import upsert_snapshot
+from rillflow.sinks.tables import read_buckets, read_manifest, upsert_buckets
 
 
 def _missing(e: AnalysisException) -> bool:
@@ -57,7 +57,7 @@ class StreamRun:
                 if "addBatch" in p.get("durationMs", {})]
         if done:
             return max(done)
-        folder, col = ((f"{self.output}/snapshots", "v") if self.mode == "upsert"
+        folder, col = ((f"{self.output}/manifest", "b") if self.mode == "upsert"
                        else (f"{self.output}/batches", "__b"))
         try:
             return self.spark.read.parquet(folder).agg(F.max(col)).first()[0]
@@ -66,6 +66,12 @@ class StreamRun:
                 raise
             return None
 
+    def at_batch(self, batch_id: int) -> DataFrame:
+        """The compacted table as a batch left it (upsert mode)."""
+        schema = T.StructType([*self.schema.fields, T.StructField("__batch", T.LongType())])
+        manifest = read_manifest(self.spark, self.output, batch_id)
+        return read_buckets(self.spark, self.output, manifest, schema).select(*self.schema.fieldNames())
+
     def result(self) -> DataFrame:
         """The sink's current content as a static DataFrame."""
         if self.mode == "append":
@@ -75,7 +81,7 @@ class StreamRun:
             last = self.last_batch()
             if last is None:
                 return self.spark.createDataFrame([], self.schema)
-            return self.spark.read.parquet(f"{self.output}/snapshots/v={last}").select(*names)
+            return self.at_batch(last)
         try:
             batches = self.spark.read.parquet(f"{self.output}/batches")
         except AnalysisException as e:
@@ -112,13 +118,8 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
         values = [c for c in schema.fieldNames() if c not in key_cols]
 
         def upsert_batch(batch: DataFrame, batch_id: int) -> None:
-            # version v=<id> = version v=<id-1> merged with this batch's rows; a replayed
-            # batch rewrites the same version from the same inputs. A version before this
-            # one that cannot be read raises: going on without it would lose its keys.
-            prev = f"{out}/snapshots/v={batch_id - 1}" if batch_id > 0 else None
             rows = batch.withColumn("__batch", F.lit(batch_id).cast("long"))
-            upsert_snapshot(spark, prev, rows, key_cols, values, "__batch",
-                            f"{out}/snapshots/v={batch_id}")
+            upsert_buckets(spark, out, batch_id, rows, key_cols, values, "__batch")
 
         q = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
              .option("checkpointLocation", ckpt).trigger(**trig).start())
