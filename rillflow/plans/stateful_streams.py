@@ -40,7 +40,6 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    S.use_rocksdb_state(spark)
     ev = _events(spark, sf_dir).select(
         F.col("user_id").alias("key"), F.col("event_id").alias("seq"),
         as_event_time("ts").alias("ts"),
@@ -66,7 +65,6 @@ def latest_login_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _login_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    S.use_rocksdb_state(spark)
     ev = _events(spark, sf_dir)
 
     def side(t: str) -> DataFrame:
@@ -79,7 +77,6 @@ def _login_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def favourite_colour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    S.use_rocksdb_state(spark)
     ev = _events(spark, sf_dir).select(
         F.col("user_id").alias("key"), as_event_time("ts").alias("ts"),
         F.col("event_id").alias("seq"), F.col("event_type").alias("value"))
@@ -94,7 +91,6 @@ def favourite_colour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def purchase_asof_left_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    S.use_rocksdb_state(spark)
     ev = _events(spark, sf_dir)
     changes = ev.filter(F.col("event_type").isin("signup", "error")).select(
         F.col("user_id").alias("key"), as_event_time("ts").alias("ts"),
@@ -127,7 +123,6 @@ def stock_filter_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _stock_emissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    S.use_rocksdb_state(spark)
     ev = (_events(spark, sf_dir).withColumn("__et", as_event_time("ts"))
           .withWatermark("__et", GRACE))
     watched = ev.join(watch_list(spark, sf_dir), "user_id", "left_semi")
@@ -213,7 +208,6 @@ def session_changes_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _session_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    S.use_rocksdb_state(spark)
     ev = (_events(spark, sf_dir).withColumn("__et", as_event_time("ts"))
           .withWatermark("__et", GRACE)
           .select(F.col("user_id").alias("key"), F.col("__et").alias("ts"),

@@ -16,6 +16,7 @@ cluster), so a restarted driver or lost executor resumes from the last commit.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -29,6 +30,29 @@ from rillflow.session import scratch_path
 from rillflow.sinks.tables import read_buckets, read_manifest, upsert_buckets
 
 
+#: What every stream here runs with: state in RocksDB (the processors need it), and a hot key's
+#: rows merged into partial sessions before the shuffle of a session window.
+STREAM_CONF = {
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.sessionWindow.merge.sessions.in.local.partition": "true",
+}
+
+
+@contextmanager
+def stream_settings(spark: SparkSession):
+    """The settings while a stream starts: it keeps those it started with, and the session gets
+    its own back, so no query depends on which others ran before it."""
+    before = {k: spark.conf.get(k, None) for k in STREAM_CONF}
+    for k, v in STREAM_CONF.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def _missing(e: AnalysisException) -> bool:
     """Whether the folder is not there, as before the first batch; anything else is an error."""
     return e.getCondition() == "PATH_NOT_FOUND"
@@ -110,8 +134,8 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
     trig = trigger or {"availableNow": True}
     schema = stream.schema
     if mode == "append":
-        q = (stream.writeStream.format("parquet").outputMode("append")
-             .option("checkpointLocation", ckpt).trigger(**trig).start(out))
+        w = (stream.writeStream.format("parquet").outputMode("append")
+             .option("checkpointLocation", ckpt).trigger(**trig).option("path", out))
     elif mode == "upsert":
         if not key_cols:
             raise ValueError("upsert mode needs key_cols")
@@ -121,8 +145,8 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
             rows = batch.withColumn("__batch", F.lit(batch_id).cast("long"))
             upsert_buckets(spark, out, batch_id, rows, key_cols, values, "__batch")
 
-        q = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
-             .option("checkpointLocation", ckpt).trigger(**trig).start())
+        w = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
+             .option("checkpointLocation", ckpt).trigger(**trig))
     else:
         if mode == "update" and not key_cols:
             raise ValueError("update mode needs key_cols to rebuild the table")
@@ -131,6 +155,8 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
             (batch.withColumn("__batch", F.lit(batch_id).cast("long"))
              .write.mode("overwrite").parquet(f"{out}/batches/__b={batch_id}"))
 
-        q = (stream.writeStream.outputMode(mode).foreachBatch(write_batch)
-             .option("checkpointLocation", ckpt).trigger(**trig).start())
+        w = (stream.writeStream.outputMode(mode).foreachBatch(write_batch)
+             .option("checkpointLocation", ckpt).trigger(**trig))
+    with stream_settings(spark):
+        q = w.start()
     return StreamRun(spark, q, out, ckpt, mode, schema, key_cols)

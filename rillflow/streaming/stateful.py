@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 
 from rillflow.operators.tables import latest_per_key
 from rillflow.streaming import processors as P
+from rillflow.streaming.runner import STREAM_CONF
 
 def with_key(df: DataFrame) -> DataFrame:
     """Rows that have a key: keyed state has no place for the others."""
@@ -22,14 +23,11 @@ def _keyed(schema: T.StructType, df: DataFrame) -> T.StructType:
                          for f in schema.fields])
 
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
 def use_rocksdb_state(spark: SparkSession) -> None:
-    """The state API v2 processors need the RocksDB state store provider."""
+    """Sets the state store provider that the processors need, for streams that a caller starts
+    without ``run_stream``, which sees to it itself."""
     key = "spark.sql.streaming.stateStore.providerClass"
-    if spark.conf.get(key, None) != ROCKSDB:
-        spark.conf.set(key, ROCKSDB)
+    spark.conf.set(key, STREAM_CONF[key])
 
 
 def running_balance(changes: DataFrame) -> DataFrame:
