@@ -21,9 +21,9 @@ from __future__ import annotations
 import functools
 import heapq
 import os
-import re
-from array import array
+from bisect import insort
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -31,79 +31,135 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.arrowtext import slices
+from rillflow.llm.arrowtext import slices, span_hashes, text_bytes
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
-#: Distinct strings in each of the two generations of them that a worker keeps.
-KEPT_STRINGS = 500_000
-
-#: A space that white space or nothing follows.
-_LOOSE_SPACE = re.compile(r" (?=\s|$)")
-_MARKS = ".,;:!?"
+#: Distinct parts of texts that a worker keeps: about 40 bytes each.
+KEPT_PARTS = 3_000_000
+
+_MARK = np.zeros(256, bool)
+_MARK[list(b".,;:!?")] = True
+_LETTER = np.zeros(256, bool)
+_LETTER[list(range(65, 91)) + list(range(97, 123))] = True
+_SEEN = np.zeros(256, bool)  # ASCII that is neither white space nor a control character
+_SEEN[33:127] = True
+#: What may begin a word behind a space: no ASCII white space or control character, and none of
+#: the bytes that the white space of Unicode begins with.
+_BEGINS = _SEEN.copy()
+_BEGINS[128:] = True
+_BEGINS[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+
+
+def part_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Where texts may be cut without changing their tokens; every text's beginning is one.
+
+    The tokenizer first splits a text into runs of letters, of digits, of other signs and of
+    white space, where a space goes with the run behind it and the last of several white space
+    characters stands alone. So whatever stands around it a text is split: before a space that
+    a sign follows; between a letter and a mark; between a sign and a line's end; and, if that
+    line's end is alone, between it and a letter.
+    """
+    n = len(buf)
+    cut = np.zeros(n + 1, bool)
+    if n > 1:
+        edge = np.zeros(n + 1, bool)
+        edge[off] = True
+        joint = ~edge[1:n]  # places whose byte before is of the same text
+        prev, this = buf[:-1], buf[1:]
+        line = (this == 10) & _SEEN[prev] & joint
+        cut[1:n] = line | (_MARK[this] & _LETTER[prev] & joint)
+        cut[2:n] |= line[:-1] & _LETTER[this[1:]] & joint[1:]
+        cut[:n - 1] |= (prev == 32) & _BEGINS[this] & joint
+    cut[off] = True
+    return np.flatnonzero(cut[:n])
 
 
 class Encoder:
-    """Token ids of texts, as bytes of little-endian unsigned 32-bit numbers.
+    """Token ids of texts, by a tokenizer that is asked once for each distinct part.
 
-    The tokenizer splits a text before a space that a character other than white space
-    follows, whatever stands around it, so texts are cut there and each distinct part is
-    encoded once. Likewise it splits a word of letters from the marks behind it.
+    The parts are kept by a hash of 64 bits, checked by length and ends, in sorted arrays.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = KEPT_PARTS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.known: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-
-    @staticmethod
-    def parts(text: str) -> list[str]:
-        """The text's parts, each but the first without the space that it begins with; the
-        first has the character NUL before it, which no other part begins with: a NUL of the
-        text itself stays behind its space."""
-        cut = text.split(" ")
-        if _LOOSE_SPACE.search(text) or "\0" in text:
-            whole, cut = cut, cut[:1]
-            for p in whole[1:]:
-                if not p or p[0].isspace() or p[0] == "\0":
-                    cut[-1] += " " + p
-                else:
-                    cut.append(p)
-        cut[0] = "\0" + cut[0]
-        return cut
-
-    def _learn(self, new: set[str]) -> None:
-        known = self.known
-        for p in new & self.older.keys():
-            known[p] = self.older[p]
-        new -= known.keys()
-        split = {}
-        for p in new:
-            stem = p.rstrip(_MARKS)
-            if stem != p and stem.isalpha():
-                split[p] = (stem, "\0" + p[len(stem):])
-        plain = [p for p in {*(new - split.keys()), *(x for two in split.values() for x in two)} if p not in known]
-        for a in range(0, len(plain), 20_000):
-            part = plain[a:a + 20_000]
-            texts = [p[1:] if p[0] == "\0" else " " + p for p in part]
-            for p, e in zip(part, self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)):
-                known[p] = array("I", e.ids).tobytes()
-        for p, (stem, marks) in split.items():
-            known[p] = known[stem] + known[marks]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [self.parts(t) for t in texts]
-        new = set().union(*cut) - self.known.keys()
-        if len(self.known) + len(new) > KEPT_STRINGS:
-            self.known, self.older = {}, self.known
-            new = set().union(*cut)
-        self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, ps)) for ps in cut]
+        (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.kept = kept
+        self._forget()
+
+    def _forget(self) -> None:
+        self.key = np.zeros(0, np.uint64)
+        self.check = np.zeros(0, np.uint32)
+        self.first = np.zeros(0, np.int64)
+        self.count = np.zeros(0, np.int32)
+        self.ids = np.zeros(0, np.uint32)
+
+    def _ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """All their ids, and how many each has."""
+        ids = [e.ids for a in range(0, len(texts), 20_000)
+               for e in self.tokenizer.encode_batch_fast(texts[a:a + 20_000], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(ids), np.uint32), np.fromiter(map(len, ids), np.int32, len(ids))
+
+    def _ask_parts(self, parts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of distinct parts: words behind a space are asked for by lines of many, as a
+        line's end behind a letter and before a space is a token of its own."""
+        word = np.fromiter((p[0] == " " and p[1:].isalpha() for p in parts), bool, len(parts))
+        words, rest = [p for p, w in zip(parts, word) if w], [p for p, w in zip(parts, word) if not w]
+        lines, _ = self._ask(["\n".join(words[a:a + 64]) + "\n" for a in range(0, len(words), 64)])
+        ids, count = self._ask(rest)
+        ends = np.flatnonzero(lines == self.newline)
+        counts = np.empty(len(parts), np.int32)
+        counts[word] = np.diff(ends, prepend=-1) - 1
+        counts[~word] = count
+        out = np.empty(counts.sum(), np.uint32)
+        of_word = np.repeat(word, counts)
+        out[of_word] = lines[lines != self.newline]
+        out[~of_word] = ids
+        return out, counts
+
+    def _place(self, key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where each key is or would be, and whether it is there."""
+        at = np.searchsorted(self.key, key)
+        near = np.minimum(at, max(0, len(self.key) - 1))
+        return at, (self.key[near] == key) & (self.check[near] == check) if len(self.key) else np.zeros(len(key), bool)
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts in one array, and where each text's begin."""
+        buf, off = text_bytes(texts)
+        start = part_starts(buf, off)
+        end = np.append(start[1:], len(buf))[:len(start)]
+        key = span_hashes(buf, start, end)
+        check = np.minimum(end - start, 0xFFFF).astype(np.uint32) << np.uint32(16) \
+            | buf[start].astype(np.uint32) << np.uint32(8) | buf[end - 1]
+        keys, one, part = np.unique(key, return_index=True, return_inverse=True)
+        checks = check[one]
+        if len(self.key) + len(keys) > self.kept:
+            self._forget()
+        at, there = self._place(keys, checks)
+        clash = not np.array_equal(checks[part], check) or bool(
+            len(self.key) and (self.key[np.minimum(at, len(self.key) - 1)][~there] == keys[~there]).any())
+        if clash:  # two parts with one hash: ask for the whole texts
+            ids, count = self._ask([t or "" for t in texts.to_pylist()])
+            return ids, np.concatenate([[0], np.cumsum(count)])
+        if not there.all():
+            new = np.flatnonzero(~there)
+            data, s, e = buf.tobytes(), start[one[new]].tolist(), end[one[new]].tolist()
+            ids, count = self._ask_parts([data[a:b].decode() for a, b in zip(s, e)])
+            first = len(self.ids) + np.cumsum(count) - count
+            self.key, self.check, self.first, self.count = (
+                np.insert(old, at[new], more) for old, more in ((self.key, keys[new]), (self.check, checks[new]),
+                                                                (self.first, first), (self.count, count)))
+            self.ids = np.concatenate([self.ids, ids])
+            at = np.searchsorted(self.key, keys)
+        first, count = self.first[at][part], self.count[at][part].astype(np.int64)
+        upto = np.zeros(len(count) + 1, np.int64)
+        np.cumsum(count, out=upto[1:])
+        ids = self.ids[np.repeat(first - upto[:-1], count) + np.arange(upto[-1])]
+        return ids, upto[np.searchsorted(start, off)]
 
 
 @functools.cache
@@ -113,25 +169,52 @@ def encoder(path: str) -> Encoder:
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
-    """The items of each of ``windows`` near-equal windows (Karmarkar-Karp)."""
-    heap = []
-    for i, size in enumerate(sizes):
-        sums = np.zeros(windows, np.int64)
-        sums[0] = size  # descending
-        heap.append((-size, i, sums, [(i,), *[()] * (windows - 1)]))
+    """The items of each of ``windows`` near-equal windows (Karmarkar-Karp).
+
+    A partial partition is its used windows, (sum, node) ascending, the others being empty, and
+    what to take off every sum, so that its least is 0. Nodes are items, or pairs of nodes.
+    """
+    n = len(sizes)
+    pairs: list[tuple[int, int]] = []
+    heap = [(-size, i, 0, [(size, i)]) for i, size in enumerate(sizes)]
+    if windows == 1:
+        return [list(range(n))]
     heapq.heapify(heap)
-    order = len(sizes)
+    order = n
     while len(heap) > 1:
-        _, _, a, held_a = heapq.heappop(heap)
-        _, _, b, held_b = heapq.heappop(heap)
-        sums = a + b[::-1]
-        place = np.argsort(-sums, kind="stable")
-        held = [x + y if x and y else x or y for x, y in zip(held_a, reversed(held_b))]
-        sums = sums[place]
-        sums -= sums[-1]
-        heapq.heappush(heap, (-int(sums[0]), order, sums, [held[p] for p in place]))
+        _, _, off, used = heapq.heappop(heap)
+        _, _, other_off, other = heapq.heappop(heap)
+        if len(used) < len(other):
+            off, used, other_off, other = other_off, other, off, used
+        empty = windows - len(used)
+        if len(other) <= empty:
+            used = sorted(used + other)
+        else:
+            # the fullest of one meets the emptiest of the other
+            met = [(size - other_off, node) for size, node in reversed(other[-empty:])] if empty else []
+            rest = other[:len(other) - empty]
+            for (size, node), (more, node2) in zip(used, reversed(rest)):
+                met.append((size + more - other_off, n + len(pairs)))
+                pairs.append((node, node2))
+            used = used[len(rest):]
+            if len(met) == 1:
+                insort(used, met[0])
+            else:
+                used = sorted(used + met)
+        off = used[0][0] if len(used) == windows else 0
+        heapq.heappush(heap, (off - used[-1][0], order, off, used))
         order += 1
-    return [list(x) for x in heap[0][3]] if heap else []
+    out = []
+    for _, node in heap[0][3] if heap else []:
+        items, todo = [], [node]
+        while todo:
+            x = todo.pop()
+            if x < n:
+                items.append(x)
+            else:
+                todo += pairs[x - n]
+        out.append(items)
+    return out
 
 
 def pack(sizes: list[int], room: int) -> list[list[int]]:
@@ -190,9 +273,10 @@ def pack_documents(docs: DataFrame, tokenizer: str, room: int = 2048, end_id: in
 
         for batch in batches:
             for part in slices(batch):
-                ids = tokens.encode([t or "" for t in part.column("text").to_pylist()])
-                for d, x in zip(part.column("doc_id").to_pylist(), ids):
-                    held.append((d, x + end))
+                ids, at = tokens.encode(part.column("text"))
+                data, at = ids.astype("<u4").tobytes(), (4 * at).tolist()
+                for d, x, y in zip(part.column("doc_id").to_pylist(), at, at[1:]):
+                    held.append((d, data[x:y] + end))
                     if len(held) >= group:
                         yield packed()
         if held:

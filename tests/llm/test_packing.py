@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,22 +23,31 @@ def plain():
 
 def test_cut_texts_have_the_ids_of_whole_texts(plain):
     r = random.Random(1)
-    signs = ["a", "b", " ", " ", "\n", " ", "é", "'s", "1", "!", ".", "\0", "\t", "\x1c", "　", "\xa0"]
+    signs = ["a", "b", " ", " ", "\n", " ", "é", ".", ",", "Z", "¿", "–", "　", "\r", "\x85", "'s", "1", "!", ".", "\0", "\t", "\x1c", "　", "\xa0"]
     texts = ["", " ", "  a  b", "a\n b\n\n  c ", "\0 \0a a\0.", "<|endoftext|> x", "don't  I'll 's 5 6  7"]
     texts += ["".join(r.choice(signs) for _ in range(r.randrange(40))) for _ in range(3000)]
-    got = P.Encoder(PATH).encode(texts)
-    for text, ids, want in zip(texts, got, plain(texts)):
-        assert np.frombuffer(ids, "<u4").tolist() == want, repr(text)
+    texts += [None, *(" ".join(f"Word{r.randrange(50)}{r.choice(['.', ',', '', '!?', '.\n'])}" for _ in range(30)) for _ in range(50))]
+    ids, at = P.Encoder(PATH).encode(pa.array(texts))
+    for text, a, b, want in zip(texts, at, at[1:], plain([t or "" for t in texts])):
+        assert ids[a:b].tolist() == want, repr(text)
 
 
-def test_strings_are_forgotten_in_bounds(monkeypatch):
-    monkeypatch.setattr(P, "KEPT_STRINGS", 50)
-    e = P.Encoder(PATH)
-    whole = P.Encoder(PATH)
+def test_parts_are_forgotten_in_bounds():
+    e, whole = P.Encoder(PATH, kept=60), P.Encoder(PATH)
     for a in range(0, 300, 10):
-        texts = [f"common word{i} and{i % 7}." for i in range(a, a + 10)]
-        assert e.encode(texts) == whole.encode(texts)
-        assert len(e.known) < 120 and len(e.older) < 120
+        texts = pa.array([f"common word{i} and{i % 7}." for i in range(a, a + 10)])
+        for x, y in zip(e.encode(texts), whole.encode(texts)):
+            assert x.tolist() == y.tolist()
+        assert len(e.key) == len(e.first) == len(e.count) <= 60
+
+
+def test_a_clash_of_hashes_asks_for_whole_texts(monkeypatch, plain):
+    monkeypatch.setattr(P, "span_hashes", lambda buf, start, end: (end - start).astype(np.uint64))
+    texts = ["one two six", "ten", "two two", "a bb ccc"]
+    e = P.Encoder(PATH)
+    for _ in range(2):
+        ids, at = e.encode(pa.array(texts))
+        assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == plain(texts)
 
 
 def test_differencing_on_known_partitions():
