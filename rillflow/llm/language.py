@@ -5,9 +5,8 @@ documents, and how many of its letters are of each script. A word's script leave
 languages that use it; among these a character model (n-grams of three characters, backing off
 to two and one) scores the word. The Viterbi path through the words of a text, with a penalty
 for switching, labels each word, and so gives the spans; the text's language is the one with
-the most letters. A text needs no path search if no run of words gains more than half the
-penalty by another language than the text's best single one, which running sums tell: a path
-of k runs in other languages has at least k - 1 switches, or k if it has a run in the best one.
+the most letters. Running sums tell which texts are of one language throughout, and need no
+path search; for the others it runs through all their blocks of words at once.
 
 Rows: a null text, or one without letters, is ``und`` with score 0 and no spans; null labels
 teach nothing, and a document without an id is neither held out nor learned from; repeated rows
@@ -102,26 +101,78 @@ class Model:
         return out
 
 
-def viterbi(scores: np.ndarray, switch: float) -> np.ndarray:
-    """The best labels of one sequence of words."""
-    n, k = scores.shape
-    back = np.zeros((n, k), np.int32)
-    best = scores[0].copy()
-    stay = np.arange(k)
-    for t in range(1, n):
-        top = int(best.argmax())
-        moved = best[top] - switch
-        back[t] = np.where(best >= moved, stay, top)
-        best = np.maximum(best, moved) + scores[t]
-    path = np.empty(n, np.int32)
-    path[-1] = best.argmax()
-    for t in range(n - 1, 0, -1):
-        path[t - 1] = back[t, path[t]]
-    return path
+#: Words of a block: the path search runs through all blocks of all texts at once.
+BLOCK = 64
+
+
+def viterbi(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
+    """The best labels of the words of texts, none of them empty (text d has the words first[d]
+    to first[d + 1]).
+
+    Texts are cut into blocks. For all blocks at once, word by word, the best score from each
+    label before a block to each label at its end is found; these are chained through each text,
+    which fixes the labels at the blocks' ends; then the labels inside, again for all blocks.
+    """
+    k = scores.shape[1]
+    lens = np.diff(first)
+    n_blocks = -(-lens // BLOCK)
+    head = np.cumsum(n_blocks) - n_blocks  # each text's first block
+    text = np.repeat(np.arange(len(lens)), n_blocks)
+    start = first[:-1][text] + (np.arange(len(text)) - head[text]) * BLOCK
+    size = np.minimum(first[1:][text] - start, BLOCK)
+    by_size = np.argsort(-size, kind="stable")
+    active = [int(np.searchsorted(-size[by_size], -t, side="left")) for t in range(BLOCK)]  # blocks longer than t
+
+    def through(x: np.ndarray, back: np.ndarray | None = None) -> np.ndarray:
+        """Best scores at the end of the blocks from those before them, (blocks, ..., labels)."""
+        for t in range(BLOCK):
+            at = by_size[:active[t]]
+            if not len(at):
+                break
+            now = x[at]
+            moved = now.max(axis=-1, keepdims=True) - switch
+            if back is not None:
+                back[at, t] = np.where(now >= moved, np.arange(k), now.argmax(axis=-1)[..., None])
+            word = scores[start[at] + t]
+            x[at] = np.maximum(now, moved) + (word if x.ndim == 2 else word[:, None, :])
+        return x
+
+    across = through(np.broadcast_to(np.where(np.eye(k, dtype=bool), 0.0, -np.inf), (len(text), k, k)).copy())
+    order = np.argsort(-n_blocks, kind="stable")
+    best = np.zeros((len(lens), k))
+    before = np.empty((len(text), k))  # best scores before each block
+    for t in range(int(n_blocks.max(initial=0))):
+        d = order[:int(np.searchsorted(-n_blocks[order], -t, side="left"))]
+        before[head[d] + t] = best[d]
+        best[d] = (best[d][:, :, None] + across[head[d] + t]).max(axis=1)
+    end = np.empty(len(text), np.int64)
+    enter = np.empty(len(text), np.int64)
+    label = best.argmax(axis=1)
+    for t in range(int(n_blocks.max(initial=0)) - 1, -1, -1):
+        d = order[:int(np.searchsorted(-n_blocks[order], -t, side="left"))]
+        b = head[d] + t
+        end[b] = label[d]
+        enter[b] = label[d] = (before[b] + across[b, :, label[d]]).argmax(axis=1)
+    # inside: from the label before a block, any label for a text's first one
+    x = np.where(np.arange(k) == enter[:, None], 0.0, -np.inf)
+    x[head] = 0.0
+    back = np.zeros((len(text), BLOCK, k), np.int8 if k < 128 else np.int32)
+    through(x, back)
+    out = np.empty(len(scores), np.int32)
+    for t in range(BLOCK - 1, -1, -1):
+        b = np.flatnonzero(size > t)
+        out[start[b] + t] = end[b]
+        end[b] = back[b, t, end[b]]
+    return out
 
 
 def label_words(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndarray:
-    """Labels of the words of many texts (text d has the words first[d] to first[d + 1])."""
+    """Labels of the words of many texts (text d has the words first[d] to first[d + 1]): those
+    of a best path, being the text's best single language wherever that is one.
+
+    It is if no run of words gains ``switch`` or more by another language, and the best run
+    from the beginning and the best one to the end gain no more than that together.
+    """
     n, k = scores.shape
     lens = np.diff(first)
     text = np.repeat(np.arange(len(lens)), lens)
@@ -131,19 +182,24 @@ def label_words(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndar
     label = whole[text].astype(np.int32)
     if k < 2 or not n:
         return label
-    # the most that any run of words gains by another language than its text's best one
     gain = scores - scores[np.arange(n), label][:, None]
     upto = np.zeros((n + 1, k))
     np.cumsum(gain, axis=0, out=upto[1:])
-    upto -= upto[0]
     start = upto[:-1] - upto[first[:-1]][text]  # sums before each word, within its text
+    after = start + gain
     step = np.abs(start).max() + np.abs(gain).max() + 1
     low = np.minimum.accumulate(start - text[:, None] * 2 * step, axis=0) + text[:, None] * 2 * step
-    most = (start + gain - low).max(axis=1)
-    mixed_texts = np.unique(text[most > switch / 2])
-    for d in mixed_texts:
-        a, b = first[d], first[d + 1]
-        label[a:b] = viterbi(scores[a:b], switch)
+    some = np.flatnonzero(lens)
+    heads = first[:-1][some]
+    most = np.maximum.reduceat((after - low).max(axis=1), heads)
+    begin = np.maximum(np.maximum.reduceat(after.max(axis=1), heads), 0)
+    whole_sum = (upto[first[1:]] - upto[first[:-1]])[text]
+    finish = np.maximum(np.maximum.reduceat((whole_sum - start).max(axis=1), heads), 0)
+    search = some[(most >= switch) | (begin + finish > switch)]
+    if len(search):
+        words = np.flatnonzero(np.isin(text, search))
+        ends = np.concatenate([[0], np.cumsum(lens[search])])
+        label[words] = viterbi(scores[words], ends, switch)
     return label
 
 

@@ -31,6 +31,30 @@ def test_labels_are_a_best_path():
                 assert value == pytest.approx(best_path(own, switch))
 
 
+def one_by_one(scores, switch):
+    """The value of a best path, word by word."""
+    best = scores[0].copy()
+    for s in scores[1:]:
+        best = np.maximum(best, best.max() - switch) + s
+    return best.max()
+
+
+def test_long_texts_in_blocks():
+    r = np.random.default_rng(3)
+    lens = [1, 63, 64, 65, 128, 129, 400, 1000, 0, 700] + [int(x) for x in r.integers(1, 300, 60)]
+    first = np.concatenate([[0], np.cumsum(lens)])
+    for noise in (0.3, 2.0):
+        runs = np.repeat(r.normal(0, 1, (first[-1] // 20 + 1, 4)), 20, axis=0)[:first[-1]]
+        scores = r.normal(0, noise, (first[-1], 4)) + runs
+        for switch in (0.0, 1.0, 6.0, 30.0):
+            label = L.label_words(scores, first, switch)
+            for a, b in zip(first, first[1:]):
+                if b > a:
+                    own, p = scores[a:b], label[a:b]
+                    value = own[np.arange(b - a), p].sum() - switch * (p[1:] != p[:-1]).sum()
+                    assert value == pytest.approx(one_by_one(own, switch)), (b - a, noise, switch)
+
+
 def test_words_and_scripts():
     w, off = letter_words(pa.array(["Ab1c", None, "", "Ünï 漢字 ж!", "ΣΑΣ"]))
     words = ["".join(map(chr, w.buf[a:b])) for a, b in zip(w.starts, w.ends)]
