@@ -78,11 +78,13 @@ def upsert_buckets(spark: SparkSession, base: str, batch_id: int, updates: DataF
         for c in value_cols:
             deleted = deleted & F.col(c).isNull()
         table = latest_per_key(old.unionByName(new), keys, value_cols + [order_col], [order_col],
-                               tombstone=deleted, null_keys=True)
-        path = f"{base}/rows/v={batch_id}"
-        table.withColumn("h", bucket).write.mode("overwrite").partitionBy("h").parquet(path)
-        # a bucket that lost its last key has no folder any more
-        left = {r.h for r in table.select(bucket.alias("h")).distinct().collect()}
+                               tombstone=deleted, null_keys=True).withColumn("h", bucket).persist()
+        try:
+            # a bucket that lost its last key has no folder any more
+            left = {r.h for r in table.select("h").distinct().collect()}
+            table.repartition("h").write.mode("overwrite").partitionBy("h").parquet(f"{base}/rows/v={batch_id}")
+        finally:
+            table.unpersist()
     finally:
         new.unpersist()
     after = {h: v for h, v in before.items() if h not in touched} | {h: batch_id for h in left}
