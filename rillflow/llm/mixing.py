@@ -22,6 +22,8 @@ from rillflow.llm.common import WORD, shielded, small_or_not, stored
 
 #: Hex digits of the key that name a range. 65,536 ranges per source: one holds 1/65,536 of it.
 RANGE_DIGITS = 4
+#: Hex digits that name a group of ranges.
+GROUP_DIGITS = 2
 
 ADDED = ("size", "source_size", "target", "taken")
 
@@ -84,9 +86,15 @@ def mix(docs: DataFrame, narrow: DataFrame | None = None, weights=(5, 2, 1), sha
 
     # the range in which each source's budget ends, and what lies before it
     sums = narrow.groupBy("__mix_source", key_range.alias("__mix_range")).agg(F.sum("size").alias("s"))
-    up_to = Window.partitionBy("__mix_source").orderBy("__mix_range").rowsBetween(
+    # summed up in two levels, so that a source's ranges do not meet in one task either
+    sums = sums.withColumn("__mix_group", F.substring("__mix_range", 1, GROUP_DIGITS))
+    groups = sums.groupBy("__mix_source", "__mix_group").agg(F.sum("s").alias("all"))
+    before = Window.partitionBy("__mix_source").orderBy("__mix_group").rowsBetween(Window.unboundedPreceding, -1)
+    groups = groups.select("__mix_source", "__mix_group", F.coalesce(F.sum("all").over(before), F.lit(0)).alias("far"))
+    up_to = Window.partitionBy("__mix_source", "__mix_group").orderBy("__mix_range").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    ends = sums.withColumn("upto", F.sum("s").over(up_to)).join(plan, "__mix_source") \
+    ends = sums.withColumn("near", F.sum("s").over(up_to)).join(groups, ["__mix_source", "__mix_group"]) \
+        .withColumn("upto", F.col("near") + F.col("far")).join(plan, "__mix_source") \
         .filter((F.col("upto") - F.col("s") < F.col("__mix_rest")) & (F.col("upto") >= F.col("__mix_rest"))) \
         .select("__mix_source", F.col("__mix_range").alias("__mix_end"),
                 (F.col("upto") - F.col("s")).alias("__mix_before"))
