@@ -15,7 +15,7 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 
 #: Bytes of text that are worked on at once, unless one text alone is longer.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 
 
 class Words(NamedTuple):

@@ -203,7 +203,6 @@ def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep, columns as given."""
     given, own = shielded(docs, ADDED)
-    counted = with_counts(given)
-    narrow = stored(counted.select("doc_id", *COUNTS, *MORE, "base_failed"), "quality_counts")
-    return judge(counted, fit_label_model(vote_patterns(narrow))).filter("kept") \
+    counted = stored(with_counts(given), "quality_counts")
+    return judge(counted, fit_label_model(vote_patterns(counted))).filter("kept") \
         .drop(*ADDED).withColumnsRenamed(own).select(*docs.columns)
