@@ -27,6 +27,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -78,15 +79,18 @@ def part_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 class Encoder:
     """Token ids of texts, by a tokenizer that is asked once for each distinct part.
 
-    The parts are kept by a hash of 64 bits, checked by length and ends, in sorted arrays.
+    The parts are kept by a hash of 64 bits, checked by length and ends, in sorted arrays. With
+    ``added`` the file's added special tokens are found in texts, as by the tokenizer as loaded;
+    else they are spelled out. A text that holds an added token is encoded whole.
     """
 
-    def __init__(self, path: str, kept: int = KEPT_PARTS):
+    def __init__(self, path: str, kept: int = KEPT_PARTS, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values() if added or not t.special]
         (self.newline,) = self.tokenizer.encode("\n", add_special_tokens=False).ids
         self.kept = kept
         self._forget()
@@ -129,6 +133,22 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's begin."""
+        whole = np.zeros(len(texts), bool)
+        for mark in self.marks:
+            whole |= pc.fill_null(pc.match_substring(texts, mark), False).to_numpy(zero_copy_only=False)
+        if not whole.any():
+            return self._encode_parts(texts)
+        ids, at = self._encode_parts(pc.if_else(pa.array(whole), pa.scalar("", texts.type), texts))
+        own, count = self._ask(texts.filter(pa.array(whole)).to_pylist())
+        counts = np.diff(at)
+        counts[whole] = count
+        of_whole = np.repeat(whole, counts)
+        out = np.empty(len(of_whole), np.uint32)
+        out[of_whole], out[~of_whole] = own, ids
+        return out, np.concatenate([[0], np.cumsum(counts)])
+
+    def _encode_parts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The same of texts without an added token, by their parts."""
         buf, off = text_bytes(texts)
         start = part_starts(buf, off)
         end = np.append(start[1:], len(buf))[:len(start)]
@@ -163,9 +183,9 @@ class Encoder:
 
 
 @functools.cache
-def encoder(path: str) -> Encoder:
-    """One encoder per worker process and tokenizer file."""
-    return Encoder(path)
+def encoder(path: str, added: bool = False) -> Encoder:
+    """One encoder per worker process, tokenizer file and way with added tokens."""
+    return Encoder(path, added=added)
 
 
 def difference(sizes: list[int], windows: int) -> list[list[int]]:
@@ -231,16 +251,17 @@ def pack(sizes: list[int], room: int) -> list[list[int]]:
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, room: int = 2048, end_id: int = 1,
-                   group: int = 256, piece: int = 512) -> DataFrame:
+                   group: int = 256, piece: int = 512, added: bool = False) -> DataFrame:
     """``docs`` (doc_id, text) -> the pieces of the packed windows.
 
     ``tokenizer`` is the path of a tokenizer file on the executors; ``group`` the documents
-    packed together, ``piece`` the longest piece that is not a whole window. A row per piece:
+    packed together, ``piece`` the longest piece that is not a whole window; ``added`` finds the
+    tokenizer's added special tokens in texts instead of spelling them out. A row per piece:
     its document and place there, its ids, and its window and place there. Windows get numbers
     unique over the partitions.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = encoder(tokenizer)
+        tokens = encoder(tokenizer, added)
         end = np.array([end_id], "<u4").tobytes()
         first = TaskContext.get().partitionId() << 36
         held: list[tuple] = []
@@ -294,11 +315,11 @@ def _tokenizer_path() -> str:
 def op6_packing(spark, sf_dir: str) -> DataFrame:
     """The pieces of all packed documents, with a checksum of their ids."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    out = pack_documents(docs, _tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
+    out = pack_documents(docs, _tokenizer_path(), added=True).withColumn("ids_crc32", F.crc32("ids"))
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 
 
 def packing_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The packed pieces of the documents, ids and all."""
-    out = pack_documents(docs, _tokenizer_path()).withColumn("ids_crc32", F.crc32("ids"))
+    out = pack_documents(docs, _tokenizer_path(), added=True).withColumn("ids_crc32", F.crc32("ids"))
     return out.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "ids")

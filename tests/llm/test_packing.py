@@ -118,3 +118,19 @@ def test_exact_room_fills_a_window(make_docs, plain):
     pieces = P.pack_documents(make_docs(rows), PATH).collect()
     check_pieces(rows, pieces, plain)
     assert sorted(p.length for p in pieces) == [1, 2048, 2048, 2048]
+
+
+def test_added_tokens_are_those_of_the_tokenizer_as_loaded(spark, tmp_path):
+    from tokenizers import Tokenizer
+    loaded = Tokenizer.from_file(PATH)
+    want = lambda texts: [e.ids for e in loaded.encode_batch(texts, add_special_tokens=False)]
+    texts = ["<|endoftext|>", None, "plain words.", "a <|endoftext|> b<|endoftext|>", "", "<|endoftext|", "two <|endoftext|>\n x"]
+    assert want(["<|endoftext|>"]) == [[50256]]
+    ids, at = P.Encoder(PATH, added=True).encode(pa.array(texts))
+    assert [ids[a:b].tolist() for a, b in zip(at, at[1:])] == want([t or "" for t in texts])
+    rows = list(enumerate(texts))
+    spark.createDataFrame(rows, "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    check_pieces(rows, P.packing_stage(spark, docs, "").collect(), want)
+    op = {r.doc_id: r.ids_crc32 for r in P.op6_packing(spark, str(tmp_path)).collect()}
+    assert op == {d: zlib.crc32(np.array([*i, 1], "<u4").tobytes()) for (d, _), i in zip(rows, want([t or "" for t in texts]))}
