@@ -106,3 +106,33 @@ def test_no_rules_fit_and_empty_table(spark):
     assert U.filter_urls(pages.filter("false"), U.RULES).count() == 0
     only = spark.createDataFrame([(1, "http://a.net/c"), (2, "http://x.y/z")], SCHEMA)
     assert [r.verdict for r in U.filter_urls(only, U.RULES).orderBy("page_id").collect()] == ["block", "allow"]
+
+
+def test_counts_and_scores_stay_exact_beyond_the_slots(spark):
+    r = random.Random(5)
+    word = lambda: "".join(r.choice("abcdefghijklmnopqrstuvwxyzé漢0123456789") for _ in range(9))
+    rows = [(i, f"http://{('good', 'bad', 'other')[i % 3]}.site/{word()}/{word()}") for i in range(6000)]
+    rows += [(7, ""), (8, None), (9, "x"), *[(None, rows[2][1])] * 3, *[(1, rows[1][1])] * 2]
+    rules = [("allow", "good.site", "/"), ("block", "bad.site", "/")]
+    grams = {"allow": Counter(), "block": Counter()}
+    for _, u in rows:
+        verdict = rule_of(*split(u), rules)[1]
+        if verdict:
+            m = "\0" + u + "\0"
+            grams[verdict].update(m[i - k:i + 1] for i in range(len(m)) for k in range(min(i, U.ORDER) + 1))
+    assert all(sum(len(g) == U.ORDER + 1 for g in c) > 1 << U.BITS for c in grams.values())
+
+    def likelihood(u, c):
+        m, out, total = "\0" + u + "\0", 0.0, sum(n for g, n in c.items() if len(g) == 1)
+        for i in range(1, len(m)):
+            p = (c[m[i]] + 0.5) / (total + 0.5 * (1 << U.BITS))
+            for k in range(1, min(i, U.ORDER) + 1):
+                p = (c[m[i - k:i + 1]] + U.SMOOTH * p) / (c[m[i - k:i]] + U.SMOOTH)
+            out += math.log(p)
+        return out
+
+    got = U.filter_urls(spark.createDataFrame(rows, SCHEMA), rules).collect()
+    assert Counter((x.page_id, x.url) for x in got) == Counter(rows)
+    for x in r.sample(got, 300) + [x for x in got if x.page_id in (None, 7, 8, 9)]:
+        want = (likelihood(x.url, grams["allow"]) - likelihood(x.url, grams["block"])) / (len(x.url) + 1) if x.url else 0.0
+        assert x.difference == pytest.approx(want, abs=1e-9), x.url
