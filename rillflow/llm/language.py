@@ -8,6 +8,11 @@ for switching, labels each word, and so gives the spans; the text's language is
 the most letters. Running sums tell which texts are of one language throughout, and need no
 path search; for the others it runs through all their blocks of words at once.
 
+Counts are exact: an n-gram is its characters, 21 bits each, and a stored table has the counts
+by language of each. The distinct 3-grams of all texts are scored once, by joins with it, and a
+chunk of documents gets the scores of its distinct 3-grams by another join; rows equal in id and text
+are in one chunk. What reaches the driver is the number of letters of each language, by script.
+
 Rows: a null text, or one without letters, is ``und`` with score 0 and no spans; null labels
 teach nothing, and a document without an id is neither held out nor learned from; repeated rows
 are labelled alike; equal scores go to the language first in the alphabet; without any label
@@ -24,7 +29,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rillflow.llm.arrowtext import slices
-from rillflow.llm.letters import distinct, grams, letter_words
+from rillflow.llm.common import stored
+from rillflow.llm.letters import Distinct, distinct, letter_words
 
 #: First code points of ranges that each belong to one script (or to signs between scripts).
 SCRIPTS = np.array([0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0700, 0x0900, 0x0980, 0x0A00, 0x0B00, 0x0C00, 0x0D00,
@@ -33,8 +39,10 @@ SCRIPTS = np.array([0x0000, 0x0370, 0x0400, 0x0530, 0x0590, 0x0600, 0x0700, 0x09
 #: Ranges that continue the script of another one: Latin, Greek, kana, Hangul, Han, Arabic.
 SAME = {22: 0, 23: 1, 27: 26, 29: 18, 32: 18, 30: 25, 34: 25, 36: 25, 35: 5}
 
+#: A letter's chance without context has half a letter seen for each of 2^BITS.
 BITS = 14
-SLOTS = 3 << BITS
+#: Characters of text of a chunk of documents that are scored at once.
+CHUNK_CHARS = 2 << 20
 #: A language uses a script that at least this share of its letters is in.
 LEAST_SHARE = 0.01
 #: Log-likelihood that a switch costs; and that a word costs in a script its language lacks.
@@ -49,56 +57,85 @@ def script_of(chars: np.ndarray) -> np.ndarray:
     return own[np.searchsorted(SCRIPTS, chars, side="right") - 1]
 
 
-def _slots(d) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(word, slot) of the 1-, 2- and 3-grams, each order in a range of its own."""
-    return [(w, s + (k << BITS)) for k, (w, s) in enumerate(grams(d, n, BITS) for n in (1, 2, 3))]
+def _grams(d: Distinct, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(word, n-gram) of every n-gram inside a distinct word and its end marks: the characters'
+    code points plus 1, 21 bits each, the last one lowest."""
+    chars = d.chars.astype(np.int64) + 1
+    n = max(0, len(chars) - size + 1)
+    out = np.zeros(n, np.int64)
+    for j in range(size):
+        out = out << 21 | chars[j:j + n]
+    word = np.repeat(np.arange(len(d.first) - 1), np.diff(d.first))[:n]
+    inside = np.arange(n) + size <= d.first[1:][word]
+    return word[inside], out[inside]
 
 
-def counts_of(texts: pa.Array) -> np.ndarray:
-    """How often each slot occurs in the words, then how many letters each script has."""
+def counts_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The n-grams of 1 to 3 characters in the words and how often each occurs; and -1 - s with
+    the number of letters for each script s."""
     w, _ = letter_words(texts)
     d = distinct(w, before=2)
     times = np.bincount(d.of_word, minlength=len(d.first) - 1)
-    out = np.zeros(SLOTS + len(SCRIPTS))
-    for word, slot in _slots(d):
-        out[:SLOTS] += np.bincount(slot, times[word], minlength=SLOTS)
-    if len(d.chars):
-        word = np.repeat(np.arange(len(d.first) - 1), np.diff(d.first))
-        real = d.chars > 0
-        out[SLOTS:] += np.bincount(script_of(d.chars[real]), times[word[real]], minlength=len(SCRIPTS))
-    return out
+    real = d.chars > 0
+    word = np.repeat(np.arange(len(d.first) - 1), np.diff(d.first))[real]
+    parts = [*(_grams(d, n) for n in (1, 2, 3)), (word, -1 - script_of(d.chars[real]))]
+    gram, which = np.unique(np.concatenate([g for _, g in parts]), return_inverse=True)
+    return gram, np.bincount(which, np.concatenate([times[word] for word, _ in parts]), minlength=len(gram)).astype(np.int64)
 
 
 class Model:
-    """The languages, their n-gram counts and their scripts."""
-
-    def __init__(self, counts: dict[str, np.ndarray]):
-        self.langs = sorted(counts)
-        self.grams = [counts[x][:SLOTS].astype(np.float32) for x in self.langs]
-        self.total = [float(g[:1 << BITS].sum()) for g in self.grams]
-        letters = np.array([counts[x][SLOTS:] for x in self.langs]).reshape(len(self.langs), len(SCRIPTS))
-        self.uses = letters >= LEAST_SHARE * np.maximum(letters.sum(axis=1, keepdims=True), 1)
-
-    def word_scores(self, d) -> np.ndarray:
-        """Log-likelihood of each distinct word (with two zeros before and one behind)."""
-        n = len(d.first) - 1
-        out = np.zeros((n, len(self.langs)))
-        (_, s1), (_, s2), (word, s3) = _slots(d)
-        # a word of m letters has m + 3 places, m + 2 pairs and m + 1 triples: the triple at i
-        # predicts the place i + 2, in the context of the pair at i, or of the place i + 1
-        places = np.diff(d.first)
-        triples = np.maximum(places - 2, 0)
-        nth = np.arange(len(s3)) - np.repeat(np.cumsum(triples) - triples, triples)
-        at1, at2 = d.first[:-1][word] + nth, (d.first[:-1] - np.arange(n))[word] + nth
-        for k, g in enumerate(self.grams):
-            one = (g[s1[at1 + 2]] + 0.5) / (self.total[k] + 0.5 * (1 << BITS))
-            two = (g[s2[at2 + 1]] + 2 * one) / (g[s1[at1 + 1]] + 2)
-            three = (g[s3] + 2 * two) / (g[s2[at2]] + 2)
-            out[:, k] = np.bincount(word, np.log(three), minlength=n)
-        if n:
-            uses = self.uses[:, script_of(d.chars[d.first[:-1] + 2])].T
-            out = np.where(uses.any(axis=1, keepdims=True), out - NO_SCRIPT * ~uses, 0.0)
-        return out
+    """The languages, which scripts they use, their numbers of 1-grams, and the stored table of
+    ``gram`` and ``n``, the counts by language."""
+
+    def __init__(self, grams: DataFrame | None, letters: dict[str, np.ndarray], totals: dict[str, int]):
+        self.langs = sorted(letters)
+        self.grams = grams
+        self.totals = [totals[x] for x in self.langs]
+        share = np.array([letters[x] for x in self.langs]).reshape(len(self.langs), len(SCRIPTS))
+        self.uses = share >= LEAST_SHARE * np.maximum(share.sum(axis=1, keepdims=True), 1)
+
+    def triple_scores(self, triples: DataFrame) -> DataFrame:
+        """``gram, score`` of the distinct 3-grams ``triples``: by language the log-likelihood of the
+        last character behind the two before, whether a language has the 3-gram or not."""
+        k = len(self.langs)
+        none = F.array(*[F.lit(0).cast("bigint")] * k)
+        pairs = triples.select(F.expr("explode(array(gram & 4398046511103L, shiftright(gram, 21))) AS gram")).distinct()
+        ones = pairs.select(F.expr("explode(array(gram & 2097151L, shiftright(gram, 21))) AS gram")).distinct()
+        counted = lambda df: df.join(self.grams, "gram", "left").withColumn("n", F.coalesce("n", none))
+        totals = F.array(*[F.lit(float(t) + 0.5 * (1 << BITS)) for t in self.totals])
+        smoothed = lambda n, less, before: F.zip_with(
+            F.zip_with(n, less, lambda x, y: x + 2 * y), before, lambda x, y: x / (y + 2))
+
+        def longer(grams: DataFrame, mask: int, shorter: DataFrame) -> DataFrame:
+            end = shorter.select(F.col("gram").alias("end"), F.col("p").alias("end_p"))
+            before = shorter.select(F.col("gram").alias("before"), F.col("n").alias("before_n"))
+            return counted(grams).withColumns({"end": F.expr(f"gram & {mask}L"), "before": F.expr("shiftright(gram, 21)")}) \
+                .join(end, "end").join(before, "before").select("gram", "n", smoothed(F.col("n"), F.col("end_p"), F.col("before_n")).alias("p"))
+
+        one = stored(counted(ones).withColumn("p", F.zip_with("n", totals, lambda x, t: (x + 0.5) / t)), "language_ones")
+        two = stored(longer(pairs, (1 << 21) - 1, one), "language_pairs")
+        return longer(triples, (1 << 42) - 1, two).select("gram", F.transform("p", lambda x: F.log(x).cast("float")).alias("score"))
+
+
+def word_scores(d: Distinct, known: np.ndarray, scores: np.ndarray, uses: np.ndarray) -> np.ndarray:
+    """Log-likelihood of each distinct word (with two zeros before and one behind) by language, from the
+    sorted 3-grams ``known`` and their ``scores``; ``uses`` is which scripts the languages use."""
+    n = len(d.first) - 1
+    word, gram = _grams(d, 3)
+    at = np.searchsorted(known, gram)
+    out = np.stack([np.bincount(word, scores[at, j], minlength=n) for j in range(len(uses))], axis=1)
+    if n:
+        use = uses[:, script_of(d.chars[d.first[:-1] + 2])].T
+        out = np.where(use.any(axis=1, keepdims=True), out - NO_SCRIPT * ~use, 0.0)
+    return out
+
+
+def _arrays(table: pa.Table, key: str, value: str, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """The keys in order, and for each its list of ``k`` numbers."""
+    keys = table.column(key).to_numpy()
+    lists = table.column(value).combine_chunks()
+    order = np.argsort(keys)
+    return keys[order], lists.flatten().to_numpy(zero_copy_only=False).reshape(len(keys), k)[order]
 
 
 #: Words of a block: the path search runs through all blocks of all texts at once.
@@ -204,26 +241,45 @@ def label_words(scores: np.ndarray, first: np.ndarray, switch: float) -> np.ndar
 
 
 def learn(docs: DataFrame) -> Model:
-    """The model of all of ``docs`` (text, lang) with a label. What reaches the driver is at
-    most 49,152 counts and 37 letter counts a language, however many documents there are."""
+    """The model of all of ``docs`` (text, lang) with a label. What reaches the driver is at most 37
+    letter counts and a total for each language, however many documents there are."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, np.ndarray] = {}
         for batch in batches:
             for part in slices(batch):
                 langs = np.array(part.column("lang").to_pylist(), object)
                 for lang in sorted(set(langs)):
-                    own = counts_of(part.column("text").filter(pa.array(langs == lang)))
-                    held[lang] = held[lang] + own if lang in held else own
-        for lang, c in held.items():
-            some = np.flatnonzero(c)
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(some), pa.string()), pa.array(some.astype(np.int32)),
-                                              pa.array(c[some])], names=["lang", "slot", "n"])
+                    gram, n = counts_of(part.column("text").filter(pa.array(langs == lang)))
+                    yield pa.RecordBatch.from_arrays([pa.array([lang] * len(gram), pa.string()), pa.array(gram), pa.array(n)],
+                                                     names=["lang", "gram", "n"])
+
+    counted = docs.filter("lang IS NOT NULL").select("text", "lang").mapInArrow(run, "lang string, gram bigint, n bigint")
+    counted = stored(counted.groupBy("lang", "gram").agg(F.sum("n").alias("n")), "language_counts")
+    letters: dict[str, np.ndarray] = {}
+    for r in counted.filter("gram < 0").collect():
+        letters.setdefault(r.lang, np.zeros(len(SCRIPTS)))[-1 - r.gram] = r.n
+    totals = {r.lang: r.n for r in counted.filter(f"gram BETWEEN 0 AND {(1 << 21) - 1}").groupBy("lang").agg(F.sum("n").alias("n")).collect()}
+    langs = sorted(letters)
+    if not langs:
+        return Model(None, {}, {})
+    by_lang = F.map_from_entries(F.collect_list(F.struct("lang", "n")))
+    grams = counted.filter("gram >= 0").groupBy("gram").agg(by_lang.alias("of"))
+    n = F.array(*[F.coalesce(F.try_element_at("of", F.lit(x)), F.lit(0).cast("bigint")) for x in langs])
+    return Model(stored(grams.select("gram", n.alias("n")), "language_grams"), letters, totals)
+
+
+def _triples(part: pa.RecordBatch) -> np.ndarray:
+    """The distinct 3-grams of the rows' words."""
+    return np.unique(_grams(distinct(letter_words(part.column("text"))[0], before=2), 3)[1])
+
+
+def distinct_triples(docs: DataFrame) -> DataFrame:
+    """``gram`` of the distinct 3-grams of all words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch):
+                yield pa.RecordBatch.from_arrays([pa.array(_triples(part))], names=["gram"])
 
-    counted = docs.filter("lang IS NOT NULL").select("text", "lang").mapInArrow(run, "lang string, slot int, n double")
-    counts: dict[str, np.ndarray] = {}
-    for r in counted.groupBy("lang", "slot").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts.setdefault(r.lang, np.zeros(SLOTS + len(SCRIPTS)))[r.slot] = r.n
-    return Model(counts)
+    return docs.select("text").mapInArrow(run, "gram bigint").distinct()
 
 
 SPANS = "array<struct<start:int,end:int,lang:string>>"
@@ -233,38 +289,58 @@ def identify(docs: DataFrame, model: Model, switch: float = SWITCH) -> DataFrame
     """``docs`` (doc_id, text) -> doc_id, lang_pred, score (the share of the letters that are in
     words of that language) and spans: runs of words of one language, by characters."""
     names = [*model.langs, "und"]
-    none = len(model.langs)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    none = k = len(model.langs)
+    uses = model.uses
+
+    def labelled(part: pa.RecordBatch, known: np.ndarray, scores: np.ndarray) -> pa.RecordBatch:
+        """The rows' results by the scores of the 3-grams ``known``."""
+        w, off = letter_words(part.column("text"))
+        n = part.num_rows
+        text, lens = w.of_text(), w.ends - w.starts
+        if k:
+            d = distinct(w, before=2)
+            label = label_words(word_scores(d, known, scores, uses)[d.of_word], w.first, switch)
+        else:
+            label = np.zeros(len(text), np.int32)
+        letters = np.bincount(text * (k + 1) + label, lens, minlength=n * (k + 1)).reshape(n, k + 1)
+        total = letters.sum(axis=1)
+        best = np.where((total > 0) & (k > 0), letters[:, :max(k, 1)].argmax(axis=1), none)
+        score = np.where(best < none, letters[np.arange(n), np.minimum(best, k)] / np.maximum(total, 1), 0.0)
+        new = np.ones(len(text), bool)
+        new[1:] = (text[1:] != text[:-1]) | (label[1:] != label[:-1])
+        heads = np.flatnonzero(new) if k else np.zeros(0, np.int64)
+        tails = np.append(heads[1:], len(text))[:len(heads)] - 1
+        of = text[heads]
+        spans = pa.StructArray.from_arrays([
+            pa.array((w.starts[heads] - off[of]).astype(np.int32)), pa.array((w.ends[tails] - off[of]).astype(np.int32)),
+            pa.array([names[x] for x in label[heads]], pa.string())], names=["start", "end", "lang"])
+        lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32)), spans)
+        return pa.RecordBatch.from_arrays([
+            part.column("doc_id"), pa.array([names[x] for x in best], pa.string()), pa.array(score), lists],
+            names=["doc_id", "lang_pred", "score", "spans"])
+
+    def alone(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
-                w, off = letter_words(part.column("text"))
-                d = distinct(w, before=2)
-                n, k = part.num_rows, len(model.langs)
-                text, lens = w.of_text(), w.ends - w.starts
-                if k:
-                    label = label_words(model.word_scores(d)[d.of_word], w.first, switch)
-                else:
-                    label = np.zeros(len(text), np.int32)
-                letters = np.bincount(text * (k + 1) + label, lens, minlength=n * (k + 1)).reshape(n, k + 1)
-                total = letters.sum(axis=1)
-                best = np.where((total > 0) & (k > 0), letters[:, :max(k, 1)].argmax(axis=1), none)
-                score = np.where(best < none, letters[np.arange(n), np.minimum(best, k)] / np.maximum(total, 1), 0.0)
-                new = np.ones(len(text), bool)
-                new[1:] = (text[1:] != text[:-1]) | (label[1:] != label[:-1])
-                heads = np.flatnonzero(new) if k else np.zeros(0, np.int64)
-                tails = np.append(heads[1:], len(text))[:len(heads)] - 1
-                of = text[heads]
-                spans = pa.StructArray.from_arrays([
-                    pa.array((w.starts[heads] - off[of]).astype(np.int32)), pa.array((w.ends[tails] - off[of]).astype(np.int32)),
-                    pa.array([names[x] for x in label[heads]], pa.string())], names=["start", "end", "lang"])
-                lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(n + 1)).astype(np.int32)), spans)
-                yield pa.RecordBatch.from_arrays([
-                    part.column("doc_id"), pa.array([names[x] for x in best], pa.string()), pa.array(score), lists],
-                    names=["doc_id", "lang_pred", "score", "spans"])
+                yield labelled(part, np.zeros(0, np.int64), np.zeros((0, 0)))
+
+    def asked(table: pa.Table) -> pa.Table:
+        grams = np.unique(np.concatenate([_triples(part) for b in table.to_batches() for part in slices(b)]))
+        return pa.table({"chunk": np.full(len(grams), table.column("chunk")[0].as_py(), np.int64), "gram": grams})
+
+    def answered(table: pa.Table, answers: pa.Table) -> pa.Table:
+        known, scores = _arrays(answers, "gram", "score", k)
+        return pa.Table.from_batches([labelled(part, known, scores) for b in table.to_batches() for part in slices(b)])
 
+    schema = f"doc_id bigint, lang_pred string, score double, spans {SPANS}"
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return docs.mapInArrow(run, f"doc_id bigint, lang_pred string, score double, spans {SPANS}")
+    if not k:
+        return docs.mapInArrow(alone, schema)
+    scores = stored(model.triple_scores(stored(distinct_triples(docs), "language_triples")), "language_scores")
+    chars = docs.agg(F.sum(F.length("text"))).first()[0] or 0
+    docs = docs.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "text"), F.lit(chars // CHUNK_CHARS + 1)))
+    answers = docs.groupBy("chunk").applyInArrow(asked, "chunk bigint, gram bigint").join(scores, "gram").select("chunk", "gram", "score")
+    return docs.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(answered, schema)
 
 
 def held_out(column: str = "doc_id"):

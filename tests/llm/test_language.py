@@ -112,3 +112,40 @@ def test_scripts_narrow_the_candidates(make_docs):
     model = L.learn(docs)
     got = {r.doc_id: r.lang_pred for r in L.identify(make_docs([(3, words("zyxwv")), (4, words("шщэюя"))]), model).collect()}
     assert got == {3: "xa", 4: "xb"}  # letters never seen, but a script that one language has
+
+
+def test_counts_and_scores_are_exact(make_docs):
+    r = random.Random(4)
+    han = [chr(0x4E00 + i) for i in range(20000)]
+    words = {"xa": [], "xb": ["abc", "bcd", "abc"], "xc": ["cab", "zz"]}
+    words["xa"] = ["".join(r.choice(han) for _ in range(3)) for _ in range(12000)]
+    docs = make_docs([(i, " ".join(w), x) for i, (x, w) in enumerate(words.items())])
+    model = L.learn(docs)
+    counts = {x: {} for x in words}
+    for x, ws in words.items():
+        for m in ("\0\0" + w + "\0" for w in ws):
+            for n in (1, 2, 3):
+                for i in range(len(m) - n + 1):
+                    counts[x][m[i:i + n]] = counts[x].get(m[i:i + n], 0) + 1
+    assert sum(len(g) == 1 for g in counts["xa"]) > 1 << L.BITS - 1 and sum(len(g) == 3 for g in counts["xa"]) > 1 << L.BITS
+    code = lambda g: sum(ord(c) + 1 << 21 * (len(g) - 1 - i) for i, c in enumerate(g))
+    got = {row.gram: list(row.n) for row in model.grams.collect()}
+    assert got == {code(g): [counts[x].get(g, 0) for x in model.langs] for g in {g for c in counts.values() for g in c}}
+
+    def likelihood(w, x):
+        m, c, out = "\0\0" + w + "\0", counts[x], 0.0
+        total = sum(n for g, n in c.items() if len(g) == 1)
+        for i in range(2, len(m)):
+            one = (c.get(m[i], 0) + 0.5) / (total + 0.5 * (1 << L.BITS))
+            two = (c.get(m[i - 1:i + 1], 0) + 2 * one) / (c.get(m[i - 1], 0) + 2)
+            out += np.log((c.get(m[i - 2:i + 1], 0) + 2 * two) / (c.get(m[i - 2:i], 0) + 2))
+        return out
+
+    asked = ["abc", "cabz", "q", *r.sample(words["xa"], 20), "漢字"]
+    text = make_docs([(1, " ".join(asked))])
+    rows = sorted((row.gram, list(row.score)) for row in model.triple_scores(L.distinct_triples(text)).collect())
+    d = distinct(letter_words(pa.array([" ".join(asked)]))[0], before=2)
+    scores = L.word_scores(d, np.array([g for g, _ in rows]), np.array([x for _, x in rows]), model.uses)
+    for w, row in zip(asked, scores[d.of_word]):
+        uses = ["xa"] if ord(w[0]) > 0x3400 else ["xb", "xc"]
+        assert list(row) == pytest.approx([likelihood(w, x) - L.NO_SCRIPT * (x not in uses) for x in model.langs])
