@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rillflow.llm import chat, language, mixing, packing, quality, simhash, substring, topk, toxicity, urls
+from rillflow.llm import chat, language, mixing, packing, quality, simhash, substring, tokencount, topk, toxicity, urls
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -15,6 +15,7 @@ QUERIES = {
     "op8_url_filters": urls.op8_url_filters,
     "op9_mixing": mixing.op9_mixing,
     "op10_toxicity": toxicity.op10_toxicity,
+    "op11_token_counts": tokencount.op11_token_counts,
 }
 
 ORACLE = {"op2_topk": topk.OP2_SQL, "op3_chat": chat.OP3_SQL, "op9_mixing": mixing.OP9_SQL}

@@ -1,0 +1,59 @@
+"""Token counts against the tokenizer itself on whole texts."""
+
+import random
+
+import pyarrow as pa
+import pytest
+import sentencepiece
+
+from rillflow.llm import tokencount as C
+
+PATH = C._model_path()
+
+
+@pytest.fixture(scope="module")
+def whole():
+    m = sentencepiece.SentencePieceProcessor(model_file=PATH)
+    return lambda text: len(m.encode(text or ""))
+
+
+def random_texts(n):
+    r = random.Random(5)
+    signs = ["a", "b", "the", " ", " ", "  ", "\n", "\t", "é", ".", ",", "▁", "–", "　", "\r", "\x85", "'s", "1", "23", "!", "\0",
+             "́", "\U0001f600", "中", "文", "字", "<s>", "</s>", "<unk>", "<0x0A>", "ß", "Ω", "क", "====", "\xa0", "ing", "Hello"]
+    return ["".join(r.choice(signs) for _ in range(r.randrange(60))) for _ in range(n)]
+
+
+def test_pre_tokens_have_the_pieces_of_whole_texts(whole):
+    texts = ["", " ", "   ", "a", "▁", " ▁ a", "\n", None, "a" * 5000, "=" * 777, *random_texts(4000)]
+    c = C.counter(PATH)
+    tokens, first = c.splitter.split(pa.array(texts))
+    n = c.pieces(tokens.to_pylist())
+    for text, a, b in zip(texts, first, first[1:]):
+        assert sum(n[a:b]) == whole(text), repr(text)
+        assert b"".join(tokens[a:b].to_pylist()).decode() == (" " + text if text else "")
+
+
+@pytest.mark.parametrize("head, short", [(65_536, 32), (5, 32), (0, 3)])
+def test_every_row_is_counted(spark, make_docs, whole, monkeypatch, head, short):
+    monkeypatch.setattr(C, "HEAD", head)
+    monkeypatch.setattr(C, "SHORT", short)
+    texts = [None, "", " ", "same text here", "same text here", "x" * 70_000, *random_texts(150)]
+    rows = [(None if i % 17 == 3 else i // 2, t) for i, t in enumerate(texts)]
+    docs = make_docs(rows, ["'a' AS token", "1 AS N", "2 AS `key`", "3 AS row", "4 AS pieces", "5 AS N_BYTES"])
+    got = C.count_tokens(docs.repartition(5), PATH).collect()
+    key = lambda r: (r[0] is None, r[0] or 0, *r[1:])
+    want = [(i, len((t or "").encode()), whole(t)) for i, t in rows]
+    assert sorted(map(tuple, got), key=key) == sorted(want, key=key)
+    assert C.count_tokens(docs.limit(0), PATH).collect() == []
+
+
+def test_query_on_whole_documents(spark, whole):
+    sf = "/root/testdata/sf0.001"
+    got = {r.doc_id: r for r in C.op11_token_counts(spark, sf).collect()}
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    assert len(got) == len(docs)
+    for d in docs:
+        r = got[d.doc_id]
+        assert (r.n_bytes, r.n_tokens) == (len(d.text.encode()), whole(d.text))
+        assert r.over_limit == (r.n_tokens > 4096)
