@@ -1,0 +1,113 @@
+"""Collocations against plain Python counts of all phrases."""
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+
+from rillflow.llm import collocation as C
+
+
+def brute_counts(rows, longest):
+    f, n = Counter(), Counter()
+    for text, lang in rows:
+        lang = "und" if lang is None else lang
+        lower = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", lower):
+            w = [x for x in re.split(r"[\x20\x09]+", piece) if x]
+            n[lang] += len(w)
+            for k in range(1, longest + 1):
+                for i in range(len(w) - k + 1):
+                    f[lang, tuple(w[i:i + k])] += 1
+    return f, n
+
+
+def brute(rows, longest=4, least=30, contained=80, top=2000):
+    f, n = brute_counts(rows, longest)
+    cands = {p: a for p, a in f.items() if len(p[1]) > 1 and a >= least}
+    inside = lambda s, b: any(b[i:i + len(s)] == s for i in range(len(b) - len(s) + 1))
+    out = []
+    for (lang, p), a in cands.items():
+        if any(x == lang and len(b) > len(p) and inside(p, b) and 100 * fb >= contained * a for (x, b), fb in cands.items()):
+            continue
+        score, cut = min((2_000_000 * a // (f[lang, p[:k]] + f[lang, p[k:]]), k) for k in range(1, len(p)))
+        out.append((lang, -score, -a, " ".join(p).encode(), f[lang, p[:cut]], f[lang, p[cut:]]))
+    got, rank = [], Counter()
+    for lang, score, a, p, left, right in sorted(out):
+        rank[lang] += 1
+        if rank[lang] <= top:
+            got.append((lang, rank[lang], p.decode(), -a, left, right, n[lang], -score))
+    return got
+
+
+def texts(seed, count, words):
+    r = random.Random(seed)
+    vocab = ["a", "b", "the", "The", "é", "ÉA", "x\x1cy", "zebra", "Zoo", "z", "日本", "in-", "\xa0"][:words]
+    marks = [" ", " ", " ", "  ", "\t", ". ", ",", "\n", "\r\n", "; "]
+    out = []
+    for _ in range(count):
+        out.append("".join(r.choice(vocab) + r.choice(marks) for _ in range(r.randrange(60))))
+        if r.random() < 0.3:
+            out.append("in the name of a passage that repeats" + r.choice(["", " b", "!"]))
+    return out
+
+
+COLUMNS = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@pytest.mark.parametrize("span, chunk", [(2_000_000, 6 << 20), (300, 2_000), (20, 400)])
+def test_equals_brute_force(spark, make_docs, monkeypatch, span, chunk):
+    monkeypatch.setattr(C, "CHUNK_BYTES", chunk)
+    r = random.Random(span)
+    rows = [(t, r.choice(["en", "de", None, "und", ""])) for t in texts(1, 80, 13)]
+    rows += [(None, "en"), ("", "xx"), (" .\t\n", "xx"), ("once", "yy"), *[("hot pair " * 400, "hot")] * 3]
+    docs = make_docs([(i // 2 if i % 5 else None, t, lang) for i, (t, lang) in enumerate(rows)],
+                     ["1 AS part", "2 AS Phrase", "'q' AS LANGS", "3 AS k", "4 AS f"])
+    got = C.collocations(docs.repartition(3), least=5, top=40, span=span)
+    assert got.columns == list(COLUMNS)
+    assert sorted(map(tuple, got.collect())) == sorted(brute(rows, least=5, top=40))
+    f, n = brute_counts(rows, 4)
+    counts = {(x.lang, x.phrase): x.f for x in C.count_phrases(docs, 4, 5, span).collect()}
+    assert counts == {**{(lang, " ".join(p)): v for (lang, p), v in f.items() if v >= 5}, **{(lang, ""): v for lang, v in n.items() if v}}
+
+
+def test_empty(spark, make_docs):
+    docs = make_docs([(1, "a b")])
+    assert C.collocations(docs.limit(0)).collect() == []
+    assert C.collocations(make_docs([(1, None), (2, "")])).collect() == []
+    assert C.collocations(docs).collect() == []
+
+
+def test_quicksort_counts_prefixes():
+    r = np.random.default_rng(2)
+    for n, words in ((1, 1), (50, 2), (3000, 4), (3000, 300)):
+        columns = r.integers(1, words + 1, (4, n)).astype(np.int32)
+        ends = r.integers(1, 5, n)
+        columns[np.arange(4)[:, None] >= ends] = 0
+        weight = r.integers(1, 5, n)
+        want = Counter()
+        for i in range(n):
+            for d in range(ends[i]):
+                want[tuple(columns[:d + 1, i])] += weight[i]
+        got = {}
+        for d, at, total in C.frequent_prefixes(columns, weight, 7):
+            for i, t in zip(at, total):
+                key = tuple(columns[:d + 1, i])
+                assert key not in got
+                got[key] = t
+        assert got == {p: v for p, v in want.items() if v >= 7}
+
+
+def test_exact_beyond_64_bits(spark):
+    big = 9 * 10 ** 17
+    phrases = spark.createDataFrame([("en", 0, "", big), ("en", 1, "a", big), ("en", 1, "b", big - 1), ("en", 2, "a b", big - 7)],
+                                    "lang string, k int, phrase string, f bigint")
+    real = C.count_phrases
+    try:
+        C.count_phrases = lambda *a: phrases
+        (row,) = C.collocations(phrases).collect()
+    finally:
+        C.count_phrases = real
+    assert tuple(row) == ("en", 1, "a b", big - 7, big, big - 1, big, 2_000_000 * (big - 7) // (2 * big - 1))
