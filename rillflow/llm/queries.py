@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rillflow.llm import chat, collocation, language, mixing, packing, quality, simhash, substring, tokencount, topk, toxicity, urls
+from rillflow.llm import chat, collocation, language, mixing, packing, quality, simhash, substring, tokencount, topk, toxicity, urls, whitening
 
 QUERIES = {
     "op1_quality_rules": quality.op1_quality_rules,
@@ -17,6 +17,7 @@ QUERIES = {
     "op10_toxicity": toxicity.op10_toxicity,
     "op11_token_counts": tokencount.op11_token_counts,
     "op12_collocations": collocation.op12_collocations,
+    "op13_whitening": whitening.op13_whitening,
 }
 
 ORACLE = {"op2_topk": topk.OP2_SQL, "op3_chat": chat.OP3_SQL, "op9_mixing": mixing.OP9_SQL,

@@ -24,5 +24,5 @@ def test_query_equals_sql(spark, name):
 def test_every_operator_has_a_query():
     from __spark_entry__ import oracle_sql, queries
 
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES}
     assert {*QUERIES, "pipeline"} <= set(queries()) and set(ORACLE) <= set(oracle_sql())
