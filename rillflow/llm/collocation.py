@@ -36,9 +36,9 @@ from rillflow.llm.arrowtext import slices, text_bytes
 from rillflow.llm.common import stored
 
 #: Suffixes that one range holds, about.
-RANGE = 2_000_000
+RANGE = 1_500_000
 #: Bytes of text whose suffixes are sent together.
-CHUNK_BYTES = 6 << 20
+CHUNK_BYTES = 4 << 20
 #: Sampled suffixes per chunk, and for each range, and altogether at most.
 PICKS, PICKS_A_RANGE, MOST_PICKS = 64, 50, 200_000
 
@@ -63,12 +63,11 @@ class Suffixes:
         edge[off] = True
         starts = np.flatnonzero(solid[1:-1] & (~solid[:-2] | edge[:-1]))
         ends = np.flatnonzero(solid[1:-1] & (~solid[2:] | edge[1:])) + 1
-        stops = np.zeros(len(buf) + 1, np.int64)
-        np.cumsum(_STOP[buf], out=stops[1:])
+        stops = np.searchsorted(np.flatnonzero(_STOP[buf]), starts)  # signs that end a piece, before each word
         text = np.searchsorted(off, starts, side="right") - 1
         n = len(starts)
         new = np.ones(n + 1, bool)  # where a piece begins, and the end
-        new[1:-1] = (stops[starts[1:]] != stops[starts[:-1]]) | (text[1:] != text[:-1])
+        new[1:-1] = (stops[1:] != stops[:-1]) | (text[1:] != text[:-1])
         at = np.flatnonzero(new)
         self.left = np.repeat(at[1:], np.diff(at)) - np.arange(n)
         upto = np.zeros(n + 1, np.int64)
@@ -77,19 +76,19 @@ class Suffixes:
         words = words.dictionary_encode()
         order = pc.sort_indices(words.dictionary)
         self.words = words.dictionary.take(order)
-        rank = np.empty(len(order), np.int64)
+        rank = np.empty(len(order), np.int32)
         rank[order.to_numpy()] = np.arange(1, len(order) + 1)
         self.rank = rank[words.indices.to_numpy(zero_copy_only=False)]
         langs = pc.fill_null(langs.cast(pa.string()), "und").dictionary_encode()
         order = pc.sort_indices(langs.dictionary.cast(pa.binary()))
         self.langs = langs.dictionary.take(order).to_pylist()
-        place = np.empty(len(order), np.int64)
+        place = np.empty(len(order), np.int32)
         place[order.to_numpy()] = np.arange(len(order))
         self.lang = place[langs.indices.to_numpy(zero_copy_only=False)][text]
 
     def column(self, depth: int) -> np.ndarray:
         """The rank of the word ``depth`` words behind each one, 0 if its piece has ended."""
-        out = np.zeros(len(self.rank), np.int64)
+        out = np.zeros(len(self.rank), np.int32)
         out[:max(0, len(out) - depth)] = self.rank[depth:]
         return np.where(self.left > depth, out, 0)
 
@@ -100,7 +99,7 @@ class Suffixes:
         keys, used = [], 64
         for c in columns:  # as few sort keys as hold all columns
             if used + bits > 62:
-                keys.append(c.copy())
+                keys.append(c.astype(np.int64))
                 used = bits
             else:
                 keys[-1] = keys[-1] << bits | c
@@ -172,22 +171,22 @@ def frequent_prefixes(columns: np.ndarray, weight: np.ndarray, least: int) -> It
     """
     longest, n = columns.shape
     flat = columns.ravel()
-    ptr = np.arange(n)
+    ptr = np.arange(n, dtype=np.int32)
     begin, depth = np.zeros(1, np.int64), np.zeros(1, np.int64)  # of each live partition
     if n == 0 or weight.sum() < least:
         return
     while len(ptr):
         size = np.diff(begin, append=len(ptr))
-        part = np.repeat(np.arange(len(begin)), size)
+        part = np.repeat(np.arange(len(begin), dtype=np.int32), size)
         key = flat[(depth * n)[part] + ptr]
         # the median of three
         a, b, c = key[begin], key[begin + size // 2], key[begin + size - 1]
         pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[part]
         side = (key >= pivot).astype(np.int8) + (key > pivot)
-        slot = 3 * part + side
+        slot = 3 * part + side  # 32 bits
         count = np.bincount(slot, minlength=3 * len(begin))
         first = np.cumsum(count) - count
-        place = np.empty(len(ptr), np.int64)
+        place = np.empty(len(ptr), np.int32)
         for s in range(3):
             own = np.flatnonzero(side == s)
             # elements of one side keep their order: the nth of its partition goes to first + n
@@ -358,10 +357,10 @@ WITH texts AS (
   SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
   FROM documents),
 pieces AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS p FROM texts),
-words AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), x -> x <> '') AS w FROM pieces),
+words AS (SELECT lang, list_filter(string_split_regex(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
 phrases AS (
   SELECT lang, k, phrase, count(*) AS f FROM (
-    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), i -> array_to_string(w[i:i + k - 1], ' '))) AS phrase
+    SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
     FROM words, (VALUES (1), (2), (3), (4)) ks(k) WHERE len(w) >= k)
   GROUP BY lang, k, phrase),
 numbers AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
@@ -370,7 +369,7 @@ cuts AS (
   SELECT c.lang, c.phrase, c.a, cut, l.f AS l, r.f AS r, (2000000::HUGEINT * c.a // (l.f + r.f))::BIGINT AS score
   FROM (SELECT *, unnest(range(1, k)) AS cut FROM cands) c
   JOIN phrases l ON l.lang = c.lang AND l.phrase = array_to_string(c.w[1:cut], ' ')
-  JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:k], ' ')),
+  JOIN phrases r ON r.lang = c.lang AND r.phrase = array_to_string(c.w[cut + 1:c.k], ' ')),
 worst AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
 kept AS (
   SELECT * FROM worst c WHERE NOT EXISTS (
