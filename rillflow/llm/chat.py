@@ -12,6 +12,8 @@ before the text is encoded, no token reaches over the edge of a turn.
 Rows: a null text or role is empty; turns are in the order of ``turn`` (null first), then role
 and text; repeated rows are turns of their own; a row without ``conv_id`` is a conversation of
 its own; an empty table gives an empty result; other columns of the input are not looked at.
+A conversation is rendered and encoded whole, in one row: about 100 bytes of memory a character,
+and at most 2 GB of text.
 """
 
 from __future__ import annotations
@@ -21,12 +23,15 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Characters of conversations that are encoded at once, unless one alone is longer.
+SLICE_CHARS = 1 << 20
 START, MIDDLE, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 FORMATTED = "conv_id bigint, text string, ids array<int>, starts array<int>, ends array<int>, loss array<boolean>"
 _TURN = re.compile(re.escape(START) + r"(.*?)" + re.escape(MIDDLE) + r"(.*?)" + re.escape(END) + "\n", re.DOTALL)
@@ -96,23 +101,40 @@ def format_conversations(rows: DataFrame, tokenizer: str, learn: str = "assistan
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         t = tokenizer_with_controls(tokenizer)
         for batch in batches:
-            for a in range(0, batch.num_rows, 256):
-                part = batch.slice(a, 256)
-                turns = [[(x["role"], x["text"]) for x in c] for c in part.column("turns").to_pylist()]
-                texts, spans = zip(*(render(c, learn) for c in turns))
-                done = t.encode_batch(list(texts), add_special_tokens=False)
-                places = [np.array(e.offsets, np.int32).reshape(-1, 2).T for e in done]
-                yield pa.RecordBatch.from_arrays([
-                    part.column("conv_id"), pa.array(texts, pa.string()),
-                    pa.array([e.ids for e in done], pa.list_(pa.int32())),
-                    pa.array([p[0] for p in places], pa.list_(pa.int32())),
-                    pa.array([p[1] for p in places], pa.list_(pa.int32())),
-                    pa.array([mask(s, *p) for s, p in zip(spans, places)], pa.list_(pa.bool_()))],
-                    names=["conv_id", "text", "ids", "starts", "ends", "loss"])
+            convs, texts, spans, size = [], [], [], 0
+            for conv, turns in zip(batch.column("conv_id").to_pylist(), batch.column("turns")):
+                text, its = render([(x["role"], x["text"]) for x in turns.as_py()], learn)
+                convs.append(conv)
+                texts.append(text)
+                spans.append(its)
+                size += len(text)
+                if size >= SLICE_CHARS:
+                    yield _encoded(t, convs, texts, spans)
+                    convs, texts, spans, size = [], [], [], 0
+            if convs:
+                yield _encoded(t, convs, texts, spans)
 
     return whole.unionByName(alone).mapInArrow(run, FORMATTED)
 
 
+def _encoded(tokenizer, convs: list, texts: list[str], spans: list[list[tuple[int, int]]]) -> pa.RecordBatch:
+    """Rows of ``FORMATTED``. The masks of all conversations are found at once, each one's places
+    being put behind those of the one before."""
+    done = tokenizer.encode_batch(texts, add_special_tokens=False)
+    upto = np.zeros(len(done) + 1, np.int64)
+    np.cumsum([len(e) for e in done], out=upto[1:])
+    ids = np.fromiter(chain.from_iterable(e.ids for e in done), np.int32, upto[-1])
+    places = np.fromiter(chain.from_iterable(chain.from_iterable(e.offsets for e in done)), np.int32, 2 * upto[-1]).reshape(-1, 2)
+    behind = np.zeros(len(texts) + 1, np.int64)
+    np.cumsum([len(x) for x in texts], out=behind[1:])
+    base = np.repeat(behind[:-1], np.diff(upto))
+    loss = mask([(a + at, b + at) for its, at in zip(spans, behind.tolist()) for a, b in its], places[:, 0] + base, places[:, 1] + base)
+    lists = lambda values: pa.ListArray.from_arrays(pa.array(upto.astype(np.int32)), pa.array(values))
+    return pa.RecordBatch.from_arrays([
+        pa.array(convs, pa.int64()), pa.array(texts, pa.string()), lists(ids), lists(np.ascontiguousarray(places[:, 0])),
+        lists(np.ascontiguousarray(places[:, 1])), lists(loss)], names=["conv_id", "text", "ids", "starts", "ends", "loss"])
+
+
 DIGESTS = "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, loss_sha256 string, formatted_chars bigint"
 
 
