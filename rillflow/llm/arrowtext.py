@@ -90,22 +90,24 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-_BASE = 0x5851F42D4C957F2D  # odd, so that it has an inverse
-_BYTE_VALUES = mixed(np.arange(256, dtype=np.uint64))
-
-
-def span_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of bytes (or code points), from one running sum over the buffer."""
-    with np.errstate(over="ignore"):
-        up = np.empty(len(buf) + 1, np.uint64)
-        up[0] = 1
-        up[1:] = np.uint64(_BASE)
-        np.multiply.accumulate(up, out=up)
-        sums = np.zeros(len(buf) + 1, np.uint64)
-        values = _BYTE_VALUES[buf] if buf.dtype == np.uint8 else mixed(buf.astype(np.uint64))
-        np.cumsum(values * up[:-1], out=sums[1:])
-        down = up  # the same room again, now for the inverse's powers
-        down[0] = 1
-        down[1:] = np.uint64(pow(_BASE, -1, 1 << 64))
-        np.multiply.accumulate(down, out=down)
-        return mixed((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(np.uint64))
+def distinct_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The distinct spans of bytes (or of code points, as their bytes) as binary values, and which of
+    them each span is. Spans are told apart by all their bytes, not by a hash."""
+    width, n = buf.itemsize, len(starts)
+    upto = np.zeros(n + 1, np.int64)
+    np.cumsum(ends - starts, out=upto[1:])
+    if n and upto[-1] == len(buf) and np.array_equal(upto[:-1], starts):
+        data = buf
+    else:
+        data = buf[np.repeat(starts - upto[:-1], np.diff(upto)) + np.arange(upto[-1])]
+    spans = pa.Array.from_buffers(pa.large_binary(), n, [None, pa.py_buffer(upto * width), pa.py_buffer(np.ascontiguousarray(data))])
+    coded = spans.dictionary_encode()
+    return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
+def digests(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits (XXH3) of each value, as two arrays of 64."""
+    import xxhash
+
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, values.to_pylist())), ">u8").reshape(-1, 2).astype(np.uint64)
+    return both[:, 0], both[:, 1]

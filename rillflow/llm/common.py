@@ -37,7 +37,8 @@ def small_or_not(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
 
 
-def shielded(docs: DataFrame, added: Iterable[str]) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with the columns named like ``added`` ones renamed, and how to name them back."""
-    own = {f"__own_{c}": c for c in docs.columns if c in set(added)}
-    return docs.withColumnsRenamed({v: k for k, v in own.items()}), own
+def set_aside(docs: DataFrame, needed: Iterable[str]) -> tuple[DataFrame, list[str]]:
+    """``docs`` with every column that is not ``needed`` renamed by its place, whatever its name and
+    case, so that no column of an operator's own can clash with it; and the names given."""
+    names = [c if c in set(needed) else f"given__{i}" for i, c in enumerate(docs.columns)]
+    return docs.toDF(*names), names

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from rillflow.llm.arrowtext import Words, mixed, span_hashes
+from rillflow.llm.arrowtext import Words, distinct_spans, mixed
 
 
 @functools.cache
@@ -59,15 +59,15 @@ class Distinct(NamedTuple):
 
 def distinct(w: Words, before: int = 1, after: int = 1) -> Distinct:
     """The distinct words between so many zeros, the marks of a word's ends."""
-    _, at, of_word = np.unique(span_hashes(w.buf, w.starts, w.ends), return_index=True, return_inverse=True)
-    lens = (w.ends - w.starts)[at]
-    first = np.zeros(len(at) + 1, np.int64)
+    values, of_word = distinct_spans(w.buf, w.starts, w.ends)
+    upto = np.frombuffer(values.buffers()[1], np.int64)[:len(values) + 1] // w.buf.itemsize
+    lens = np.diff(upto)
+    first = np.zeros(len(lens) + 1, np.int64)
     np.cumsum(lens + before + after, out=first[1:])
     chars = np.zeros(first[-1], np.uint32)
-    inner = np.repeat(first[:-1] + before - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-    source = np.repeat(w.starts[at] - (np.cumsum(lens) - lens), lens) + np.arange(lens.sum())
-    chars[inner] = w.buf[source]
-    return Distinct(chars, first, of_word.reshape(-1))
+    inner = np.repeat(first[:-1] + before - upto[:-1], lens) + np.arange(upto[-1])
+    chars[inner] = np.frombuffer(values.buffers()[2] or b"", w.buf.dtype)[:upto[-1]]
+    return Distinct(chars, first, of_word)
 
 
 def gram_slots(chars: np.ndarray, n: int, bits: int) -> np.ndarray:

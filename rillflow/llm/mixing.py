@@ -10,7 +10,8 @@ Rows: a null text has size 0 and is never taken; a null source is a source of it
 last one; rows with the same id, size and source are exchangeable, and a row's repeats are
 taken one by one; an empty table gives an empty result. Columns of the input named like an
 output column (``size``, ``source_size``, ``target``, ``taken``) or starting with ``__mix_``
-are replaced.
+are replaced by ``mix``; the stage leaves every column as it is, whatever its name. A very long
+text is split into words by one expression, about 50 bytes of memory a word in the stage.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import WORD, shielded, small_or_not, stored
+from rillflow.llm.common import WORD, set_aside, small_or_not, stored
 
 #: Hex digits of the key that name a range. 65,536 ranges per source: one holds 1/65,536 of it.
 RANGE_DIGITS = 4
@@ -124,7 +125,7 @@ def op9_mixing(spark, sf_dir: str) -> DataFrame:
 def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often and as far as the mix takes them: one row per epoch, the row at the
     end of a source's budget cut after its last word that still fits; columns as given."""
-    given, own = shielded(docs, ADDED)
+    given, names = set_aside(docs, ("doc_id", "text", "source", "n_chars"))
     taken = mix(with_size_and_key(given))
     parts = F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")).cast("int"))
     rows = taken.filter("taken > 0").withColumn("__mix_part", F.explode(parts))
@@ -136,7 +137,7 @@ def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("__mix_cut"), F.length("text").cast("long"))
                                .otherwise(F.col("n_chars")))
-    return rows.drop(*ADDED).withColumnsRenamed(own).select(*docs.columns)
+    return rows.select(*names).toDF(*docs.columns)
 
 
 OP9_SQL = r"""

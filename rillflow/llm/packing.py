@@ -1,15 +1,22 @@
 """Packing token streams into windows of equal room by multiway differencing.
 
 Every document's tokens end with the end token. A document longer than a window fills whole
-windows first; what is left is cut into pieces and packed, group by group of documents, by
-Karmarkar-Karp differencing: the two partial partitions with the largest imbalance are merged
-so that the fullest window of one meets the emptiest of the other, until one partition is
-left. The number of windows starts at the fewest that could hold the group and rises while a
-window exceeds its room.
-
-A group is a run of documents in one input partition, so the work needs no shuffle, a task
-holds one group at a time, and a source, key or copy that has a third of all rows changes
-nothing. A lost executor's partitions are read and packed again, with the same result.
+windows first; what is left is cut into pieces and packed, group by group, by Karmarkar-Karp
+differencing: the two partial partitions with the largest imbalance are merged so that the
+fullest window of one meets the emptiest of the other, until one partition is left. A group
+closes as soon as its tokens fill ``GROUP`` windows (or its pieces are many), and its last piece
+is cut where these are full, so hardly any room is lost, whether texts are long or short. The
+number of windows starts at the fewest that could hold the group and rises while one exceeds
+its room.
+
+Groups are runs of pieces of one input partition. What is left at a partition's end, too little
+for a group, is packed in a second pass: the left-over pieces of all partitions, dealt at random
+into groups of about ``AGAIN`` windows each, so that many small partitions lose no more than a
+few large ones. The first pass is stored; a lost executor's part of it is done again, with the
+same result. A source, key or copy that has a third of all rows changes nothing.
+
+A task holds one group's ids, the ids of one slice of texts (2 MB, or one longer text: about 30
+bytes of memory a byte), and at most ``KEPT_BYTES`` of parts it has encoded before.
 
 Rows: a null or empty text has the end token alone; a null or repeated ``doc_id`` is carried,
 each row being a document of its own; an empty table gives an empty result; other columns of
@@ -23,7 +30,7 @@ import heapq
 import os
 from bisect import insort
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -32,12 +39,23 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.arrowtext import slices, span_hashes, text_bytes
+from rillflow.llm.arrowtext import slices, text_bytes
+from rillflow.llm.common import stored
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
 
-#: Distinct parts of texts that a worker keeps: about 40 bytes each.
-KEPT_PARTS = 3_000_000
+#: Windows whose pieces are packed together, and pieces at most: then a group is packed as far as it
+#: fills windows.
+GROUP, GROUP_PIECES = 64, 2_048
+#: Share of a window that is left free, so that near-equal windows fit.
+SLACK = 0.004
+#: Windows of a group of the second pass, about.
+AGAIN = 512
+#: Bytes that a worker keeps of the parts of texts it has encoded (with what each costs besides its
+#: letters), and the longest part that is kept.
+KEPT_BYTES = 96 << 20
+PART_COST = 150
+LONGEST_KEPT = 256
 
 _MARK = np.zeros(256, bool)
 _MARK[list(b".,;:!?")] = True
@@ -79,12 +97,12 @@ def part_starts(buf: np.ndarray, off: np.ndarray) -> np.ndarray:
 class Encoder:
     """Token ids of texts, by a tokenizer that is asked once for each distinct part.
 
-    The parts are kept by a hash of 64 bits, checked by length and ends, in sorted arrays. With
-    ``added`` the file's added special tokens are found in texts, as by the tokenizer as loaded;
-    else they are spelled out. A text that holds an added token is encoded whole.
+    Parts are kept as they are, up to ``kept`` bytes; beyond it all are forgotten. With ``added`` the
+    file's added special tokens are found in texts, as by the tokenizer as loaded; else they are
+    spelled out. A text that holds an added token is encoded whole.
     """
 
-    def __init__(self, path: str, kept: int = KEPT_PARTS, added: bool = False):
+    def __init__(self, path: str, kept: int = KEPT_BYTES, added: bool = False):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
@@ -96,10 +114,10 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.key = np.zeros(0, np.uint64)
-        self.check = np.zeros(0, np.uint32)
+        self.place: dict[bytes, int] = {}
+        self.bytes = 0
         self.first = np.zeros(0, np.int64)
-        self.count = np.zeros(0, np.int32)
+        self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(0, np.uint32)
 
     def _ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -125,12 +143,6 @@ class Encoder:
         out[~of_word] = ids
         return out, counts
 
-    def _place(self, key: np.ndarray, check: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where each key is or would be, and whether it is there."""
-        at = np.searchsorted(self.key, key)
-        near = np.minimum(at, max(0, len(self.key) - 1))
-        return at, (self.key[near] == key) & (self.check[near] == check) if len(self.key) else np.zeros(len(key), bool)
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts in one array, and where each text's begin."""
         whole = np.zeros(len(texts), bool)
@@ -151,34 +163,36 @@ class Encoder:
         """The same of texts without an added token, by their parts."""
         buf, off = text_bytes(texts)
         start = part_starts(buf, off)
-        end = np.append(start[1:], len(buf))[:len(start)]
-        key = span_hashes(buf, start, end)
-        check = np.minimum(end - start, 0xFFFF).astype(np.uint32) << np.uint32(16) \
-            | buf[start].astype(np.uint32) << np.uint32(8) | buf[end - 1]
-        keys, one, part = np.unique(key, return_index=True, return_inverse=True)
-        checks = check[one]
-        if len(self.key) + len(keys) > self.kept:
+        ends = np.append(start, len(buf)).astype(np.int64)
+        parts = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))])
+        parts = parts.dictionary_encode()
+        part = parts.indices.to_numpy(zero_copy_only=False)
+        distinct = parts.dictionary.to_pylist()
+        if self.bytes > self.kept:
             self._forget()
-        at, there = self._place(keys, checks)
-        clash = not np.array_equal(checks[part], check) or bool(
-            len(self.key) and (self.key[np.minimum(at, len(self.key) - 1)][~there] == keys[~there]).any())
-        if clash:  # two parts with one hash: ask for the whole texts
-            ids, count = self._ask([t or "" for t in texts.to_pylist()])
-            return ids, np.concatenate([[0], np.cumsum(count)])
-        if not there.all():
-            new = np.flatnonzero(~there)
-            data, s, e = buf.tobytes(), start[one[new]].tolist(), end[one[new]].tolist()
-            ids, count = self._ask_parts([data[a:b].decode() for a, b in zip(s, e)])
-            first = len(self.ids) + np.cumsum(count) - count
-            self.key, self.check, self.first, self.count = (
-                np.insert(old, at[new], more) for old, more in ((self.key, keys[new]), (self.check, checks[new]),
-                                                                (self.first, first), (self.count, count)))
-            self.ids = np.concatenate([self.ids, ids])
-            at = np.searchsorted(self.key, keys)
-        first, count = self.first[at][part], self.count[at][part].astype(np.int64)
+        place = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
+        firsts, counts, all_ids = self.first, self.count, self.ids
+        new = np.flatnonzero(place < 0)
+        if len(new):
+            long = np.fromiter((len(distinct[i]) > LONGEST_KEPT for i in new), bool, len(new))
+            new = np.concatenate([new[~long], new[long]])  # the first ones are kept
+            ids, count = self._ask_parts([distinct[i].decode() for i in new])
+            place[new] = len(firsts) + np.arange(len(new))
+            firsts = np.concatenate([firsts, len(all_ids) + np.cumsum(count) - count])
+            counts = np.concatenate([counts, count])
+            all_ids = np.concatenate([all_ids, ids])
+            more = int((~long).sum())
+            self.place.update((distinct[i], int(place[i])) for i in new[:more])
+            size = len(self.first) + more
+            self.first, self.count = firsts[:size], counts[:size]
+            self.ids = all_ids[:len(self.ids) + int(count[:more].sum())]
+            if long.any():
+                self.first, self.count, self.ids = self.first.copy(), self.count.copy(), self.ids.copy()
+            self.bytes += sum(len(distinct[i]) for i in new[:more]) + PART_COST * more
+        first, count = firsts[place][part], counts[place][part]
         upto = np.zeros(len(count) + 1, np.int64)
         np.cumsum(count, out=upto[1:])
-        ids = self.ids[np.repeat(first - upto[:-1], count) + np.arange(upto[-1])]
+        ids = all_ids[np.repeat(first - upto[:-1], count) + np.arange(upto[-1])]
         return ids, upto[np.searchsorted(start, off)]
 
 
@@ -250,60 +264,117 @@ def pack(sizes: list[int], room: int) -> list[list[int]]:
     return []
 
 
+class Pieces:
+    """Pieces of documents (doc_id, start, ids, doc_tokens) on their way into windows of ``room``."""
+
+    def __init__(self, room: int, first: int):
+        self.room, self.next = room, first
+        self.held: list[tuple] = []
+        self.size = 0
+        self.done: list[tuple] = []
+
+    def add(self, doc, start: int, ids: bytes, tokens: int) -> None:
+        self.held.append((doc, start, ids, tokens))
+        self.size += len(ids) // 4
+
+    def whole(self, doc, start: int, ids: bytes, tokens: int) -> None:
+        """A piece that is a window by itself."""
+        self.done.append((doc, start, ids, tokens, self.next, 0))
+        self.next += 1
+
+    def pack(self, all_of_it: bool = False) -> None:
+        """Packs what fills windows, if that is enough for a group; or all of it."""
+        meant = max(1, int(self.room * (1 - SLACK)))  # tokens for each window
+        while self.held:
+            n = size = 0
+            while n < len(self.held) and size < GROUP * meant and (n < GROUP_PIECES or size < meant):
+                size += len(self.held[n][2]) // 4
+                n += 1
+            if not (all_of_it or size >= GROUP * meant or n >= GROUP_PIECES and size >= meant):
+                return
+            self._pack(min(GROUP, size // meant) * meant or size)
+
+    def _pack(self, size: int) -> None:
+        """Packs the first ``size`` tokens, the last piece being cut there."""
+        taken, n = 0, 0
+        while taken < size:
+            taken += len(self.held[n][2]) // 4
+            n += 1
+        some, self.held = self.held[:n], self.held[n:]
+        self.size -= size
+        if taken > size:
+            doc, start, ids, tokens = some[-1]
+            mine = len(ids) // 4 - (taken - size)
+            some[-1] = (doc, start, ids[:4 * mine], tokens)
+            self.held.insert(0, (doc, start + mine, ids[4 * mine:], tokens))
+        for window in pack([len(x[2]) // 4 for x in some], self.room):
+            at = 0
+            for i in window:
+                self.done.append((*some[i], self.next, at))
+                at += len(some[i][2]) // 4
+            self.next += 1
+
+    def rows(self) -> list[tuple]:
+        """The pieces that have a window, as rows of ``PIECES``; they are forgotten."""
+        out = [(doc, start, len(ids) // 4, ids, tokens, window, at) for doc, start, ids, tokens, window, at in self.done]
+        self.done = []
+        return out
+
+
+_KINDS = (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64())
+_NAMES = [x.split()[0] for x in PIECES.split(", ")]
+
+
+def _batch(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), _KINDS)], names=_NAMES)
+
+
 def pack_documents(docs: DataFrame, tokenizer: str, room: int = 2048, end_id: int = 1,
-                   group: int = 256, piece: int = 512, added: bool = False) -> DataFrame:
+                   piece: int = 512, added: bool = False) -> DataFrame:
     """``docs`` (doc_id, text) -> the pieces of the packed windows.
 
-    ``tokenizer`` is the path of a tokenizer file on the executors; ``group`` the documents
-    packed together, ``piece`` the longest piece that is not a whole window; ``added`` finds the
-    tokenizer's added special tokens in texts instead of spelling them out. A row per piece:
-    its document and place there, its ids, and its window and place there. Windows get numbers
-    unique over the partitions.
+    ``tokenizer`` is the path of a tokenizer file on the executors; ``piece`` the longest piece
+    that is not a whole window; ``added`` finds the tokenizer's added special tokens in texts
+    instead of spelling them out. A row per piece: its document and place there, its ids, and its
+    window and place there. Windows get numbers unique over the partitions.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer, added)
         end = np.array([end_id], "<u4").tobytes()
-        first = TaskContext.get().partitionId() << 36
-        held: list[tuple] = []
-
-        def packed() -> pa.RecordBatch:
-            nonlocal first, held
-            rows, left = [], []  # rows: document, start, length, window, offset
-            for d, (_, ids) in enumerate(held):
-                n = len(ids) // 4
-                whole = n // room
-                for k in range(whole):
-                    rows.append((d, k * room, room, first, 0))
-                    first += 1
-                left += [(d, s, min(piece, n - s)) for s in range(whole * room, n, piece)]
-            for w in pack([x[2] for x in left], room):
-                at = 0
-                for i in w:
-                    rows.append((*left[i], first, at))
-                    at += left[i][2]
-                first += 1
-            d, start, length, window, offset = zip(*rows)
-            out = pa.RecordBatch.from_arrays([
-                pa.array([held[i][0] for i in d], pa.int64()), pa.array(start, pa.int64()), pa.array(length, pa.int64()),
-                pa.array([held[i][1][4 * s:4 * (s + n)] for i, s, n in zip(d, start, length)], pa.binary()),
-                pa.array([len(held[i][1]) // 4 for i in d], pa.int64()),
-                pa.array(window, pa.int64()), pa.array(offset, pa.int64())],
-                names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
-            held = []
-            return out
-
+        pieces = Pieces(room, TaskContext.get().partitionId() << 36)
         for batch in batches:
             for part in slices(batch):
                 ids, at = tokens.encode(part.column("text"))
                 data, at = ids.astype("<u4").tobytes(), (4 * at).tolist()
                 for d, x, y in zip(part.column("doc_id").to_pylist(), at, at[1:]):
-                    held.append((d, data[x:y] + end))
-                    if len(held) >= group:
-                        yield packed()
-        if held:
-            yield packed()
-
-    return docs.select("doc_id", "text").mapInArrow(run, PIECES)
+                    own = data[x:y] + end
+                    n = len(own) // 4
+                    rest = n // room * room
+                    for s in range(0, rest, room):
+                        pieces.whole(d, s, own[4 * s:4 * (s + room)], n)
+                    for s in range(rest, n, piece):
+                        pieces.add(d, s, own[4 * s:4 * min(n, s + piece)], n)
+                    if len(pieces.held) >= GROUP_PIECES or pieces.size >= GROUP * room:
+                        pieces.pack()
+                if rows := pieces.rows():
+                    yield _batch(rows)
+        if pieces.held:  # too little for a group: the order in this partition takes the window's place
+            yield _batch([(d, s, len(i) // 4, i, n, None, pieces.next + k) for k, (d, s, i, n) in enumerate(pieces.held)])
+
+    first = stored(docs.select("doc_id", "text").mapInArrow(run, PIECES), "packing_pieces")
+    left = first.filter("sequence_id IS NULL")
+    groups = (left.agg(F.sum("length")).first()[0] or 0) // (AGAIN * room) + 1
+
+    def again(rows: pa.Table) -> pa.Table:
+        pieces = Pieces(room, (1 << 62) + (rows.column("group")[0].as_py() << 36))
+        columns = rows.sort_by("offset").select(["doc_id", "start", "ids", "doc_tokens"]).columns
+        for row in zip(*(c.to_pylist() for c in columns)):
+            pieces.add(*row)
+        pieces.pack(all_of_it=True)
+        return pa.Table.from_batches([_batch(pieces.rows())])
+
+    dealt = left.withColumn("group", F.pmod(F.xxhash64("offset"), F.lit(groups)))
+    return first.filter("sequence_id IS NOT NULL").unionByName(dealt.groupBy("group").applyInArrow(again, PIECES))
 
 
 def _tokenizer_path() -> str:

@@ -10,7 +10,9 @@ being good then replaces the filter in which every rule must pass.
 
 Rows: a null or empty text has no words, fails the base rules and is not kept; every row is
 judged by itself, so repeated rows get the same verdict; a null ``doc_id`` is carried; an
-empty table gives an empty result. Input columns named like the added ones are replaced.
+empty table gives an empty result. ``with_counts`` and ``judge`` replace columns named like the added
+ones; the stage leaves every column as it is, whatever its name. A text's words and window hashes
+are held at once, about 100 bytes of memory a word.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.common import let, shielded, stored
+from rillflow.llm.common import let, set_aside, stored
 
 SYMBOLS = "#*$%&|<>"
 #: ASCII white space, the characters between words.
@@ -202,7 +204,6 @@ def op1_quality_rules(spark, sf_dir: str) -> DataFrame:
 
 def quality_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the rules keep, columns as given."""
-    given, own = shielded(docs, ADDED)
+    given, names = set_aside(docs, ("text",))
     counted = stored(with_counts(given), "quality_counts")
-    return judge(counted, fit_label_model(vote_patterns(counted))).filter("kept") \
-        .drop(*ADDED).withColumnsRenamed(own).select(*docs.columns)
+    return judge(counted, fit_label_model(vote_patterns(counted))).filter("kept").select(*names).toDF(*docs.columns)

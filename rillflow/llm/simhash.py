@@ -27,9 +27,10 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rillflow.llm.arrowtext import joined, mixed, slices, split_words
-from rillflow.llm.common import stored
+from rillflow.llm.common import set_aside, stored
 from rillflow.llm.components import components
 
 #: Points that the tree is fitted on, at most; all points are sent through it.
@@ -68,14 +69,17 @@ def fingerprints_of(texts: pa.Array, shingle: int) -> np.ndarray:
 
 
 def with_fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, fp (the fingerprint's bits as a long)."""
+    """``docs`` without ``text`` and with ``fp``, the fingerprint's bits as a long."""
+    kept = [c for c in docs.columns if c != "text"]
+    schema = T.StructType([*(docs.schema[c] for c in kept), T.StructField("fp", T.LongType())])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch):
                 fp = fingerprints_of(part.column("text"), shingle).view(np.int64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp)], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), pa.array(fp)], names=[*kept, "fp"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
+    return docs.mapInArrow(run, schema)
 
 
 def distance(x: np.ndarray, y) -> np.ndarray:
@@ -205,15 +209,21 @@ def links(points: DataFrame, reach: int) -> DataFrame:
     return dealt.select("leaf", "fp", "c.*").groupBy("leaf", "x", "y").applyInPandas(compare, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, reach: int = 2) -> DataFrame:
-    """``docs`` (doc_id, text) -> doc_id, fingerprint, component_id (its smallest doc_id)."""
-    fps = stored(with_fingerprints(docs, shingle), "simhash_fingerprints")
+def rooted(fps: DataFrame, reach: int) -> DataFrame:
+    """Each distinct ``fp`` once, with ``least`` (its smallest doc_id) and the ``root`` of its component."""
     points = stored(fps.groupBy("fp").agg(F.min("doc_id").alias("least")), "simhash_points")
     roots = components(links(points, reach), "simhash_components")
-    rooted = stored(points.join(roots, points.fp == roots.node, "left")
-                    .select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash_rooted")
-    names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(names, "root").select("fp", "component_id")
+    return stored(points.join(roots, points.fp == roots.node, "left")
+                  .select("fp", "least", F.coalesce("root", "fp").alias("root")), "simhash_rooted")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 3, reach: int = 2) -> DataFrame:
+    """``docs`` (doc_id, text) -> doc_id, fingerprint, component_id (its smallest doc_id)."""
+    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    fps = stored(with_fingerprints(given, shingle), "simhash_fingerprints")
+    points = rooted(fps, reach)
+    names = points.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = points.join(names, "root").select("fp", "component_id")
     return fps.join(named, "fp").select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
@@ -223,11 +233,19 @@ def op4_simhash(spark, sf_dir: str) -> DataFrame:
 
 
 def simhash_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component stays, the one with the smallest ``doc_id``; columns as
-    given. A document without an id goes by a large number made from its text for the while, so
-    that any document with an id is preferred; of rows with one id, one stays."""
-    made = F.shiftrightunsigned(F.xxhash64("text"), 2) + F.lit(1 << 62)
-    marked = docs.withColumn("__sim_id", F.coalesce(F.col("doc_id").cast("long"), made))
-    kept = near_duplicates(marked.select(F.col("__sim_id").alias("doc_id"), "text"))
-    kept = kept.select(F.col("component_id").alias("__sim_id")).distinct()
-    return marked.join(kept, "__sim_id", "left_semi").dropDuplicates(["__sim_id"]).select(*docs.columns)
+    """One document of each component stays; columns as given.
+
+    That is the one with the smallest (``doc_id``, null last; hash of the text; fingerprint; hash
+    of all columns), so which one stays does not depend on how the rows are dealt. Rows that
+    are equal throughout are one. Ids choose among a component's documents and nothing else:
+    documents with one id and unrelated texts are documents of their own.
+    """
+    given, names = set_aside(docs, ("doc_id", "text"))
+    hashable = [f.name for f in given.schema.fields if "map<" not in f.dataType.simpleString() and f.dataType.typeName() != "variant"]
+    marked = given.withColumns({"of_text": F.xxhash64("text"), "of_row": F.xxhash64(F.lit(1), *hashable)})
+    fps = stored(with_fingerprints(marked.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "of_text", "of_row"), 3),
+                 "simhash_fingerprints")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "of_text", "fp", "of_row")
+    first = fps.join(rooted(fps, 2).select("fp", "root"), "fp").groupBy("root").agg(F.min(order).alias("one"))
+    kept = first.select("one.of_text", "one.of_row")
+    return marked.join(kept, ["of_text", "of_row"], "left_semi").dropDuplicates(["of_text", "of_row"]).select(*names).toDF(*docs.columns)

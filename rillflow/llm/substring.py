@@ -8,18 +8,21 @@ Documents are stored in chunks, one row each, with all their columns. On every l
 sends the hashes of its candidate windows, sorted and cut by their leading bits, one message
 per range of hashes; the ranges are many enough that the values of one fit in a task. A window
 is sent once per chunk however often it occurs there, so a passage in a third of all documents
-costs a value per chunk. The answer for each message is one bit per value. Chunks
+costs a value per chunk. A chunk is one row: a very long text takes about 60 bytes of memory
+a byte in the task that reads it. The answer for each message is one bit per value. Chunks
 and answers meet by the chunk's number, so the texts are shuffled, compressed, once per level.
 
-Below the last level a bit says that the window's hash (32 bits and the range's) occurs in two
-documents; a clash of hashes only keeps a candidate longer. On the last level 96 bits of hash
-stand for the window, and the bit says that a document with a smaller id than any of the
-chunk's has it.
+A word stands as 128 bits of hash (XXH3), a window as two sums over the halves of its words' hashes.
+Below the last level a bit says that the window's first sum (32 bits and the range's) occurs in
+two documents; a clash only keeps a candidate longer. On the last level 64 bits of the first and
+32 of the second sum stand for the window, and the bit says that a document with a smaller id
+than any of the chunk's has it.
 
 Rows: a null or empty text has no words and nothing removed; a null ``doc_id`` is larger than
 any other, and documents with equal ids (or none) do not remove from each other; repeated rows
 are judged alike; an empty table gives an empty result. The columns ``n_words``,
-``n_removed`` and ``kept_sha256`` replace columns of the input with these names.
+``n_removed`` and ``kept_sha256`` replace columns of the input with these names; the stage leaves
+every column as it is, whatever its name.
 """
 
 from __future__ import annotations
@@ -36,8 +39,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.llm.arrowtext import Words, joined, mixed, slices, span_hashes, split_words
-from rillflow.llm.common import shielded, stored
+from rillflow.llm.arrowtext import Words, digests, distinct_spans, joined, mixed, slices, split_words
+from rillflow.llm.common import set_aside, stored
 
 ADDED = ("n_words", "n_removed", "kept_sha256")
 #: Values that one range of hashes holds on the first level, about.
@@ -71,7 +74,8 @@ class Chunk:
         self.ids = ids.to_numpy(zero_copy_only=False)
         self.words: Words = split_words(self.batch.column("text"))
         self.text_of = self.words.of_text()
-        self.hash = span_hashes(self.words.buf, self.words.starts, self.words.ends)
+        values, of_word = distinct_spans(self.words.buf, self.words.starts, self.words.ends)
+        self.hash, self.other = (h[of_word] for h in digests(values))
         self.lengths, self.bits = lengths, bits
 
     def inside(self, at: np.ndarray, length: int) -> np.ndarray:
@@ -108,7 +112,7 @@ class Candidates:
         key = window_hashes(chunk.hash, length, at)
         doc = chunk.text_of[at]
         if last:
-            more = window_hashes(mixed(~chunk.hash), length, at) & np.uint64(0xFFFFFFFF)
+            more = window_hashes(chunk.other, length, at) & np.uint64(0xFFFFFFFF)
             order = np.lexsort((more, key))
             more = more[order]
         else:
@@ -306,8 +310,8 @@ def op5_substring_dedup(spark, sf_dir: str) -> DataFrame:
 
 def substring_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the repeated passages; columns as given."""
-    given, own = shielded(docs, ADDED)
+    given, names = set_aside(docs, ("doc_id", "text", "n_chars"))
     out = dedup_substrings(given)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.drop(*ADDED).withColumnsRenamed(own).select(*docs.columns)
+    return out.select(*names).toDF(*docs.columns)

@@ -138,3 +138,17 @@ def test_components_of_paths_and_stars(spark):
     got = {r.node: r.root for r in components(df).collect()}
     assert got == {**{i: 0 for i in range(1, 301)}, **{1000 + i: 1000 for i in range(1, 500)}}
     assert components(df.filter("false")).count() == 0
+
+
+def test_stage_keeps_one_document_of_each_component(spark, make_docs):
+    """Ids that repeat over unrelated texts lose nothing, and dealing the rows anew changes nothing."""
+    a, b, c, d = ("alpha beta gamma delta one two", "winter came early to the hills that year", "a third text about rivers and stones here", "numbers and letters meet in the fourth one")
+    rows = [(1, a), (1, b), (1, c), (2, d), (3, b), (None, a), (None, "only without an id " * 3), (1, c)]
+    docs = make_docs(rows, ["'x' AS __sim_id", "2 AS OF_TEXT", "3 AS Root", "4 AS fp"])
+    want = sorted([(1, a), (1, b), (1, c), (2, d), (None, "only without an id " * 3)], key=repr)
+    for given in (docs, docs.repartition(7), docs.orderBy("text")):
+        out = S.simhash_stage(spark, given, "")
+        assert out.columns == docs.columns
+        kept = out.collect()
+        assert sorted(((r.doc_id, r.text) for r in kept), key=repr) == want
+        assert {(r["__sim_id"], r["OF_TEXT"], r["Root"], r["fp"]) for r in kept} == {("x", 2, 3, 4)}

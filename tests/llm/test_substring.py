@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rillflow.llm import substring as S
-from rillflow.llm.arrowtext import joined, slices, span_hashes, split_words
+from rillflow.llm.arrowtext import digests, distinct_spans, joined, slices, split_words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -107,8 +107,20 @@ def test_words_of_arrow_arrays():
     assert buf.tobytes().decode() == "".join(x + " " for ws in out for x in ws)
     keep = np.array([i % 2 == 0 for i in range(len(w.starts))])
     assert joined(w, keep)[0].tobytes().decode().split(" ")[:-1] == [x for ws in out for x in ws][::2]
-    h = span_hashes(w.buf, w.starts, w.ends)
     flat = [x for ws in out for x in ws]
-    assert len(set(h.tolist())) == len(set(flat))
-    two = split_words(pa.array(["x abc", "abc"]))
-    assert span_hashes(two.buf, two.starts, two.ends)[1] == span_hashes(two.buf, two.starts, two.ends)[2]
+    values, of = distinct_spans(w.buf, w.starts, w.ends)
+    assert [values[i].as_py().decode() for i in of] == flat and len(values) == len(set(flat))
+    high, low = digests(values)
+    assert len({*high.tolist(), *low.tolist()}) == 2 * len(set(flat))
+
+
+def test_words_that_differ_in_every_second_letter_only(make_docs):
+    """A string of 1,024 letters and its complement have one polynomial hash modulo 2^64."""
+    thue = "a"
+    for _ in range(10):
+        thue += thue.translate(str.maketrans("ab", "ba"))
+    other = thue.translate(str.maketrans("ab", "ba"))
+    words = [f"w{i}" for i in range(12)]
+    rows = [(1, " ".join([*words, thue])), (2, " ".join([*words, other])), (3, " ".join([*words, other]))]
+    assert got(S.dedup_substrings(make_docs(rows))) == brute(rows)
+    assert sum(b[2] for b in brute(rows)) == 13
