@@ -1,4 +1,4 @@
-"""Keyed aggregates: counts, folds, re-grouped counts with retraction."""
+"""Keyed aggregates: counts and folds."""
 
 from __future__ import annotations
 
@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.functions.time import money
+from rillflow.operators.tables import keyed
 
 
 def count_by(df: DataFrame, key: Column | str, key_name: str | None = None,
@@ -38,7 +39,7 @@ def balance_fold(df: DataFrame, key: str, amount: str, time: str,
     without a key are skipped, as a keyed grouping skips them.
     """
     dtype = df.schema[time].dataType
-    return (df.filter(F.col(key).isNotNull()).groupBy(key)
+    return (keyed(df, key).groupBy(key)
             .agg(F.count(F.lit(1)).alias(count_name),
                  F.coalesce(F.sum(money(amount)), F.lit(0).cast("decimal(28,2)"))
                  .alias(balance_name),
@@ -51,25 +52,8 @@ def balance_reduce(df: DataFrame, key: str, amount: str, time: str,
     """The same balance as a reduce whose result type is the input type: each row is
     first lifted to a ``(count=1, balance=amount, time)`` record, then records are
     combined pairwise (sum, sum, max). Same result as :func:`balance_fold`."""
-    lifted = df.filter(F.col(key).isNotNull()).select(key, F.lit(1).cast("long").alias("__c"),
+    lifted = keyed(df, key).select(key, F.lit(1).cast("long").alias("__c"),
                        money(amount).alias("__b"), F.col(time).alias("__t"))
     return (lifted.groupBy(key)
             .agg(F.sum("__c").alias(count_name), F.sum("__b").alias(balance_name),
                  F.max("__t").alias(time_name)))
-
-
-def regroup_count(table: DataFrame, group_col: str, universe: DataFrame | None = None,
-                  out: str = "count") -> DataFrame:
-    """Count a table's rows per value of ``group_col`` (a re-grouped table count).
-
-    The table must already be the *current* state (latest per key), so a key that
-    moved from one group to another counts only in the new one: that is the
-    retraction. ``universe`` lists every group value ever seen; groups that fell to zero
-    are kept with count 0, as a changelog count would show them.
-    """
-    counts = table.groupBy(group_col).agg(F.count(F.lit(1)).alias(out))
-    if universe is None:
-        return counts
-    groups = universe.select(group_col).distinct()
-    return (groups.join(counts, group_col, "left")
-            .select(group_col, F.coalesce(F.col(out), F.lit(0).cast("long")).alias(out)))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from rillflow.functions.time import money
 from rillflow.operators.buckets import BITS, bucket_of, carry_over, last_place
+from rillflow.operators.tables import keyed
 
 
 def running_sum(df: DataFrame, key: str, amount: str, seq: str, out: str = "running_bal",
@@ -24,7 +25,7 @@ def running_sum(df: DataFrame, key: str, amount: str, seq: str, out: str = "runn
     zero = F.lit(0).cast("decimal(38,2)")
     # the amount is replaced by its decimal form in place, so the windowed rows and the bucket
     # totals below read the same columns and share one exchange
-    d = df.filter(F.col(key).isNotNull()).withColumn(amount, money(amount)) \
+    d = keyed(df, key).withColumn(amount, money(amount)) \
         .withColumn("__b", bucket_of(seq, bits[0]))
     w_in = (Window.partitionBy(key, "__b").orderBy(seq)
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))

@@ -15,6 +15,13 @@ def _cols(cs):
     return [F.col(c) if isinstance(c, str) else c for c in cs]
 
 
+def keyed(df: DataFrame, *keys: str) -> DataFrame:
+    """Rows that have a key: a keyed grouping, window, table or state skips the others."""
+    for k in keys:
+        df = df.filter(F.col(k).isNotNull())
+    return df
+
+
 def latest_per_key(changelog: DataFrame, key: str | list[str], value_cols: list[str],
                    order_cols: list[str], keep_deletes: bool = False,
                    tombstone: Column | None = None, null_keys: bool = False) -> DataFrame:
@@ -36,10 +43,7 @@ def latest_per_key(changelog: DataFrame, key: str | list[str], value_cols: list[
         for c in value_cols:
             tombstone = tombstone & F.col(c).isNull()
     if not null_keys:
-        not_null = F.lit(True)
-        for k in keys:
-            not_null = not_null & F.col(k).isNotNull()
-        changelog = changelog.filter(not_null)
+        changelog = keyed(changelog, *keys)
     latest = (changelog.groupBy(*keys)
               .agg(F.max_by(F.struct(*_cols(value_cols), tombstone.alias("__tomb")),
                             F.struct(*_cols(order_cols))).alias("__latest")))

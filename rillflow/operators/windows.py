@@ -3,7 +3,7 @@
 Outputs give the window as two flat columns, ``window_start`` and ``window_end``.
 Tumbling and hopping counts are one partial-aggregated ``groupBy(key, window)``; the
 same function serves a streaming DataFrame (with ``grace`` it sets the watermark and the
-caller picks append mode for final results only).
+caller picks append mode for final results only). Rows without a key are skipped.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rillflow.functions.time import as_event_time, as_wall_clock
+from rillflow.operators.tables import keyed
 
 
 def _event_time(df: DataFrame, ts: str, grace: str | None) -> tuple[DataFrame, str]:
@@ -39,7 +40,7 @@ def tumbling_count(df: DataFrame, key: str, ts: str, size: str,
                    grace: str | None = None, out: str = "count") -> DataFrame:
     """Rows per key per tumbling window ``[start, start + size)`` aligned to the epoch."""
     ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType) and grace is not None
-    d, t = _event_time(df, ts, grace)
+    d, t = _event_time(keyed(df, key), ts, grace)
     g = d.groupBy(key, F.window(t, size).alias("__w")).agg(F.count(F.lit(1)).alias(out))
     return _flat(g, key, "__w", out, ntz)
 
@@ -49,7 +50,7 @@ def hopping_count(df: DataFrame, key: str, ts: str, size: str, slide: str,
     """Rows per key per hopping window of ``size`` advancing by ``slide``; a row is in
     ``size / slide`` windows."""
     ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType) and grace is not None
-    d, t = _event_time(df, ts, grace)
+    d, t = _event_time(keyed(df, key), ts, grace)
     g = (d.groupBy(key, F.window(t, size, slide).alias("__w"))
          .agg(F.count(F.lit(1)).alias(out)))
     return _flat(g, key, "__w", out, ntz)
@@ -69,7 +70,7 @@ def session_count(df: DataFrame, key: str, ts: str, gap_seconds: int,
     all rows of a hot key.
     """
     gap = F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")
-    buckets = (df.groupBy(key, F.window(ts, f"{int(gap_seconds)} seconds").start
+    buckets = (keyed(df, key).groupBy(key, F.window(ts, f"{int(gap_seconds)} seconds").start
                           .alias("__b"))
                .agg(F.min(ts).alias("__lo"), F.max(ts).alias("__hi"),
                     F.count(F.lit(1)).alias("__n")))
@@ -91,7 +92,7 @@ def session_count_stream(df: DataFrame, key: str, ts: str, gap_seconds: int,
     row per session once the watermark passes it). Spark's window end is last + gap;
     the gap is taken off so the end is the last row's time, as in the batch form."""
     ntz = isinstance(df.schema[ts].dataType, T.TimestampNTZType)
-    d, t = _event_time(df, ts, grace)
+    d, t = _event_time(keyed(df, key), ts, grace)
     g = (d.groupBy(key, F.session_window(t, f"{int(gap_seconds)} seconds").alias("__w"))
          .agg(F.count(F.lit(1)).alias(out)))
     end = F.col("__w.end") - F.expr(f"INTERVAL {int(gap_seconds)} SECONDS")

@@ -9,7 +9,7 @@ from __future__ import annotations
 import importlib
 
 _MODULES = ("counting", "ranking", "windowed", "enrich", "table_ops", "balances",
-            "topic_io", "text_io", "streams", "stateful_streams")
+            "topic_io", "text_io", "streams", "stateful_streams", "table_streams", "late_streams")
 
 
 def _load():

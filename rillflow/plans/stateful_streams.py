@@ -7,8 +7,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rillflow.functions.time import as_event_time, from_cents, money
+from rillflow.functions.time import as_event_time, money
 from rillflow.operators.tables import latest_per_key
 from rillflow.plans.balances import ORACLE as BALANCE_SQL
 from rillflow.plans.counting import ORACLE as COUNT_SQL
@@ -27,6 +28,7 @@ from rillflow.sources.tables import (
 )
 from rillflow.streaming import stateful as S
 from rillflow.streaming.runner import run_stream
+from rillflow.streaming.tables import running_sums
 
 # Fixed values from the reference programs: hold table updates one minute; event
 # time runs two minutes behind the newest event (the grace).
@@ -40,16 +42,11 @@ def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def running_balance_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ev = _events(spark, sf_dir).select(
-        F.col("user_id").alias("key"), F.col("event_id").alias("seq"),
-        as_event_time("ts").alias("ts"),
-        (money("value") * 100).cast("long").alias("cents"))
-    res = run_stream(spark, S.running_balance(ev), "running_balance").wait().result()
-    return res.select(
-        F.col("key").alias("user_id"), F.col("seq").alias("event_id"),
-        F.col("ts").cast("timestamp_ntz").alias("ts"),
-        from_cents("cents").cast("decimal(18,2)").alias("amount"),
-        from_cents("running_cents").cast("decimal(28,2)").alias("running_bal"))
+    """The running balance over a table of carried balances: DataFrame functions alone, and a user
+    with most of a micro-batch's rows is spread over offset buckets."""
+    ev = _events(spark, sf_dir).select("user_id", "event_id", "ts", money("value").alias("amount"))
+    run = running_sums(spark, ev, "user_id", "amount", "event_id", "running_bal").wait()
+    return run.result(T.StructType([*ev.schema.fields, T.StructField("running_bal", T.DecimalType(28, 2))]))
 
 
 def latest_login_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -137,7 +134,7 @@ def top3_news_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clicks are counted per inventory id in state (update mode), so a micro-batch meets the
     inventory only with the ids whose counts changed; counts per type, and the top 3, come
     from the table of counts."""
-    clicks = arriving_table(spark, sf_dir, "lineitem", "l_orderkey").select("l_partkey")
+    clicks = arriving_table(spark, sf_dir, "lineitem", "l_orderkey", columns=["l_orderkey", "l_partkey"]).select("l_partkey")
     counts = clicks.filter(F.col("l_partkey").isNotNull()).groupBy("l_partkey").agg(
         F.count(F.lit(1)).alias("clicks"))
     now = run_stream(spark, counts, "top3_news", mode="update", key_cols=["l_partkey"]).wait().result()

@@ -93,7 +93,7 @@ JOIN_GRACE = "24 hours"
 def word_count_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Running word counts in update mode: each batch sends the words whose count
     changed; the sink's table is the newest count per word."""
-    docs = arriving_table(spark, sf_dir, "documents", "doc_id").select("text")
+    docs = arriving_table(spark, sf_dir, "documents", "doc_id", columns=["doc_id", "text"]).select("text")
     return run_stream(spark, word_count(docs), "word_count", mode="update",
                       key_cols=["word"]).wait().result()
 

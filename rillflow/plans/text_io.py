@@ -26,10 +26,9 @@ TRANSACTION = T.StructType([T.StructField("user", T.StringType()), T.StructField
                             T.StructField("time", T.StringType())])
 
 
-def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event as a JSON text; by its id the amount is a number, a quoted number, a fraction
-    or no number, or the text breaks off."""
-    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts"])
+def event_texts(ev: DataFrame) -> DataFrame:
+    """Every event (``event_id, user_id, ts``) as a JSON text; by its id the amount is a number, a
+    quoted number, a fraction or no number, or the text breaks off."""
     amount = (F.col("event_id") * BIG).cast("string")
     form = F.col("event_id") % 5
     shown = F.when(form == 1, F.concat(F.lit('"'), amount, F.lit('"'))).when(form == 2, F.concat(amount, F.lit(".9"))) \
@@ -43,7 +42,8 @@ def _texts(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decoded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Typed rows from the texts: whole amounts, event times, and the raw text where it is no
     JSON (the dead letters), in one pass."""
-    rows = parse_json(_texts(spark, sf_dir), "value", TRANSACTION, lenient_ints=True)
+    ev = read_table(spark, sf_dir, "events", ["event_id", "user_id", "ts"])
+    rows = parse_json(event_texts(ev), "value", TRANSACTION, lenient_ints=True)
     return rows.select("event_id", "user", "amount", epoch_millis(parse_iso("time")).alias("time_ms"), "bad_record")
 
 

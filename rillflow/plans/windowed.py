@@ -40,7 +40,7 @@ def _tumble_sql(seconds: int) -> str:
     return f"""
         SELECT user_id, make_timestamp(b * {us}) AS window_start,
                make_timestamp((b + 1) * {us}) AS window_end, count(*) AS count
-        FROM (SELECT user_id, floor(epoch_us(ts) / {us})::BIGINT AS b FROM events)
+        FROM (SELECT user_id, floor(epoch_us(ts) / {us})::BIGINT AS b FROM events WHERE user_id IS NOT NULL)
         GROUP BY user_id, b"""
 
 
@@ -51,14 +51,14 @@ ORACLE = {
         SELECT user_id, make_timestamp(s) AS window_start,
                make_timestamp(s + 30000000) AS window_end, count(*) AS count
         FROM (SELECT user_id, (floor(epoch_us(ts) / 15000000)::BIGINT - k) * 15000000 AS s
-              FROM events, (VALUES (0), (1)) AS o(k))
+              FROM events, (VALUES (0), (1)) AS o(k) WHERE user_id IS NOT NULL)
         GROUP BY user_id, s""",
     "session_count": """
         WITH marked AS (
             SELECT user_id, ts,
                    CASE WHEN lag(ts) OVER w IS NULL
                           OR ts - lag(ts) OVER w > INTERVAL 5 MINUTES THEN 1 ELSE 0 END AS st
-            FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+            FROM events WHERE user_id IS NOT NULL WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
         numbered AS (
             SELECT user_id, ts, sum(st) OVER (PARTITION BY user_id ORDER BY ts
                 ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sid FROM marked)

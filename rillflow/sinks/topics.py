@@ -2,8 +2,10 @@
 
 ``bootstrap_servers`` given: Spark's Kafka sink (producer settings such as
 ``kafka.acks``, ``kafka.compression.type``, ``kafka.linger.ms``, ``kafka.batch.size``
-pass through). Otherwise the records go to a parquet folder with the same columns,
-which is what tests and registered queries use (no Kafka connector here).
+pass through). Otherwise the records go to a parquet folder with the same columns, or
+(:func:`append_records`, :func:`append_records_stream`) to a topic folder with offsets of its own
+(:mod:`rillflow.sources.records`), which is what tests and registered queries use (no Kafka
+connector here).
 """
 
 from __future__ import annotations
@@ -11,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from rillflow.sources.records import register
+
 
 def _kafka_columns(records: DataFrame, topic: str | None) -> DataFrame:
     """The columns Spark's Kafka sink reads: key, value, and topic unless one topic is
@@ -58,3 +62,22 @@ def write_records_stream(records: DataFrame, checkpoint: str, path: str | None =
             w = w.option(k, v)
         return w.start()
     return w.format("parquet").start(path)
+
+
+_APPENDED = ("key", "value", "partition", "timestamp")
+
+
+def append_records(records: DataFrame, path: str) -> None:
+    """Appends records to a topic folder as one transaction. A topic partition's rows keep their order
+    if they come from one task, in which case offsets follow it."""
+    register(records.sparkSession)
+    records.select(*_APPENDED).write.format("topic_folder").mode("append").option("path", path).save()
+
+
+def append_records_stream(records: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Appends a stream of records to a topic folder, each micro-batch as one transaction: an attempt
+    that fails leaves nothing, one that runs again after its commit adds nothing."""
+    register(records.sparkSession)
+    w = records.select(*_APPENDED).writeStream.format("topic_folder").outputMode("append").option("path", path) \
+        .option("checkpointLocation", checkpoint)
+    return w.trigger(**(trigger or {"availableNow": True})).start()

@@ -1,5 +1,6 @@
 """Sources: driver tables (parquet), event streams, Kafka-shaped topic records."""
 
+from rillflow.sources.records import TopicFolder, read_records
 from rillflow.sources.tables import TABLES, event_stream, file_stream, read_table
 from rillflow.sources.topics import (
     TOPIC_RECORD,
@@ -9,4 +10,4 @@ from rillflow.sources.topics import (
 )
 
 __all__ = ["TABLES", "read_table", "event_stream", "file_stream", "TOPIC_RECORD", "read_topic",
-           "records_from_table", "topic_values"]
+           "records_from_table", "topic_values", "TopicFolder", "read_records"]

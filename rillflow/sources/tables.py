@@ -7,7 +7,7 @@ scan as PushedFilters.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,20 +62,24 @@ def event_stream(spark: SparkSession, path: str, schema: T.StructType = EVENTS_S
 
 
 def arriving_table(spark: SparkSession, sf_dir: str, name: str, offset: str, batches: int = 3,
-                   files: int = 2, schema: T.StructType | None = None) -> DataFrame:
-    """A driver table as a stream that arrives in ``batches`` micro-batches, in the order of its
-    ``offset`` column (rows without one first): ranges of offsets are written one after the
-    other, ``files`` files each, to a folder under ``spark.checkpoint.dir``, and each trigger
-    reads as many files."""
+                   files: int = 2, schema: T.StructType | None = None,
+                   columns: list[str] | None = None, arrival: Column | None = None) -> DataFrame:
+    """A driver table (its ``columns``, the ``offset`` among them) as a stream that arrives in
+    ``batches`` micro-batches, in the order of its ``offset`` column (rows without one first), or
+    each row in the one that ``arrival`` says (from 0): what arrives together is written after
+    what came before, ``files`` files each, to a folder under ``spark.checkpoint.dir``, and each
+    trigger reads as many files. Its rows in a file are in no order."""
     require_utc(spark)
-    table = read_table(spark, sf_dir, name)
+    table = read_table(spark, sf_dir, name, columns)
     if schema is not None:
         table = table.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-    lo, hi = table.agg(F.min(offset), F.max(offset)).first()
-    lo, hi = (0, 0) if lo is None else (lo, hi)
-    edges = [lo + (hi - lo + 1) * k // batches for k in range(1, batches)]
     path = scratch_path(spark, "arrivals", name)
-    place = F.coalesce(sum((F.col(offset) >= e).cast("int") for e in edges), F.lit(0)) if edges else F.lit(0)
+    place = arrival
+    if place is None:
+        lo, hi = table.agg(F.min(offset), F.max(offset)).first()
+        lo, hi = (0, 0) if lo is None else (lo, hi)
+        edges = [lo + (hi - lo + 1) * k // batches for k in range(1, batches)]
+        place = F.coalesce(sum((F.col(offset) >= e).cast("int") for e in edges), F.lit(0)) if edges else F.lit(0)
     for k in range(batches):
         table.filter(place == k).repartition(files).write.mode("append").parquet(path)
     return file_stream(spark, path, table.schema, files)

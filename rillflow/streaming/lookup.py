@@ -28,6 +28,10 @@ class LookupRun:
         self.query.awaitTermination()
         return self
 
+    def last_batch(self) -> int:
+        """Id of the last batch that ran here; -1 if none did."""
+        return max((p["batchId"] for p in self.query.recentProgress if "addBatch" in p.get("durationMs", {})), default=-1)
+
     def result(self, schema) -> DataFrame:
         try:
             return self.spark.read.schema(schema).parquet(f"{self.output}/batches") \

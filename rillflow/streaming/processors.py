@@ -15,7 +15,6 @@ The same processors run on a batch DataFrame too (one pass, empty state).
 
 from __future__ import annotations
 
-import bisect
 import sys
 from collections.abc import Iterator
 
@@ -69,7 +68,8 @@ class RunningBalance(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, ["seq"])
         start = int(self.balance.get()[0]) if self.balance.exists() else 0
-        pdf["running_cents"] = pdf["cents"].astype("int64").cumsum() + start
+        cents = pd.array(pdf["cents"], dtype="Int64").fillna(0).astype("int64")  # a null amount adds nothing
+        pdf["running_cents"] = cents.cumsum() + start
         self.balance.update((int(pdf["running_cents"].iloc[-1]),))
         yield pdf[["key", "seq", "ts", "cents", "running_cents"]]
 
@@ -253,7 +253,7 @@ class HoldNewest(StatefulProcessor):
         if start >= 0 and len(pdf) and int(pdf["t"].iloc[0]) < start:
             start = int(pdf["t"].iloc[0])  # an earlier row came later: the hold began with it
         out, rest, start = self._settle(key, pdf, start, watermark)
-        size = int(rest["value"].astype(object).map(lambda v: 16 + (0 if v is None or v != v else len(v))).sum())
+        size = 16 * len(rest) + int(rest["value"].astype("string").str.len().fillna(0).sum())
         if size > self.max_bytes:
             early, rest, start = self._settle(key, rest, start, int(rest["t"].iloc[-1]))
             out = pd.concat([out, early], ignore_index=True)
@@ -333,75 +333,38 @@ class LiveSessions(StatefulProcessor):
             self.handle.registerTimer(want)
             self.due.update((want,))
 
-    def _in_order(self, k, t, seq, sessions):
-        """Rows all at or after every open session's end (the usual, in-order case),
-        vectorized: sessions split where the gap to the previous row exceeds ``gap``;
-        the first may continue the last open session. Each row emits its session's new
-        version and a delete of the version it replaces."""
-        last = sessions[-1] if sessions else None
-        prev = np.empty_like(t)
-        prev[1:] = t[:-1]
-        cont = last is not None and t[0] - last[1] <= self.gap_us
-        prev[0] = last[1] if cont else t[0] - self.gap_us - 1
-        new = (t - prev) > self.gap_us
-        sid = np.cumsum(new)  # 0 only for rows continuing the open session
-        first_idx = np.flatnonzero(new)
-        starts_of = np.empty(sid.max() + 1, dtype=np.int64)
-        base = np.zeros(sid.max() + 1, dtype=np.int64)
-        if cont:
-            starts_of[0], base[0] = last[0], last[2]
-        starts_of[sid[first_idx]] = t[first_idx]
-        pos = np.arange(len(t)) - np.maximum.accumulate(np.where(new, np.arange(len(t)), 0))
-        if cont:  # rows before the first new session continue the open one
-            head = sid == 0
-            pos[head] = np.arange(int(head.sum()))
-        start = starts_of[sid]
-        count = base[sid] + pos + 1
-        ups = pd.DataFrame({"key": k, "start_us": start, "end_us": t, "count": count,
-                            "deleted": False, "seq": seq})
-        replaced = (~new)
-        dels = pd.DataFrame({"key": k, "start_us": start[replaced], "end_us": prev[replaced],
-                             "count": count[replaced] - 1, "deleted": True,
-                             "seq": seq[replaced]})
-        ends = np.flatnonzero(np.append(sid[1:] != sid[:-1], True))
-        done = [(int(start[i]), int(t[i]), int(count[i])) for i in ends]
-        kept = sessions[:-1] if cont else sessions
-        return pd.concat([dels, ups], ignore_index=True), kept + done
-
     def handleInputRows(self, key, rows, timerValues: TimerValues) -> Iterator[pd.DataFrame]:
         pdf = _rows(rows, ["ts", "seq"])
-        # open sessions never overlap (they are more than a gap apart): kept sorted by
-        # start, the ones a row can merge with are one run found by binary search
-        sessions = sorted(tuple(s) for s in self.open.get()) if self.open.exists() else []
-        t_all = pdf["t_us"].to_numpy(dtype=np.int64)
-        if not sessions or t_all[0] >= max(s[1] for s in sessions):
-            out, sessions = self._in_order(key[0], t_all, pdf["seq"].to_numpy(dtype=np.int64),
-                                           sessions)
-            self._arm(sessions)
-            self.open.put(sessions)
-            yield out[LIVE_SESSION_OUT.fieldNames()]
-            return
-        starts = [s[0] for s in sessions]
-        out = []
-        micros = pdf["t_us"].tolist()
-        for t, seq in zip(micros, pdf["seq"].tolist()):
-            lo = bisect.bisect_left(starts, t - self.gap_us)
-            if lo > 0 and sessions[lo - 1][1] + self.gap_us >= t:
-                lo -= 1
-            hi = bisect.bisect_right(starts, t + self.gap_us)
-            near = sessions[lo:hi]
-            start = min([t] + [s[0] for s in near])
-            end = max([t] + [s[1] for s in near])
-            n = 1 + sum(s[2] for s in near)
-            for s in near:
-                out.append((key[0], s[0], s[1], s[2], True, seq))
-            out.append((key[0], start, end, n, False, seq))
-            sessions[lo:hi] = [(start, end, n)]
-            starts[lo:hi] = [start]
+        t, seq = pdf["t_us"].to_numpy(dtype=np.int64), pdf["seq"].to_numpy(dtype=np.int64)
+        # open sessions are more than a gap apart; each one is met by the first row within a gap of it
+        old = np.array(sorted(tuple(s) for s in self.open.get()) if self.open.exists() else [], np.int64).reshape(-1, 3)
+        at = np.searchsorted(t, old[:, 0] - self.gap_us)
+        met = at < len(t)
+        met[met] = t[at[met]] <= old[met, 1] + self.gap_us
+        first, last, n = t.copy(), t.copy(), np.ones(len(t), np.int64)  # of each row and the sessions it meets
+        np.minimum.at(first, at[met], old[met, 0])
+        np.maximum.at(last, at[met], old[met, 1])
+        np.add.at(n, at[met], old[met, 2])
+        # the session's versions: its end so far, and where a row begins another session
+        end = np.maximum.accumulate(last)
+        new = np.ones(len(t), bool)
+        new[1:] = t[1:] - end[:-1] > self.gap_us
+        heads = np.flatnonzero(new)
+        of = np.cumsum(new) - 1
+        start = first[heads][of]
+        upto = np.cumsum(n)
+        count = upto - (upto - n)[heads][of]
+        goes_on = np.flatnonzero(~new)  # such a row replaces the version before it
+        parts = [(old[met, 0], old[met, 1], old[met, 2], True, seq[at[met]]),
+                 (start[goes_on], end[goes_on - 1], count[goes_on - 1], True, seq[goes_on]),
+                 (start, end, count, False, seq)]
+        tails = np.append(heads[1:], len(t)) - 1
+        sessions = [tuple(s) for s in old[~met].tolist()] + list(zip(start[tails].tolist(), end[tails].tolist(), count[tails].tolist()))
         self._arm(sessions)
         self.open.put(sessions)
-        if out:
-            yield pd.DataFrame(out, columns=LIVE_SESSION_OUT.fieldNames())
+        names = ["start_us", "end_us", "count", "deleted", "seq"]
+        out = pd.concat([pd.DataFrame(dict(zip(names, x))) for x in parts if len(x[0])], ignore_index=True)
+        yield out.assign(key=key[0])[LIVE_SESSION_OUT.fieldNames()]
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         wm_us = timerValues.getCurrentWatermarkInMs() * 1000

@@ -7,7 +7,7 @@
   exactly-once). The current table is the newest row per key over all batches
   (update) or the last batch (complete).
 * ``upsert`` (a compacted output): each update-mode batch is merged into the buckets of
-  the table that it touches (see :func:`rillflow.sinks.tables.upsert_buckets`), so a batch costs
+  the table that it touches (see :class:`rillflow.sinks.tables.CompactedTable`), so a batch costs
   what it changes; readers read one whole version, that of the last batch.
 
 Checkpoints and output live under ``spark.checkpoint.dir`` (shared storage on a
@@ -27,7 +27,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from rillflow.operators.tables import latest_per_key
 from rillflow.session import scratch_path
-from rillflow.sinks.tables import read_buckets, read_manifest, upsert_buckets
+from rillflow.sinks.tables import LIMIT, CompactedTable, newest
 
 
 #: What every stream here runs with: state in RocksDB (the processors need it), and a hot key's
@@ -40,11 +40,12 @@ STREAM_CONF = {
 
 
 @contextmanager
-def stream_settings(spark: SparkSession):
-    """The settings while a stream starts: it keeps those it started with, and the session gets
-    its own back, so no query depends on which others ran before it."""
-    before = {k: spark.conf.get(k, None) for k in STREAM_CONF}
-    for k, v in STREAM_CONF.items():
+def stream_settings(spark: SparkSession, more: dict | None = None):
+    """The settings (and ``more``) while a stream starts: it keeps those it started with, and the session
+    gets its own back, so no query depends on which others ran before it."""
+    wanted = {**STREAM_CONF, **(more or {})}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
         spark.conf.set(k, v)
     try:
         yield
@@ -67,6 +68,7 @@ class StreamRun:
     mode: str
     schema: object
     key_cols: list[str] | None = None
+    bucket_rows: int = LIMIT
 
     def wait(self) -> StreamRun:
         self.query.awaitTermination()
@@ -92,9 +94,12 @@ class StreamRun:
 
     def at_batch(self, batch_id: int) -> DataFrame:
         """The compacted table as a batch left it (upsert mode)."""
+        return self.table().at(batch_id).select(*self.schema.fieldNames())
+
+    def table(self) -> CompactedTable:
+        """The compacted table that an upsert-mode run writes."""
         schema = T.StructType([*self.schema.fields, T.StructField("__batch", T.LongType())])
-        manifest = read_manifest(self.spark, self.output, batch_id)
-        return read_buckets(self.spark, self.output, manifest, schema).select(*self.schema.fieldNames())
+        return CompactedTable(self.spark, self.output, schema, self.key_cols, self.bucket_rows)
 
     def result(self) -> DataFrame:
         """The sink's current content as a static DataFrame."""
@@ -126,9 +131,10 @@ class StreamRun:
 
 def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "append",
                key_cols: list[str] | None = None, trigger: dict | None = None,
-               base: str | None = None) -> StreamRun:
+               base: str | None = None, bucket_rows: int = LIMIT, conf: dict | None = None) -> StreamRun:
     """Start ``stream`` into a fresh sink folder; ``trigger`` defaults to
-    ``availableNow`` (process what is there, then stop)."""
+    ``availableNow`` (process what is there, then stop). ``bucket_rows`` is the size beyond which
+    a bucket of a compacted output is split, ``conf`` more settings of the stream."""
     base = base or scratch_path(spark, "streams", name)
     out, ckpt = f"{base}/output", f"{base}/checkpoint"
     trig = trigger or {"availableNow": True}
@@ -140,10 +146,11 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
         if not key_cols:
             raise ValueError("upsert mode needs key_cols")
         values = [c for c in schema.fieldNames() if c not in key_cols]
+        table = CompactedTable(spark, out, T.StructType([*schema.fields, T.StructField("__batch", T.LongType())]), key_cols, bucket_rows)
 
         def upsert_batch(batch: DataFrame, batch_id: int) -> None:
             rows = batch.withColumn("__batch", F.lit(batch_id).cast("long"))
-            upsert_buckets(spark, out, batch_id, rows, key_cols, values, "__batch")
+            table.upsert(batch_id, rows, newest(key_cols, values, "__batch"))
 
         w = (stream.writeStream.outputMode("update").foreachBatch(upsert_batch)
              .option("checkpointLocation", ckpt).trigger(**trig))
@@ -157,6 +164,6 @@ def run_stream(spark: SparkSession, stream: DataFrame, name: str, mode: str = "a
 
         w = (stream.writeStream.outputMode(mode).foreachBatch(write_batch)
              .option("checkpointLocation", ckpt).trigger(**trig))
-    with stream_settings(spark):
+    with stream_settings(spark, conf):
         q = w.start()
-    return StreamRun(spark, q, out, ckpt, mode, schema, key_cols)
+    return StreamRun(spark, q, out, ckpt, mode, schema, key_cols, bucket_rows)

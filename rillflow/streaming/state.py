@@ -23,6 +23,17 @@ def read_state(spark: SparkSession, checkpoint: str, operator_id: int = 0,
     return r.load(checkpoint)
 
 
+def read_changes(spark: SparkSession, checkpoint: str, first_batch: int = 0, last_batch: int | None = None,
+                 operator_id: int = 0) -> DataFrame:
+    """What each micro-batch changed in the state: ``batch_id, change_type, key, value, partition_id``.
+    RocksDB keeps it if the stream ran with changelog checkpoints."""
+    r = spark.read.format("statestore").option("operatorId", operator_id).option("readChangeFeed", True) \
+        .option("changeStartBatchId", first_batch)
+    if last_batch is not None:
+        r = r.option("changeEndBatchId", last_batch)
+    return r.load(checkpoint)
+
+
 def state_metadata(spark: SparkSession, checkpoint: str) -> DataFrame:
     """Which stateful operators and stores a checkpoint holds."""
     return spark.read.format("state-metadata").load(checkpoint)

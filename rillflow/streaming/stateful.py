@@ -7,14 +7,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rillflow.operators.tables import latest_per_key
+from rillflow.operators.tables import keyed, latest_per_key
 from rillflow.streaming import processors as P
 from rillflow.streaming.runner import STREAM_CONF
 
-def with_key(df: DataFrame) -> DataFrame:
-    """Rows that have a key: keyed state has no place for the others."""
-    return df.filter(F.col("key").isNotNull())
-
 
 def _keyed(schema: T.StructType, df: DataFrame) -> T.StructType:
     """The processor's output schema with ``key`` typed like the input's key."""
@@ -32,7 +28,7 @@ def use_rocksdb_state(spark: SparkSession) -> None:
 
 def running_balance(changes: DataFrame) -> DataFrame:
     """``key, seq, ts, cents`` -> each row with ``running_cents``."""
-    return with_key(changes).groupBy("key").transformWithStateInPandas(
+    return keyed(changes, "key").groupBy("key").transformWithStateInPandas(
         P.RunningBalance(), _keyed(P.RUNNING_OUT, changes), "append", "None")
 
 
@@ -40,7 +36,7 @@ def table_join(left: DataFrame, right: DataFrame, joiner=None) -> DataFrame:
     """Two changelogs ``key, ts, seq, value`` -> the joined table's changelog. ``joiner`` makes the
     joined values from arrays of left and right ones; the right ones by default."""
     tagged = left.withColumn("side", F.lit(0)).unionByName(right.withColumn("side", F.lit(1)))
-    return with_key(tagged).groupBy("key").transformWithStateInPandas(
+    return keyed(tagged, "key").groupBy("key").transformWithStateInPandas(
         P.TableJoin(joiner), _keyed(P.TABLE_JOIN_OUT, tagged), "append", "None")
 
 
@@ -51,7 +47,7 @@ def table_from_changelog(out: DataFrame) -> DataFrame:
 
 def group_deltas(changes: DataFrame) -> DataFrame:
     """``key, ts, seq, value`` -> signed ``(group, delta)`` rows."""
-    return with_key(changes).groupBy("key").transformWithStateInPandas(
+    return keyed(changes, "key").groupBy("key").transformWithStateInPandas(
         P.GroupDeltas(), _keyed(P.DELTA_OUT, changes), "append", "None")
 
 
@@ -67,7 +63,7 @@ def asof_lookup(table_changes: DataFrame, stream_rows: DataFrame) -> DataFrame:
     t = table_changes.withColumn("side", F.lit(0)).withColumn("payload", F.lit(None).cast("string"))
     s = stream_rows.withColumn("side", F.lit(1)).withColumn("info", F.lit(None).cast("string"))
     u = t.unionByName(s)
-    return with_key(u).groupBy("key").transformWithStateInPandas(
+    return keyed(u, "key").groupBy("key").transformWithStateInPandas(
         P.AsOfLookup(), _keyed(P.ASOF_OUT, u), "append", "None")
 
 
@@ -75,7 +71,7 @@ def hold_newest(changes: DataFrame, limit_ms: int, max_bytes: int = 100_000) ->
     """``key, ts, seq, value`` with a watermark on ``ts`` -> the newest value of each key, at most
     once per ``limit_ms`` of event time; ``max_bytes`` bounds what waits per key."""
     timed = changes.withColumn("t_ms", F.unix_millis(F.col("ts").cast("timestamp")))
-    return with_key(timed).groupBy("key").transformWithStateInPandas(
+    return keyed(timed, "key").groupBy("key").transformWithStateInPandas(
         P.HoldNewest(limit_ms, max_bytes), _keyed(P.SUPPRESS_OUT, changes), "append",
         "EventTime")
 
@@ -83,7 +79,7 @@ def hold_newest(changes: DataFrame, limit_ms: int, max_bytes: int = 100_000) ->
 def live_sessions(events: DataFrame, gap_seconds: int) -> DataFrame:
     """``key, ts, seq`` with a watermark on ``ts`` -> session updates and deletes."""
     timed = events.withColumn("t_us", F.unix_micros(F.col("ts").cast("timestamp")))
-    return with_key(timed).groupBy("key").transformWithStateInPandas(
+    return keyed(timed, "key").groupBy("key").transformWithStateInPandas(
         P.LiveSessions(gap_seconds), _keyed(P.LIVE_SESSION_OUT, events), "append", "EventTime")
 
 

@@ -4,13 +4,14 @@ import os
 from datetime import datetime, timedelta
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from helpers import rows
 from rillflow.operators.partitioning import co_locate, with_partition
 from rillflow.operators.windows import tumbling_count
 from rillflow.plans.ranking import parse_top3, top3_sorted
 from rillflow.sinks.console import labeled, window_lines
-from rillflow.sinks.tables import upsert_snapshot
+from rillflow.sinks.tables import CompactedTable, newest, summed
 from rillflow.sinks.topics import write_records
 from rillflow.sources.topics import records_from_table, topic_values
 from rillflow.streaming.runner import run_stream
@@ -30,14 +31,53 @@ def test_records_round_trip(spark, tmp_dir):
     assert all(0 <= r.partition < 3 for r in back.collect())
 
 
-def test_upsert_snapshot_versions(spark, tmp_dir):
-    v1 = upsert_snapshot(spark, None, spark.createDataFrame(
-        [("red", 1, 1), ("blue", 1, 2)], "k string, n long, o long"), "k", ["n"], "o",
-        os.path.join(tmp_dir, "v1"))
-    upd = spark.createDataFrame([("red", 2, 3), ("blue", None, 4)], "k string, n long, o long")
-    v2 = upsert_snapshot(spark, v1, upd, "k", ["n"], "o", os.path.join(tmp_dir, "v2"))
-    assert rows(spark.read.parquet(v2), "k", "n") == [("red", 2)]
-    assert rows(spark.read.parquet(v1), "k", "n") == [("blue", 1), ("red", 1)]
+ROW = T.StructType([T.StructField("k", T.StringType()), T.StructField("n", T.LongType()), T.StructField("o", T.LongType())])
+
+
+def test_compacted_table_deletes_and_replays(spark, tmp_dir):
+    table = CompactedTable(spark, tmp_dir, ROW, "k", limit=1)
+    batches = [[("a", 1, 0), ("b", 2, 0), (None, 3, 0)], [("a", None, 1)], [("c", 5, 2), ("b", 6, 2)], []]
+    want = [{"a": 1, "b": 2, None: 3}, {"b": 2, None: 3}, {"b": 6, "c": 5, None: 3}, {"b": 6, "c": 5, None: 3}]
+    for i, given in enumerate(batches):
+        for _ in range(2):  # the same batch again changes nothing
+            table.upsert(i, spark.createDataFrame(given, ROW), newest(["k"], ["n"], "o"))
+        assert {r.k: r.n for r in table.at(i).collect()} == want[i]
+        if i:  # the version before is whole
+            assert {r.k: r.n for r in table.at(i - 1).collect()} == want[i - 1]
+
+
+def test_buckets_split_and_old_versions_go(spark, tmp_dir):
+    """A table of one bucket and one of many that split agree; after 20 batches the disk holds little
+    more than the last versions."""
+    def stored(base):
+        return sum(len([f for f in files if f.endswith(".parquet")]) for _, _, files in os.walk(base))
+
+    tables = [CompactedTable(spark, os.path.join(tmp_dir, str(n)), ROW, "k", limit=n) for n in (1_000_000, 20)]
+    total = {}
+    for i in range(20):
+        given = [(f"k{j * (i + 1) % 500}", j, i) for j in range(0, 60)]
+        for k, n, _ in given:
+            total[k] = total.get(k, 0) + n
+        for t in tables:
+            t.upsert(i, spark.createDataFrame(given, ROW),
+                     lambda df: summed(["k"], ["n"])(df).withColumn("o", F.lit(0).cast("long")))
+    for t in tables:
+        assert {r.k: r.n for r in t.at(19).collect()} == total
+        buckets = t.buckets(19)
+        rows_in = {b.name: t.read([b]).count() for b in buckets if t.limit < 100}
+        assert all(n <= t.limit for n in rows_in.values())
+        assert sum(2.0 ** -b.depth for b in buckets) == 1  # the buckets are all keys, none twice
+        assert stored(os.path.join(t.base, "rows")) <= 3 * len(buckets)
+        assert sorted(os.listdir(os.path.join(t.base, "manifest"))) == ["b=18", "b=19"]
+
+
+def test_lookup_reads_the_buckets_of_its_keys(spark, tmp_dir):
+    table = CompactedTable(spark, tmp_dir, ROW, "k", limit=3)
+    table.upsert(0, spark.createDataFrame([(f"k{j}", j, 0) for j in range(100)], ROW), newest(["k"], ["n"], "o"))
+    wanted = spark.createDataFrame([("k7",), ("nobody",)], "fk string")
+    found = table.lookup(wanted, 0, ["fk"])
+    assert len(found.inputFiles()) <= 2 < 10 < len(table.at(0).inputFiles())
+    assert [r.n for r in found.filter("k = 'k7'").collect()] == [7]
 
 
 def test_state_of_a_windowed_count(spark, tmp_dir):

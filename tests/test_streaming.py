@@ -237,19 +237,6 @@ def test_unreadable_version_raises(spark, tmp_dir):
         go()
 
 
-def test_upsert_buckets_delete_the_last_key(spark, tmp_dir):
-    from rillflow.sinks.tables import read_buckets, read_manifest, upsert_buckets
-    schema = "k string, n long, o long"
-    batches = [[("a", 1, 0), ("b", 2, 0), (None, 3, 0)], [("a", None, 1)], [("c", 5, 2), ("b", 6, 2)], []]
-    want = [{"a": 1, "b": 2, None: 3}, {"b": 2, None: 3}, {"b": 6, "c": 5, None: 3}, {"b": 6, "c": 5, None: 3}]
-    for i, rows_in in enumerate(batches):
-        df = spark.createDataFrame(rows_in, schema)
-        for _ in range(2):  # the same batch again changes nothing
-            upsert_buckets(spark, tmp_dir, i, df, "k", ["n"], "o", buckets=4)
-        table = read_buckets(spark, tmp_dir, read_manifest(spark, tmp_dir, i), df.schema)
-        assert {r.k: r.n for r in table.collect()} == want[i]
-
-
 def test_replayed_batch_replaces_itself(spark, tmp_dir):
     """The last batch runs again after its commit is lost: the table is the same."""
     from rillflow.operators.aggregates import count_by
@@ -293,7 +280,7 @@ def test_upsert_mode_versions_across_restart(spark, tmp_dir):
 
     def go():
         st = count_by(stream_of(spark, src, "name string, ts timestamp"), "name")
-        return run_stream(spark, st, "ups", mode="upsert", key_cols=["name"], base=base).wait()
+        return run_stream(spark, st, "ups", mode="upsert", key_cols=["name"], base=base, bucket_rows=1).wait()
     first = go()
     assert first.last_batch() == 1
     assert rows(first.result(), "name", "count") == [("a", 1), ("b", 1)]
@@ -376,3 +363,79 @@ def test_live_sessions_in_order_batches_match_batch_sessions(spark, tmp_dir):
     want = session_count(static, "key", "ts", 300)
     assert rows(cur, "key", "window_start", "window_end", "count") == \
         rows(want, "key", "window_start", "window_end", "count")
+
+
+def test_live_sessions_of_rows_in_any_order():
+    """The processor alone, on random batches with late rows, against one row after the other."""
+    import random
+
+    import pandas as pd
+    from rillflow.streaming.processors import LiveSessions
+
+    class Held:
+        def __init__(self):
+            self.value = None
+
+        def exists(self):
+            return self.value is not None
+
+        def get(self):
+            return self.value
+
+        def put(self, v):
+            self.value = v
+
+        update = put
+
+        def clear(self):
+            self.value = None
+
+    class Handle:
+        getListState = getValueState = lambda self, *a: Held()
+        registerTimer = deleteTimer = lambda self, *a: None
+
+    r = random.Random(4)
+    for _ in range(150):
+        p, gap = LiveSessions(10), 10_000_000
+        p.init(Handle())
+        open_, seq = [], 0
+        for _ in range(4):
+            t = sorted(r.randrange(0, 200) * 1_000_000 for _ in range(r.randrange(1, 15)))
+            want = []
+            seqs = list(range(seq, seq + len(t)))
+            seq += len(t)
+            for at_, s in zip(t, seqs):
+                near = [x for x in open_ if x[0] - gap <= at_ <= x[1] + gap]
+                new = (min([at_, *(x[0] for x in near)]), max([at_, *(x[1] for x in near)]), 1 + sum(x[2] for x in near))
+                want += [(s, *x, True) for x in near] + [(s, *new, False)]
+                open_ = [x for x in open_ if x not in near] + [new]
+            frame = pd.DataFrame({"key": "k", "ts": pd.to_datetime(t, unit="us"), "t_us": t, "seq": seqs})
+            frame = frame.sample(frac=1, random_state=1)
+            (out,) = list(p.handleInputRows(("k",), iter([frame]), None))
+            got = list(zip(out["seq"], out["start_us"], out["end_us"], out["count"], out["deleted"]))
+            assert sorted(got) == sorted(want)
+            assert sorted(p.open.get()) == sorted(open_)
+
+
+def test_streams_skip_null_keys_and_amounts_as_batches_do(spark, tmp_dir):
+    """Events without a user, and users without an amount: streams give what the batch queries give."""
+    import shutil
+
+    from rillflow.plans import all_queries
+    src = os.path.join(tmp_dir, "sf")
+    os.makedirs(src)
+    ev = spark.read.parquet("/root/testdata/sf0.001/events.parquet").limit(120)
+    odd = ev.withColumn("user_id", F.when(F.col("event_id") % 7 != 0, F.col("user_id") % 5)) \
+        .withColumn("value", F.when(F.col("event_id") % 5 != 0, F.col("value")))
+    odd.toPandas().to_parquet(os.path.join(src, "events.parquet"), coerce_timestamps="us", allow_truncated_timestamps=True)
+    for t in ("customer", "part", "lineitem"):
+        shutil.copy(f"/root/testdata/sf0.001/{t}.parquet", src)
+    q = all_queries()
+    for batch, stream in (("running_balance", "running_balance_stream"), ("session_count", "session_count_live"),
+                          ("bank_balance_aggregate", "bank_balance_stream"), ("running_balance", "running_balance_through_topic")):
+        b, s = q[batch](spark, src), q[stream](spark, src)
+        cols = [c for c in b.columns if c in s.columns]
+        want = sorted(map(repr, b.select(*cols).collect()))
+        assert want and sorted(map(repr, s.select(*cols).collect())) == want, stream
+    sessions = q["session_changes_stream"](spark, src).filter("NOT deleted").count()
+    assert sessions == odd.filter("user_id IS NOT NULL").count()
