@@ -1,17 +1,20 @@
 """Mixing sources to target weights, by DataFrame functions alone.
 
-Every document gets a hash-random key. The documents of a source are put in key order,
-in ranges of the key: sums per range give, by a prefix sum over the ranges, the one range
-where the source's budget ends, and only the rows of that range are put in order one by
-one. So no task ever sorts a source, and a source holding a third of all rows costs no
-more than the rest.
+Every document gets a hash-random key, from its id and its text. The documents of a source are
+put in key order, in ranges of the key: sums per range give, by a prefix sum over the ranges,
+the one range where the source's budget ends; in that range sums per key give the one key where
+it ends. So no task ever sorts a source, and a source holding a third of all rows costs no more
+than the rest. Rows equal in id and text have one key and are interchangeable. Only where a
+budget ends among such rows they are numbered, in the tasks that read them, behind the numbers of
+the tasks before; so a row that is repeated millions of times is never gathered either.
 
 Rows: a null text has size 0 and is never taken; a null source is a source of its own, the
-last one; rows with the same id, size and source are exchangeable, and a row's repeats are
+last one; rows with the same id, text and source are exchangeable, and a row's repeats are
 taken one by one; an empty table gives an empty result. Columns of the input named like an
 output column (``size``, ``source_size``, ``target``, ``taken``) or starting with ``__mix_``
 are replaced by ``mix``; the stage leaves every column as it is, whatever its name. A very long
-text is split into words by one expression, about 50 bytes of memory a word in the stage.
+text is split into words by one expression, about 50 bytes of memory a word in the stage. The
+plan has a row per source, which one task puts in order.
 """
 
 from __future__ import annotations
@@ -33,7 +36,8 @@ def with_size_and_key(docs: DataFrame, seed: str = "mix") -> DataFrame:
     """Adds ``size`` (words of ``text``) and the columns the mix works on."""
     return docs.drop(*ADDED).withColumns({
         "size": F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long"),
-        "__mix_key": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))),
+        "__mix_key": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"),
+                                    F.md5(F.coalesce(F.col("text"), F.lit(""))))),
         "__mix_source": F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), "source")),
     })
 
@@ -82,7 +86,7 @@ def mix(docs: DataFrame, narrow: DataFrame | None = None, weights=(5, 2, 1), sha
         "__mix_epochs": F.when(F.col("source_size") > 0, F.floor(quota / F.col("source_size"))).otherwise(0),
     }).withColumn("__mix_rest", F.when(F.col("source_size") > 0, quota - F.col("__mix_epochs") * F.col("source_size"))
                   .otherwise(0).cast("long"))
-    plan = small_or_not(stored(plan, "mix_plan"))
+    plan = stored(plan, "mix_plan")
     key_range = F.substring("__mix_key", 1, RANGE_DIGITS)
 
     # the range in which each source's budget ends, and what lies before it
@@ -95,24 +99,43 @@ def mix(docs: DataFrame, narrow: DataFrame | None = None, weights=(5, 2, 1), sha
     up_to = Window.partitionBy("__mix_source", "__mix_group").orderBy("__mix_range").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     ends = sums.withColumn("near", F.sum("s").over(up_to)).join(groups, ["__mix_source", "__mix_group"]) \
-        .withColumn("upto", F.col("near") + F.col("far")).join(plan, "__mix_source") \
+        .withColumn("upto", F.col("near") + F.col("far")).join(plan.select("__mix_source", "__mix_rest"), "__mix_source") \
         .filter((F.col("upto") - F.col("s") < F.col("__mix_rest")) & (F.col("upto") >= F.col("__mix_rest"))) \
         .select("__mix_source", F.col("__mix_range").alias("__mix_end"),
                 (F.col("upto") - F.col("s")).alias("__mix_before"))
-    plan = small_or_not(stored(plan.join(ends, "__mix_source", "left"), "mix_ends"))
+    # in that range the key at which it ends, and how many rows have it
+    keys = narrow.withColumn("__mix_range", key_range).join(
+        ends.select("__mix_source", F.col("__mix_end").alias("__mix_range"), "__mix_before"), ["__mix_source", "__mix_range"]) \
+        .groupBy("__mix_source", "__mix_before", "__mix_key").agg(F.sum("size").alias("s"), F.count(F.lit(1)).alias("__mix_equal"))
+    in_order = Window.partitionBy("__mix_source").orderBy("__mix_key").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    last = keys.withColumn("upto", F.col("__mix_before") + F.sum("s").over(in_order)).join(plan.select("__mix_source", "__mix_rest"), "__mix_source") \
+        .filter((F.col("upto") - F.col("s") < F.col("__mix_rest")) & (F.col("upto") >= F.col("__mix_rest"))) \
+        .select("__mix_source", F.col("__mix_key").alias("__mix_end"), (F.col("__mix_rest") - F.col("upto") + F.col("s")).alias("__mix_room"), "__mix_equal")
+    plan = stored(plan.join(last, "__mix_source", "left"), "mix_ends")
 
-    planned = docs.join(plan, "__mix_source")
+    planned = docs.withColumn("__mix_id", F.monotonically_increasing_id()).join(small_or_not(plan), "__mix_source")
     whole = F.col("__mix_epochs") * F.col("size")
-    in_end = F.coalesce(key_range == F.col("__mix_end"), F.lit(False))
-    before_end = F.when(F.coalesce(key_range < F.col("__mix_end"), F.lit(False)), F.col("size")).otherwise(0)
-    easy = planned.filter(~in_end).withColumn("taken", whole + before_end)
-    order = Window.partitionBy("__mix_source").orderBy(
-        "__mix_key", "doc_id", "size").rowsBetween(Window.unboundedPreceding, -1)
-    got = F.col("__mix_before") + F.coalesce(F.sum("size").over(order), F.lit(0))
-    part = F.least(F.greatest(F.col("__mix_rest") - got, F.lit(0)), F.col("size"))
-    ended = planned.filter(in_end).withColumn("taken", whole + part)
-    return easy.unionByName(ended).withColumn("taken", F.col("taken").cast("long")) \
-        .drop("__mix_end", "__mix_before", "__mix_epochs", "__mix_rest", "__mix_key", "__mix_source")
+    at_end = F.coalesce(F.col("__mix_key") == F.col("__mix_end"), F.lit(False))
+    before_end = F.when(F.coalesce(F.col("__mix_key") < F.col("__mix_end"), F.lit(False)), F.col("size")).otherwise(0)
+    part = lambda nth: F.least(F.greatest(F.col("__mix_room") - nth * F.col("size"), F.lit(0)), F.col("size"))
+    one = planned if plan.filter("__mix_equal > 1").isEmpty() else planned.filter(~(at_end & (F.col("__mix_equal") > 1)))
+    out = one.withColumn("taken", whole + F.when(at_end, part(F.lit(0))).otherwise(before_end))
+    if one is not planned:
+        out = out.unionByName(_numbered(planned.filter(at_end & (F.col("__mix_equal") > 1))).withColumn(
+            "taken", whole + part(F.col("__mix_nth"))).drop("__mix_nth"))
+    return out.withColumn("taken", F.col("taken").cast("long")).drop(*[c for c in out.columns if c.startswith("__mix_")])
+
+
+def _numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` with ``__mix_nth``, their number within their source from 0: within each part of the input
+    by ``__mix_id``, behind the rows of the parts before."""
+    rows = rows.withColumn("__mix_in", F.shiftright("__mix_id", 33))
+    parts = rows.groupBy("__mix_source", "__mix_in").agg(F.count(F.lit(1)).alias("n"))
+    before = Window.partitionBy("__mix_source").orderBy("__mix_in").rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("__mix_source", "__mix_in", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__mix_first"))
+    inside = Window.partitionBy("__mix_source", "__mix_in").orderBy("__mix_id")
+    numbered = rows.withColumn("__mix_place", F.row_number().over(inside) - 1).join(parts, ["__mix_source", "__mix_in"])
+    return numbered.withColumn("__mix_nth", F.col("__mix_first") + F.col("__mix_place")).drop("__mix_in", "__mix_first", "__mix_place")
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:
@@ -143,7 +166,7 @@ def mix_stage(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 OP9_SQL = r"""
 WITH sized AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
-         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS k
+         md5('mix:' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || md5(coalesce(text, ''))) AS k
   FROM documents),
 totals AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,

@@ -11,6 +11,10 @@ from rillflow.llm import mixing as M
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
+def key_of(doc_id, text):
+    return hashlib.md5(f"mix:{'' if doc_id is None else doc_id}:{hashlib.md5((text or '').encode()).hexdigest()}".encode()).hexdigest()
+
+
 def brute(rows, weights=(5, 2, 1), share=1.5):
     """taken by (source, doc_id, size) for rows (doc_id, text, source), targets by source."""
     size = lambda t: len(WORD.findall(t or ""))
@@ -30,7 +34,7 @@ def brute(rows, weights=(5, 2, 1), share=1.5):
     target = {s: 2.0 * total[s] if s in stopped else level * w[s] for s in sources}
     out = []
     for s in sources:
-        own = sorted(((hashlib.md5(f"mix:{'' if r[0] is None else r[0]}".encode()).hexdigest(),
+        own = sorted(((key_of(r[0], r[1]),
                        -1 if r[0] is None else r[0], size(r[1])) for r in rows if r[2] == s))
         quota = int(target[s])
         epochs, rest = divmod(quota, total[s]) if total[s] else (0, 0)
@@ -57,6 +61,19 @@ def test_equals_brute_force(make_docs, monkeypatch, digits):
     assert collect(M.mix(M.with_size_and_key(docs))) == brute(ROWS)
 
 
+@pytest.mark.parametrize("parts", [1, 6])
+def test_equal_rows_without_an_id(make_docs, parts):
+    """A third and more of a source is one row, and its budget ends among its copies."""
+    rows = [(None, "same words here", "a")] * 70 + [(i, "w " * (i % 5), "a") for i in range(60)] + \
+        [(7, "one two", "b")] * 40 + [(None, "z", "c")] * 9
+    ends = 0
+    for share in (0.3, 0.7, 1.5):
+        docs = make_docs([(d, t, "en", s) for d, t, s in rows]).repartition(parts)
+        assert collect(M.mix(M.with_size_and_key(docs), share=share)) == brute(rows, share=share)
+        ends += any(0 < r[4] % max(r[1], 1) for r in brute(rows, share=share))
+    assert ends
+
+
 def test_budgets_are_exact_and_no_document_exceeds_two_epochs(spark):
     out = M.op9_mixing(spark, "/root/testdata/sf0.01")
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "source")
