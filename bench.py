@@ -40,7 +40,8 @@ HEADLINE = [
 #: their input included.
 REGISTERED_STREAMS = ["latest_login_stream", "favourite_colour_stream", "purchase_asof_left_stream",
                       "stock_filter_stream", "session_count_live", "bank_balance_stream",
-                      "purchase_enrich_refresh_stream"]
+                      "purchase_enrich_refresh_stream", "top3_news_changes_stream", "colour_totals_stream",
+                      "purchase_refresh_changelog_stream", "running_balance_through_topic", "bank_balance_fold_stream"]
 
 
 def _events(spark, sf_dir):

@@ -8,30 +8,25 @@ from pyspark.sql import functions as F
 # The word separator is a run of non-word characters, where a word
 # character is [a-zA-Z_0-9] (Java's and RE2's ASCII \W class).
 WORD_SEPARATOR = r"\W+"
-WORD_RUN = r"\w+"
-LEADING_SEPARATOR_THEN_WORD = r"^\W+\w"
 
 
-def java_split_words(text: Column | str, lowered: bool = False) -> Column:
-    """Lower-case ``text`` and split it on runs of non-word characters, with the
-    empty-string rules of Java's ``String.split``: a leading empty piece is kept,
-    trailing empty pieces are dropped, an empty input gives one empty piece.
+def java_pieces(pieces: Column) -> Column:
+    """The pieces of a split by the rules of Java's ``String.split``: a leading empty piece is kept, a
+    trailing one is dropped, and an empty text is one empty piece."""
+    n, last = F.size(pieces), F.element_at(pieces, -1)
+    return F.when((n == 1) | (last != ""), pieces) \
+        .when((n == 2) & (F.get(pieces, F.lit(0)) == ""), F.array().cast("array<string>")) \
+        .otherwise(F.slice(pieces, F.lit(1), n - 1))
+
+
+def java_split_words(text: Column | str) -> Column:
+    """Lower-case ``text`` and split it on runs of non-word characters, with the rules of
+    :func:`java_pieces`.
 
     ``""`` -> ``['']``; ``"!!!"`` -> ``[]``; ``" Hi, x! "`` -> ``['', 'hi', 'x']``.
     A null text gives null (no words).
-
-    The pieces are the word runs (one ``regexp_extract_all`` pass). The leading empty
-    piece exists when the text starts with a separator that a word follows (an
-    anchored test that reads only the leading run). With ``lowered`` the column is
-    already lower-case; a separate ``select`` of ``lower(text)`` first keeps the
-    lower-casing to one pass, since the expression reads the text three times.
     """
-    c = F.col(text) if isinstance(text, str) else text
-    t = c if lowered else F.lower(c)
-    words = F.regexp_extract_all(t, F.lit(WORD_RUN), 0)
-    lead = F.when(t.rlike(LEADING_SEPARATOR_THEN_WORD), F.array(F.lit(""))) \
-        .otherwise(F.array().cast("array<string>"))
-    return F.when(t == "", F.array(F.lit(""))).otherwise(F.concat(lead, words))
+    return java_pieces(F.split(F.lower(F.col(text) if isinstance(text, str) else text), WORD_SEPARATOR))
 
 
 def upper_all(arr: Column | str) -> Column:
