@@ -19,7 +19,7 @@ from rillflow.plans import all_queries  # noqa: E402
 from rillflow.session import local_session  # noqa: E402
 
 KEEP = re.compile(r"Exchange|Aggregate|Join|Window|TakeOrdered|Sort |Generate|Expand|"
-                  r"FileScan|Union|Sample|Limit")
+                  r"FileScan|BatchScan|MapIn|Union|Sample|Limit")
 
 
 def digest(df) -> list[str]:
@@ -55,7 +55,7 @@ def main() -> None:
           "(AQE may still turn a sort-merge join into a broadcast at run time). Generated by "
           "`tools/plan_digest.py`.\n")
     for name, fn in all_queries().items():
-        if name.endswith("_stream") or name.endswith("_live") or name == "topic_write":
+        if name.endswith(("_stream", "_live", "_through_topic", "_state", "_changes", "_seek")):
             continue
         print(f"## {name}\n\n```")
         print("\n".join(digest(fn(spark, sf_dir))))
