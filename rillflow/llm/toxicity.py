@@ -7,8 +7,9 @@ others (naive Bayes), and a logistic regression is fitted on the scaled features
 is linear in the features, it is a sum over a document's distinct words, of which each batch
 computes every one once.
 
-The classifier is fitted on at most ``FIT_DOCS`` labelled documents, chosen by a hash of their
-ids, in one task; every document is scored over its whole text.
+The classifier is fitted on at most ``FIT_DOCS`` labelled documents with at most ``FIT_BYTES`` of text
+together (or one longer document), chosen by a hash of their ids, in one task; every document is
+scored over its whole text, a very long one at about 100 bytes of memory a character.
 
 Rows: a null or empty text, or one without letters, has the score of no words at all; a document
 with several labels counts as toxic if one says so; a null ``doc_id`` has no label; repeated
@@ -32,6 +33,8 @@ from rillflow.llm.letters import distinct, grams, letter_words
 
 #: Labelled documents that the classifier is fitted on, at most.
 FIT_DOCS = 6_000
+#: Bytes of their texts, at most.
+FIT_BYTES = 64 << 20
 ORDERS = (2, 3, 4, 5)
 #: Slots per order, as a power of two: the model has 4 times 65,536 weights.
 BITS = 16
@@ -145,7 +148,7 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> tuple
     chosen = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_docs)
     texts = docs.select(F.col("doc_id").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id") \
         .groupBy("doc_id", "toxic").agg(F.max("text").alias("text"))
-    texts = stored(texts, "toxicity_sample")
+    texts = _within(stored(texts, "toxicity_sample"), FIT_BYTES)
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("doc_id", ignore_index=True)
@@ -164,6 +167,18 @@ def train(docs: DataFrame, labels: DataFrame, fit_docs: int = FIT_DOCS) -> tuple
     return np.frombuffer(model.weights, np.float32), model.bias
 
 
+def _within(texts: DataFrame, most: int) -> DataFrame:
+    """The documents of the sample, in the order they were chosen in, as far as their texts have at most
+    ``most`` bytes; at least one. What the driver sees is a number for each document of the sample."""
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    sizes = texts.orderBy(*order).select("doc_id", F.coalesce(F.octet_length("text"), F.lit(0)).alias("n")).collect()
+    upto = np.cumsum([r.n for r in sizes])
+    if not len(upto) or upto[-1] <= most:
+        return texts
+    few = sizes[:max(1, int(np.searchsorted(upto, most, side="right")))]
+    return texts.join(F.broadcast(texts.sparkSession.createDataFrame([(r.doc_id,) for r in few], "doc_id bigint")), "doc_id")
+
+
 def score_documents(docs: DataFrame, weights: np.ndarray, bias: float) -> DataFrame:
     """``docs`` (doc_id, text) -> doc_id, score."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -67,3 +67,13 @@ def test_odd_rows(spark, make_docs):
     assert X.score_documents(docs.filter("false"), *model).count() == 0
     bounded = X.train(docs, labels, fit_docs=40)
     assert np.isfinite(bounded[0]).all()
+
+
+def test_sample_is_bounded_by_bytes(spark):
+    rows = [(i, "toxic words here " * 40 if i % 2 else "kind words there " * 40) for i in range(30)] + [(99, None)]
+    texts = spark.createDataFrame(rows, "doc_id bigint, text string")
+    assert X._within(texts, 1 << 20).count() == 31
+    some = X._within(texts, 5_000)
+    assert 1 < some.count() < 31 and some.selectExpr("sum(octet_length(text))").first()[0] <= 5_000
+    assert X._within(texts.filter("doc_id = 3"), 10).count() == 1
+    assert X._within(texts.limit(0), 10).count() == 0
