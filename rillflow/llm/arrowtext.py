@@ -105,9 +105,17 @@ def distinct_spans(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tup
     return coded.dictionary, coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def as_bytes(values: pa.Array) -> list[bytes]:
+    """Binary values, none of them null, as Python's; many times faster than ``to_pylist``."""
+    kind = np.int64 if pa.types.is_large_binary(values.type) else np.int32
+    off = np.frombuffer(values.buffers()[1], kind)[values.offset:values.offset + len(values) + 1].tolist() if len(values) else []
+    data = values.buffers()[2].to_pybytes() if len(values) and values.buffers()[2] else b""
+    return [data[a:b] for a, b in zip(off, off[1:])]
+
+
 def digests(values: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """128 bits (XXH3) of each value, as two arrays of 64."""
     import xxhash
 
-    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, values.to_pylist())), ">u8").reshape(-1, 2).astype(np.uint64)
+    both = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, as_bytes(values))), ">u8").reshape(-1, 2).astype(np.uint64)
     return both[:, 0], both[:, 1]

@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rillflow.llm.arrowtext import slices, text_bytes
+from rillflow.llm.arrowtext import as_bytes, slices, text_bytes
 from rillflow.llm.common import stored
 
 #: Suffixes that one range holds, about.
@@ -144,7 +144,7 @@ def places(bounds: list[tuple], langs: list[str], words: list[bytes], lang: np.n
 def _packed(columns: list[np.ndarray], number: np.ndarray, words: pa.Array) -> tuple[bytes, int]:
     """Suffixes and the words they use, compressed, and the size before."""
     used, local = np.unique(np.concatenate(columns), return_inverse=True)
-    own = words.take(pa.array(used[used > 0] - 1)).to_pylist()
+    own = as_bytes(words.take(pa.array(used[used > 0] - 1)))
     local = local + (0 if len(used) and used[0] == 0 else 1)
     kind, weigh = np.min_scalar_type(len(used) + 1), np.min_scalar_type(int(number.max()))
     blob = b"\n".join(own)
@@ -255,7 +255,7 @@ def count_phrases(docs: DataFrame, longest: int = 4, least: int = 30, span: int
             for part in slices(batch, most=CHUNK_BYTES):
                 s = Suffixes(part.column("text"), part.column("lang"))
                 lang, columns, number = s.distinct(longest)
-                cuts = places(bounds, s.langs, s.words.to_pylist() if bounds else [], lang, columns)
+                cuts = places(bounds, s.langs, as_bytes(s.words) if bounds else [], lang, columns)
                 heads = np.flatnonzero(np.diff(lang, prepend=-1)).tolist()
                 cuts = [0, *cuts, len(lang)]
                 rows = []
@@ -301,7 +301,8 @@ def _counted(lang: str, messages: list[tuple[bytes, int]], longest: int, least:
         at += columns.shape[1]
     weight = np.concatenate(weights)
     yield lang, 0, "", int(weight.sum())
-    number_of = {w: i + 1 for i, w in enumerate(every.dictionary.to_pylist()) if w in {*first, *last}}
+    ends = {*first, *last}
+    number_of = {w: i + 1 for i, w in enumerate(as_bytes(every.dictionary)) if w in ends}
     edges = {tuple(number_of[w] for w in x[:d]) for x in (first, last) for d in range(1, len(x) + 1)}
     text = lambda codes: b" ".join(every.dictionary[c - 1].as_py() for c in codes).decode()
     for codes in edges:  # these may go on in other ranges

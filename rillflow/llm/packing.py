@@ -39,7 +39,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rillflow.llm.arrowtext import slices, text_bytes
+from rillflow.llm.arrowtext import as_bytes, slices, text_bytes
 from rillflow.llm.common import stored
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint"
@@ -167,7 +167,7 @@ class Encoder:
         parts = pa.Array.from_buffers(pa.large_binary(), len(start), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(buf))])
         parts = parts.dictionary_encode()
         part = parts.indices.to_numpy(zero_copy_only=False)
-        distinct = parts.dictionary.to_pylist()
+        distinct = as_bytes(parts.dictionary)
         if self.bytes > self.kept:
             self._forget()
         place = np.fromiter(map(self.place.get, distinct, repeat(-1)), np.int64, len(distinct))
