@@ -33,11 +33,10 @@ from pyspark.sql import functions as F
 
 from rillflow.llm.arrowtext import slices
 from rillflow.llm.common import stored
-from rillflow.llm.letters import code_points, gram_slots
+from rillflow.llm.letters import code_points
 
 ORDER = 5
-#: A character's chance without context has half a character seen for each of 2^BITS; also the
-#: slots of an order where ``counts_of`` has a few URLs' counts in one array.
+#: A character's chance without context has half a character seen for each of 2^BITS.
 BITS = 15
 #: Pages of a chunk that is scored at once.
 CHUNK = 256
@@ -65,56 +64,6 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return rule, verdict
 
 
-def _grams(urls: pa.Array) -> tuple[np.ndarray, np.ndarray, list[np.ndarray]]:
-    """(URL of each place, its place there, slots by order): the URLs' characters, each URL with
-    a mark before and behind it. ``slots[k][i]`` is that of the k characters before place i
-    and the one there; it is only meant where the URL has so many."""
-    cps, off = code_points(urls)
-    lens = np.diff(off) + 2
-    first = np.cumsum(lens) - lens
-    chars = np.zeros(lens.sum(), np.uint32)
-    url = np.repeat(np.arange(len(lens)), lens)
-    place = np.arange(len(chars)) - first[url]
-    inner = (place > 0) & (place < lens[url] - 1)
-    chars[inner] = cps + 1
-    slots = []
-    for k in range(ORDER + 1):
-        own = np.zeros(len(chars), np.int64)
-        own[k:] = gram_slots(chars, k + 1, BITS)
-        slots.append(own + (k << BITS))
-    return url, place, slots
-
-
-def counts_of(urls: pa.Array) -> np.ndarray:
-    """How often each slot occurs in the URLs, their marks included: the model of a few URLs in
-    one array, where grams may share slots. The operator counts by ``gram_counts`` instead."""
-    _, place, slots = _grams(urls)
-    out = np.zeros((ORDER + 1) << BITS)
-    for k, s in enumerate(slots):
-        out += np.bincount(s[place >= k], minlength=len(out))
-    return out
-
-
-def log_likelihoods(urls: pa.Array, counts: np.ndarray) -> np.ndarray:
-    """Of each URL, its end included, by the model with these counts."""
-    url, place, slots = _grams(urls)
-    total = counts[:1 << BITS].sum()
-    chance = (counts[slots[0]] + 0.5) / (total + 0.5 * (1 << BITS))
-    for k in range(1, ORDER + 1):
-        before = np.zeros(len(url))  # how often the k characters before were seen
-        before[1:] = counts[slots[k - 1][:-1]]
-        longer = (counts[slots[k]] + SMOOTH * chance) / (before + SMOOTH)
-        chance = np.where(place >= k, longer, chance)
-    return np.bincount(url, np.where(place > 0, np.log(chance), 0.0), minlength=len(urls))
-
-
-def differences(urls: pa.Array, allowed: np.ndarray, blocked: np.ndarray) -> np.ndarray:
-    """Log-likelihood difference per character; 0 for an empty or null URL."""
-    n = np.diff(code_points(urls)[1])
-    d = log_likelihoods(urls, allowed) - log_likelihoods(urls, blocked)
-    return np.where(n > 0, d / np.maximum(n + 1, 1), 0.0)
-
-
 def _windows(urls: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(URL of each place, its place there, hi, lo): the ``ORDER`` + 1 characters up to each place, or
     all from the URL's first mark on, as two numbers of three characters of 21 bits. A mark is

@@ -4,8 +4,6 @@ import math
 import random
 from collections import Counter
 
-import numpy as np
-import pyarrow as pa
 import pytest
 
 from rillflow.llm import urls as U
@@ -44,34 +42,6 @@ def test_rules_equal_plain_python(spark):
         assert rule == want[0] and verdict in ("allow", "block") and (rule is None or verdict == want[1]), url
 
 
-def test_likelihoods_equal_plain_python():
-    urls = ["http://ab.c/de", "http://ab.c/df", "", "x", "http://ab.c/de"]
-    counts = U.counts_of(pa.array(urls))
-    grams = Counter()
-    marked = ["\0" + u + "\0" for u in urls]
-    for m in marked:
-        for i in range(len(m)):
-            for k in range(min(i, U.ORDER) + 1):
-                grams[m[i - k:i + 1]] += 1
-    total = sum(n for g, n in grams.items() if len(g) == 1)
-    assert counts.sum() == sum(grams.values())
-
-    def likelihood(u):
-        m, out = "\0" + u + "\0", 0.0
-        for i in range(1, len(m)):
-            p = (grams[m[i]] + 0.5) / (total + 0.5 * (1 << U.BITS))
-            for k in range(1, min(i, U.ORDER) + 1):
-                p = (grams[m[i - k:i + 1]] + U.SMOOTH * p) / (grams[m[i - k:i]] + U.SMOOTH)
-            out += math.log(p)
-        return out
-
-    test = [*urls, "http://zz", None]
-    got = U.log_likelihoods(pa.array(test), counts)
-    assert got == pytest.approx([likelihood(u or "") for u in test])
-    d = U.differences(pa.array(test), counts, np.zeros_like(counts))
-    assert d[2] == d[-1] == 0.0
-
-
 def test_the_models_part_two_kinds_of_sites(spark):
     r = random.Random(2)
     word = lambda letters: "".join(r.choice(letters) for _ in range(7))
