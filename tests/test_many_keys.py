@@ -116,3 +116,36 @@ def test_a_batch_touches_the_state_of_its_own_keys_only():
     p.current.calls.clear()
     call(p, [(7, 50, "blue"), (9, 51, "red")], ["key", "seq", "value"])
     assert set(p.current.calls) == {(7,), (9,)} and len(p.current.rows) == 50
+
+
+def test_live_sessions_of_many_keys():
+    """Versions and deletes of late and early rows; sessions past the watermark leave, one timer for all."""
+    r, gap = random.Random(8), 10_000_000
+    for _ in range(30):
+        p, open_, at = started(P.LiveSessionsOfBucket("string", 10)), {}, 0
+        for batch in batches_of(r, lambda k, s: (k, r.randrange(0, 400) * 1_000_000, s)):
+            batch = [(k, t + at, s) for k, t, s in batch]
+            rows, want = sorted(batch, key=lambda x: (x[0], x[1], x[2])), []
+            for k, t, s in rows:
+                mine = open_.setdefault(k, [])
+                near = [x for x in mine if x[0] - gap <= t <= x[1] + gap]
+                new = (min([t, *(x[0] for x in near)]), max([t, *(x[1] for x in near)]), 1 + sum(x[2] for x in near))
+                want += [(s, k, *x, True) for x in near] + [(s, k, *new, False)]
+                open_[k] = [x for x in mine if x not in near] + [new]
+            frame = [(k, pd.Timestamp(t, unit="us"), t, s) for k, t, s in batch]
+            got = [(x["seq"], x["key"], x["start_us"], x["end_us"], x["count"], x["deleted"])
+                   for x in call(p, frame, ["key", "ts", "t_us", "seq"])]
+            assert sorted(got) == sorted(want)
+            at += 150_000_000
+            (due,) = p.handle.timers
+            if due <= at // 1000:  # the watermark passes it
+                class Now:
+                    getCurrentWatermarkInMs = lambda self: at // 1000
+                p.handle.timers.clear()
+                assert list(p.handleExpiredTimer((0,), Now(), None)) == []
+                open_ = {k: [x for x in v if x[1] + gap > at] for k, v in open_.items()}
+            held = {k[0]: [tuple(x) for x in p._sessions(v[0]).tolist()] for k, v in p.open.rows.items()}
+            assert held == {k: sorted(v) for k, v in open_.items() if v}
+            assert len(p.handle.timers) == (1 if held else 0)
+            if held:
+                assert min(p.handle.timers) <= min(x[1] for v in held.values() for x in v) // 1000 + 10_000
