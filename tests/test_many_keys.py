@@ -118,6 +118,40 @@ def test_a_batch_touches_the_state_of_its_own_keys_only():
     assert set(p.current.calls) == {(7,), (9,)} and len(p.current.rows) == 50
 
 
+def test_table_join_of_many_keys():
+    r = random.Random(6)
+    for _ in range(30):
+        p, sides, sent = started(P.TableJoin("string", lambda a, b: a + b)), {}, {}
+        for batch in batches_of(r, lambda k, s: (k, r.randrange(2), pd.Timestamp(s, unit="s"), s, r.choice(["x", "y", None]))):
+            want = []
+            for k, side, _, s, v in batch:
+                pair = sides.setdefault(k, [None, None])
+                pair[side] = v
+                both = None not in pair
+                if both or sent.get(k):
+                    want.append((s, k, pair[0] + pair[1] if both else None, not both))
+                sent[k] = both
+            got = [(x["seq"], x["key"], x["value"], x["deleted"]) for x in call(p, batch, ["key", "side", "ts", "seq", "value"])]
+            assert sorted(got) == want
+            assert p.sides.rows == {(k,): (*v, None not in v) for k, v in sides.items() if v != [None, None]}
+
+
+def test_asof_lookup_of_many_keys():
+    r = random.Random(7)
+    for _ in range(30):
+        p, table = started(P.AsOfLookup("string")), {}
+        for batch in batches_of(r, lambda k, s: (k, r.randrange(2), s, r.choice(["x", "y", None]), f"p{s}")):
+            want = []
+            for k, side, s, info, payload in batch:
+                if side == 0:
+                    table[k] = info
+                else:
+                    want.append((s, k, payload, table.get(k)))
+            got = [(x["seq"], x["key"], x["payload"], x["info"]) for x in call(p, batch, ["key", "side", "seq", "info", "payload"])]
+            assert sorted(got) == want
+            assert p.info.rows == {(k,): (v,) for k, v in table.items() if v is not None}
+
+
 def test_live_sessions_of_many_keys():
     """Versions and deletes of late and early rows; sessions past the watermark leave, one timer for all."""
     r, gap = random.Random(8), 10_000_000
