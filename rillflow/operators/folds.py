@@ -17,6 +17,7 @@ import re
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -48,30 +49,32 @@ def of_records(init: Callable[[], tuple], step: Callable[[tuple, tuple], tuple],
     functions that work on no frame; a call per record."""
     states, results = _names(state), _names(result)
 
-    def each(frame: pd.DataFrame, keys: list[str], fold) -> pd.DataFrame:
-        rows = [(k, fold(g)) for k, g in frame.groupby(keys, sort=False)]
-        return pd.DataFrame([(*k, *s) for k, s in rows], columns=[*keys, *states])
-
     def records(frame: pd.DataFrame, names: list[str]) -> Iterator[tuple]:
         return zip(*(frame[c].astype(object).where(frame[c].notna(), None) for c in names))
 
-    def stepped(rows: pd.DataFrame) -> tuple:
-        out = init()
-        for record in records(rows, columns):
-            out = step(out, record)
-        return out
+    def each(frame: pd.DataFrame, keys: list[str], names: list[str], first: Callable[[tuple], tuple],
+             more: Callable[[tuple, tuple], tuple]) -> pd.DataFrame:
+        """One pass over the records, each added to its key's state: no frame is made per key."""
+        of = frame.groupby(keys, sort=False).ngroup().to_numpy()
+        folded: dict[int, tuple] = {}
+        for key, record in zip(of.tolist(), records(frame, names)):
+            folded[key] = more(folded[key], record) if key in folded else first(record)
+        folded.pop(-1, None)  # no key
+        numbers, at = np.unique(of, return_index=True)
+        heads = frame[keys].iloc[at[numbers >= 0]].reset_index(drop=True)
+        return pd.concat([heads, pd.DataFrame([folded[k] for k in numbers[numbers >= 0].tolist()], columns=states)], axis=1)
+
+    def stepped(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+        return each(rows, keys, columns, lambda record: step(init(), record), step)
 
-    def merged(rows: pd.DataFrame) -> tuple:
-        first, *rest = records(rows, states)
-        for other in rest:
-            first = merge(first, other)
-        return first
+    def merged(rows: pd.DataFrame, keys: list[str]) -> pd.DataFrame:
+        return each(rows, keys, states, lambda state: state, merge)
 
     def finished(frame: pd.DataFrame) -> pd.DataFrame:
         done = [finish(s) for s in records(frame, states)]
         return pd.concat([frame.drop(columns=states).reset_index(drop=True), pd.DataFrame(done, columns=results)], axis=1)
 
-    return Fold(state, lambda rows, keys: each(rows, keys, stepped), lambda rows, keys: each(rows, keys, merged), result, finished)
+    return Fold(state, stepped, merged, result, finished)
 
 
 def _names(ddl: str) -> list[str]:

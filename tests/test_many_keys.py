@@ -183,3 +183,22 @@ def test_live_sessions_of_many_keys():
             assert len(p.handle.timers) == (1 if held else 0)
             if held:
                 assert min(p.handle.timers) <= min(x[1] for v in held.values() for x in v) // 1000 + 10_000
+
+
+def test_fold_of_records_makes_no_frame_per_key(monkeypatch):
+    from rillflow.operators.folds import of_records
+    fold = of_records(init=lambda: (0, []), step=lambda s, r: (s[0] + (r[0] or 0), [*s[1], r[0]]), merge=lambda a, b: (a[0] + b[0], [*a[1], *b[1]]),
+                      finish=lambda s: (s[0],), columns=["n"], state="total bigint, all array<bigint>", result="total bigint")
+    rows = pd.DataFrame({"k": [i % 500 for i in range(2000)], "g": ["x", "y"] * 1000, "n": [None if i % 7 == 0 else i for i in range(2000)]})
+    made = []
+    plain = pd.Series.astype
+    monkeypatch.setattr(pd.Series, "astype", lambda self, *a, **k: made.append(1) or plain(self, *a, **k))
+    got = fold.step(rows, ["k", "g"])
+    twice = fold.merge(pd.concat([got, got.iloc[::-1]], ignore_index=True), ["k", "g"])
+    assert len(made) < 20
+    monkeypatch.undo()
+    for out, times in ((got, 1), (twice, 2)):
+        assert list(out.columns) == ["k", "g", "total", "all"] and len(out) == 500
+        for k, g, total, every in out.itertuples(index=False):
+            mine = [None if i % 7 == 0 else i for i in range(k, 2000, 500)]
+            assert g == "xy"[k % 2] and list(every) == mine * times and total == sum(x or 0 for x in mine) * times
