@@ -4,10 +4,10 @@ Every document's tokens end with the end token. A document longer than a window
 windows first; what is left is cut into pieces and packed, group by group, by Karmarkar-Karp
 differencing: the two partial partitions with the largest imbalance are merged so that the
 fullest window of one meets the emptiest of the other, until one partition is left. A group
-closes as soon as its tokens fill ``GROUP`` windows (or its pieces are many), and its last piece
-is cut where these are full, so hardly any room is lost, whether texts are long or short. The
+closes as soon as its tokens fill ``GROUP`` windows (or its pieces are many); the piece that is
+too much begins the next group, so hardly any room is lost, whether texts are long or short. The
 number of windows starts at the fewest that could hold the group and rises while one exceeds
-its room.
+its room. Where a document is cut depends on its own length alone, so its copies are cut alike.
 
 Groups are runs of pieces of one input partition. What is left at a partition's end, too little
 for a group, is packed in a second pass: the left-over pieces of all partitions, dealt at random
@@ -290,23 +290,19 @@ class Pieces:
             while n < len(self.held) and size < GROUP * meant and (n < GROUP_PIECES or size < meant):
                 size += len(self.held[n][2]) // 4
                 n += 1
-            if not (all_of_it or size >= GROUP * meant or n >= GROUP_PIECES and size >= meant):
+            if size >= GROUP * meant or n >= GROUP_PIECES and size >= meant:
+                most = min(GROUP, size // meant) * meant
+                while size > most and n > 1:  # what doesn't fit is the next group's: pieces are never cut
+                    n -= 1
+                    size -= len(self.held[n][2]) // 4
+            elif not all_of_it:
                 return
-            self._pack(min(GROUP, size // meant) * meant or size)
-
-    def _pack(self, size: int) -> None:
-        """Packs the first ``size`` tokens, the last piece being cut there."""
-        taken, n = 0, 0
-        while taken < size:
-            taken += len(self.held[n][2]) // 4
-            n += 1
+            self._pack(n)
+
+    def _pack(self, n: int) -> None:
+        """Packs the first ``n`` pieces."""
         some, self.held = self.held[:n], self.held[n:]
-        self.size -= size
-        if taken > size:
-            doc, start, ids, tokens = some[-1]
-            mine = len(ids) // 4 - (taken - size)
-            some[-1] = (doc, start, ids[:4 * mine], tokens)
-            self.held.insert(0, (doc, start + mine, ids[4 * mine:], tokens))
+        self.size -= sum(len(x[2]) // 4 for x in some)
         for window in pack([len(x[2]) // 4 for x in some], self.room):
             at = 0
             for i in window:

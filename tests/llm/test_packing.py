@@ -71,6 +71,26 @@ def test_groups_of_the_second_pass(spark, make_docs, plain, monkeypatch):
     assert len({p.sequence_id >> 36 for p in pieces}) > 3
 
 
+def test_copies_are_cut_alike(make_docs, plain, monkeypatch):
+    """Where a group ends, no piece is cut: the copies of a document have the same pieces."""
+    monkeypatch.setattr(P, "GROUP", 3)
+    rows = [(7, "word " * 605), (8, "word " * 2_700), (9, "few words")] * 30
+    pieces = P.pack_documents(make_docs(rows).coalesce(1), PATH).collect()
+    assert check_pieces(rows, pieces, plain) > 0.9
+    spans = {d: sorted({(p.start, p.length) for p in pieces if p.doc_id == d}) for d in (7, 8, 9)}
+    assert [len(s) for s in spans.values()] == [2, 3, 1]
+    assert sum(p.length for p in pieces) == sum(p.doc_tokens for p in pieces if p.start == 0)
+
+
+def test_what_is_left_at_the_end_is_packed_at_once():
+    """Two windows and a little more need three, not two that overflow and one for the rest."""
+    pieces = P.Pieces(2048, 0)
+    for i in range(9):
+        pieces.add(i, 0, bytes(4 * 460), 460)
+    pieces.pack(all_of_it=True)
+    assert len({p[5] for p in pieces.rows()}) == 3
+
+
 def test_differencing_on_known_partitions():
     sums = lambda sizes, k: sorted(sum(sizes[i] for i in w) for w in P.difference(sizes, k))
     assert sums([8, 7, 6, 5, 4], 2) == [14, 16]  # the textbook case
